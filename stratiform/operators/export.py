@@ -10,6 +10,7 @@ from stratiform.errors import ConfigError
 FORMATS = ("parquet", "csv", "json", "orc")
 MODES = ("overwrite", "append")
 LEGACY_PREFIXES = ("/mnt/", "dbfs:/mnt/")
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # text formats would cut to milliseconds by default
 
 
 def is_legacy_path(path: str) -> bool:
@@ -32,5 +33,7 @@ def export(
     writer = (df.coalesce(files) if files else df).write.mode(mode).format(kind)
     if kind == "csv":
         writer = writer.option("header", "true")
+    if kind in ("csv", "json"):
+        writer = writer.options(timestampFormat=MICROS + "XXX", timestampNTZFormat=MICROS)
     writer.save(path)
     return path

@@ -152,6 +152,16 @@ SELECT event_id, CASE event_type
   WHEN 'signup' THEN '{{"data":[' || CAST(event_id AS STRING) || ',' || CAST(user_id AS STRING) || ']}}'
   ELSE 'error ' || props END AS body, event_type, user_id
 FROM {events}""",
+    "json_files": """
+SELECT c_nationkey, CASE WHEN c_acctbal < 3000
+    THEN '[{{"id":' || CAST(c_custkey AS STRING) || ',"name":"' || c_name || '"}},' || chr(10)
+      || '{{"id":-1}}]'
+  WHEN c_acctbal < 6000 THEN '{{"id":' || CAST(c_custkey AS STRING) || ',' || chr(10) || '"name":"' || c_name
+      || '"}}'
+  ELSE '{{"id":' || CAST(c_custkey AS STRING) || ',"name":"' || c_name || '"}}' || chr(10) || chr(10)
+      || '{{"id":-2,"name":"' || c_mktsegment || '"}}' || chr(10) END AS body, c_custkey, c_name,
+  c_mktsegment, c_acctbal
+FROM {customer}""",
     "json_lines": """
 SELECT '{{"event_id":' || CAST(event_id AS STRING) || ',"event_type":"' || event_type || '",'
   || substr(props, 2) AS line

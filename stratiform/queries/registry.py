@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
-MODULES = ["checks", "shaping"]
+MODULES = ["checks", "shaping", "publishing", "runs", "monitoring", "metadata", "reading"]
 
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratiform.errors import ConfigError
+from stratiform.operators.keyed import measure
 from stratiform.sources import options as opt
 
 LOAD_TYPES = ("full", "incremental")
@@ -64,22 +65,29 @@ def newer_files(frame: DataFrame, since: str) -> DataFrame:
 def read_mixed_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Records of files that are each a JSON array, one JSON object or JSON lines.
 
-    Whole files are read, as an array may span lines; a task parses one file at a time.
+    Files are read whole, as an array or an object may span lines and cannot be split; one file
+    is one row, and files spread over all tasks.
+    """
+    return mixed_records(spark.read.text(path, wholetext=True), "value", schema)
+
+
+def mixed_records(bodies: DataFrame, body: str, schema: T.StructType | str) -> DataFrame:
+    """Records of whole JSON texts in any of the three shapes, with the other columns.
+
+    Lines are parsed one by one, so a malformed line costs its own record only (all NULL).
     """
     record = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    text = spark.read.text(path, wholetext=True)
-    body = F.trim(F.regexp_replace("value", r"^﻿", ""))
-    lines = F.array_join(
-        F.filter(F.split(body, r"\r?\n"), lambda line: F.length(F.trim(line)) > 0), ","
-    )
     many = T.ArrayType(record)
-    single = F.from_json(F.concat(F.lit("["), body, F.lit("]")), many)
-    parsed = (
-        F.when(body.rlike(r"^\s*\["), F.from_json(body, many))
-        .when(body.rlike(r"(?s)^\s*\{\s*\n"), single)
-        .otherwise(F.from_json(F.concat(F.lit("["), lines, F.lit("]")), many))
+    text = F.regexp_replace(F.col(body), r"^(\uFEFF|\s)+|\s+$", "")
+    lines = F.filter(F.split(text, r"\r?\n"), lambda line: F.length(F.trim(line)) > 0)
+    by_line = F.try_parse_json(F.get(lines, 0)).isNotNull()
+    listed = (
+        F.when(text.startswith("["), F.from_json(text, many))
+        .when(by_line, F.transform(lines, lambda line: F.from_json(line, record)))
+        .otherwise(F.array(F.from_json(text, record)))
     )
-    return text.select(F.inline(parsed))
+    others = [c for c in bodies.columns if c != body]
+    return bodies.select(*others, F.inline(listed))
 
 
 def fixed_width(lines: DataFrame, columns: Sequence[tuple[str, int, int, str]]) -> DataFrame:
@@ -162,13 +170,16 @@ def copy_attachments(
 ) -> DataFrame:
     """Copy referenced files and report (ref, new_path, error) per reference.
 
-    ``files`` is a binaryFile scan with (path, content). References meet files by file path, and
-    each task writes what it received, so neither list passes through the driver.
+    ``files`` is a binaryFile scan (path, content). A list of references that is small enough is
+    broadcast, so contents are not shuffled; a longer one meets them by file path. Each task
+    writes what it holds to ``destination``, a folder that all executors mount.
     """
     plain = F.regexp_replace(F.col("path"), r"^file:/+", "/")
-    found = refs.join(
-        files.select(plain.alias("__path"), "content"), F.col("ref") == F.col("__path"), "left"
-    ).select("ref", "content")
+    wanted = measure(refs.select("ref").distinct(), "attachments")
+    side = F.broadcast(wanted.frame) if wanted.fits_broadcast else wanted.frame
+    found = files.select(plain.alias("__path"), "content").join(side, F.col("ref") == F.col("__path"))
+    here = files.select(plain.alias("__path")).join(side, F.col("ref") == F.col("__path"), "left_semi")
+    lost = wanted.frame.join(here, F.col("ref") == F.col("__path"), "left_anti")
 
     def write(batches: Iterator) -> Iterator:
         import hashlib
@@ -182,8 +193,6 @@ def copy_attachments(
                 tag = hashlib.sha256(ref.encode()).hexdigest()[:8]
                 target = os.path.join(destination, f"{tag}_{os.path.basename(ref)}")
                 try:
-                    if content is None:
-                        raise FileNotFoundError(ref)
                     os.makedirs(destination, exist_ok=True)
                     # A task that runs again replaces its own partial file.
                     with open(f"{target}.part", "wb") as out:
@@ -196,4 +205,9 @@ def copy_attachments(
                     rows.append((ref, None, str(exc)))
             yield pd.DataFrame(rows, columns=["ref", "new_path", "error"])
 
-    return found.mapInPandas(write, "ref string, new_path string, error string")
+    report = "ref string, new_path string, error string"
+    copied = found.select("ref", "content").mapInPandas(write, report)
+    text = F.concat(F.lit("file not found: "), F.col("ref"))
+    problem = F.raise_error(text).cast("string") if fail_on_error else text
+    missing = lost.select("ref", F.lit(None).cast("string").alias("new_path"), problem.alias("error"))
+    return copied.unionAll(missing)

@@ -10,6 +10,7 @@ from stratiform.errors import ConfigError
 from stratiform.sources.options import EVOLUTION_MODES
 
 RESCUED = "_rescued_data"
+MAX_NEW_COLUMNS = 10_000
 
 
 def _unknown(line: Column, known: list[str]) -> Column:
@@ -50,10 +51,13 @@ def parse_lines(
 def widened_schema(df: DataFrame, line: str, schema: T.StructType | str) -> T.StructType:
     """The schema plus every top-level key seen in the lines, new keys as text.
 
-    The keys are gathered by a distinct aggregation; only their names reach the driver.
+    The keys are gathered by a distinct aggregation; only new names reach the driver, and lines
+    whose keys are data rather than columns are refused.
     """
     record = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    known = set(record.fieldNames())
-    keys = df.select(F.explode(F.json_object_keys(line)).alias("key")).distinct()
-    fresh = sorted(r.key for r in keys.collect() if r.key not in known)
-    return T.StructType(record.fields + [T.StructField(k, T.StringType()) for k in fresh])
+    keys = df.select(F.explode(F.json_object_keys(line)).alias("key"))
+    fresh = keys.filter(~F.col("key").isin(record.fieldNames())).distinct()
+    names = sorted(r.key for r in fresh.limit(MAX_NEW_COLUMNS + 1).collect())
+    if len(names) > MAX_NEW_COLUMNS:
+        raise ConfigError(f"more than {MAX_NEW_COLUMNS} new columns")
+    return T.StructType(record.fields + [T.StructField(k, T.StringType()) for k in names])

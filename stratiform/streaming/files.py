@@ -146,6 +146,7 @@ def land_stream(
     entity: str,
     load_id: str,
     options: Mapping[str, Any] | None = None,
+    path: str | None = None,
 ) -> StreamingQuery:
     """Append the stream to the landing table; the checkpoint tracks files exactly once."""
     if not str(table or "").strip():
@@ -153,6 +154,8 @@ def land_stream(
     parsed = stream_options(options)
     landed = add_metadata(frame, system, entity, load_id)
     writer = landed.writeStream.outputMode(parsed.output_mode).option("checkpointLocation", checkpoint)
+    if path:
+        writer = writer.option("path", path)
     if parsed.query_name:
         writer = writer.queryName(parsed.query_name)
     query = _trigger(writer, parsed).toTable(table)
