@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratiform.errors import DuplicateKeyError
 from stratiform.functions.columns import any_null
@@ -123,17 +124,36 @@ def merge(
     staged_path = new_folder(spark, "merge-stage")
     merged.write.parquet(staged_path)
     staged = spark.read.schema(merged.schema).parquet(staged_path)
-    staged.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    _overwrite_partitions(spark, staged_path, merged.schema, table)
     emptied = touched.frame.join(
         staged.select(*[F.col(p).alias(f"__{p}") for p in parts]).distinct(),
         _same(parts),
         "left_anti",
     )
     for row in emptied.toLocalIterator():
-        spec = ", ".join(f"{p} = '{row[p]}'" for p in parts)
+        spec = ", ".join(f"{p} = {_literal(row[p])}" for p in parts)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
 
 
+def _literal(value) -> str:
+    return "null" if value is None else "'" + str(value).replace("'", "\\'") + "'"
+
+
+def _overwrite_partitions(
+    spark: SparkSession, path: str, schema: T.StructType, table: str
+) -> None:
+    """Replace just the partitions that the staged rows belong to.
+
+    A catalog table takes the overwrite mode from the session only, so a session of its own
+    carries that setting and the caller's stays as it is.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.read.schema(schema).parquet(path).write.insertInto(table, overwrite=True)
+    spark.catalog.refreshTable(table)
+
+
 def _same(parts: Sequence[str]) -> Column:
     cond = F.lit(True)
     for part in parts:

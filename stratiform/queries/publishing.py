@@ -63,12 +63,16 @@ def publish_merge_stored(spark, sf_dir):
     return spark.table(name)
 
 
-@query("publish_merge_partitions", _MERGED)
+@query(
+    "publish_merge_partitions",
+    f"SELECT *, CAST(year(o_orderdate) AS INTEGER) AS order_year FROM ({_MERGED})",
+)
 def publish_merge_partitions(spark, sf_dir):
-    """Partitioned table: only partitions with a change are rewritten."""
+    """Partitioned table: only the years with a change are rewritten."""
     name, path = _new_table(spark, "merge_partitions")
-    publish.merge(_base(spark, sf_dir), name, ["o_orderkey"], ["o_orderpriority"], path)
-    publish.merge(_delta(spark, sf_dir), name, ["o_orderkey"])
+    year = F.year("o_orderdate").alias("order_year")
+    publish.merge(_base(spark, sf_dir).select("*", year), name, ["o_orderkey"], ["order_year"], path)
+    publish.merge(_delta(spark, sf_dir).select("*", year), name, ["o_orderkey"])
     return spark.table(name)
 
 
