@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ERROR_TEXT_LIMIT = 500  # fixed value: stored error texts are at most this long
@@ -61,3 +63,15 @@ def since(df: DataFrame, column: str, as_of: str, days: int = 0, hours: int = 0)
 def truncated(df: DataFrame, column: str, unit: str) -> Column:
     """``date_trunc`` that keeps the type of the column (NTZ stays NTZ)."""
     return F.date_trunc(unit, F.col(column)).cast(df.schema[column].dataType)
+
+
+def few_rows(spark: SparkSession, rows: Sequence[Sequence[Any]], names: Sequence[str]) -> DataFrame:
+    """A handful of driver-made text rows as literals of one partition: one task, one file."""
+    one = spark.range(1, numPartitions=1)
+    if not rows:
+        empty = [F.lit(None).cast("string").alias(n) for n in names]
+        return one.select(*empty).filter(F.lit(False))
+    made = [
+        F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(names, row)]) for row in rows
+    ]
+    return one.select(F.inline(F.array(*made)))

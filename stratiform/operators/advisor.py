@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratiform.operators.landing import checked_column, checked_table
+
 # Cardinality range of a partition column, columns per Z-order.
 PARTITION_MIN = 2
 PARTITION_MAX = 1000
@@ -80,3 +82,10 @@ def advise(df: DataFrame, table: str, columns: Sequence[str] | None = None) -> D
     )
     advice = pick.select(F.explode(rows).alias("advice")).filter("advice is not null")
     return advice.select(F.lit(table).alias("table_name"), "advice.*")
+
+
+def analyze(spark: SparkSession, table: str, columns: Sequence[str] = ()) -> None:
+    """Collect table statistics, and column statistics where columns are given."""
+    checked_table(table)
+    chosen = ", ".join(checked_column(c) for c in columns)
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS" + (f" FOR COLUMNS {chosen}" if chosen else ""))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform import schemas
-from stratiform.functions.columns import short_text
+from stratiform.functions.columns import few_rows, short_text
 from stratiform.operators.landing import write_table
 
 
@@ -56,22 +56,17 @@ def rejects(df: DataFrame, run: RunKey) -> DataFrame:
     )
 
 
-def check_rows(results: DataFrame, run: RunKey, errors: Sequence[str] = ()) -> DataFrame:
-    """Check results and configuration errors as audit rows; one PASS row when there are none."""
-    spark = results.sparkSession
+def check_rows(
+    spark: SparkSession, results: DataFrame | None, run: RunKey, errors: Sequence[str] = ()
+) -> DataFrame:
+    """Check results and configuration errors as audit rows; one PASS row when there is neither."""
     name = "bronze_dq_config"
     extra = [(name, "FAIL", json.dumps({"error": e}, separators=(",", ":"))) for e in errors]
-    columns = ["check_name", "status", "details"]
-    rows = results.select(*columns)
-    if extra:
-        rows = rows.unionAll(spark.createDataFrame(extra, ", ".join(f"{c} string" for c in columns)))
-    none = spark.range(1).select(
-        F.lit(name).alias("check_name"),
-        F.lit("PASS").alias("status"),
-        F.lit('{"message":"No bronze DQ checks configured"}').alias("details"),
-    )
-    if not extra:
-        rows = rows.unionAll(none.filter(~rows.exists()))
+    if results is None and not extra:
+        extra = [(name, "PASS", '{"message":"No bronze DQ checks configured"}')]
+    rows = few_rows(spark, extra, ["check_name", "status", "details"])
+    if results is not None:
+        rows = results.select(*rows.columns) if not extra else results.select(*rows.columns).unionAll(rows)
     return rows.select(
         *run.columns(),
         F.col("check_name").alias("validation_type"),
@@ -91,19 +86,23 @@ def events(spark: SparkSession, run: RunKey, rows: Sequence[Mapping[str, Any]])
         )
         for r in rows
     ]
-    schema = "event_name string, event_status string, event_payload string"
-    frame = spark.createDataFrame(listed, schema)
+    frame = few_rows(spark, listed, ["event_name", "event_status", "event_payload"])
     return frame.select(*run.columns(), *frame.columns, run.when("event_ts"))
 
 
 def lifecycle(
-    spark: SparkSession, entity_id: str, event_type: str, details: Any, user: str, ts: str | None = None
+    spark: SparkSession,
+    entity_id: str,
+    events: Sequence[tuple[str, Any]],
+    user: str,
+    ts: str | None = None,
 ) -> DataFrame:
-    text = details if isinstance(details, str) else json.dumps(details, default=str)
-    frame = spark.createDataFrame(
-        [(entity_id, event_type, text, user)],
-        "entity_id string, event_type string, event_details string, user string",
-    )
+    """Lifecycle rows of an entity from (event type, details) pairs."""
+    rows = [
+        (entity_id, kind, d if isinstance(d, str) else json.dumps(d, default=str), user)
+        for kind, d in events
+    ]
+    frame = few_rows(spark, rows, ["entity_id", "event_type", "event_details", "user"])
     return frame.select("*", RunKey("", "", "", ts).when("event_ts"))
 
 
@@ -182,13 +181,16 @@ def layer_counts(
 
 
 def structure_events(
-    raw: DataFrame, landed: DataFrame, conformed: DataFrame, mappings: Sequence[Mapping[str, Any]]
+    raw: Sequence[str],
+    landed: Sequence[str],
+    conformed: Sequence[str],
+    mappings: Sequence[Mapping[str, Any]],
 ) -> list[dict[str, Any]]:
-    """Schema-level verification of the layers, as events."""
-    kept = set(raw.columns) <= set(landed.columns)
-    technical = set(schemas.LANDING_COLUMNS) <= set(landed.columns)
+    """Verification of the layers by their column names, as events."""
+    kept = set(raw) <= set(landed)
+    technical = set(schemas.LANDING_COLUMNS) <= set(landed)
     expected = [m["conformance_column"] for m in mappings if m.get("conformance_column")]
-    missing = [c for c in expected if c not in conformed.columns]
+    missing = [c for c in expected if c not in conformed]
     return [
         {
             "event": "landing_raw",

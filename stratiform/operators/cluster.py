@@ -51,15 +51,31 @@ def with_z_value(df: DataFrame, columns: Sequence[str], bits: int = 10) -> DataF
     return df.withColumn(Z_COLUMN, z)
 
 
+def _spread(df: DataFrame) -> Column:
+    """Number that splits rows sharing a range key; the same for a row each time a task runs."""
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    return F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in plain])
+
+
+def _ranged(df: DataFrame, keys: Sequence[str], files: int | None) -> DataFrame:
+    """Range-partition by the keys, with a last key that splits equal ones over several tasks."""
+    spread = df.withColumn("__spread", _spread(df))
+    columns = [F.col(k) for k in (*keys, "__spread")]
+    ranged = spread.repartitionByRange(files, *columns) if files else spread.repartitionByRange(*columns)
+    return (ranged.sortWithinPartitions(*keys) if keys else ranged).drop("__spread")
+
+
 def cluster(df: DataFrame, columns: Sequence[str], files: int | None = None, bits: int = 10) -> DataFrame:
-    """Range-partition and sort by Z-value, so files cover small boxes of the columns.
+    """Range-partition and sort by Z-value, so files cover small boxes of the columns."""
+    return _ranged(with_z_value(df, columns, bits), [Z_COLUMN], files)
 
-    The second range key splits a Z-value that many rows share over several tasks.
-    """
+
+def packed(
+    df: DataFrame, columns: Sequence[str], partitions: Sequence[str] = (), files: int | None = None
+) -> DataFrame:
+    """Rows in even output partitions: by table partition first, then along the Z-order curve."""
+    if not columns:
+        return _ranged(df, list(partitions), files)
+    bits = min(10, 62 // len(columns))
     marked = with_z_value(df, columns, bits)
-    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in plain])
-    keyed = marked.withColumn("__spread", spread)
-    keys = [F.col(Z_COLUMN), F.col("__spread")]
-    ranged = keyed.repartitionByRange(files, *keys) if files else keyed.repartitionByRange(*keys)
-    return ranged.sortWithinPartitions(Z_COLUMN).drop("__spread")
+    return _ranged(marked, [*partitions, Z_COLUMN], files).drop(Z_COLUMN)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +12,7 @@ from pyspark.sql import types as T
 
 from stratiform.errors import DuplicateKeyError
 from stratiform.functions.columns import any_null
-from stratiform.operators import landing
+from stratiform.operators import cluster, landing
 from stratiform.operators.keyed import (
     COPIES,
     Measured,
@@ -20,7 +22,10 @@ from stratiform.operators.keyed import (
     latest_per_key,
     measure,
 )
-from stratiform.session import new_folder
+from stratiform.session import drop_folder, new_folder
+
+_SNAPSHOT = re.compile(r"_snapshot_[0-9a-f]{32}$")
+_PREVIOUS = "stratiform.previous_snapshot"
 
 
 def append(
@@ -79,7 +84,26 @@ def _partition_columns(spark: SparkSession, table: str) -> list[str]:
 
 def _location(spark: SparkSession, table: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").collect()
-    return rows[0]["data_type"]
+    return rows[0]["data_type"].rstrip("/")
+
+
+def _switch_snapshot(spark: SparkSession, rows: DataFrame, table: str) -> None:
+    """Write ``rows`` beside the table's files and point the table there.
+
+    Readers see the old or the new snapshot, never a mix. The one before the last switch is kept
+    for readers that are still at work; older ones are removed.
+    """
+    current = _location(spark, table)
+    base = _SNAPSHOT.sub("", current)
+    properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    fresh = f"{base}_snapshot_{uuid.uuid4().hex}"
+    rows.write.parquet(fresh)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{fresh}'")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_PREVIOUS}' = '{current}')")
+    spark.catalog.refreshTable(table)
+    older = properties.get(_PREVIOUS, "")
+    if _SNAPSHOT.search(older):
+        drop_folder(spark, older)
 
 
 def merge(
@@ -110,48 +134,57 @@ def merge(
     target = spark.table(table)
     parts = _partition_columns(spark, table)
     if not parts:
-        merged = landing.evolve(drop_matching(target, side, keys), src).select(*target.columns)
-        snapshot = f"{_location(spark, table).rstrip('/')}_{_suffix(spark)}"
-        merged.write.parquet(snapshot)
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{snapshot}'")
-        spark.catalog.refreshTable(table)
+        merged = landing.evolve(drop_matching(target, side, keys), src)
+        _switch_snapshot(spark, merged.select(*target.columns), table)
         return
 
     hit = keep_matching(target, side, keys).select(*parts).unionAll(src.select(*parts)).distinct()
     touched = measure(hit, "touched-partitions")
     scope = keep_matching(target, touched, parts)
     merged = landing.evolve(drop_matching(scope, side, keys), src).select(*target.columns)
-    staged_path = new_folder(spark, "merge-stage")
-    merged.write.parquet(staged_path)
-    staged = spark.read.schema(merged.schema).parquet(staged_path)
-    _overwrite_partitions(spark, staged_path, merged.schema, table)
-    emptied = touched.frame.join(
-        staged.select(*[F.col(p).alias(f"__{p}") for p in parts]).distinct(),
-        _same(parts),
-        "left_anti",
-    )
+    staged = _replace_partitions(spark, merged, table)
+    left = staged.select(*[F.col(p).alias(f"__{p}") for p in parts]).distinct()
+    emptied = touched.frame.join(left, _same(parts), "left_anti")
     for row in emptied.toLocalIterator():
         spec = ", ".join(f"{p} = {_literal(row[p])}" for p in parts)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
 
 
+def optimize(
+    spark: SparkSession, table: str, zorder_by: Sequence[str] = (), files: int | None = None
+) -> None:
+    """Rewrite a stored table into even files, clustered along a Z-order curve if columns are given."""
+    landing.checked_table(table)
+    for column in zorder_by:
+        landing.checked_column(column)
+    target = spark.table(table)
+    parts = _partition_columns(spark, table)
+    packed = cluster.packed(target, list(zorder_by), parts, files).select(*target.columns)
+    if parts:
+        _replace_partitions(spark, packed, table)
+    else:
+        _switch_snapshot(spark, packed, table)
+
+
 def _literal(value) -> str:
     return "null" if value is None else "'" + str(value).replace("'", "\\'") + "'"
 
 
-def _overwrite_partitions(
-    spark: SparkSession, path: str, schema: T.StructType, table: str
-) -> None:
-    """Replace just the partitions that the staged rows belong to.
+def _replace_partitions(spark: SparkSession, rows: DataFrame, table: str) -> DataFrame:
+    """Stage rows, then replace just the partitions they belong to; returns the staged frame.
 
-    A catalog table takes the overwrite mode from the session only, so a session of its own
-    carries that setting and the caller's stays as it is.
+    The staged copy is what allows a repeat when the overwrite itself is interrupted. A catalog
+    table takes the overwrite mode from the session only, so a session of its own carries that
+    setting and the caller's stays as it is.
     """
+    path = new_folder(spark, "staged")
+    rows.write.parquet(path)
     own = spark.newSession()
     own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    own.read.schema(schema).parquet(path).write.insertInto(table, overwrite=True)
+    own.read.schema(rows.schema).parquet(path).write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def _same(parts: Sequence[str]) -> Column:
@@ -159,7 +192,3 @@ def _same(parts: Sequence[str]) -> Column:
     for part in parts:
         cond = cond & F.col(part).eqNullSafe(F.col(f"__{part}"))
     return cond
-
-
-def _suffix(spark: SparkSession) -> str:
-    return new_folder(spark, "snapshot").rsplit("-", 1)[1]

@@ -92,6 +92,11 @@ def for_entity(
     return select_sources(rows, product_name, source_system, source_entity)
 
 
+def row_order() -> Column:
+    """Row number of a control file as it was read; control files are single and small."""
+    return F.monotonically_increasing_id()
+
+
 def first_publish_rule(publish: DataFrame, ordinal: str = "ordinal") -> DataFrame:
     """First active publish rule per entity, by row number of the control file."""
     rows = active(publish)

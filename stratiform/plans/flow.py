@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from stratiform import schemas
 from stratiform.errors import ConfigError
 from stratiform.operators import audit, bronze, cluster, conform, landing, publish, rules
-from stratiform.session import new_folder
+from stratiform.session import drop_folder, new_folder
 
 RESULT_SCHEMA = """source string, load_id string, status string, rows_in bigint, valid_rows bigint,
 reject_rows bigint, publish_mode string, error string"""
@@ -119,12 +119,14 @@ def _land(spark: SparkSession, spec: SourceSpec, load_id: str) -> tuple[dict, li
 
 def _check_results(
     stored: DataFrame, spec: SourceSpec, metrics: dict, errors: list[str]
-) -> DataFrame:
+) -> DataFrame | None:
+    """Result rows of all checks; row and volume metrics were seen while landing."""
     spark = stored.sparkSession
     if errors:
-        return spark.createDataFrame([], bronze.RESULT_SCHEMA)
+        return None
     columns = bronze.metric_columns(stored, spec.checks)
     row = spark.createDataFrame([tuple(metrics.values())], stored.limit(0).agg(*columns).schema)
+    row = row.coalesce(1)
     raw = stored.drop(*schemas.LANDING_COLUMNS, *schemas.BRONZE_COLUMNS)
     report = bronze.schema_checks(raw, spec.checks).unionAll(
         bronze.metric_results(row, stored, spec.checks, spec.as_of)
@@ -134,8 +136,8 @@ def _check_results(
     return report
 
 
-def _stage(conformed: DataFrame, spec: SourceSpec) -> tuple[DataFrame, dict]:
-    """Apply the rules and store the outcome by status, so later readers prune to their half."""
+def _stage(conformed: DataFrame, spec: SourceSpec, path: str) -> tuple[DataFrame, dict]:
+    """Apply the rules and store the outcome, from which all later stages read."""
     spark = conformed.sparkSession
     checked = rules.apply(conformed, spec.rules, spec.primary_key)
     observed, seen = _observed(
@@ -144,9 +146,8 @@ def _stage(conformed: DataFrame, spec: SourceSpec) -> tuple[DataFrame, dict]:
         F.count_if(F.col("dq_status") == "PASS").alias("valid_rows"),
         *rules.key_failure_columns(),
     )
-    path = new_folder(spark, "checked")
-    observed.write.partitionBy("dq_status").parquet(path)
-    return spark.read.schema(checked.schema).parquet(path).select(*checked.columns), dict(seen.get)
+    observed.write.parquet(path)
+    return spark.read.schema(checked.schema).parquet(path), dict(seen.get)
 
 
 def _publish(valid: DataFrame, spec: SourceSpec) -> tuple[str, int | None, int | None]:
@@ -174,6 +175,129 @@ def _event(name: str, status: str = "PASS", **payload: Any) -> dict[str, Any]:
     return {"event": name, "status": status, "payload": payload}
 
 
+class _Log:
+    """Audit rows of one run; events are written in batches, at the points that matter."""
+
+    def __init__(self, spark, spec: SourceSpec, tables: AuditTables, run: audit.RunKey, pipeline, user):
+        self.spark, self.spec, self.tables, self.run = spark, spec, tables, run
+        self.pipeline, self.user = pipeline, user
+        self.events: list[dict[str, Any]] = []
+        self._written = 0
+
+    def add(self, name: str, status: str = "PASS", **payload: Any) -> None:
+        self.events.append(_event(name, status, **payload))
+
+    def flush(self) -> None:
+        fresh = self.events[self._written :]
+        if self.tables.validation_events and fresh:
+            frame = audit.events(self.spark, self.run, fresh)
+            audit.store(frame, self.tables.validation_events, "validation_events")
+        self._written = len(self.events)
+
+    def seen_before(self, name: str) -> bool:
+        """Whether an earlier attempt of this load already logged the event as passed."""
+        table = self.tables.validation_events
+        if not table or not self.spark.catalog.tableExists(table):
+            return False
+        mine = (F.col("run_id") == self.run.run_id) & (F.col("event_name") == name)
+        return not self.spark.table(table).filter(mine & (F.col("event_status") == "PASS")).isEmpty()
+
+    def lifecycle(self, *entries: tuple[str, Any]) -> None:
+        if self.tables.entity_lifecycle_log:
+            rows = audit.lifecycle(self.spark, self.spec.name, entries, self.user)
+            audit.store(rows, self.tables.entity_lifecycle_log, "entity_lifecycle_log")
+
+    def finish(self, status: str, rows_in: int, rows_out: int, error: str | None) -> None:
+        self.flush()
+        if self.tables.pipeline_runs:
+            metrics = self.spark.range(1, numPartitions=1).select(
+                F.lit(rows_in).cast("bigint").alias("rows_in"),
+                F.lit(rows_out).cast("bigint").alias("rows_out"),
+            )
+            row = audit.run_row(metrics, self.pipeline, self.run, status, error)
+            audit.store(row, self.tables.pipeline_runs, "pipeline_runs")
+
+
+def _landed(spark: SparkSession, spec: SourceSpec, load_id: str) -> DataFrame:
+    """This load's rows; the partition filter keeps other loads unread."""
+    return spark.table(spec.landing_table).filter(F.col("load_id") == load_id)
+
+
+def _metrics_of(stored: DataFrame, spec: SourceSpec) -> tuple[dict, list[str], list[str]]:
+    """What landing would have reported, from a load that is already there."""
+    errors = bronze.config_errors(spec.checks)
+    row = stored.agg(*bronze.metric_columns(stored, {} if errors else spec.checks)).first()
+    return row.asDict(), errors, [c for c in stored.columns if c not in schemas.FRAMEWORK_COLUMNS]
+
+
+def _balance(spark: SparkSession, counts: Mapping[str, int | None]) -> dict[str, str]:
+    schema = ", ".join(f"{k} bigint" for k in counts)
+    frame = spark.createDataFrame([tuple(counts.values())], schema).coalesce(1)
+    return {r.check_name: r.status for r in audit.reconcile(frame).collect()}
+
+
+def _run_stages(spark: SparkSession, spec: SourceSpec, log: _Log, resume: bool, scratch: str) -> RunResult:
+    load_id, tables = log.run.run_id, log.tables
+    if resume and _has_load(spark, spec.landing_table, load_id):
+        metrics, errors, raw_columns = _metrics_of(_landed(spark, spec, load_id), spec)
+    else:
+        metrics, errors, raw_columns = _land(spark, spec, load_id)
+    stored = _landed(spark, spec, load_id)
+    landing_rows = stored.count()
+    log.add("bronze_dq_engine", "FAIL" if errors else "PASS", config_errors=errors)
+
+    conformed = conform.apply(bronze.passed(stored), spec.mappings, typed=spec.typed)
+    if spec.after_conformance:
+        conformed = spec.after_conformance(conformed)
+    checked, seen = _stage(conformed, spec, scratch)
+    log.events += audit.structure_events(raw_columns, stored.columns, checked.columns, spec.mappings)
+    log.add("dq_engine", **{k: seen[k] for k in (rules.PK_NOT_NULL, rules.PK_UNIQUE)})
+
+    before = after = None
+    mode = (spec.publish_mode or "append").lower()
+    if not (resume and log.seen_before("silver_publish")):
+        if spec.archive_table:
+            landing.archive(stored, spec.archive_table, hours=spec.archive_hours)
+        landing.write_table(
+            checked.drop(*schemas.RULE_COLUMNS),
+            spec.conformance_table,
+            path=spec.paths.get("conformance"),
+        )
+        mode, before, after = _publish(rules.passed(checked), spec)
+        # Written at once: a resumed load must not append its rows a second time.
+        log.add("silver_publish", publish_mode=mode, target=spec.silver_table)
+        log.flush()
+
+    counts = {
+        "raw_rows": metrics["total_rows"],
+        "landing_rows": landing_rows,
+        "bronze_valid_rows": metrics["total_rows"] - metrics["failed_rows"],
+        "bronze_reject_rows": metrics["failed_rows"],
+        "conformance_rows": seen["conformance_rows"],
+        "valid_rows": seen["valid_rows"],
+        "reject_rows": seen["conformance_rows"] - seen["valid_rows"],
+        "silver_before": before,
+        "silver_after": after,
+    }
+    outcome = _balance(spark, counts)
+    balanced = set(outcome.values()) == {"PASS"}
+    log.add("verification_summary", "PASS" if balanced else "FAIL", counts=counts, checks=outcome)
+    if tables.bronze_dq_results:
+        results = _check_results(stored, spec, metrics, errors)
+        rows = audit.check_rows(spark, results, log.run, errors).coalesce(1)
+        audit.store(rows, tables.bronze_dq_results, "bronze_dq_results")
+    if tables.dq_rule_results:
+        audit.store(audit.rule_summary(checked, log.run), tables.dq_rule_results, "dq_rule_results")
+    if tables.rejects and counts["reject_rows"]:
+        rejected = audit.rejects(rules.failed(checked), log.run)
+        audit.store(rejected, tables.rejects, "rejects")
+    log.finish("SUCCESS", landing_rows, counts["valid_rows"], None)
+    return RunResult(
+        spec.name, load_id, "SUCCESS", landing_rows, counts["valid_rows"], counts["reject_rows"],
+        mode, None, counts, log.events,
+    )
+
+
 def run_source(
     spark: SparkSession,
     spec: SourceSpec,
@@ -184,105 +308,33 @@ def run_source(
     resume: bool = False,
     fail_fast: bool = True,
 ) -> RunResult:
-    """Run all stages of a source. With ``resume`` a load that already landed is not read again."""
+    """Run all stages of a source.
+
+    With ``resume`` a load that already landed is not read again, and one that was already
+    published is not published again (known from the validation events).
+    """
     load_id = load_id or uuid.uuid4().hex
     run = audit.RunKey(load_id, spec.source_system, spec.source_entity)
-    events = [_event("source_start", load_id=load_id)]
-
-    def log_lifecycle(kind: str, details: Any) -> None:
-        if tables.entity_lifecycle_log:
-            row = audit.lifecycle(spark, spec.name, kind, details, user)
-            audit.store(row, tables.entity_lifecycle_log, "entity_lifecycle_log")
-
-    def finish(status: str, rows_in: int, rows_out: int, error: str | None) -> None:
-        if tables.validation_events:
-            frame = audit.events(spark, run, events)
-            audit.store(frame, tables.validation_events, "validation_events")
-        if tables.pipeline_runs:
-            metrics = spark.createDataFrame([(rows_in, rows_out)], "rows_in bigint, rows_out bigint")
-            row = audit.run_row(metrics, pipeline, run, status, error)
-            audit.store(row, tables.pipeline_runs, "pipeline_runs")
-
+    log = _Log(spark, spec, tables, run, pipeline, user)
+    scratch = new_folder(spark, "checked")
     try:
         found = {"mappings": len(spec.mappings), "rules": len(spec.rules)}
-        log_lifecycle("onboarded", {"landing_table": spec.landing_table})
-        log_lifecycle("metadata_resolved", found)
-        events.append(_event("metadata_resolved", **found))
-
-        landed_before = resume and _has_load(spark, spec.landing_table, load_id)
-        if landed_before:
-            errors = bronze.config_errors(spec.checks)
-            this_load = spark.table(spec.landing_table).filter(F.col("load_id") == load_id)
-            metrics = this_load.agg(
-                *bronze.metric_columns(this_load, {} if errors else spec.checks)
-            ).first().asDict()
-            raw_columns = [c for c in this_load.columns if c not in schemas.FRAMEWORK_COLUMNS]
-        else:
-            metrics, errors, raw_columns = _land(spark, spec, load_id)
-        stored = spark.table(spec.landing_table).filter(F.col("load_id") == load_id)
-        if spec.archive_table:
-            landing.archive(stored, spec.archive_table, hours=spec.archive_hours)
-        results = _check_results(stored, spec, metrics, errors)
-
-        conformed = conform.apply(bronze.passed(stored), spec.mappings, typed=spec.typed)
-        if spec.after_conformance:
-            conformed = spec.after_conformance(conformed)
-        checked, seen = _stage(conformed, spec)
-        landing.write_table(
-            checked.drop(*schemas.RULE_COLUMNS),
-            spec.conformance_table,
-            path=spec.paths.get("conformance"),
-        )
-        valid, bad = rules.split(checked)
-        mode, before, after = _publish(valid, spec)
-
-        counts = {
-            "raw_rows": metrics["total_rows"],
-            "landing_rows": stored.count(),
-            "bronze_valid_rows": metrics["total_rows"] - metrics["failed_rows"],
-            "bronze_reject_rows": metrics["failed_rows"],
-            "conformance_rows": seen["conformance_rows"],
-            "valid_rows": seen["valid_rows"],
-            "reject_rows": seen["conformance_rows"] - seen["valid_rows"],
-            "silver_before": before,
-            "silver_after": after,
-        }
-        schema = ", ".join(f"{k} bigint" for k in counts)
-        balance = audit.reconcile(spark.createDataFrame([tuple(counts.values())], schema))
-        outcome = {r.check_name: r.status for r in balance.collect()}
-        structure = landing_columns_of(raw_columns, stored)
-        events += audit.structure_events(structure[0], structure[1], checked, spec.mappings)
-        events.append(_event("bronze_dq_engine", "FAIL" if errors else "PASS", config_errors=errors))
-        events.append(_event("dq_engine", **{k: seen[k] for k in (rules.PK_NOT_NULL, rules.PK_UNIQUE)}))
-        events.append(_event("silver_publish", publish_mode=mode, target=spec.silver_table))
-        balanced = "PASS" if set(outcome.values()) == {"PASS"} else "FAIL"
-        events.append(_event("verification_summary", balanced, counts=counts, checks=outcome))
-
-        if tables.bronze_dq_results:
-            rows = audit.check_rows(results, run, errors)
-            audit.store(rows, tables.bronze_dq_results, "bronze_dq_results")
-        if tables.dq_rule_results:
-            audit.store(audit.rule_summary(checked, run), tables.dq_rule_results, "dq_rule_results")
-        if tables.rejects and counts["reject_rows"]:
-            audit.store(audit.rejects(bad, run), tables.rejects, "rejects")
-        finish("SUCCESS", counts["landing_rows"], counts["valid_rows"], None)
-        return RunResult(
-            spec.name, load_id, "SUCCESS", counts["landing_rows"], counts["valid_rows"],
-            counts["reject_rows"], mode, None, counts, events,
+        log.lifecycle(
+            ("onboarded", {"landing_table": spec.landing_table}), ("metadata_resolved", found)
         )
+        log.add("source_start", load_id=load_id)
+        log.add("metadata_resolved", **found)
+        return _run_stages(spark, spec, log, resume, scratch)
     except Exception as exc:
         text = " ".join(str(exc).split())[:500]
-        log_lifecycle("failed", text)
-        events.append(_event("source_failed", "FAIL", error=text))
-        finish("FAILED", 0, 0, str(exc))
+        log.lifecycle(("failed", text))
+        log.add("source_failed", "FAIL", error=text)
+        log.finish("FAILED", 0, 0, str(exc))
         if fail_fast:
             raise
-        return RunResult(spec.name, load_id, "FAILED", error=text, events=events)
-
-
-def landing_columns_of(raw_columns: Sequence[str], stored: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Frames whose columns stand for the raw and the landed schema."""
-    return stored.select(*[c for c in raw_columns if c in stored.columns]), stored
+        return RunResult(spec.name, load_id, "FAILED", error=text, events=log.events)
+    finally:
+        drop_folder(spark, scratch)
 
 
 def _has_load(spark: SparkSession, table: str, load_id: str) -> bool:

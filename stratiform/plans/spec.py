@@ -3,19 +3,24 @@
 from __future__ import annotations
 
 import json
+import logging
 import os
 import re
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratiform.errors import ConfigError
 from stratiform.operators.landing import EXTERNAL_PREFIXES, checked_path
 from stratiform.operators.landing import retention_hours
+from stratiform.plans import control
 from stratiform.plans.flow import SourceSpec
 from stratiform.sources import files, jdbc, options as opt, payload
 
+logger = logging.getLogger(__name__)
+
 _VARIABLE = re.compile(r"\$\{([A-Za-z_][A-Za-z0-9_]*)(?::([^${}]*))?\}")
 
 
@@ -130,3 +135,58 @@ def build(
             flow_options.get("archive_retention_days"), flow_options.get("archive_retention_hours")
         ),
     )
+
+
+def from_control(
+    spark: SparkSession,
+    registry: DataFrame,
+    mappings: DataFrame,
+    rules: DataFrame,
+    publish: DataFrame,
+    product_name: str | None = None,
+    source_system: str | None = None,
+    source_entity: str | None = None,
+    **options: Any,
+) -> list[SourceSpec]:
+    """Specs of the selected active sources.
+
+    Plans are built on the driver, so the control rows of the chosen sources come there; they
+    describe columns and rules, never data. File order of the rows is kept.
+    """
+    chosen = control.select_sources(registry, product_name, source_system, source_entity)
+    sources = [r.asDict() for r in chosen.collect()]
+    if not sources:
+        known = control.active(registry).select(F.concat_ws(".", *control.ENTITY)).limit(20).collect()
+        logger.warning("no active source matches; available: %s", [r[0] for r in known])
+        return []
+    keys = chosen.select(*[F.lower(c).alias(c) for c in control.ENTITY]).distinct()
+
+    def rows_of(frame: DataFrame) -> dict[tuple[str, str], list[dict[str, Any]]]:
+        kept = control.active(frame).join(
+            F.broadcast(keys.toDF("__s", "__e")),
+            (F.lower("source_system") == F.col("__s")) & (F.lower("source_entity") == F.col("__e")),
+            "left_semi",
+        )
+        found: dict[tuple[str, str], list[dict[str, Any]]] = {}
+        for row in kept.collect():
+            key = (row.source_system.lower(), row.source_entity.lower())
+            found.setdefault(key, []).append(row.asDict())
+        return found
+
+    mapped, ruled, published = rows_of(mappings), rows_of(rules), rows_of(publish)
+    specs = []
+    for row in sources:
+        key = (row["source_system"].lower(), row["source_entity"].lower())
+
+        def of_product(rows: list[dict[str, Any]], product=row.get("product_name", "")) -> list[dict[str, Any]]:
+            wanted = (product or "").lower()
+            return [r for r in rows if not wanted or (r.get("product_name") or "").lower() == wanted]
+
+        first = of_product(published.get(key, []))
+        specs.append(
+            build(
+                row, of_product(mapped.get(key, [])), of_product(ruled.get(key, [])),
+                first[0] if first else None, **options,
+            )
+        )
+    return specs

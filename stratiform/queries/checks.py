@@ -188,7 +188,7 @@ UNION ALL SELECT 'uniqueness:o_custkey,o_orderstatus', CASE WHEN t = u2.d THEN '
 )
 def bronze_full_report(spark, sf_dir):
     out = bronze.run(_orders(spark, sf_dir), ORDER_CHECKS, AS_OF)
-    rows = audit.check_rows(out.results, audit.RunKey("r1", "erp", "orders", AS_OF), out.errors)
+    rows = audit.check_rows(spark, out.results, audit.RunKey("r1", "erp", "orders", AS_OF), out.errors)
     fields = "failed_rows double, null_rows double, age_hours double, row_count double, duplicate_rows double"
     parsed = F.from_json("error_details", fields)
     names = [f.split()[0] for f in fields.split(", ")]

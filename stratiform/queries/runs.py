@@ -194,7 +194,8 @@ def stage_events(spark, sf_dir):
     landed = landing.add_metadata(bronze.annotate(raw, ORDERS.checks), "erp", "orders", "run-1", TS)
     conformed = conform.apply(landed, ORDERS.mappings)
     wanted = [*ORDERS.mappings, {"transform_expression": "1", "conformance_column": "not_built"}]
-    rows = audit.events(spark, RUN, audit.structure_events(raw, landed, conformed, wanted))
+    found = audit.structure_events(raw.columns, landed.columns, conformed.columns, wanted)
+    rows = audit.events(spark, RUN, found)
     counted = landed.groupBy(F.col("load_id").alias("run_id")).agg(F.count(F.lit(1)).alias("raw_row_count"))
     return rows.drop("event_payload").join(counted, "run_id")
 

@@ -44,3 +44,10 @@ def shared_root(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
     return f"{shared_root(spark)}/stratiform/{label}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library created; missing ones are fine."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    where = hadoop.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

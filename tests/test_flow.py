@@ -142,6 +142,67 @@ def test_resume_does_not_read_again(spark, make, tables):
     assert again.status == "SUCCESS" and spark.table(spec.landing_table).count() == 5
 
 
+def test_resume_does_not_publish_twice(spark, rows, make, tables, monkeypatch):
+    spec = make()
+
+    def lost(*_):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(flow.audit, "rule_summary", lost)
+        failed = run_source(spark, spec, tables, load_id="L", fail_fast=False)
+    assert failed.status == "FAILED" and spark.table(spec.silver_table).count() == 1
+    again = run_source(spark, spec, tables, load_id="L", resume=True)
+    assert again.status == "SUCCESS" and spark.table(spec.silver_table).count() == 1
+    assert spark.table(spec.conformance_table).count() == 4
+
+
+def test_scratch_is_removed(spark, make, monkeypatch):
+    made = []
+    real = flow.new_folder
+    monkeypatch.setattr(flow, "new_folder", lambda s, label: made.append(real(s, label)) or made[-1])
+    run_source(spark, make())
+    import os
+
+    assert made and not any(os.path.exists(p.removeprefix("file:")) for p in made)
+
+
+def test_from_control_files(spark, rows, tmp_path, new_name):
+    from stratiform.plans import control, spec as specs
+    from stratiform.schemas import CONTROL_TABLES
+
+    (tmp_path / "data").mkdir()
+    (tmp_path / "data" / "x.csv").write_text("ID,NAME\n1,a\n2,\n2,b\n")
+    head = "tenant,brand,product_name,source_system,source_entity"
+    silver = new_name("silver")
+    files = {
+        "source_registry": head + ",source_type,source_format,source_path,load_type,landing_table,"
+        "conformance_table,silver_table,primary_key,publish_mode,is_active,source_options_json\n"
+        f"t,b,P,crm,acc,FILE,csv,{tmp_path}/data,full,{new_name('l')},{new_name('c')},{silver},id,append,true,"
+        '"{""header"":true,""bronze_dq"":{""non_nullable_columns"":[""NAME""]}}"\n'
+        "t,b,P,crm,off,FILE,csv,/x,full,a.b.c,a.b.c,a.b.c,id,append,false,\n",
+        "column_mapping": head + ",conformance_column,transform_expression,is_active\n"
+        "t,b,p,CRM,acc,id,cast(ID as int),true\nt,b,p,crm,acc,name,upper(NAME),true\n"
+        "t,b,other,crm,acc,no,nope,true\n",
+        "dq_rules": head + ",rule_name,rule_expression,severity,is_active\nt,b,p,crm,acc,short,length(name) < 5,high,true\n",
+        "publish_rules": head + ",silver_table,publish_mode,merge_key\nt,b,p,crm,acc,x,merge,id\n",
+    }
+    for name, text in files.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    frames = [control.load(spark, n, str(tmp_path)) for n in CONTROL_TABLES]
+    assert specs.from_control(spark, *frames, source_entity="none") == []
+    [spec] = specs.from_control(spark, *frames, product_name="p")
+    assert (spec.publish_mode, spec.merge_key, len(spec.mappings)) == ("merge", "id", 2)
+    report = run_all(spark, [spec])
+    assert rows(report, "status", "rows_in", "valid_rows") == [("SUCCESS", 3, 2)]
+    assert rows(spark.table(silver), "id", "name") == [(1, "A"), (2, "B")]
+
+    from stratiform.__main__ import main
+
+    assert main(["--config-dir", str(tmp_path)]) == 0
+    assert main(["--config-dir", str(tmp_path), "--execute", "--product-name", "P"]) == 0
+
+
 def test_run_all_reports_failures(spark, rows, make):
     good = make()
     bad = make(source_entity="bad", mappings=[{"transform_expression": "nope", "conformance_column": "a"}])

@@ -152,6 +152,43 @@ def test_cluster_splits_a_shared_value(spark):
     assert biggest < 1500
 
 
+def test_snapshots_do_not_pile_up(spark, new_name):
+    table = new_name("snapshots")
+    for i in range(5):
+        publish.merge(_orders(spark, (f"O{i}", "c", 1.0, "new")), table, ["order_id"])
+    where = publish._location(spark, table)
+    assert where.count("_snapshot_") == 1 and spark.table(table).count() == 5
+    import glob
+
+    base = publish._SNAPSHOT.sub("", where).removeprefix("file:")
+    assert len(glob.glob(base + "_snapshot_*")) == 2  # the current one and the one before
+
+
+@pytest.mark.parametrize("partition_by", [(), ("status",)])
+def test_optimize_keeps_rows(spark, rows, new_name, partition_by):
+    table = new_name("packed")
+    data = [(f"O{i}", f"c{i % 7}", float(i), s) for i, s in enumerate("abc" * 20)]
+    for part in (data[:20], data[20:40], data[40:]):
+        publish.append(spark.createDataFrame(part, ORDER), table, partition_by)
+    before = rows(spark.table(table))
+    publish.optimize(spark, table, ["customer_id", "amount"], files=2)
+    assert rows(spark.table(table)) == before
+    assert spark.table(table).select("_metadata.file_path").distinct().count() <= 2 * max(1, 3 * len(partition_by))
+    publish.optimize(spark, table)
+    assert rows(spark.table(table)) == before
+
+
+def test_analyze(spark, new_name):
+    from stratiform.operators import advisor
+
+    table = new_name("stats")
+    publish.append(spark.range(10), table)
+    advisor.analyze(spark, table)
+    advisor.analyze(spark, table, ["id"])
+    text = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Statistics'").first()
+    assert "10 rows" in text.data_type
+
+
 def test_export_checks(spark):
     df = spark.range(10)
     path = export.export(df, new_folder(spark, "t"), "CSV", files=1)
