@@ -73,9 +73,12 @@ def cluster(df: DataFrame, columns: Sequence[str], files: int | None = None, bit
 def packed(
     df: DataFrame, columns: Sequence[str], partitions: Sequence[str] = (), files: int | None = None
 ) -> DataFrame:
-    """Rows in even output partitions: by table partition first, then along the Z-order curve."""
+    """Rows in even output partitions: by table partition first, then along the Z-order curve.
+
+    The Z-value stays as a column when there is one.
+    """
     if not columns:
         return _ranged(df, list(partitions), files)
     bits = min(10, 62 // len(columns))
     marked = with_z_value(df, columns, bits)
-    return _ranged(marked, [*partitions, Z_COLUMN], files).drop(Z_COLUMN)
+    return _ranged(marked, [*partitions, Z_COLUMN], files)

@@ -82,6 +82,15 @@ def _aligned(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
     )
 
 
+def rebalanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows grouped by partition value before a partitioned write.
+
+    Otherwise every task writes a file to every partition it meets. Adaptive execution splits a
+    value that holds many rows over several tasks and merges small ones.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in columns]) if columns else df
+
+
 def write_table(
     df: DataFrame,
     table: str,

@@ -29,9 +29,22 @@ _PREVIOUS = "stratiform.previous_snapshot"
 
 
 def append(
-    df: DataFrame, table: str, partition_by: Sequence[str] = (), path: str | None = None
+    df: DataFrame,
+    table: str,
+    partition_by: Sequence[str] = (),
+    path: str | None = None,
+    zorder_by: Sequence[str] = (),
 ) -> None:
-    landing.write_table(df, table, "append", path=path, partition_by=partition_by)
+    """Append rows, grouped by table partition and optionally clustered within."""
+    spark = df.sparkSession
+    landing.checked_table(table)
+    known = spark.catalog.tableExists(table)
+    parts = _partition_columns(spark, table) if known else list(partition_by)
+    if zorder_by:
+        rows = cluster.packed(df, list(zorder_by), parts).drop(cluster.Z_COLUMN)
+    else:
+        rows = landing.rebalanced(df, parts)
+    landing.write_table(rows, table, "append", path=path, partition_by=parts)
 
 
 def latest(df: DataFrame, keys: Sequence[str], sequence: str, ties: Sequence[str] = ()) -> DataFrame:
@@ -127,7 +140,7 @@ def merge(
     src = latest(df, keys, sequence) if sequence else df
     if not spark.catalog.tableExists(table):
         source_keys(src, keys)
-        landing.write_table(src, table, "append", path=path, partition_by=partition_by)
+        append(src, table, partition_by, path)
         return
     side = source_keys(src, keys)
     landing.write_table(src.limit(0), table, "append")  # lets the table learn new columns
@@ -159,30 +172,38 @@ def optimize(
         landing.checked_column(column)
     target = spark.table(table)
     parts = _partition_columns(spark, table)
-    packed = cluster.packed(target, list(zorder_by), parts, files).select(*target.columns)
+    packed = cluster.packed(target, list(zorder_by), parts, files)
     if parts:
-        _replace_partitions(spark, packed, table)
+        order = [cluster.Z_COLUMN] if zorder_by else []
+        _replace_partitions(spark, packed, table, order)
     else:
-        _switch_snapshot(spark, packed, table)
+        _switch_snapshot(spark, packed.select(*target.columns), table)
 
 
 def _literal(value) -> str:
     return "null" if value is None else "'" + str(value).replace("'", "\\'") + "'"
 
 
-def _replace_partitions(spark: SparkSession, rows: DataFrame, table: str) -> DataFrame:
+def _replace_partitions(
+    spark: SparkSession, rows: DataFrame, table: str, order: Sequence[str] = ()
+) -> DataFrame:
     """Stage rows, then replace just the partitions they belong to; returns the staged frame.
 
-    The staged copy is what allows a repeat when the overwrite itself is interrupted. A catalog
-    table takes the overwrite mode from the session only, so a session of its own carries that
-    setting and the caller's stays as it is.
+    The staged copy is what allows a repeat when the overwrite itself is interrupted. ``order``
+    names helper columns that sort the rows within a partition and are not stored. A catalog table
+    takes the overwrite mode from the session only, so a session of its own carries that setting
+    and the caller's stays as it is.
     """
+    columns = spark.table(table).columns
+    parts = _partition_columns(spark, table)
     path = new_folder(spark, "staged")
     rows.write.parquet(path)
     own = spark.newSession()
     own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    own.read.schema(rows.schema).parquet(path).write.insertInto(table, overwrite=True)
+    staged = own.read.schema(rows.schema).parquet(path)
+    ready = staged.sortWithinPartitions(*parts, *order) if order else landing.rebalanced(staged, parts)
+    ready.select(*columns).write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
     return spark.read.schema(rows.schema).parquet(path)
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from stratiform import schemas
 from stratiform.errors import ConfigError
-from stratiform.operators import audit, bronze, cluster, conform, landing, publish, rules
+from stratiform.operators import audit, bronze, conform, landing, publish, rules
 from stratiform.session import drop_folder, new_folder
 
 RESULT_SCHEMA = """source string, load_id string, status string, rows_in bigint, valid_rows bigint,
@@ -97,6 +97,8 @@ def summarize(raw: DataFrame, spec: SourceSpec, run: audit.RunKey) -> DataFrame:
 
 
 def _observed(df: DataFrame, *metrics) -> tuple[DataFrame, Observation]:
+    """Metrics of a frame that is written right after. They belong to the last stage of the
+    write, whose tasks are counted once each even when some have to run again."""
     seen = Observation(uuid.uuid4().hex)
     return df.observe(seen, *metrics), seen
 
@@ -165,9 +167,7 @@ def _publish(valid: DataFrame, spec: SourceSpec) -> tuple[str, int | None, int |
         raise ConfigError(f"unsupported publish mode: {mode}")
     exists = spark.catalog.tableExists(spec.silver_table)
     before = spark.table(spec.silver_table).count() if exists else 0
-    if spec.zorder_by:
-        rows = cluster.cluster(rows, list(spec.zorder_by)).drop(cluster.Z_COLUMN)
-    publish.append(rows, spec.silver_table, spec.partition_by, path)
+    publish.append(rows, spec.silver_table, spec.partition_by, path, spec.zorder_by)
     return mode, before, spark.table(spec.silver_table).count()
 
 

@@ -37,8 +37,8 @@ SELECT CAST(event_id AS STRING), 'sys' || CAST(user_id % 5 AS STRING),
   'entity' || CAST(user_id AS STRING), 'FAIL',
   CASE event_type WHEN 'click' THEN 'amount_positive'
     WHEN 'purchase' THEN 'amount_positive,status_known' ELSE 'primary_key_unique' END,
-  CAST(floor(value) AS BIGINT), ts
-FROM {events} WHERE event_type IN ('click', 'purchase', 'view')""",
+  CASE WHEN event_type IN ('error', 'signup') THEN CAST(0 AS BIGINT) ELSE CAST(floor(value) AS BIGINT) END, ts
+FROM {events}""",
     "checks": """
 SELECT CAST(event_id AS STRING) AS run_id, 'sys' || CAST(user_id % 5 AS STRING) AS source_system,
   'entity' || CAST(user_id AS STRING) AS source_entity,
@@ -114,11 +114,11 @@ SELECT 'tenant' || CAST(c_nationkey AS STRING) AS tenant, 'brand' AS brand,
   CASE WHEN c_acctbal > 7000 THEN 'file_' || c_name END AS silver_file_name
 FROM {customer}""",
     "publishers": """
-SELECT 'pub' || CAST(n_nationkey AS STRING) AS publisher_name,
+SELECT CASE n_regionkey WHEN 0 THEN 'other' ELSE 'pub' END || CAST(n_nationkey AS STRING) AS publisher_name,
   CASE WHEN n_regionkey > 1 THEN 'region' || CAST(n_regionkey AS STRING) ELSE '' END
     AS silver_catalog_name,
   CASE WHEN n_regionkey > 2 THEN lower(n_name) END AS silver_db_name
-FROM {nation} WHERE n_regionkey > 0""",
+FROM {nation}""",
     "mappings": """
 SELECT 'sys' || CAST((o_custkey + 100) % 7 AS STRING) AS source_system,
   'Customer#' || lpad(CAST(o_custkey + 100 AS STRING), 9, '0') AS source_entity,

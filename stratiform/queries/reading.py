@@ -62,10 +62,12 @@ def watermark_increment(spark, sf_dir):
 
 @query(
     "watermark_next",
-    "SELECT CAST(max(o_orderkey) AS VARCHAR) AS watermark FROM orders WHERE o_orderkey > 100",
+    """SELECT CAST(max(o_orderdate) AS VARCHAR) AS watermark FROM orders
+WHERE o_orderdate > TIMESTAMP '1996-01-01 00:00:00'""",
 )
 def watermark_next(spark, sf_dir):
-    return jdbc.next_watermark(jdbc.beyond(table(spark, sf_dir, "orders"), "o_orderkey", 100), "o_orderkey")
+    increment = jdbc.beyond(table(spark, sf_dir, "orders"), "o_orderdate", "1996-01-01 00:00:00")
+    return jdbc.next_watermark(increment, "o_orderdate")
 
 
 @query("file_profile")

@@ -154,13 +154,13 @@ def reconcile_counts(spark, sf_dir):
 
 
 @query(
-    "pipeline_run_row",
+    "audit_run_row",
     f"""WITH {_FLOW} SELECT 'nightly' AS pipeline_name, 'run-1' AS run_id, 'erp' AS source_system,
   'orders' AS source_entity, (SELECT count(*) FROM raw) AS rows_in,
   (SELECT count(*) FROM checked WHERE dq_status = 'PASS') AS rows_out, 'SUCCESS' AS status,
   CAST(NULL AS VARCHAR) AS error_message, TIMESTAMP '{TS}' AS run_ts""",
 )
-def pipeline_run_row(spark, sf_dir):
+def audit_run_row(spark, sf_dir):
     counts = _flow_counts(spark, sf_dir)
     metrics = counts.select(F.col("landing_rows").alias("rows_in"), F.col("valid_rows").alias("rows_out"))
     return audit.run_row(metrics, "nightly", RUN)

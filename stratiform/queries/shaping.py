@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stratiform.functions.columns import row_hash
+from stratiform.functions.columns import row_hash, short_text
 from stratiform.operators import conform, landing, verify
 from stratiform.queries.registry import query, table
 
@@ -149,6 +149,17 @@ def hashed_rows(spark, sf_dir):
     return orders.select("o_orderkey", row_hash(orders, columns).alias("row_hash"))
 
 
+@query(
+    "error_text",
+    """SELECT conv_id, turn, substr(trim(replace(text, chr(10), ' ')), 1, 500) AS error_message
+FROM conversations""",
+)
+def error_text(spark, sf_dir):
+    """Texts as the audit table stores them: one line, at most 500 characters."""
+    turns = table(spark, sf_dir, "conversations")
+    return turns.select("conv_id", "turn", short_text(F.col("text")).alias("error_message"))
+
+
 @query(
     "retention_filter",
     "SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 240 HOUR",

@@ -178,6 +178,21 @@ def test_optimize_keeps_rows(spark, rows, new_name, partition_by):
     assert rows(spark.table(table)) == before
 
 
+def test_append_clusters_within_partitions(spark, rows, new_name):
+    table = new_name("clustered")
+    df = spark.range(400).selectExpr("cast(id % 3 as string) as p", "(id * 37) % 400 as a", "id")
+    publish.append(df, table, ["p"], zorder_by=["a"])
+    publish.append(df, table, zorder_by=["a"])
+    assert rows(spark.table(table), "id", "a", "p") == rows(df.unionAll(df), "id", "a", "p")
+
+
+def test_partitioned_append_writes_few_files(spark, new_name):
+    table = new_name("few_files")
+    df = spark.range(0, 1000, 1, 8).selectExpr("id", "cast(id % 5 as string) as p")
+    publish.append(df, table, ["p"])
+    assert spark.table(table).select("_metadata.file_path").distinct().count() <= 8
+
+
 def test_analyze(spark, new_name):
     from stratiform.operators import advisor
 
