@@ -17,6 +17,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--source-system")
     parser.add_argument("--source-entity")
     parser.add_argument("--audit-schema", help="catalog.schema that receives the audit tables")
+    parser.add_argument("--checkpoint-root", help="folder for the state of streaming sources")
     parser.add_argument("--execute", action="store_true", help="without it only the plan is shown")
     parser.add_argument("--fail-fast", action="store_true")
     args = parser.parse_args(argv)
@@ -32,6 +33,7 @@ def main(argv: list[str] | None = None) -> int:
     specs = spec.from_control(
         spark, *frames.values(), product_name=args.product_name,
         source_system=args.source_system, source_entity=args.source_entity,
+        checkpoint_root=args.checkpoint_root,
     )
     names = flow.AuditTables.__dataclass_fields__ if args.audit_schema else ()
     tables = flow.AuditTables(**{n: f"{args.audit_schema}.{n}" for n in names})

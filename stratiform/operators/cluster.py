@@ -51,15 +51,14 @@ def with_z_value(df: DataFrame, columns: Sequence[str], bits: int = 10) -> DataF
     return df.withColumn(Z_COLUMN, z)
 
 
-def _spread(df: DataFrame) -> Column:
+def _spread() -> Column:
     """Number that splits rows sharing a range key; the same for a row each time a task runs."""
-    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    return F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in plain])
+    return F.xxhash64(F.spark_partition_id())
 
 
 def _ranged(df: DataFrame, keys: Sequence[str], files: int | None) -> DataFrame:
     """Range-partition by the keys, with a last key that splits equal ones over several tasks."""
-    spread = df.withColumn("__spread", _spread(df))
+    spread = df.withColumn("__spread", _spread())
     columns = [F.col(k) for k in (*keys, "__spread")]
     ranged = spread.repartitionByRange(files, *columns) if files else spread.repartitionByRange(*columns)
     return (ranged.sortWithinPartitions(*keys) if keys else ranged).drop("__spread")

@@ -100,12 +100,11 @@ def _null_safe(keys: Sequence[str], names: Sequence[str]) -> Column:
 def _left_salt(df: DataFrame, spread: Column) -> Column:
     """Salt of the wide side: many values where ``spread`` holds, 0 elsewhere.
 
-    It depends on the input partition and the row only, so a task that runs again after an
-    executor was lost sends each row to the same place.
+    It depends on the input partition only, so a task that runs again after an executor was lost
+    sends each row to the same place.
     """
     slices = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
-    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    noise = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in plain]), F.lit(slices))
+    noise = F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(slices))
     return F.when(spread, noise + 1).otherwise(F.lit(0).cast("long"))
 
 

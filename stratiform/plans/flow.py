@@ -7,7 +7,8 @@ single time, metrics ride on the writes, and a lost executor repeats only the st
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 from typing import Any
 
@@ -59,6 +60,11 @@ class SourceSpec:
     archive_hours: int | None = None
     typed: bool = False
     keep_dq_columns: bool = True
+    optimize: bool = False
+    ansi: bool | None = None
+    stream: Callable[[SparkSession], DataFrame] | None = None
+    stream_options: Mapping[str, Any] = field(default_factory=dict)
+    checkpoint: str | None = None
     as_of: str | None = None
     before_landing: Callable[[DataFrame], DataFrame] | None = None
     after_conformance: Callable[[DataFrame], DataFrame] | None = None
@@ -264,6 +270,8 @@ def _run_stages(spark: SparkSession, spec: SourceSpec, log: _Log, resume: bool,
             path=spec.paths.get("conformance"),
         )
         mode, before, after = _publish(rules.passed(checked), spec)
+        if spec.optimize:
+            publish.optimize(spark, spec.silver_table, spec.zorder_by)
         # Written at once: a resumed load must not append its rows a second time.
         log.add("silver_publish", publish_mode=mode, target=spec.silver_table)
         log.flush()
@@ -324,7 +332,8 @@ def run_source(
         )
         log.add("source_start", load_id=load_id)
         log.add("metadata_resolved", **found)
-        return _run_stages(spark, spec, log, resume, scratch)
+        with _ansi(spark, spec.ansi):
+            return _run_stages(spark, spec, log, resume, scratch)
     except Exception as exc:
         text = " ".join(str(exc).split())[:500]
         log.lifecycle(("failed", text))
@@ -337,6 +346,19 @@ def run_source(
         drop_folder(spark, scratch)
 
 
+@contextmanager
+def _ansi(spark: SparkSession, wanted: bool | None) -> Iterator[None]:
+    """ANSI mode of one run; metadata expressions that cast badly give NULL when it is off."""
+    key = "spark.sql.ansi.enabled"
+    before = spark.conf.get(key)
+    if wanted is not None:
+        spark.conf.set(key, str(wanted).lower())
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _has_load(spark: SparkSession, table: str, load_id: str) -> bool:
     if not spark.catalog.tableExists(table):
         return False
@@ -350,10 +372,14 @@ def run_all(
     pipeline: str = "",
     fail_fast: bool = False,
 ) -> DataFrame:
-    """Run sources one after the other; each is a distributed job. One report row per source."""
-    results = [
-        run_source(spark, spec, tables, pipeline, fail_fast=fail_fast) for spec in specs
-    ]
+    """Run sources one after the other; each is a distributed job. One report row per load: a
+    streaming source has one for every micro-batch it found."""
+    results: list[RunResult] = []
+    for spec in specs:
+        if spec.stream is None:
+            results.append(run_source(spark, spec, tables, pipeline, fail_fast=fail_fast))
+        else:
+            results += _run_streaming(spark, spec, tables, fail_fast)
     rows = [
         (r.source, r.load_id, r.status, r.rows_in, r.valid_rows, r.reject_rows, r.publish_mode, r.error)
         for r in results
@@ -361,6 +387,23 @@ def run_all(
     return spark.createDataFrame(rows, RESULT_SCHEMA)
 
 
+def _run_streaming(
+    spark: SparkSession, spec: SourceSpec, tables: AuditTables, fail_fast: bool
+) -> list[RunResult]:
+    from stratiform.streaming.files import run_stream
+
+    found: list[RunResult] = []
+    try:
+        if not spec.checkpoint:
+            raise ConfigError(f"streaming source {spec.name} needs a checkpoint folder")
+        run_stream(spec.stream(spark), spec, spec.checkpoint, tables, spec.stream_options, found.append)
+    except Exception as exc:
+        if fail_fast:
+            raise
+        found.append(RunResult(spec.name, "", "FAILED", error=" ".join(str(exc).split())[:500]))
+    return found
+
+
 def summarize_all(sources: Sequence[tuple[DataFrame, SourceSpec]], run_id: str, ts: str | None = None) -> DataFrame:
     """Rule summaries of several sources in one frame; one plan, so Spark runs them side by side."""
     report = None

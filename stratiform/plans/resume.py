@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from stratiform.operators.keyed import latest_per_key
 
 # Stage states and the number of runs kept.
-STATES = ["PENDING", "IN_PROGRESS", "COMPLETED", "FAILED", "ROLLED_BACK"]
-DONE = "COMPLETED"
+STATES = ["PENDING", "IN_PROGRESS", "CHECKPOINT_SAVED", "SUCCESS", "FAILED", "ROLLED_BACK"]
+DONE = ["CHECKPOINT_SAVED", "SUCCESS"]
 KEEP_RUNS = 5
 
 
@@ -22,9 +22,9 @@ def last_events(events: DataFrame) -> DataFrame:
 
 
 def resume_point(events: DataFrame) -> DataFrame:
-    """Per run the last completed stage, or nothing done as stage 0."""
+    """Per run the last stage that was saved or succeeded; 0 when there is none."""
     states = last_events(events)
-    done = F.when(F.col("state") == DONE, F.col("stage_sequence"))
+    done = F.when(F.col("state").isin(DONE), F.col("stage_sequence"))
     return states.groupBy("run_id").agg(
         F.coalesce(F.max(done), F.lit(0)).alias("last_completed_stage"),
         F.count_if(F.col("state") == "FAILED").alias("failed_stages"),

@@ -21,6 +21,8 @@ from stratiform.sources import files, jdbc, options as opt, payload
 
 logger = logging.getLogger(__name__)
 
+STREAM_MODE = "autoloader"  # fixed value: the file_ingest_mode of incremental file sources
+
 _VARIABLE = re.compile(r"\$\{([A-Za-z_][A-Za-z0-9_]*)(?::([^${}]*))?\}")
 
 
@@ -63,6 +65,20 @@ def _file_reader(row: Mapping[str, Any], given: dict[str, Any]) -> Callable[[Spa
     return lambda spark: files.read_files(spark, path, kind, wanted, load_type, schema=ddl)
 
 
+def _stream_reader(row: Mapping[str, Any], given: Mapping[str, Any]) -> Callable[[SparkSession], DataFrame]:
+    from stratiform.streaming.files import read_stream
+
+    path = substitute(str(row.get("source_path") or ""))
+    kind = str(row.get("source_format") or "")
+    return lambda spark: read_stream(
+        spark, path, kind, row["source_system"], row["source_entity"], given
+    )
+
+
+def _no_batch_reader(_: SparkSession) -> DataFrame:
+    raise ConfigError("a streaming source is read by its stream")
+
+
 def _jdbc_reader(row, given, start, profiles) -> Callable[[SparkSession], DataFrame]:
     profile = (profiles or {}).get(str(row.get("jdbc_profile") or ""))
     if not profile:
@@ -88,8 +104,10 @@ def build(
     jdbc_profiles: Mapping[str, Mapping[str, Any]] | None = None,
     custom: Mapping[str, Callable[[SparkSession], DataFrame]] | None = None,
     prefixes: Sequence[str] = EXTERNAL_PREFIXES,
+    checkpoint_root: str | None = None,
 ) -> SourceSpec:
-    """Spec of one registry row. ``custom`` holds readers of CUSTOM sources by entity."""
+    """Spec of one registry row. ``custom`` holds readers of CUSTOM sources by entity; a file source
+    in streaming mode keeps its state below ``checkpoint_root``."""
     needed = ("source_system", "source_entity", "source_type", "landing_table",
               "conformance_table", "silver_table", "publish_mode")
     missing = [k for k in needed if not str(row.get(k) or "").strip()]
@@ -97,7 +115,15 @@ def build(
         raise ConfigError(f"source row lacks {missing}")
     flow_options, given = opt.by_consumer(json_object(row.get("source_options_json")))
     kind = str(row["source_type"]).strip().upper()
-    if kind == "FILE":
+    mode = str(given.get("file_ingest_mode") or "batch").strip().lower()
+    stream = checkpoint = None
+    if kind == "FILE" and mode == STREAM_MODE:
+        stream = _stream_reader(row, given)
+        reader = _no_batch_reader
+        if checkpoint_root:
+            names = [row.get(k) or "" for k in ("tenant", "product_name", "source_system", "source_entity")]
+            checkpoint = "/".join([checkpoint_root.rstrip("/"), *[n for n in names if n]])
+    elif kind == "FILE":
         reader = _file_reader(row, given)
     elif kind == "JDBC":
         reader = _jdbc_reader(row, given, flow_options.get("incremental_start_value"), jdbc_profiles)
@@ -130,6 +156,9 @@ def build(
         partition_by=json_list(rule.get("partition_columns_json")),
         zorder_by=json_list(rule.get("optimize_zorder_json")),
         paths=paths,
+        stream=stream,
+        stream_options=given if stream else {},
+        checkpoint=checkpoint,
         archive_table=flow_options.get("archive_table"),
         archive_hours=retention_hours(
             flow_options.get("archive_retention_days"), flow_options.get("archive_retention_hours")

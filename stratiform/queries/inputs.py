@@ -79,7 +79,8 @@ SELECT event_type || '-' || CAST(user_id AS STRING) AS query_name, value AS dura
 FROM {events}""",
     "stages": """
 SELECT CAST(l_orderkey AS STRING) AS run_id, l_linenumber AS stage_sequence,
-  CASE l_returnflag WHEN 'A' THEN 'COMPLETED' WHEN 'N' THEN 'IN_PROGRESS' ELSE 'FAILED' END AS state,
+  CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'CHECKPOINT_SAVED'
+    WHEN l_returnflag = 'A' THEN 'SUCCESS' WHEN l_returnflag = 'N' THEN 'IN_PROGRESS' ELSE 'FAILED' END AS state,
   l_shipdate AS event_ts
 FROM {lineitem}""",
     "registry": """

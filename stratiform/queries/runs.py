@@ -230,7 +230,7 @@ def multi_source_summary(spark, sf_dir):
 
 _POINTS = f"""{ctes('stages')}, last AS (SELECT * FROM (SELECT *, row_number() OVER (
   PARTITION BY run_id, stage_sequence ORDER BY event_ts DESC, state DESC) AS rn FROM stages) WHERE rn = 1),
-points AS (SELECT run_id, coalesce(max(CASE WHEN state = 'COMPLETED' THEN stage_sequence END), 0)
+points AS (SELECT run_id, coalesce(max(CASE WHEN state IN ('CHECKPOINT_SAVED', 'SUCCESS') THEN stage_sequence END), 0)
     AS last_completed_stage, count(*) FILTER (state = 'FAILED') AS failed_stages,
   max(event_ts) AS last_event_ts FROM last GROUP BY run_id)"""
 

@@ -17,7 +17,7 @@ from stratiform.sources import options as opt
 LOAD_TYPES = ("full", "incremental")
 
 
-def _glob_into_path(path: str, options: dict[str, str]) -> str:
+def glob_into_path(path: str, options: dict[str, str]) -> str:
     """``pathGlobFilter`` tests the file name only; a directory glob belongs to the load path."""
     pattern = options.get("pathGlobFilter", "")
     if "/" not in pattern:
@@ -45,7 +45,7 @@ def read_files(
     opt.reject_unknown(options, opt.READER_OPTIONS + opt.FILE_CONTROL_OPTIONS, "file reader")
     kind = opt.resolve_format(fmt, opt.BATCH_FORMATS, default_format)
     given = opt.chosen(options, opt.READER_OPTIONS)
-    where = _glob_into_path(path.strip(), given)
+    where = glob_into_path(path.strip(), given)
     start = since or (options or {}).get("incremental_start_timestamp")
     reader = spark.read.format(opt.BATCH_FORMATS[kind]).options(**given)
     if schema is not None and opt.BATCH_FORMATS[kind] != "binaryFile":

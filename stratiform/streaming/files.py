@@ -15,6 +15,7 @@ from stratiform.errors import ConfigError
 from stratiform.operators.landing import add_metadata
 from stratiform.plans.flow import AuditTables, RunResult, SourceSpec, run_source
 from stratiform.sources import options as opt
+from stratiform.sources.files import glob_into_path, mixed_records
 from stratiform.sources.rescue import parse_lines
 
 OUTPUT_MODES = ("append", "complete", "update")
@@ -111,10 +112,15 @@ def read_stream(
     target = opt.STREAM_FORMATS[kind]
     wanted = schema if schema is not None else parsed.schema_ddl
     by_line = target == "json" and parsed.evolution in ("rescue", "failOnNewColumns") and wanted
-    reader = spark.readStream.format("text" if by_line else target).options(**parsed.reader)
+    given = dict(parsed.reader)
+    where = glob_into_path(path, given)
+    mixed = kind == "json_jsonl_mixed"
+    if mixed:
+        given["wholetext"] = "true"
+    reader = spark.readStream.format("text" if by_line else target).options(**given)
     if wanted is not None and not by_line and target not in ("text", "binaryFile"):
         reader = reader.schema(wanted)
-    frame = reader.load(path)
+    frame = reader.load(where)
     if parsed.metadata:
         source_id = f"{system}.{entity}"
         frame = frame.withColumns(
@@ -130,6 +136,8 @@ def read_stream(
         )
     if by_line:
         frame = parse_lines(frame, "value", wanted, parsed.evolution)
+    elif mixed and wanted is not None:
+        frame = mixed_records(frame, "value", wanted)
     return frame
 
 

@@ -1,11 +1,14 @@
 import pytest
+from pyspark.sql import SparkSession
 
 from stratiform.session import local_session
 
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("*", "stratiform-tests")
+    # Few partitions: the frames are tiny, and every partition would become a file.
+    SparkSession.builder.config("spark.default.parallelism", "2")
+    session = local_session(4, "stratiform-tests")
     session.sparkContext.setLogLevel("ERROR")
     yield session
 

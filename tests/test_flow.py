@@ -203,6 +203,59 @@ def test_from_control_files(spark, rows, tmp_path, new_name):
     assert main(["--config-dir", str(tmp_path), "--execute", "--product-name", "P"]) == 0
 
 
+def test_streaming_source_from_control(spark, rows, tmp_path, new_name):
+    from stratiform.plans import spec as specs
+
+    data = tmp_path / "in" / "2024"
+    data.mkdir(parents=True)
+    (data / "a.json").write_text('[{"id": 1, "v": "a"},\n {"id": 2, "v": "b"}]')
+    silver = new_name("silver")
+    row = {
+        "tenant": "t", "product_name": "p", "source_system": "crm", "source_entity": "mixed",
+        "source_type": "FILE", "source_format": "json_jsonl_mixed", "source_path": str(tmp_path / "in"),
+        "load_type": "incremental", "landing_table": new_name("l"), "conformance_table": new_name("c"),
+        "silver_table": silver, "primary_key": "id", "publish_mode": "append",
+        "source_options_json": '{"file_ingest_mode":"autoloader","pathGlobFilter":"*/*.json",'
+        '"cloudFiles.schemaEvolutionMode":"addNewColumns","schema_ddl":"id int, v string"}',
+    }
+    mapping = [{"transform_expression": e, "conformance_column": e} for e in ("id", "v", "_source_id")]
+    spec = specs.build(row, mapping, checkpoint_root=new_folder(spark, "state"))
+    assert spec.checkpoint.endswith("/t/p/crm/mixed")
+    assert rows(run_all(spark, [spec]), "status", "rows_in", "valid_rows") == [("SUCCESS", 2, 2)]
+    (data / "b.json").write_text('{"id": 3, "v": "c"}\n{"id": 4, "v": "d"}\n')
+    assert rows(run_all(spark, [spec]), "rows_in") == [(2,)]
+    assert run_all(spark, [spec]).count() == 0
+    assert rows(spark.table(silver), "id", "_source_id") == [(i, "crm.mixed") for i in (1, 2, 3, 4)]
+    lost = specs.build(row, mapping)
+    assert rows(run_all(spark, [lost]), "status") == [("FAILED",)]
+
+
+def test_api_pages_source(spark, rows, new_name):
+    from stratiform.plans import spec as specs
+
+    pages, silver = new_name("pages"), new_name("silver")
+    landing.write_table(
+        spark.createDataFrame([('{"data":[{"id":1},{"id":2}]}',), ('[{"id":3}]',)], "body string"), pages)
+    row = {
+        "source_system": "web", "source_entity": "users", "source_type": "API", "api_endpoint": pages,
+        "landing_table": new_name("l"), "conformance_table": new_name("c"), "silver_table": silver,
+        "publish_mode": "append",
+    }
+    mapping = [{"transform_expression": "try_variant_get(record, '$.id', 'int')", "conformance_column": "id"}]
+    run_source(spark, specs.build(row, mapping))
+    assert rows(spark.table(silver), "id") == [(1,), (2,), (3,)]
+
+
+def test_ansi_of_a_run(spark, rows, make):
+    cast = [{"transform_expression": "cast(raw_amount as int)", "conformance_column": "id"}]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        run_source(spark, make(mappings=cast, rules=[], checks={}))
+    spec = make(mappings=cast, rules=[], checks={}, primary_key="", ansi=False, optimize=True)
+    run_source(spark, spec)
+    assert rows(spark.table(spec.silver_table), "id") == [(-3,), (1,), (10,), (7,), (None,)]
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+
+
 def test_run_all_reports_failures(spark, rows, make):
     good = make()
     bad = make(source_entity="bad", mappings=[{"transform_expression": "nope", "conformance_column": "a"}])
@@ -214,7 +267,7 @@ def test_run_all_reports_failures(spark, rows, make):
 
 
 def test_resume_point(spark, rows):
-    events = [("r", 1, "COMPLETED", 1), ("r", 2, "FAILED", 2), ("r", 2, "COMPLETED", 3),
+    events = [("r", 1, "SUCCESS", 1), ("r", 2, "FAILED", 2), ("r", 2, "CHECKPOINT_SAVED", 3),
               ("r", 3, "IN_PROGRESS", 4), ("q", 1, "FAILED", 5)]
     df = spark.createDataFrame(events, "run_id string, stage_sequence int, state string, event_ts int")
     points = resume.resume_point(df)

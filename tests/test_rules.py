@@ -88,7 +88,7 @@ def path(request, monkeypatch):
 
 def _skewed(spark):
     """A third of the rows share one key, a third have no key, exact copies included."""
-    return spark.range(3000).selectExpr(
+    return spark.range(0, 3000, 1, 8).selectExpr(
         "case when id % 3 = 0 then 7 when id % 3 = 1 then null else id end as k",
         "case when id % 3 = 2 then id div 2 else 1 end as g",
         "id % 5 as v",

@@ -39,9 +39,9 @@ def test_file_reader_refuses(spark):
 
 def test_directory_glob_moves_into_the_path():
     given = {"pathGlobFilter": "*/2024/*.json"}
-    assert files._glob_into_path("/data", given) == "/data/*/2024/*.json" and given == {}
+    assert files.glob_into_path("/data", given) == "/data/*/2024/*.json" and given == {}
     given = {"pathGlobFilter": "*.json"}
-    assert files._glob_into_path("/data", given) == "/data" and given
+    assert files.glob_into_path("/data", given) == "/data" and given
 
 
 def test_binary_and_xml(spark):
