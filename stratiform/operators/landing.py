@@ -64,13 +64,18 @@ def evolve(base: DataFrame, added: DataFrame) -> DataFrame:
     return base.unionByName(added, allowMissingColumns=True)
 
 
-def _aligned(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
-    """``df`` in the table's column order, after the table learned its new columns."""
+def widen(spark: SparkSession, table: str, df: DataFrame) -> None:
+    """Let a stored table learn the columns of ``df`` that it lacks; a catalog change only."""
     known = {f.name.lower() for f in spark.table(table).schema.fields}
     fresh = [f for f in df.schema.fields if f.name.lower() not in known]
     if fresh:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fresh)
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+
+
+def _aligned(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
+    """``df`` in the table's column order, after the table learned its new columns."""
+    widen(spark, table, df)
     have = {c.lower(): c for c in df.columns}
     return df.select(
         *[

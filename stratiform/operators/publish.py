@@ -52,7 +52,11 @@ def latest(df: DataFrame, keys: Sequence[str], sequence: str, ties: Sequence[str
 
     Equal sequences are settled by ``ties``, then by the remaining columns.
     """
-    rest = [c for c in df.columns if c not in (*keys, sequence, *ties)]
+    rest = [
+        f.name
+        for f in df.schema.fields
+        if f.name not in (*keys, sequence, *ties) and f.dataType.typeName() not in ("map", "variant")
+    ]
     order = [F.desc_nulls_last(c) for c in (sequence, *ties, *rest)]
     keyed = latest_per_key(df.filter(~any_null(keys)), keys, order)
     return keyed.unionAll(df.filter(any_null(keys)))
@@ -143,7 +147,7 @@ def merge(
         append(src, table, partition_by, path)
         return
     side = source_keys(src, keys)
-    landing.write_table(src.limit(0), table, "append")  # lets the table learn new columns
+    landing.widen(spark, table, src)
     target = spark.table(table)
     parts = _partition_columns(spark, table)
     if not parts:

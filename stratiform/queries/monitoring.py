@@ -53,11 +53,10 @@ def mon_failed_loads(spark, sf_dir):
   {_big("sum(CASE WHEN dq_status = 'FAIL' THEN row_count ELSE 0 END)")} AS fail_rows
   FROM results WHERE run_ts >= {_E} - INTERVAL 7 DAY GROUP BY ALL)
 SELECT *, CASE WHEN pass_rows + fail_rows = 0 THEN 0.0::DOUBLE
-  ELSE round(fail_rows / (pass_rows + fail_rows), 9) END AS fail_rate FROM d""",
+  ELSE fail_rows / (pass_rows + fail_rows) END AS fail_rate FROM d""",
 )
 def mon_fail_rate(spark, sf_dir):
-    report = monitor.fail_rate(derive(spark, sf_dir, "results"), AS_OF_EVENTS)
-    return report.withColumn("fail_rate", F.round("fail_rate", 9))
+    return monitor.fail_rate(derive(spark, sf_dir, "results"), AS_OF_EVENTS)
 
 
 @query(
@@ -129,12 +128,11 @@ def gate_by_run(spark, sf_dir):
     "mon_run_summary",
     f"""{_RUNS} SELECT pipeline_name, source_system, source_entity, count(*) AS total_runs,
   count(*) FILTER (status = 'SUCCESS') AS successful_runs,
-  count(*) FILTER (status = 'FAILED') AS failed_runs, round(avg(rows_in), 6) AS avg_rows_ingested,
+  count(*) FILTER (status = 'FAILED') AS failed_runs, avg(rows_in) AS avg_rows_ingested,
   max(run_ts) AS last_run FROM runs WHERE run_ts >= {_E} - INTERVAL 7 DAY GROUP BY ALL""",
 )
 def mon_run_summary(spark, sf_dir):
-    report = monitor.run_summary(derive(spark, sf_dir, "runs"), AS_OF_EVENTS)
-    return report.withColumn("avg_rows_ingested", F.round("avg_rows_ingested", 6))
+    return monitor.run_summary(derive(spark, sf_dir, "runs"), AS_OF_EVENTS)
 
 
 @query(
@@ -154,15 +152,15 @@ def mon_dq_failure_rate(spark, sf_dir):
 @query(
     "mon_slow_queries",
     f"""{ctes('executions')} SELECT query_name, count(*) AS executions, min(duration_seconds) AS min_seconds,
-  round(avg(duration_seconds), 6) AS avg_seconds, max(duration_seconds) AS max_seconds,
-  round(avg(bytes_processed / (1024.0::DOUBLE * 1024.0) / greatest(duration_seconds, 0.001)), 6)
+  round(avg(duration_seconds), 9) AS avg_seconds, max(duration_seconds) AS max_seconds,
+  round(avg(bytes_processed / (1024.0::DOUBLE * 1024.0) / greatest(duration_seconds, 0.001)), 9)
     AS avg_throughput_mbps, max(recorded_at) AS last_recorded
 FROM executions WHERE recorded_at >= {_E} - INTERVAL 7 DAY GROUP BY query_name
 HAVING avg(duration_seconds) > 30""",
 )
 def mon_slow_queries(spark, sf_dir):
     report = monitor.slow_queries(alerts.performance(derive(spark, sf_dir, "executions")), AS_OF_EVENTS)
-    rounded = {c: F.round(c, 6) for c in ("avg_seconds", "avg_throughput_mbps")}
+    rounded = {c: F.round(c, 9) for c in ("avg_seconds", "avg_throughput_mbps")}
     return report.withColumns(rounded)
 
 
@@ -290,12 +288,12 @@ def alert_any_critical(spark, sf_dir):
 @query(
     "perf_metrics",
     f"""{ctes('executions')} SELECT query_name, duration_seconds, rows_processed, bytes_processed, recorded_at,
-  round(bytes_processed / (1024.0::DOUBLE * 1024.0) / greatest(duration_seconds, 0.001), 6)
-    AS throughput_mbps FROM executions WHERE duration_seconds > 30""",
+  bytes_processed / (1024.0::DOUBLE * 1024.0) / greatest(duration_seconds, 0.001) AS throughput_mbps
+FROM executions WHERE duration_seconds > 30""",
 )
 def perf_metrics(spark, sf_dir):
     metrics = alerts.performance(derive(spark, sf_dir, "executions"))
-    return alerts.slow_executions(metrics).withColumn("throughput_mbps", F.round("throughput_mbps", 6))
+    return alerts.slow_executions(metrics)
 
 
 @query(

@@ -132,8 +132,8 @@ def _flow_counts(spark, sf_dir):
         F.count_if(F.col("dq_status") == "PASS").alias("valid_rows"),
         F.count_if(F.col("dq_status") == "FAIL").alias("reject_rows"),
     )
-    # Two one-row frames under one constant key.
-    one = raw.withColumn("run_id", F.lit("run-1")).join(late.withColumn("run_id", F.lit("run-1")), "run_id")
+    both = raw.unionByName(late, allowMissingColumns=True)
+    one = both.agg(*[F.max(c).alias(c) for c in both.columns])
     return one.withColumns({"silver_before": F.lit(0).cast("bigint"), "silver_after": F.col("valid_rows")})
 
 
@@ -187,7 +187,7 @@ def layer_counts(spark, sf_dir):
     f"""WITH r AS (SELECT count(*) AS n FROM orders)
 SELECT 'run-1' AS run_id, 'erp' AS source_system, 'orders' AS source_entity, 'landing_raw' AS event_name,
   'PASS' AS event_status, TIMESTAMP '{TS}' AS event_ts, n AS raw_row_count FROM r
-UNION ALL SELECT 'run-1', 'erp', 'orders', 'conformance_engine', 'FAIL', TIMESTAMP '{TS}', n FROM r""",
+UNION ALL SELECT 'run-1', 'erp', 'orders', 'conformance_engine', 'FAIL', TIMESTAMP '{TS}', NULL FROM r""",
 )
 def stage_events(spark, sf_dir):
     raw = table(spark, sf_dir, "orders")
@@ -195,9 +195,10 @@ def stage_events(spark, sf_dir):
     conformed = conform.apply(landed, ORDERS.mappings)
     wanted = [*ORDERS.mappings, {"transform_expression": "1", "conformance_column": "not_built"}]
     found = audit.structure_events(raw.columns, landed.columns, conformed.columns, wanted)
+    found[0]["payload"]["raw_row_count"] = landed.count()
     rows = audit.events(spark, RUN, found)
-    counted = landed.groupBy(F.col("load_id").alias("run_id")).agg(F.count(F.lit(1)).alias("raw_row_count"))
-    return rows.drop("event_payload").join(counted, "run_id")
+    counted = F.get_json_object("event_payload", "$.raw_row_count").cast("bigint")
+    return rows.withColumn("raw_row_count", counted).drop("event_payload")
 
 
 @query(

@@ -8,9 +8,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", name: str = "stratiform") -> SparkSession:
+def local_session(
+    cpus: int | str = "*", name: str = "stratiform", **settings: str
+) -> SparkSession:
     """Session for tests and the benchmark; a cluster brings its own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
@@ -19,8 +21,10 @@ def local_session(cpus: int | str = "*", name: str = "stratiform") -> SparkSessi
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8" if cpus == "*" else str(cpus))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="stratiform-wh-"))
-        .getOrCreate()
     )
+    for key, value in settings.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import SparkSession
 
 from stratiform.session import local_session
 
@@ -7,8 +6,7 @@ from stratiform.session import local_session
 @pytest.fixture(scope="session")
 def spark():
     # Few partitions: the frames are tiny, and every partition would become a file.
-    SparkSession.builder.config("spark.default.parallelism", "2")
-    session = local_session(4, "stratiform-tests")
+    session = local_session(4, "stratiform-tests", **{"spark.default.parallelism": "2"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
 
