@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 ENVELOPE_KEYS = ["data", "items", "results", "records", "value", "content"]
 
 
-def _is_array(value: Column) -> Column:
-    return F.schema_of_variant(value).startswith("ARRAY")
+def _list_at(value: Column, path: str = "$") -> Column:
+    """The list at a path, NULL when there is none or something else is there."""
+    return F.try_variant_get(value, path, "array<variant>")
 
 
 def _is_object(value: Column) -> Column:
-    return F.schema_of_variant(value).startswith("OBJECT")
+    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
 
 
 def explode_records(df: DataFrame, body: str, envelope: str | None = None) -> DataFrame:
@@ -27,41 +28,30 @@ def explode_records(df: DataFrame, body: str, envelope: str | None = None) -> Da
     """
     page = F.col("__page")
     parsed = df.withColumn("__page", F.try_parse_json(F.col(body)))
+    error = F.when(page.isNull(), "body is not JSON")
     if envelope:
         nested = F.try_variant_get(page, f"$.{envelope}", "variant")
-        inner = F.when(_is_array(page), page).otherwise(nested)
+        single = F.when(nested.isNotNull() & ~F.is_variant_null(nested), F.array(nested))
+        listed = F.coalesce(_list_at(page), _list_at(page, f"$.{envelope}"), single)
+        error = error.when(F.col("__list").isNull(), f"envelope {envelope!r} not found")
     else:
-        lists = [
-            F.when(_is_array(item), item)
-            for item in (F.try_variant_get(page, f"$.{key}", "variant") for key in ENVELOPE_KEYS)
-        ]
-        inner = F.when(_is_array(page), page).otherwise(F.coalesce(*lists, page))
-    chosen = parsed.withColumn("__inner", inner)
-    value = F.col("__inner")
-    usable = _is_array(value) | _is_object(value) | F.lit(bool(envelope))
-    error = F.when(page.isNull(), "body is not JSON").when(
-        value.isNull(), f"envelope {envelope!r} not found"
+        usual = [_list_at(page, f"$.{key}") for key in ENVELOPE_KEYS]
+        listed = F.coalesce(_list_at(page), *usual, F.when(_is_object(page), F.array(page)))
+    found = parsed.withColumn("__list", listed).select(
+        *df.columns, error.alias("payload_error"), "__list"
     )
-    as_list = F.when(
-        value.isNotNull() & usable,
-        F.when(_is_array(value), F.try_variant_get(value, "$", "array<variant>")).otherwise(
-            F.array(value)
-        ),
-    )
-    listed = chosen.select(*df.columns, error.alias("payload_error"), as_list.alias("__list"))
-    plain = F.forall(F.col("__list"), _is_object)
-    rows = listed.select(
-        *df.columns, "payload_error", plain.alias("__plain"), F.posexplode_outer("__list").alias("pos", "__item")
-    )
-    item = F.col("__item")
-    wrapped = F.parse_json(F.concat(F.lit('{"value":'), F.to_json(item), F.lit("}")))
-    kept = rows.filter(item.isNotNull() | F.col("payload_error").isNotNull())
-    return kept.select(
+    rows = found.select(
         *df.columns,
-        "pos",
-        F.when(item.isNull(), F.lit(None)).when(F.col("__plain"), item).otherwise(wrapped).alias("record"),
         "payload_error",
+        F.forall(F.col("__list"), _is_object).alias("__plain"),
+        F.posexplode_outer("__list").alias("pos", "__item"),
     )
+    item = F.col("__item")
+    text = F.coalesce(F.to_json(item), F.lit("null"))
+    wrapped = F.parse_json(F.concat(F.lit('{"value":'), text, F.lit("}")))
+    record = F.when(F.col("pos").isNull(), F.lit(None)).when(F.col("__plain"), item).otherwise(wrapped)
+    kept = rows.filter(F.col("pos").isNotNull() | F.col("payload_error").isNotNull())
+    return kept.select(*df.columns, "pos", record.alias("record"), "payload_error")
 
 
 def check_pages(

@@ -172,6 +172,8 @@ def _records(spark, bodies, envelope=None):
         ("[]", []),
         ('{"data":[]}', []),
         ("5", []),
+        ('{"data":null,"items":[{"a":1}]}', [{"a": 1}]),
+        ("[null]", [{"value": None}]),
     ],
 )
 def test_payload_shapes(spark, body, expected):
@@ -193,7 +195,8 @@ def test_payload_envelope(spark, body, expected):
 
 def test_payload_errors(spark):
     assert _records(spark, ["nope"])[0][2] == "body is not JSON"
-    assert "not found" in _records(spark, ['{"a":1}'], "a.b")[0][2]
+    for body in ('{"a":1}', '{"a":{"b":null}}'):
+        assert "not found" in _records(spark, [body], "a.b")[0][2]
 
 
 def test_pages(spark, rows):
