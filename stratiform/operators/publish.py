@@ -25,6 +25,7 @@ from stratiform.operators.keyed import (
 from stratiform.session import drop_folder, new_folder
 
 _SNAPSHOT = re.compile(r"_snapshot_[0-9a-f]{32}$")
+_RANGED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.DateType)
 _PREVIOUS = "stratiform.previous_snapshot"
 
 
@@ -63,14 +64,33 @@ def latest(df: DataFrame, keys: Sequence[str], sequence: str, ties: Sequence[str
 
 
 def source_keys(src: DataFrame, keys: Sequence[str]) -> Measured:
-    """Distinct non-NULL keys of an upsert source; repeated keys are refused."""
+    """Distinct non-NULL keys of an upsert source; repeated keys are refused.
+
+    Lowest and highest values of plain keys are noted, to prune scans of the target.
+    """
     counted = key_counts(src.filter(~any_null(keys)), keys)
-    side = measure(counted, "upsert-keys", F.max(COPIES).alias("most_copies"))
+    ranges = [
+        bound(key).alias(f"{name}_{key}")
+        for key in keys
+        if isinstance(src.schema[key].dataType, _RANGED)
+        for name, bound in (("low", F.min), ("high", F.max))
+    ]
+    side = measure(counted, "upsert-keys", F.max(COPIES).alias("most_copies"), *ranges)
     if (side.seen.get("most_copies") or 0) > 1:
         raise DuplicateKeyError(f"upsert source repeats keys {list(keys)}: deduplicate it first")
     return side
 
 
+def _within(target: DataFrame, side: Measured, keys: Sequence[str]) -> DataFrame:
+    """Target rows inside the key ranges of the source; scans skip row groups by these constants."""
+    for key in keys:
+        low, high = side.seen.get(f"low_{key}"), side.seen.get(f"high_{key}")
+        if low is not None and high is not None:
+            kind = target.schema[key].dataType
+            target = target.filter(F.col(key).between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
+    return target
+
+
 def upsert(
     target: DataFrame,
     src: DataFrame,
@@ -155,7 +175,8 @@ def merge(
         _switch_snapshot(spark, merged.select(*target.columns), table)
         return
 
-    hit = keep_matching(target, side, keys).select(*parts).unionAll(src.select(*parts)).distinct()
+    old = keep_matching(_within(target, side, keys), side, keys)
+    hit = old.select(*parts).unionAll(src.select(*parts)).distinct()
     touched = measure(hit, "touched-partitions")
     scope = keep_matching(target, touched, parts)
     merged = landing.evolve(drop_matching(scope, side, keys), src).select(*target.columns)

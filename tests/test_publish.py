@@ -97,6 +97,25 @@ def test_merge_leaves_other_partitions_alone(spark, rows, new_name):
         ("O0", "b"), ("O1", "b"), ("O2", "b"), ("O3", "b"), ("O4", "c"), ("O5", "c")]
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string", "date", "timestamp_ntz", "decimal(10,2)"])
+def test_merge_by_key_type(spark, rows, new_name, kind):
+    value = {"bigint": "id", "string": "cast(id as string)", "date": "date_add(date'2024-01-01', id)",
+             "timestamp_ntz": "timestamp_ntz'2024-01-01' + make_interval(0,0,0,0,id)",
+             "decimal(10,2)": "cast(id as decimal(10,2))"}[kind]
+    table = new_name("typed")
+
+    def part(low, high, v):
+        return spark.range(low, high).selectExpr("cast(id as int) as id").selectExpr(
+            f"{value} as k", "id % 2 as p", f"'{v}' as v").filter("k is not null")
+
+    publish.merge(part(0, 10, "old"), table, ["k"], ["p"])
+    publish.merge(part(8, 12, "new"), table, ["k"])
+    assert spark.table(table).filter("v = 'new'").count() == 4 and spark.table(table).count() == 12
+    nothing = part(0, 1, "null").selectExpr(f"cast(null as {kind}) as k", "p", "v")
+    publish.merge(nothing, table, ["k"])
+    assert spark.table(table).count() == 13
+
+
 def test_merge_adds_new_columns(spark, rows, new_name):
     table = new_name("widen")
     publish.merge(_orders(spark, ("O1", "c", 1.0, "new")), table, ["order_id"])
