@@ -50,9 +50,9 @@ INCREMENTAL_READER_OPTIONS = {
     "cloudFiles.maxFilesPerTrigger": "maxFilesPerTrigger",
     "cloudFiles.maxBytesPerTrigger": "maxBytesPerTrigger",
     "cloudFiles.includeExistingFiles": "include_existing",
-    "cloudFiles.partitionColumns": "partition_columns",
     "cloudFiles.schemaHints": "schema_hints",
     "cloudFiles.schemaEvolutionMode": "evolution",
+    "cloudFiles.partitionColumns": None,  # Spark reads them from the paths by itself
     "cloudFiles.validateOptions": None,
     "cloudFiles.allowOverwrites": None,
 }
