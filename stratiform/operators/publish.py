@@ -180,12 +180,14 @@ def merge(
     touched = measure(hit, "touched-partitions")
     scope = keep_matching(target, touched, parts)
     merged = landing.evolve(drop_matching(scope, side, keys), src).select(*target.columns)
-    staged = _replace_partitions(spark, merged, table)
+    stage = new_folder(spark, "staged")
+    staged = _replace_partitions(spark, merged, table, stage)
     left = staged.select(*[F.col(p).alias(f"__{p}") for p in parts]).distinct()
     emptied = touched.frame.join(left, _same(parts), "left_anti")
     for row in emptied.toLocalIterator():
         spec = ", ".join(f"{p} = {_literal(row[p])}" for p in parts)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    drop_folder(spark, stage)
 
 
 def optimize(
@@ -200,7 +202,9 @@ def optimize(
     packed = cluster.packed(target, list(zorder_by), parts, files)
     if parts:
         order = [cluster.Z_COLUMN] if zorder_by else []
-        _replace_partitions(spark, packed, table, order)
+        stage = new_folder(spark, "staged")
+        _replace_partitions(spark, packed, table, stage, order)
+        drop_folder(spark, stage)
     else:
         _switch_snapshot(spark, packed.select(*target.columns), table)
 
@@ -210,18 +214,18 @@ def _literal(value) -> str:
 
 
 def _replace_partitions(
-    spark: SparkSession, rows: DataFrame, table: str, order: Sequence[str] = ()
+    spark: SparkSession, rows: DataFrame, table: str, path: str, order: Sequence[str] = ()
 ) -> DataFrame:
     """Stage rows, then replace just the partitions they belong to; returns the staged frame.
 
-    The staged copy is what allows a repeat when the overwrite itself is interrupted. ``order``
+    The staged copy allows a repeat when the overwrite itself is interrupted; the caller removes it
+    once all is done, so it outlives a failure. ``order``
     names helper columns that sort the rows within a partition and are not stored. A catalog table
     takes the overwrite mode from the session only, so a session of its own carries that setting
     and the caller's stays as it is.
     """
     columns = spark.table(table).columns
     parts = _partition_columns(spark, table)
-    path = new_folder(spark, "staged")
     rows.write.parquet(path)
     own = spark.newSession()
     own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
