@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.llm.line_dedup import line_dedup
+from stratiform.llm.packing import pack
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +56,11 @@ OP4_SQL = (
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "utf-8"), 256).alias("kept_sha256"))
+
+
+@_query("op8_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(_table(spark, sf_dir, "documents"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
