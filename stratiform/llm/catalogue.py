@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratiform.llm.common import held_out
+from stratiform.llm.language_crf import identify
 from stratiform.llm.line_dedup import line_dedup
 from stratiform.llm.packing import pack
 
@@ -64,3 +66,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@_query("op9_language_crf")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return identify(docs.select("doc_id", "text", "lang")).select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
