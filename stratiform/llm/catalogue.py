@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratiform.llm.common import held_out
 from stratiform.llm.language_crf import identify
 from stratiform.llm.line_dedup import line_dedup
+from stratiform.llm.ngram_join import jaccard_join
 from stratiform.llm.packing import pack
 
 QUERIES: dict = {}
@@ -54,6 +55,37 @@ OP4_SQL = (
 )
 
 
+SHINGLES_SQL = r"""
+words AS (
+  SELECT {id}, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM {table}),
+shingled AS (
+  SELECT DISTINCT {id}, unnest(list_transform(range(1, greatest(len(w) - 3, 2)),
+         lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+  FROM words WHERE len(w) > 0)
+"""
+
+OP1_SQL = "WITH RECURSIVE " + SHINGLES_SQL.format(id="doc_id", table="documents") + """,
+sizes AS (SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id),
+both_have AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingled a JOIN shingled b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT a, b FROM both_have h JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE h.n >= 0.8 * (x.n + y.n - h.n)),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+classes AS (SELECT a AS doc_id, min(b) AS class_id FROM reached GROUP BY a),
+degrees AS (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, coalesce(n, 0) AS n_shingles
+FROM classes LEFT JOIN degrees USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+
+@_query("op1_ngram_join", OP1_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(_table(spark, sf_dir, "documents"))
+
+
 @_query("op4_line_dedup", OP4_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup(_table(spark, sf_dir, "documents"))

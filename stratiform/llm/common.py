@@ -98,10 +98,9 @@ def minhash_seeds(count: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(1, 2**63, count, dtype=np.uint64) | np.uint64(1)
 
 
-def minhashes(values: np.ndarray, seeds: np.ndarray, block: int = 4096) -> np.ndarray:
-    """Smallest value under each of the multiply-and-fold hash functions of ``seeds`` (32 bit)."""
-    best = np.full(len(seeds), np.uint32(0xFFFFFFFF))
+def minhashes(values: np.ndarray, seeds: np.ndarray, block: int = 512) -> np.ndarray:
+    """Smallest value under each of the multiplicative hash functions of ``seeds``, its upper 32 bits."""
+    best = np.full(len(seeds), np.uint64(2**64 - 1))
     for start in range(0, len(values), block):
-        part = ((values[start : start + block, None] * seeds) >> np.uint64(32)).astype(np.uint32)
-        np.minimum(best, part.min(axis=0), out=best)
-    return best
+        np.minimum(best, (values[start : start + block, None] * seeds).min(axis=0), out=best)
+    return (best >> np.uint64(32)).astype(np.uint32)
