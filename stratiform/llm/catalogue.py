@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.llm.common import held_out
+from stratiform.llm.containment import contained_items
 from stratiform.llm.language_crf import identify
 from stratiform.llm.line_dedup import line_dedup
 from stratiform.llm.ngram_join import jaccard_join
@@ -106,3 +107,24 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs.select("doc_id", "text", "lang")).select(
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score"
     )
+
+
+OP10_SQL = "WITH " + SHINGLES_SQL.format(id="doc_id", table="documents") + """,
+item_words AS (
+  SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM benchmark),
+item_shingles AS (
+  SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)),
+         lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+  FROM item_words WHERE len(w) > 0),
+item_sizes AS (SELECT item_id, count(*) AS item_shingles FROM item_shingles GROUP BY item_id)
+SELECT doc_id, item_id, count(*) / any_value(item_shingles) AS containment, count(*) AS shared,
+       any_value(item_shingles) AS item_shingles
+FROM shingled JOIN item_shingles USING (s) JOIN item_sizes USING (item_id)
+GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * any_value(item_shingles)
+"""
+
+
+@_query("op10_containment", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contained_items(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("items").alias("item")).select("doc_id", "item.*")
