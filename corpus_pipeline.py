@@ -1,0 +1,67 @@
+"""From raw documents to packed token sequences, in stages that each write their result."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stratiform.llm.containment import contained_items
+from stratiform.llm.language_crf import UNKNOWN, identify
+from stratiform.llm.line_dedup import line_dedup
+from stratiform.llm.ngram_join import jaccard_join
+from stratiform.llm.packing import pack
+from stratiform.session import new_folder
+
+#: Texts of which no label covers at least this share of the words are rejected.
+MIN_LANGUAGE_SHARE = 0.5
+
+#: Neither language models nor packing can be written in SQL.
+ORACLE_SQL = None
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the random field knows; null, letterless and undecided texts go."""
+    judged = identify(docs)
+    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SHARE)).select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with each repeated line only in the smallest ``doc_id`` that holds it."""
+    return line_dedup(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one of smallest ``doc_id``, of each group that n-gram similarity connects."""
+    classes = jaccard_join(docs)
+    gone = classes.where(F.col("doc_id") != F.col("class_id")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    found = contained_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.where(F.size("items") == 0).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of at most 1024 tokens, with their ids."""
+    return pack(docs).withColumn("ids_crc32", F.crc32("ids"))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", lines),
+    ("ngram_join", near_duplicates),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result is written to the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        path = new_folder(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
