@@ -11,6 +11,7 @@ from stratiform.llm.language_crf import identify
 from stratiform.llm.line_dedup import line_dedup
 from stratiform.llm.ngram_join import jaccard_join
 from stratiform.llm.packing import pack
+from stratiform.llm.secrets import BASE_RULES, find_secrets, joined_spans
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +129,13 @@ GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * any_value(item_shingles)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contained_items(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.explode("items").alias("item")).select("doc_id", "item.*")
+
+
+@_query("op3_secret_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = [rule.kind for rule in BASE_RULES]
+    base = F.filter("secrets", lambda s: s["kind"].isin(kinds))
+    found_kinds = F.transform("secrets", lambda s: s["kind"])
+    counts = [(F.size("secrets") - F.size(F.array_remove(found_kinds, k))).cast("long").alias(f"n_{k}") for k in kinds]
+    return found.select("doc_id", *counts, F.sha2(joined_spans(base), 256).alias("base_sha256"), joined_spans(F.col("secrets")).alias("spans"))
