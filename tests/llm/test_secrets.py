@@ -49,7 +49,7 @@ def test_whole_table(spark):
 
 def test_further_rules_add_spans():
     text = "-----BEGIN RSA PRIVATE KEY----- https://user:pw@host ghp_" + "a1" * 20
-    assert [s[0] for s in scan_texts([text], BASE_RULES + MORE_RULES)[0]] == ["private_key", "url_login", "code_host"]
+    assert [s[0] for s in scan_texts([text], BASE_RULES + MORE_RULES)[0]] == ["private_key", "url_login", "code_host", "hex"]
 
 
 def test_odd_rows(spark):
