@@ -12,6 +12,7 @@ from stratiform.llm.line_dedup import line_dedup
 from stratiform.llm.ngram_join import jaccard_join
 from stratiform.llm.packing import pack
 from stratiform.llm.secrets import BASE_RULES, find_secrets, joined_spans
+from stratiform.llm.token_counts import token_counts
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -139,3 +140,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found_kinds = F.transform("secrets", lambda s: s["kind"])
     counts = [(F.size("secrets") - F.size(F.array_remove(found_kinds, k))).cast("long").alias(f"n_{k}") for k in kinds]
     return found.select("doc_id", *counts, F.sha2(joined_spans(base), 256).alias("base_sha256"), joined_spans(F.col("secrets")).alias("spans"))
+
+
+@_query("op6_token_counts")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_words", "n_tokens")
