@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratiform.llm import toxicity
 from stratiform.llm.common import held_out
 from stratiform.llm.containment import contained_items
 from stratiform.llm.language_crf import identify
@@ -145,3 +146,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op6_token_counts")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_words", "n_tokens")
+
+
+@_query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted", "worst_sentence",
+        F.size("offending").cast("long").alias("n_offending"),
+    )
