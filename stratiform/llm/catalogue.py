@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratiform.llm import toxicity
 from stratiform.llm.common import held_out
 from stratiform.llm.containment import contained_items
+from stratiform.llm.hnsw import search_embeddings
 from stratiform.llm.language_crf import identify
 from stratiform.llm.line_dedup import line_dedup
 from stratiform.llm.ngram_join import jaccard_join
@@ -156,3 +157,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted", "worst_sentence",
         F.size("offending").cast("long").alias("n_offending"),
     )
+
+
+@_query("op2_hnsw")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_embeddings(_table(spark, sf_dir, "embeddings"))
