@@ -13,6 +13,7 @@ from stratiform.llm.language_crf import identify
 from stratiform.llm.line_dedup import line_dedup
 from stratiform.llm.ngram_join import jaccard_join
 from stratiform.llm.packing import pack
+from stratiform.llm.pii_surrogates import replace_personal_data
 from stratiform.llm.secrets import BASE_RULES, find_secrets, joined_spans
 from stratiform.llm.token_counts import token_counts
 
@@ -162,3 +163,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op2_hnsw")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
+@_query("op5_pii_surrogates")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clean = replace_personal_data(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return clean.select(
+        "doc_id", "text", F.size("replaced").cast("long").alias("n_replaced"), joined_spans(F.col("replaced")).alias("spans")
+    )
