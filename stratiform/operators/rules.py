@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from stratiform.errors import ConfigError, RuleError
 from stratiform.functions.columns import all_labels, any_null
-from stratiform.operators.conform import is_active
 from stratiform.operators.keyed import COPIES, flag_keys, key_counts, measure
+from stratiform.operators.metadata import RowShape, cell, is_active
 
 # Names of the key rules, and severities as metadata spells them.
 PK_NOT_NULL = "primary_key_not_null"
@@ -22,6 +22,8 @@ SEVERITIES = {
     "warn": "WARN", "warning": "WARN", "low": "WARN",
 }
 
+RULE_ROWS = RowShape("rule", ("rule_name", "rule_expression"), "rule_name", {"severity": frozenset(SEVERITIES)})
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -30,41 +32,12 @@ class Rule:
     severity: str
 
 
-def rule_errors(rows: Sequence[Mapping[str, Any]]) -> list[str]:
-    errors = []
-    seen: set[str] = set()
-    for i, row in enumerate(rows):
-        if not isinstance(row, Mapping):
-            errors.append(f"dq_rows[{i}] must be an object")
-            continue
-        if not is_active(row):
-            continue
-        missing = [
-            k for k in ("rule_name", "rule_expression") if not str(row.get(k) or "").strip()
-        ]
-        if missing:
-            errors.append(f"dq_rows[{i}] missing required fields: {missing}")
-            continue
-        name = str(row["rule_name"]).strip()
-        if name in seen:
-            errors.append(f"Duplicate rule_name found: {name}")
-        seen.add(name)
-        severity = str(row.get("severity") or "ERROR").strip().lower()
-        if severity not in SEVERITIES:
-            errors.append(f"dq_rows[{i}] has unsupported severity: {row['severity']}")
-    return errors
-
-
 def parse(rows: Sequence[Mapping[str, Any]]) -> list[Rule]:
-    errors = rule_errors(rows)
+    errors = RULE_ROWS.problems(rows)
     if errors:
         raise ConfigError(f"invalid rule metadata: {errors}")
     return [
-        Rule(
-            str(row["rule_name"]).strip(),
-            str(row["rule_expression"]).strip(),
-            SEVERITIES[str(row.get("severity") or "ERROR").strip().lower()],
-        )
+        Rule(cell(row, "rule_name"), cell(row, "rule_expression"), SEVERITIES[cell(row, "severity").lower() or "error"])
         for row in rows
         if is_active(row)
     ]
