@@ -17,12 +17,13 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from stratiform.functions.columns import any_null
-from stratiform.session import new_folder
+from stratiform.session import drop_folder, new_folder
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_ROWS = 100_000
-HOT_KEYS = 10_000
+#: A key is hot if it holds more than this share of what an even partition would hold. At most
+#: ``partitions / HOT_SHARE`` keys can be that large, whatever the data.
+HOT_SHARE = 0.25
 COPIES = "__copies"
 _SALT = "__salt"
 
@@ -34,8 +35,13 @@ class Measured:
     frame: DataFrame
     rows: int
     bytes: int
+    path: str
     seen: dict[str, Any] = field(default_factory=dict)
 
+    def drop(self) -> None:
+        """Remove the stored rows, once nothing reads them any more."""
+        drop_folder(self.frame.sparkSession, self.path)
+
     @property
     def fits_broadcast(self) -> bool:
         return self.rows <= BROADCAST_ROWS and self.bytes <= BROADCAST_BYTES
@@ -58,7 +64,7 @@ def measure(df: DataFrame, label: str, *metrics: Column) -> Measured:
     )
     got = seen.get
     return Measured(
-        spark.read.schema(df.schema).parquet(path), int(got["rows"]), int(got["bytes"]), dict(got)
+        spark.read.schema(df.schema).parquet(path), int(got["rows"]), int(got["bytes"]), path, dict(got)
     )
 
 
@@ -127,10 +133,9 @@ def flag_keys(df: DataFrame, side: Measured, keys: Sequence[str], flag: str) ->
         joined = df.join(hit, _null_safe(keys, names), "left")
         return joined.select(*df.columns, found.alias(flag))
 
-    hot_keys = measure(
-        side.frame.filter(F.col(COPIES) >= HOT_ROWS).orderBy(F.desc(COPIES)).limit(HOT_KEYS),
-        "hot-keys",
-    )
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = side.frame.agg(F.sum(COPIES)).first()[0]
+    hot_keys = measure(side.frame.filter(F.col(COPIES) >= F.lit(HOT_SHARE * total / partitions)), "hot-keys")
     hot, hot_names = _renamed(hot_keys.frame, keys)
     hot = hot.withColumn("__hot", F.lit(True))
     if hot_keys.fits_broadcast:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -147,6 +149,26 @@ def archive(
     return keep
 
 
+def partition_literal(value: Any) -> str:
+    """A partition value as SQL: typed for dates and times, escaped for texts."""
+    if value is None:
+        return "null"
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'" if value.tzinfo else f"TIMESTAMP_NTZ '{value.isoformat(sep=' ')}'"
+    if isinstance(value, dt.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, (bool, int)):
+        return str(value).lower()
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
+def drop_partition(spark: SparkSession, table: str, values: Mapping[str, Any]) -> None:
+    """Remove one partition from the catalog and its files."""
+    spec = ", ".join(f"`{name}` = {partition_literal(value)}" for name, value in values.items())
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+
+
 def purge_loads(spark: SparkSession, table: str, hours: int, as_of: str) -> list[str]:
     """Drop the load partitions whose newest row is past retention; nothing is rewritten.
 
@@ -157,6 +179,5 @@ def purge_loads(spark: SparkSession, table: str, hours: int, as_of: str) -> list
     bound = as_type_of(newest, "ingest_ts", as_of) - F.make_interval(hours=F.lit(hours))
     old = [r.load_id for r in newest.filter(F.col("ingest_ts") < bound).toLocalIterator()]
     for load_id in old:
-        text = load_id.replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (load_id = '{text}')")
+        drop_partition(spark, table, {"load_id": load_id})
     return old

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -161,12 +162,25 @@ def merge(
     landing.checked_table(table)
     for key in keys:
         landing.checked_column(key)
-    src = latest(df, keys, sequence) if sequence else df
+    staged = new_folder(spark, "upsert-source")
+    # Its keys, its partitions and its rows are read from one stored copy.
+    (latest(df, keys, sequence) if sequence else df).write.parquet(staged)
+    src = spark.read.schema(df.schema).parquet(staged)
+    side = source_keys(src, keys)
+    try:
+        _merge_stored(spark, src, side, table, keys, partition_by, path)
+    finally:
+        side.drop()
+        drop_folder(spark, staged)
+
+
+def _merge_stored(
+    spark: SparkSession, src: DataFrame, side: Measured, table: str, keys: Sequence[str],
+    partition_by: Sequence[str], path: str | None,
+) -> None:
     if not spark.catalog.tableExists(table):
-        source_keys(src, keys)
         append(src, table, partition_by, path)
         return
-    side = source_keys(src, keys)
     landing.widen(spark, table, src)
     target = spark.table(table)
     parts = _partition_columns(spark, table)
@@ -178,18 +192,52 @@ def merge(
     old = keep_matching(_within(target, side, keys), side, keys)
     hit = old.select(*parts).unionAll(src.select(*parts)).distinct()
     touched = measure(hit, "touched-partitions")
-    scope = keep_matching(target, touched, parts)
+    # Partition values are catalog entries: as constants they keep other partitions from being listed.
+    values = [r.asDict() for r in touched.frame.toLocalIterator()]
+    scope = target.filter(_in_partitions(target, values))
     merged = landing.evolve(drop_matching(scope, side, keys), src).select(*target.columns)
     stage = new_folder(spark, "staged")
     staged = _replace_partitions(spark, merged, table, stage)
     left = staged.select(*[F.col(p).alias(f"__{p}") for p in parts]).distinct()
     emptied = touched.frame.join(left, _same(parts), "left_anti")
     for row in emptied.toLocalIterator():
-        spec = ", ".join(f"{p} = {_literal(row[p])}" for p in parts)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+        landing.drop_partition(spark, table, row.asDict())
+    touched.drop()
     drop_folder(spark, stage)
 
 
+def _in_partitions(target: DataFrame, values: Sequence[Mapping[str, Any]]) -> Column:
+    """Whether a row lies in one of the partitions, as a condition on constants.
+
+    Partitions that share all values but the last are one membership test.
+    """
+    groups: dict[tuple, list] = {}
+    for row in values:
+        *first, last = row.values()
+        groups.setdefault(tuple(first), []).append(last)
+    if not groups:
+        return F.lit(False)
+    names = list(values[0])
+
+    def equals(name: str, value: Any) -> Column:
+        return F.col(name).isNull() if value is None else F.col(name) == F.lit(value).cast(target.schema[name].dataType)
+
+    def either(conditions: list[Column]) -> Column:
+        while len(conditions) > 1:  # a balanced tree: a chain of thousands is too deep for the analyser
+            conditions = [a | b for a, b in zip(conditions[::2], conditions[1::2])] + conditions[len(conditions) & ~1 :]
+        return conditions[0]
+
+    options = []
+    for first, lasts in groups.items():
+        known = [F.lit(v).cast(target.schema[names[-1]].dataType) for v in lasts if v is not None]
+        tests = ([F.col(names[-1]).isin(known)] if known else []) + ([F.col(names[-1]).isNull()] if None in lasts else [])
+        condition = either(tests)
+        for name, value in zip(names, first):
+            condition = equals(name, value) & condition
+        options.append(condition)
+    return either(options)
+
+
 def optimize(
     spark: SparkSession, table: str, zorder_by: Sequence[str] = (), files: int | None = None
 ) -> None:
@@ -209,10 +257,6 @@ def optimize(
         _switch_snapshot(spark, packed.select(*target.columns), table)
 
 
-def _literal(value) -> str:
-    return "null" if value is None else "'" + str(value).replace("'", "\\'") + "'"
-
-
 def _replace_partitions(
     spark: SparkSession, rows: DataFrame, table: str, path: str, order: Sequence[str] = ()
 ) -> DataFrame:

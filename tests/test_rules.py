@@ -82,7 +82,7 @@ def path(request, monkeypatch):
     if request.param != "broadcast":
         monkeypatch.setattr(keyed, "BROADCAST_ROWS", -1)
     if request.param == "shuffle with hot keys":
-        monkeypatch.setattr(keyed, "HOT_ROWS", 50)
+        monkeypatch.setattr(keyed, "HOT_SHARE", 0.01)
     return request.param
 
 
@@ -117,7 +117,7 @@ def test_anti_join_on_every_path(spark, rows, path):
 
 def test_shuffle_path_spreads_hot_rows(spark, monkeypatch):
     monkeypatch.setattr(keyed, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(keyed, "HOT_ROWS", 50)
+    monkeypatch.setattr(keyed, "HOT_SHARE", 0.01)
     salt = _skewed(spark).withColumn("s", keyed._left_salt(_skewed(spark), keyed.any_null(["k"])))
     biggest = salt.filter("k is null").groupBy("s").count().agg({"count": "max"}).first()[0]
     assert biggest < 1000 / 2
