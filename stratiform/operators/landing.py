@@ -124,6 +124,34 @@ def write_table(
     writer.saveAsTable(table)
 
 
+def replace_load(df: DataFrame, table: str, load_id: str, path: str | None = None) -> None:
+    """Make ``df`` the rows of one load, the partition ``load_id`` of the table.
+
+    A repeat replaces that partition, so a load that is resumed after a failure is there once. A table
+    that is not partitioned by load is appended to.
+    """
+    spark = df.sparkSession
+    checked_table(table)
+    rows = df.drop("load_id")
+    if not spark.catalog.tableExists(table):
+        # The table first, without rows: a failed first load then leaves nothing that blocks the next.
+        # (By its schema: ``df`` may carry metrics, which belong to the write of its rows.)
+        empty = spark.createDataFrame([], rows.schema).withColumn("load_id", F.lit(load_id))
+        write_table(empty, table, path=path, partition_by=("load_id",))
+    if "load_id" not in [c.name for c in spark.catalog.listColumns(table) if c.isPartition]:
+        write_table(df, table)
+        return
+    ready = _aligned(rows.withColumn("load_id", F.lit(load_id)), spark, table)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        ready.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
+    spark.catalog.refreshTable(table)
+
+
 def retention_hours(days: int | None = None, hours: int | None = None) -> int | None:
     """Retention in hours from days or hours; not both, and positive."""
     if days is not None and hours is not None:
@@ -141,11 +169,14 @@ def retain(df: DataFrame, hours: int, as_of: str, column: str = "ingest_ts") ->
 
 
 def archive(
-    df: DataFrame, table: str, days: int | None = None, hours: int | None = None
+    df: DataFrame, table: str, days: int | None = None, hours: int | None = None, load_id: str | None = None
 ) -> int | None:
-    """Second copy of a load; returns the retention in hours that ``purge_loads`` applies."""
+    """Second copy of each load in ``df``; returns the retention in hours that ``purge_loads`` applies."""
     keep = retention_hours(days, hours)
-    write_table(df, table, partition_by=("load_id",))
+    if load_id is None:
+        write_table(df, table, partition_by=("load_id",))
+    else:
+        replace_load(df, table, load_id)
     return keep
 
 

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,8 +36,8 @@ def append(
     partition_by: Sequence[str] = (),
     path: str | None = None,
     zorder_by: Sequence[str] = (),
-) -> None:
-    """Append rows, grouped by table partition and optionally clustered within."""
+) -> int:
+    """Append rows, grouped by table partition and optionally clustered within; how many were written."""
     spark = df.sparkSession
     landing.checked_table(table)
     known = spark.catalog.tableExists(table)
@@ -46,7 +46,9 @@ def append(
         rows = cluster.packed(df, list(zorder_by), parts).drop(cluster.Z_COLUMN)
     else:
         rows = landing.rebalanced(df, parts)
-    landing.write_table(rows, table, "append", path=path, partition_by=parts)
+    seen = Observation(f"append-{uuid.uuid4().hex}")
+    landing.write_table(rows.observe(seen, F.count(F.lit(1)).alias("n")), table, "append", path=path, partition_by=parts)
+    return int(seen.get["n"])
 
 
 def latest(df: DataFrame, keys: Sequence[str], sequence: str, ties: Sequence[str] = ()) -> DataFrame:
@@ -151,24 +153,30 @@ def merge(
     partition_by: Sequence[str] = (),
     path: str | None = None,
     sequence: str | None = None,
+    zorder_by: Sequence[str] = (),
+    soft_delete: Column | None = None,
+    deleted_flag: str = "is_deleted",
 ) -> None:
     """Upsert into a stored table.
 
-    A partitioned table has only those partitions rewritten that hold a matching key or receive
+    ``zorder_by`` clusters what is rewritten. ``soft_delete`` marks source rows that delete their key:
+    the row stays, flagged in ``deleted_flag``. A partitioned table has only those partitions rewritten that hold a matching key or receive
     rows. Otherwise the new snapshot is written beside the old one and the table then points to
     it, so readers see either all of the change or none.
     """
     spark = df.sparkSession
     landing.checked_table(table)
-    for key in keys:
-        landing.checked_column(key)
+    for column in (*keys, *zorder_by):
+        landing.checked_column(column)
+    if soft_delete is not None:
+        df = df.withColumn(deleted_flag, F.coalesce(soft_delete, F.lit(False)))
     staged = new_folder(spark, "upsert-source")
     # Its keys, its partitions and its rows are read from one stored copy.
     (latest(df, keys, sequence) if sequence else df).write.parquet(staged)
     src = spark.read.schema(df.schema).parquet(staged)
     side = source_keys(src, keys)
     try:
-        _merge_stored(spark, src, side, table, keys, partition_by, path)
+        _merge_stored(spark, src, side, table, keys, partition_by, path, zorder_by)
     finally:
         side.drop()
         drop_folder(spark, staged)
@@ -176,16 +184,18 @@ def merge(
 
 def _merge_stored(
     spark: SparkSession, src: DataFrame, side: Measured, table: str, keys: Sequence[str],
-    partition_by: Sequence[str], path: str | None,
+    partition_by: Sequence[str], path: str | None, zorder_by: Sequence[str],
 ) -> None:
     if not spark.catalog.tableExists(table):
-        append(src, table, partition_by, path)
+        append(src, table, partition_by, path, zorder_by)
         return
     landing.widen(spark, table, src)
     target = spark.table(table)
     parts = _partition_columns(spark, table)
     if not parts:
         merged = landing.evolve(drop_matching(target, side, keys), src)
+        if zorder_by:
+            merged = cluster.packed(merged, list(zorder_by))
         _switch_snapshot(spark, merged.select(*target.columns), table)
         return
 
@@ -197,7 +207,9 @@ def _merge_stored(
     scope = target.filter(_in_partitions(target, values))
     merged = landing.evolve(drop_matching(scope, side, keys), src).select(*target.columns)
     stage = new_folder(spark, "staged")
-    staged = _replace_partitions(spark, merged, table, stage)
+    if zorder_by:
+        merged = cluster.packed(merged, list(zorder_by), parts)
+    staged = _replace_partitions(spark, merged, table, stage, [cluster.Z_COLUMN] if zorder_by else [])
     left = staged.select(*[F.col(p).alias(f"__{p}") for p in parts]).distinct()
     emptied = touched.frame.join(left, _same(parts), "left_anti")
     for row in emptied.toLocalIterator():

@@ -6,6 +6,8 @@ single time, metrics ride on the writes, and a lost executor repeats only the st
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
@@ -53,6 +55,9 @@ class SourceSpec:
     publish_mode: str = "append"
     merge_key: str = ""
     sequence: str | None = None
+    soft_delete: str | None = None
+    tenant: str = ""
+    product: str = ""
     partition_by: Sequence[str] = ()
     zorder_by: Sequence[str] = ()
     paths: Mapping[str, str] = field(default_factory=dict)
@@ -119,9 +124,7 @@ def _land(spark: SparkSession, spec: SourceSpec, load_id: str) -> tuple[dict, li
     landed = landing.add_metadata(annotated, spec.source_system, spec.source_entity, load_id)
     metrics = bronze.metric_columns(annotated, {} if errors else spec.checks)
     observed, seen = _observed(landed, *metrics)
-    landing.write_table(
-        observed, spec.landing_table, path=spec.paths.get("landing"), partition_by=("load_id",)
-    )
+    landing.replace_load(observed, spec.landing_table, load_id, spec.paths.get("landing"))
     return dict(seen.get), errors, raw.columns
 
 
@@ -158,8 +161,8 @@ def _stage(conformed: DataFrame, spec: SourceSpec, path: str) -> tuple[DataFrame
     return spark.read.schema(checked.schema).parquet(path), dict(seen.get)
 
 
-def _publish(valid: DataFrame, spec: SourceSpec) -> tuple[str, int | None, int | None]:
-    spark = valid.sparkSession
+def _publish(valid: DataFrame, spec: SourceSpec) -> tuple[str, int | None]:
+    """Publish and say how; for an append also how many rows were written."""
     mode = (spec.publish_mode or "append").lower()
     rows = valid if spec.keep_dq_columns else valid.drop(*schemas.RULE_COLUMNS)
     path = spec.paths.get("silver")
@@ -167,14 +170,24 @@ def _publish(valid: DataFrame, spec: SourceSpec) -> tuple[str, int | None, int |
         keys = rules.key_columns(spec.merge_key or spec.primary_key)
         if not keys:
             raise ConfigError(f"missing merge key for {spec.name}")
-        publish.merge(rows, spec.silver_table, keys, spec.partition_by, path, spec.sequence)
-        return mode, None, None
+        deleted = F.expr(spec.soft_delete) if spec.soft_delete else None
+        publish.merge(rows, spec.silver_table, keys, spec.partition_by, path, spec.sequence, spec.zorder_by, deleted)
+        return mode, None
     if mode != "append":
         raise ConfigError(f"unsupported publish mode: {mode}")
-    exists = spark.catalog.tableExists(spec.silver_table)
-    before = spark.table(spec.silver_table).count() if exists else 0
-    publish.append(rows, spec.silver_table, spec.partition_by, path, spec.zorder_by)
-    return mode, before, spark.table(spec.silver_table).count()
+    return mode, publish.append(rows, spec.silver_table, spec.partition_by, path, spec.zorder_by)
+
+
+def _appended_since(spark: SparkSession, table: str, started: str) -> int:
+    """Rows of the table in files that were written after ``started``; other files are not opened."""
+    if not spark.catalog.tableExists(table):
+        return 0
+    modified = F.col("_metadata.file_modification_time")
+    return spark.table(table).filter(modified >= F.lit(started).cast("timestamp")).count()
+
+
+def _now() -> str:
+    return dt.datetime.now(dt.timezone.utc).isoformat()
 
 
 def _event(name: str, status: str = "PASS", **payload: Any) -> dict[str, Any]:
@@ -184,9 +197,9 @@ def _event(name: str, status: str = "PASS", **payload: Any) -> dict[str, Any]:
 class _Log:
     """Audit rows of one run; events are written in batches, at the points that matter."""
 
-    def __init__(self, spark, spec: SourceSpec, tables: AuditTables, run: audit.RunKey, pipeline, user):
+    def __init__(self, spark, spec: SourceSpec, tables: AuditTables, run: audit.RunKey, pipeline, user, resume=False):
         self.spark, self.spec, self.tables, self.run = spark, spec, tables, run
-        self.pipeline, self.user = pipeline, user
+        self.pipeline, self.user, self.resume = pipeline, user, resume
         self.events: list[dict[str, Any]] = []
         self._written = 0
 
@@ -200,22 +213,37 @@ class _Log:
             audit.store(frame, self.tables.validation_events, "validation_events")
         self._written = len(self.events)
 
-    def seen_before(self, name: str) -> bool:
-        """Whether an earlier attempt of this load already logged the event as passed."""
+    def payload(self, name: str) -> dict[str, Any] | None:
+        """Latest payload of an event that an earlier attempt of this load logged as passed."""
         table = self.tables.validation_events
         if not table or not self.spark.catalog.tableExists(table):
-            return False
+            return None
         mine = (F.col("run_id") == self.run.run_id) & (F.col("event_name") == name)
-        return not self.spark.table(table).filter(mine & (F.col("event_status") == "PASS")).isEmpty()
+        passed = self.spark.table(table).filter(mine & (F.col("event_status") == "PASS"))
+        last = passed.agg(F.max_by("event_payload", "event_ts")).first()[0]
+        return None if last is None else json.loads(last)
+
+    def store_once(self, frame: DataFrame, table: str, kind: str) -> None:
+        """Append audit rows unless an earlier attempt of this load already did, in one commit."""
+        if self.resume and self.spark.catalog.tableExists(table):
+            if not self.spark.table(table).filter(F.col("run_id") == self.run.run_id).isEmpty():
+                return
+        audit.store(frame, table, kind)
 
     def lifecycle(self, *entries: tuple[str, Any]) -> None:
         if self.tables.entity_lifecycle_log:
             rows = audit.lifecycle(self.spark, self.spec.name, entries, self.user)
             audit.store(rows, self.tables.entity_lifecycle_log, "entity_lifecycle_log")
 
+    def _succeeded_before(self) -> bool:
+        table = self.tables.pipeline_runs
+        if not self.resume or not self.spark.catalog.tableExists(table):
+            return False
+        return not self.spark.table(table).filter((F.col("run_id") == self.run.run_id) & (F.col("status") == "SUCCESS")).isEmpty()
+
     def finish(self, status: str, rows_in: int, rows_out: int, error: str | None) -> None:
         self.flush()
-        if self.tables.pipeline_runs:
+        if self.tables.pipeline_runs and not (status == "SUCCESS" and self._succeeded_before()):
             metrics = self.spark.range(1, numPartitions=1).select(
                 F.lit(rows_in).cast("bigint").alias("rows_in"),
                 F.lit(rows_out).cast("bigint").alias("rows_out"),
@@ -259,22 +287,33 @@ def _run_stages(spark: SparkSession, spec: SourceSpec, log: _Log, resume: bool,
     log.events += audit.structure_events(raw_columns, stored.columns, checked.columns, spec.mappings)
     log.add("dq_engine", **{k: seen[k] for k in (rules.PK_NOT_NULL, rules.PK_UNIQUE)})
 
-    before = after = None
+    written = None
     mode = (spec.publish_mode or "append").lower()
-    if not (resume and log.seen_before("silver_publish")):
+    published = log.payload("silver_publish") if resume else None
+    if published:
+        written = published.get("rows")
+    else:
+        # These two replace the load's own partition, so a repeat does not add to them.
         if spec.archive_table:
-            landing.archive(stored, spec.archive_table, hours=spec.archive_hours)
-        landing.write_table(
-            checked.drop(*schemas.RULE_COLUMNS),
-            spec.conformance_table,
-            path=spec.paths.get("conformance"),
+            landing.archive(stored, spec.archive_table, hours=spec.archive_hours, load_id=load_id)
+        landing.replace_load(
+            checked.drop(*schemas.RULE_COLUMNS), spec.conformance_table, load_id, spec.paths.get("conformance")
         )
-        mode, before, after = _publish(rules.passed(checked), spec)
+        begun = log.payload("silver_publish_begun") if resume and mode == "append" else None
+        if begun and seen["valid_rows"] and _appended_since(spark, spec.silver_table, begun["at"]) == seen["valid_rows"]:
+            written = seen["valid_rows"]  # appended, but the attempt ended before it could say so
+        else:
+            log.add("silver_publish_begun", at=_now())
+            log.flush()
+            mode, written = _publish(rules.passed(checked), spec)
         if spec.optimize:
             publish.optimize(spark, spec.silver_table, spec.zorder_by)
         # Written at once: a resumed load must not append its rows a second time.
-        log.add("silver_publish", publish_mode=mode, target=spec.silver_table)
+        log.add("silver_publish", publish_mode=mode, target=spec.silver_table, rows=written)
         log.flush()
+        if spec.archive_table and spec.archive_hours:
+            gone = landing.purge_loads(spark, spec.archive_table, spec.archive_hours, spec.as_of or _now())
+            log.add("archive_retention", purged_loads=gone)
 
     counts = {
         "raw_rows": metrics["total_rows"],
@@ -284,8 +323,9 @@ def _run_stages(spark: SparkSession, spec: SourceSpec, log: _Log, resume: bool,
         "conformance_rows": seen["conformance_rows"],
         "valid_rows": seen["valid_rows"],
         "reject_rows": seen["conformance_rows"] - seen["valid_rows"],
-        "silver_before": before,
-        "silver_after": after,
+        # What the append itself wrote; the rest of the table is not counted.
+        "silver_before": None if written is None else 0,
+        "silver_after": written,
     }
     outcome = _balance(spark, counts)
     balanced = set(outcome.values()) == {"PASS"}
@@ -293,12 +333,12 @@ def _run_stages(spark: SparkSession, spec: SourceSpec, log: _Log, resume: bool,
     if tables.bronze_dq_results:
         results = _check_results(stored, spec, metrics, errors)
         rows = audit.check_rows(spark, results, log.run, errors).coalesce(1)
-        audit.store(rows, tables.bronze_dq_results, "bronze_dq_results")
+        log.store_once(rows, tables.bronze_dq_results, "bronze_dq_results")
     if tables.dq_rule_results:
-        audit.store(audit.rule_summary(checked, log.run), tables.dq_rule_results, "dq_rule_results")
+        log.store_once(audit.rule_summary(checked, log.run), tables.dq_rule_results, "dq_rule_results")
     if tables.rejects and counts["reject_rows"]:
         rejected = audit.rejects(rules.failed(checked), log.run)
-        audit.store(rejected, tables.rejects, "rejects")
+        log.store_once(rejected, tables.rejects, "rejects")
     log.finish("SUCCESS", landing_rows, counts["valid_rows"], None)
     return RunResult(
         spec.name, load_id, "SUCCESS", landing_rows, counts["valid_rows"], counts["reject_rows"],
@@ -318,12 +358,15 @@ def run_source(
 ) -> RunResult:
     """Run all stages of a source.
 
-    With ``resume`` a load that already landed is not read again, and one that was already
-    published is not published again (known from the validation events).
+    With ``resume`` a load that already landed is not read again, and whatever an earlier attempt has
+    stored of it is there once at the end, wherever that attempt failed: landing, archive and conformance
+    are partitions of the load, audit rows are looked up by run, and the validation events say whether
+    silver was appended to. Between the start of an append and a resume nobody else may append to that
+    silver table.
     """
     load_id = load_id or uuid.uuid4().hex
     run = audit.RunKey(load_id, spec.source_system, spec.source_entity)
-    log = _Log(spark, spec, tables, run, pipeline, user)
+    log = _Log(spark, spec, tables, run, pipeline, user, resume)
     scratch = new_folder(spark, "checked")
     try:
         found = {"mappings": len(spec.mappings), "rules": len(spec.rules)}

@@ -142,6 +142,8 @@ def build(
     return SourceSpec(
         source_system=row["source_system"],
         source_entity=row["source_entity"],
+        tenant=str(row.get("tenant") or ""),
+        product=str(row.get("product_name") or ""),
         read=reader,
         landing_table=substitute(row["landing_table"]),
         conformance_table=substitute(row["conformance_table"]),
@@ -152,7 +154,7 @@ def build(
         primary_key=str(row.get("primary_key") or ""),
         publish_mode=str(rule.get("publish_mode") or row["publish_mode"]),
         merge_key=str(rule.get("merge_key") or ""),
-        sequence=None,
+        sequence=str(rule.get("sequence_column") or "").strip() or None,
         partition_by=json_list(rule.get("partition_columns_json")),
         zorder_by=json_list(rule.get("optimize_zorder_json")),
         paths=paths,

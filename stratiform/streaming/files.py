@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -171,6 +173,12 @@ def land_stream(
     return query
 
 
+def query_identity(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a query keeps as long as its checkpoint exists, shortened to twelve digits."""
+    row = spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()
+    return hashlib.sha256(json.loads(row.value)["id"].encode()).hexdigest()[:12]
+
+
 def run_stream(
     frame: DataFrame,
     spec: SourceSpec,
@@ -181,22 +189,22 @@ def run_stream(
 ) -> StreamingQuery:
     """The whole flow, micro-batch by micro-batch.
 
-    The batch number is part of the load id. A batch that is repeated after a failure finds its
-    finished run in the audit table and is skipped, or reuses what had already landed.
+    The load id names tenant, product, source, the query that the checkpoint belongs to, and the batch.
+    A batch that is repeated after a failure finds its finished run in the audit table and is skipped,
+    or reuses what had already landed. Another source or a new checkpoint never finds these.
     """
     parsed = stream_options(options)
 
     def batch(rows: DataFrame, number: int) -> None:
-        load_id = f"{spec.source_system}-{spec.source_entity}-{number}"
         spark = rows.sparkSession
+        names = [spec.tenant, spec.product, spec.source_system, spec.source_entity]
+        load_id = "-".join([*[n for n in names if n], query_identity(spark, checkpoint), str(number)])
         if tables.pipeline_runs and spark.catalog.tableExists(tables.pipeline_runs):
             done = spark.table(tables.pipeline_runs).filter(
                 (F.col("run_id") == load_id) & (F.col("status") == "SUCCESS")
             )
             if not done.isEmpty():
                 return
-        from dataclasses import replace
-
         part = replace(spec, read=lambda _: rows)
         result = run_source(spark, part, tables, load_id=load_id, resume=True)
         if on_result:

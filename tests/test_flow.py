@@ -336,14 +336,82 @@ def test_whole_flow_per_batch(spark, rows, make, tables):
     assert spark.table(tables.pipeline_runs).count() == 3
 
 
-def test_repeated_batch_is_skipped(spark, make, tables):
+def test_new_checkpoint_takes_all_files_again(spark, make, tables):
+    """Another query's finished batches do not count, though they have the same numbers."""
     path = new_folder(spark, "in")
     spec = make()
     _write(spark, path, [("1", "a", "1")])
-    for _ in range(2):  # a fresh checkpoint numbers the batch 0 again
+    for _ in range(2):
         frame = streams.read_stream(spark, path, "json", "crm", "orders", {"add_metadata_columns": False}, RAW)
         streams.run_stream(frame, spec, new_folder(spark, "state"), tables)
+    assert spark.table(spec.silver_table).count() == 2
+
+
+def test_products_with_one_entity_keep_their_batches(spark, rows, make, tables):
+    for product in ("p1", "p2"):
+        path = new_folder(spark, "in")
+        spec = make(product=product)
+        _write(spark, path, [("1", product, "1")])
+        frame = streams.read_stream(spark, path, "json", "crm", "orders", {"add_metadata_columns": False}, RAW)
+        streams.run_stream(frame, spec, new_folder(spark, "state"), tables)
+        assert rows(spark.table(spec.silver_table), "name") == [(product.upper(),)]
+
+
+def test_finished_batch_of_one_checkpoint_is_skipped(spark, make, tables, monkeypatch):
+    """The run was stored, but the query died before it could note the batch as done."""
+    path, state = new_folder(spark, "in"), new_folder(spark, "state")
+    spec = make()
+    _write(spark, path, [("1", "a", "1")])
+
+    def once():
+        frame = streams.read_stream(spark, path, "json", "crm", "orders", {"add_metadata_columns": False}, RAW)
+        streams.run_stream(frame, spec, state, tables, on_result=seen)
+
+    def seen(_):
+        raise RuntimeError("driver lost")
+
+    with pytest.raises(Exception):
+        once()
+    seen = lambda _: None
+    once()
     assert spark.table(spec.silver_table).count() == 1
+    assert spark.table(tables.pipeline_runs).filter("status = 'SUCCESS'").count() == 1
+
+
+STAGES = ["conform.apply", "rules.apply", "landing.archive", "publish.append", "after append", "audit.check_rows",
+          "audit.rule_summary", "audit.rejects", "_Log.finish"]
+
+
+@pytest.mark.parametrize("stage", STAGES)
+def test_resume_after_a_failure_at_any_stage(spark, rows, make, tables, new_name, monkeypatch, stage):
+    """Every table holds the load once, as if the first attempt had come through."""
+    spec = make(archive_table=new_name("archive"))
+
+    def lost(*_, **__):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as patch:
+        if stage == "after append":
+            append = flow.publish.append
+            patch.setattr(flow.publish, "append", lambda *a, **b: (append(*a, **b), lost()))
+        else:
+            owner, name = stage.split(".")
+            finish = flow._Log.finish
+            failing = lost if stage != "_Log.finish" else lambda self, status, *a: lost() if status == "SUCCESS" else finish(self, status, *a)
+            patch.setattr(getattr(flow, owner), name, failing)
+        assert run_source(spark, spec, tables, load_id="L", resume=True, fail_fast=False).status == "FAILED"
+        second = run_source(spark, spec, tables, load_id="L", resume=True, fail_fast=False).status
+        assert second == ("SUCCESS" if stage == "after append" else "FAILED")  # what is there is not appended again
+    again = run_source(spark, spec, tables, load_id="L", resume=True)
+    assert again.status == "SUCCESS" and (again.rows_in, again.valid_rows, again.reject_rows) == (5, 1, 3)
+    counts = {"landing": spec.landing_table, "archive": spec.archive_table, "conformed": spec.conformance_table,
+              "silver": spec.silver_table, "rejects": tables.rejects, "checks": tables.bronze_dq_results,
+              "rules": tables.dq_rule_results}
+    got = {k: spark.table(v).count() for k, v in counts.items()}
+    assert got == {"landing": 5, "archive": 5, "conformed": 4, "silver": 1, "rejects": 3, "checks": 6, "rules": 3}
+    assert rows(spark.table(tables.pipeline_runs).filter("status = 'SUCCESS'"), "rows_in", "rows_out") == [(5, 1)]
+    events = spark.table(tables.validation_events).filter("event_name = 'verification_summary' and event_status = 'PASS'")
+    assert not events.isEmpty()
 
 
 def test_stream_options():
