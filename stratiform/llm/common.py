@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratiform.session import drop_folder, new_folder
@@ -39,6 +39,32 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
 
+def smallest_draws(frame: DataFrame, label: str, per_label: int, max_labels: int = 200) -> DataFrame:
+    """The ``per_label`` rows of smallest ``draw`` (a 64-bit hash) of each label.
+
+    Labels are counted first, so that only about four times as many rows as are wanted pass a bound on
+    ``draw`` and reach the tasks that rank them, however many rows or input partitions there are. If
+    too few pass, all rows are ranked.
+    """
+    counts = frame.groupBy(label).count().limit(max_labels + 1).collect()
+    if len(counts) > max_labels:
+        raise ValueError(f"more than {max_labels} values of {label}")
+    near = F.lit(False)
+    for value, count in counts:
+        share = min(1.0, (4 * per_label + 100) / count)
+        near = near | ((F.col(label) == F.lit(value)) & (F.col("draw") <= min(int(share * 2**64), 2**64 - 1) - 2**63))
+    order = Window.partitionBy(label).orderBy("draw", *[c for c in frame.columns if c not in (label, "draw")])
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("__nth", F.row_number().over(order)).where(F.col("__nth") <= per_label).drop("__nth")
+
+    some = staged(ranked(frame.where(near)), "draws")
+    found = dict(some.groupBy(label).count().collect())
+    if all(found.get(value, 0) >= min(count, per_label) for value, count in counts if value is not None):
+        return some
+    return ranked(frame)
+
+
 def with_own(frame: DataFrame, **own: Column) -> DataFrame:
     """Add columns; an extra column of the input that has the same name gives way."""
     names = {name.lower() for name in own}

@@ -17,10 +17,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import held_out, mix, with_own
+from stratiform.llm.common import held_out, mix, smallest_draws, with_own
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -277,11 +277,7 @@ def train(docs: DataFrame, per_label: int = 150, max_chars: int = 20_000, max_la
     usable = docs.where(
         ~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= max_chars)
     ).select("text", F.col("lang").alias("label"), F.xxhash64("doc_id", "text").alias("draw"))
-    order = Window.partitionBy("label").orderBy("draw", "text")
-    picked = usable.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_label).select("label", "text")
-    rows = picked.limit(per_label * max_labels + 1).collect()
-    if len(rows) > per_label * max_labels:
-        raise ValueError(f"more than {max_labels} labels")
+    rows = smallest_draws(usable, "label", per_label, max_labels).select("label", "text").collect()
     rows.sort()
     return fit([r["text"] for r in rows], [r["label"] for r in rows])
 

@@ -13,10 +13,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import held_out, with_own
+from stratiform.llm.common import held_out, smallest_draws, with_own
 
 #: Words, and what ends a sentence.
 TOKENS = re.compile(r"[^\W\d_]+|[.!?\n]+")
@@ -161,8 +161,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = 1500, max_chars:
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = known.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_label).select("doc_id", "toxic")
+    picked = smallest_draws(known.withColumn("draw", F.xxhash64("doc_id")), "toxic", per_label).select("doc_id", "toxic")
     usable = docs.where(F.col("text").isNotNull() & (F.length("text") <= max_chars)).select("doc_id", "text")
     # At most 2 * per_label rows of two numbers are sent out.
     rows = usable.join(F.broadcast(picked), "doc_id").distinct().limit(4 * per_label).collect()
