@@ -73,7 +73,10 @@ class LineRuns:
             "fresh",
         )
         self._push(name, 0)
-        return self.spark.table(name).where("owner < last").select("h1", "h2", "owner")
+        repeated = self.spark.table(name).where("owner < last")
+        # As expressions the hashes are no bucket columns: lines and this side are both shuffled, and
+        # adaptive execution can then split a line that very many documents hold over several tasks.
+        return repeated.select((F.col("h1") + 0).alias("h1"), (F.col("h2") + 0).alias("h2"), "owner")
 
     def _push(self, name: str, level: int) -> None:
         while len(self.levels) <= level:
