@@ -65,13 +65,15 @@ def _file_reader(row: Mapping[str, Any], given: dict[str, Any]) -> Callable[[Spa
     return lambda spark: files.read_files(spark, path, kind, wanted, load_type, schema=ddl)
 
 
-def _stream_reader(row: Mapping[str, Any], given: Mapping[str, Any]) -> Callable[[SparkSession], DataFrame]:
+def _stream_reader(
+    row: Mapping[str, Any], given: Mapping[str, Any], schema_location: str | None
+) -> Callable[[SparkSession], DataFrame]:
     from stratiform.streaming.files import read_stream
 
     path = substitute(str(row.get("source_path") or ""))
     kind = str(row.get("source_format") or "")
     return lambda spark: read_stream(
-        spark, path, kind, row["source_system"], row["source_entity"], given
+        spark, path, kind, row["source_system"], row["source_entity"], given, schema_location=schema_location
     )
 
 
@@ -118,11 +120,12 @@ def build(
     mode = str(given.get("file_ingest_mode") or "batch").strip().lower()
     stream = checkpoint = None
     if kind == "FILE" and mode == STREAM_MODE:
-        stream = _stream_reader(row, given)
         reader = _no_batch_reader
         if checkpoint_root:
             names = [row.get(k) or "" for k in ("tenant", "product_name", "source_system", "source_entity")]
             checkpoint = "/".join([checkpoint_root.rstrip("/"), *[n for n in names if n]])
+        # Beside the checkpoint, as folders inside it belong to the query.
+        stream = _stream_reader(row, given, checkpoint and f"{checkpoint}-schema")
     elif kind == "FILE":
         reader = _file_reader(row, given)
     elif kind == "JDBC":
@@ -187,7 +190,7 @@ def from_control(
     chosen = control.select_sources(registry, product_name, source_system, source_entity)
     sources = [r.asDict() for r in chosen.collect()]
     if not sources:
-        known = control.active(registry).select(F.concat_ws(".", *control.ENTITY)).limit(20).collect()
+        known = control.active(registry).select(F.concat_ws(".", *control.ENTITY)).collect()
         logger.warning("no active source matches; available: %s", [r[0] for r in known])
         return []
     keys = chosen.select(*[F.lower(c).alias(c) for c in control.ENTITY]).distinct()

@@ -6,7 +6,7 @@ import posixpath
 from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,13 +47,14 @@ def read_files(
     given = opt.chosen(options, opt.READER_OPTIONS)
     where = glob_into_path(path.strip(), given)
     start = since or (options or {}).get("incremental_start_timestamp")
-    reader = spark.read.format(opt.BATCH_FORMATS[kind]).options(**given)
-    if schema is not None and opt.BATCH_FORMATS[kind] != "binaryFile":
+    fixed = kind in ("fixed-width", "fixed_width") and schema is not None
+    reader = spark.read.format("text" if fixed else opt.BATCH_FORMATS[kind]).options(**given)
+    if schema is not None and not fixed and opt.BATCH_FORMATS[kind] != "binaryFile":
         reader = reader.schema(schema)
     frame = reader.load(where)
     if load_type == "incremental" and start:
         frame = newer_files(frame, start)
-    return frame
+    return fixed_width_fields(frame, schema) if fixed else frame
 
 
 def newer_files(frame: DataFrame, since: str) -> DataFrame:
@@ -62,32 +63,92 @@ def newer_files(frame: DataFrame, since: str) -> DataFrame:
     return frame.filter(modified > F.lit(since).cast("timestamp"))
 
 
-def read_mixed_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Records of files that are each a JSON array, one JSON object or JSON lines.
+def read_mixed_json(
+    spark: SparkSession, path: str, schema: T.StructType | str, bad: str | None = None
+) -> DataFrame:
+    """Records of files that are each a JSON array, JSON objects over several lines, or JSON lines.
+
+    Only the first bytes of each file are looked at to tell JSON lines, which are then read split by
+    split with each line parsed alone; the other files are read whole, and so is a file whose first line is longer than ``HEAD_BYTES``. ``bad`` names a column for the
+    text of what cannot be parsed.
+    """
+    heads = spark.read.format("binaryFile").load(path).select("path", F.substring("content", 1, HEAD_BYTES).alias("head"))
+    text = F.regexp_replace(F.col("head").cast("string"), _BLANK_OR_MARK, "")
+    kinds = heads.select("path", _by_line(_lines(text)).alias("by_line"))
+    by_line = [r.path for r in kinds.where("by_line").select("path").toLocalIterator()]
+    whole = [r.path for r in kinds.where("NOT by_line").select("path").toLocalIterator()]
+    record = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    parts = []
+    if by_line:
+        parts.append(json_lines(spark.read.text(by_line), "value", record, bad))
+    if whole:
+        parts.append(mixed_records(spark.read.text(whole, wholetext=True), "value", record, bad))
+    if not parts:
+        parts.append(json_lines(spark.read.text(path), "value", record, bad))
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+#: Bytes of a file that are enough to see its first line end, or to see that it is very long.
+HEAD_BYTES = 65_536
+
+_BLANK_OR_MARK = r"^(\uFEFF|\s)+|\s+$"
+
+
+def _lines(text: Column) -> Column:
+    return F.filter(F.split(text, r"\r?\n"), lambda line: F.length(F.trim(line)) > 0)
+
 
-    Files are read whole, as an array or an object may span lines and cannot be split; one file
-    is one row, and files spread over all tasks.
+def _is_value(line: Column) -> Column:
+    return F.coalesce(line.rlike(r"^\s*(\{.*\}|\[.*\])\s*$") & F.try_parse_json(line).isNotNull(), F.lit(False))
+
+
+def _by_line(lines: Column) -> Column:
+    """Whether a text holds a value on each line, told by its first two lines.
+
+    A line that ends with an opening bracket begins a value over several lines. A line that is no
+    value is malformed if it does not begin like one, or if the next line is a value.
     """
-    return mixed_records(spark.read.text(path, wholetext=True), "value", schema)
+    first, second = F.coalesce(F.get(lines, 0), F.lit("")), F.get(lines, 1)
+    return ~first.rlike(r"[\[{]\s*$") & (_is_value(first) | _is_value(second) | ~first.rlike(r"^\s*[\[{]"))
+
+
+def json_lines(lines: DataFrame, line: str, schema: T.StructType | str, bad: str | None = None) -> DataFrame:
+    """Records of text lines; a line is an object or an array of objects, and costs only itself if malformed."""
+    record = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    text = F.regexp_replace(F.col(line), _BLANK_OR_MARK, "")
+    return _records(lines.filter(F.length(text) > 0), line, F.array(text), record, bad)
 
 
-def mixed_records(bodies: DataFrame, body: str, schema: T.StructType | str) -> DataFrame:
-    """Records of whole JSON texts in any of the three shapes, with the other columns.
+def mixed_records(bodies: DataFrame, body: str, schema: T.StructType | str, bad: str | None = None) -> DataFrame:
+    """Records of whole JSON texts in any shape, with the other columns.
 
-    Lines are parsed one by one, so a malformed line costs its own record only (all NULL).
+    A text is one value (an array or an object), one value on each line, or several objects one after
+    the other over any number of lines. What is malformed gives one record of NULLs for its line or
+    object, with its text in the column ``bad`` if that is named.
     """
     record = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    many = T.ArrayType(record)
-    text = F.regexp_replace(F.col(body), r"^(\uFEFF|\s)+|\s+$", "")
-    lines = F.filter(F.split(text, r"\r?\n"), lambda line: F.length(F.trim(line)) > 0)
-    by_line = F.try_parse_json(F.get(lines, 0)).isNotNull()
-    listed = (
-        F.when(text.startswith("["), F.from_json(text, many))
-        .when(by_line, F.transform(lines, lambda line: F.from_json(line, record)))
-        .otherwise(F.array(F.from_json(text, record)))
-    )
-    others = [c for c in bodies.columns if c != body]
-    return bodies.select(*others, F.inline(listed))
+    text = F.regexp_replace(F.col(body), _BLANK_OR_MARK, "")
+    lines = _lines(text)
+    # Within a value a bracket that closes is never followed by one that opens, without a comma.
+    values = F.split(text, r"(?<=[\]}])\s*\r?\n\s*(?=[\[{])")
+    parts = F.when(_by_line(lines), lines).otherwise(F.filter(values, lambda v: F.length(v) > 0))
+    return _records(bodies, body, parts, record, bad)
+
+
+def _records(frame: DataFrame, source: str, parts: Column, record: T.StructType, bad: str | None) -> DataFrame:
+    """All records of the JSON values in ``parts``, beside the other columns of ``frame``."""
+    others = [c for c in frame.columns if c != source]
+    values = frame.select(*others, F.explode(parts).alias("__value"))
+    text = F.col("__value")
+    broken = F.try_parse_json(text).isNull()
+    listed = F.when(F.ltrim(text).startswith("["), F.from_json(text, T.ArrayType(record))).otherwise(F.array(F.from_json(text, record)))
+    empty = F.array(F.from_json(F.lit("{}"), record))
+    found = values.select(*others, "__value", broken.alias("__broken"), F.explode(F.when(broken, empty).otherwise(listed)).alias("__r"))
+    kept = [F.when(F.col("__broken"), F.col("__value")).alias(bad)] if bad else []
+    return found.select(*others, "__r.*", *kept)
 
 
 def fixed_width(lines: DataFrame, columns: Sequence[tuple[str, int, int, str]]) -> DataFrame:
@@ -100,6 +161,21 @@ def fixed_width(lines: DataFrame, columns: Sequence[tuple[str, int, int, str]])
     )
 
 
+def fixed_width_fields(lines: DataFrame, schema: T.StructType | str) -> DataFrame:
+    """Cut text lines by a schema whose columns carry their place as a comment: ``name type COMMENT
+    'start:length'``. Other columns of ``lines`` stay."""
+    record = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    cuts = []
+    for field in record.fields:
+        place = (field.metadata or {}).get("comment", "").split(":")
+        if len(place) != 2 or not all(p.strip().isdigit() for p in place):
+            raise ConfigError(f"fixed-width column {field.name!r} needs the comment 'start:length'")
+        cuts.append((field.name, int(place[0]), int(place[1]), field.dataType.simpleString()))
+    others = [c for c in lines.columns if c != "value"]
+    cut = [F.trim(F.substring("value", start, length)).try_cast(kind).alias(name) for name, start, length, kind in cuts]
+    return lines.select(*others, *cut)
+
+
 def listing(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
     """(path, modificationTime, length) of files; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())

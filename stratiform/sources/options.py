@@ -15,7 +15,8 @@ from stratiform.errors import ConfigError
 BATCH_FORMATS = {
     "json": "json", "jsonl": "json", "binaryfile": "binaryFile", "json_jsonl_mixed": "binaryFile",
     "csv": "csv", "parquet": "parquet", "avro": "avro", "orc": "orc", "text": "text",
-    "xml": "xml",
+    "xml": "xml", "fixed-width": "text",
+    "fixed_width": "text",
 }
 # File formats of streaming sources; those Spark cannot parse land as bytes.
 STREAM_FORMATS = {
@@ -61,6 +62,7 @@ UNSUPPORTED_READER_OPTIONS = [
     "cloudFiles.useNotifications", "cloudFiles.useIncrementalListing",
     "cloudFiles.backfillInterval",
 ]
+# Option names of database sources and of the flow, and evolution modes.
 JDBC_OPTIONS = [
     "query", "prepareQuery", "queryTimeout", "sessionInitStatement", "pushDownPredicate",
     "pushDownAggregate", "pushDownLimit", "pushDownOffset", "pushDownTableSample", "truncate",

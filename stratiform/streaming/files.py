@@ -6,19 +6,21 @@ import hashlib
 import json
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
+from datetime import datetime, timedelta, timezone
 from typing import Any
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stratiform.errors import ConfigError
-from stratiform.operators.landing import add_metadata
+from stratiform.operators.landing import add_metadata, widen
 from stratiform.plans.flow import AuditTables, RunResult, SourceSpec, run_source
 from stratiform.sources import options as opt
-from stratiform.sources.files import glob_into_path, mixed_records
-from stratiform.sources.rescue import parse_lines
+from stratiform.sources.files import fixed_width_fields, glob_into_path, mixed_records
+from stratiform.sources.rescue import parse_lines, widened_schema
 
 OUTPUT_MODES = ("append", "complete", "update")
 
@@ -66,8 +68,6 @@ def stream_options(options: Mapping[str, Any] | None, evolution: str = "addNewCo
             reader[name] = opt.spark_text(extra[name])
     if not _flag(extra.get("include_existing"), True):
         # Only files that appear from now on; the file source has no such switch of its own.
-        from datetime import datetime, timezone
-
         reader["modifiedAfter"] = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S")
     ddl = given.get("schema_ddl")
     if extra.get("schema_hints"):
@@ -104,18 +104,27 @@ def read_stream(
     entity: str,
     options: Mapping[str, Any] | None = None,
     schema: T.StructType | str | None = None,
+    schema_location: str | None = None,
 ) -> DataFrame:
-    """Lazy stream over new files. JSON lines in *rescue* or *failOnNewColumns* mode are read as
-    text and parsed under the schema, so that unknown keys can be told from known ones."""
+    """Lazy stream over new files.
+
+    JSON lines are read as text and parsed under the schema, so that unknown keys can be told from
+    known ones. In *addNewColumns* mode the schema first learns the keys of the files that are there,
+    and is kept in ``schema_location``; a key that turns up while the query runs stops it, and the next
+    start knows it. Without ``schema_location`` every start looks through all files for keys.
+    """
     if not str(path or "").strip():
         raise ConfigError("source path is required")
     parsed = stream_options(options)
     kind = opt.resolve_format(fmt, opt.STREAM_FORMATS)
     target = opt.STREAM_FORMATS[kind]
     wanted = schema if schema is not None else parsed.schema_ddl
-    by_line = target == "json" and parsed.evolution in ("rescue", "failOnNewColumns") and wanted
     given = dict(parsed.reader)
     where = glob_into_path(path, given)
+    whole_files = str(given.get("multiLine", "")).lower() == "true"
+    by_line = target == "json" and parsed.evolution != "none" and wanted and not whole_files
+    if by_line and parsed.evolution == "addNewColumns":
+        wanted = evolved_schema(spark, where, given, wanted, schema_location)
     mixed = kind == "json_jsonl_mixed"
     if mixed:
         given["wholetext"] = "true"
@@ -137,12 +146,47 @@ def read_stream(
             }
         )
     if by_line:
-        frame = parse_lines(frame, "value", wanted, parsed.evolution)
+        late = "failOnNewColumns" if parsed.evolution == "addNewColumns" else parsed.evolution
+        frame = parse_lines(frame, "value", wanted, late)
     elif mixed and wanted is not None:
         frame = mixed_records(frame, "value", wanted)
+    elif kind in ("fixed-width", "fixed_width") and wanted is not None:
+        frame = fixed_width_fields(frame, wanted)
     return frame
 
 
+def evolved_schema(
+    spark: SparkSession, path: str, reader: Mapping[str, str], schema: T.StructType | str, location: str | None
+) -> T.StructType:
+    """The schema with all keys of the files so far; what ``location`` holds spares older files a look.
+
+    Each start adds one line there: the schema, and the day from which files have to be looked at by
+    the next start. A day, as the clocks of writers and readers differ.
+    """
+    record = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    given, now = dict(reader), datetime.now(timezone.utc)
+    if location:
+        try:
+            kept = [json.loads(r.value) for r in spark.read.text(location).collect()]
+        except AnalysisException:
+            kept = []
+        for known in sorted(kept, key=lambda k: k["since"]):
+            names = set(record.fieldNames())
+            record = T.StructType(record.fields + [f for f in T.StructType.fromJson(known["schema"]).fields if f.name not in names])
+            given["modifiedAfter"] = known["since"]
+    lines = spark.read.format("text").options(**{k: v for k, v in given.items() if k in _FILE_CHOICE}).load(path)
+    record = widened_schema(lines, "value", record)
+    if location:
+        since = (now - timedelta(days=1)).strftime("%Y-%m-%dT%H:%M:%S")
+        line = json.dumps({"since": since, "schema": record.jsonValue()})
+        spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(location)
+    return record
+
+
+#: Reader options that choose files; the others concern their contents.
+_FILE_CHOICE = ("recursiveFileLookup", "pathGlobFilter", "modifiedAfter", "modifiedBefore")
+
+
 def _trigger(writer, parsed: StreamOptions):
     # ``once`` is the older name of a single run over what is there.
     return writer.trigger(availableNow=True) if parsed.once or parsed.available_now else writer
@@ -163,6 +207,12 @@ def land_stream(
         raise ConfigError("landing_table is required")
     parsed = stream_options(options)
     landed = add_metadata(frame, system, entity, load_id)
+    spark = frame.sparkSession
+    if spark.catalog.tableExists(table):
+        if parsed.merge_schema:
+            widen(spark, table, landed)
+        else:
+            landed = landed.select(*[c for c in spark.table(table).columns if c in landed.columns])
     writer = landed.writeStream.outputMode(parsed.output_mode).option("checkpointLocation", checkpoint)
     if path:
         writer = writer.option("path", path)

@@ -313,6 +313,20 @@ def test_stream_rescue(spark):
     assert got[0].raw_id == "1" and "raw_amount" in got[0]._rescued_data
 
 
+def test_stream_learns_new_columns(spark, rows, new_name):
+    """Two starts: the second file has a key more, which the stored table then has as well."""
+    path, state, known, name = (new_folder(spark, x) for x in ("in", "state", "schema", "t"))
+    name = new_name("evolved")
+    for text in ('{"a": "1"}', '{"a": "2", "b": "x", "c": {"d": 1}}', '{"a": "3"}'):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(path)
+        frame = streams.read_stream(spark, path, "json", "s", "e", {"add_metadata_columns": False}, "a string", known)
+        streams.land_stream(frame, name, state, "s", "e", "L")
+    assert rows(spark.table(name), "a", "b", "c") == [("1", None, None), ("2", "x", '{"d":1}'), ("3", None, None)]
+    narrow = streams.read_stream(spark, path, "json", "s", "e", {"add_metadata_columns": False}, "a string, z int", known)
+    streams.land_stream(narrow, name, new_folder(spark, "state"), "s", "e", "L", {"mergeSchema": "false"})
+    assert "z" not in spark.table(name).columns
+
+
 def test_whole_flow_per_batch(spark, rows, make, tables):
     path, state = new_folder(spark, "in"), new_folder(spark, "state")
     spec = make(publish_mode="merge", merge_key="id")

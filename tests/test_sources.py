@@ -227,10 +227,52 @@ def test_rescue_modes(spark, rows):
         rescue.parse_lines(_lines(spark), "value", "a int", "other")
 
 
-def test_widening_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(rescue, "MAX_NEW_COLUMNS", 1)
+def test_widening_is_bounded_on_request(spark):
     with pytest.raises(ConfigError):
-        rescue.widened_schema(_lines(spark), "value", "a int")
+        rescue.widened_schema(_lines(spark), "value", "a int", most=1)
+
+
+def test_rescue_keeps_what_does_not_fit(spark):
+    lines = ['{"a": "abc", "b": 1}', "broken {", '{"a": null}', "", '{"a": 3}', "[1]"]
+    frame = spark.createDataFrame([(i, text) for i, text in enumerate(lines)], "n int, value string")
+    got = {r.n: (r.a, r._rescued_data) for r in rescue.parse_lines(frame, "value", "a int", "rescue").collect()}
+    assert json.loads(got[0][1]) == {"a": "abc", "b": "1"} and got[0][0] is None
+    assert got[1] == (None, "broken {") and got[5] == (None, "[1]")
+    assert got[2] == got[3] == (None, None) and got[4] == (3, None)
+
+
+SHAPES = {
+    "a": 'not json\n{"a":1}\n{"a":2}\n', "b": '[{"a":3}]\n[{"a":4},{"a":5}]\n', "c": '{\n "a": 6\n}\n{\n "a": 7\n}\n',
+    "d": '\ufeff[\n{"a":8},\n{"a":9}\n]', "e": '\ufeff{"a":10}\n\n{"a":11}\r\n{"a":', "f": "", "g": '{"a":12}',
+    "h": '[{"a":13},{"a":14}]', "i": '{"a": 15,\n "b": {"c":\n 1}}\n{"a": 16,\n"b":2}', "j": '{"a":\n17}',
+}
+
+
+def test_mixed_json_loses_nothing(spark, rows, tmp_path):
+    for name, text in SHAPES.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    expected = sorted([*[(n, None) for n in range(1, 18)], (None, "not json"), (None, '{"a":')], key=repr)
+    assert rows(files.read_mixed_json(spark, str(tmp_path), "a int", bad="bad")) == expected
+    bodies = spark.createDataFrame([(v,) for v in SHAPES.values()], "body string")
+    assert rows(files.mixed_records(bodies, "body", "a int", bad="bad")) == expected
+
+
+def test_json_lines_are_read_in_splits(spark, tmp_path):
+    (tmp_path / "long.json").write_text("".join(f'{{"a": {n}, "pad": "{"x" * 90}"}}\n' for n in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        frame = files.read_mixed_json(spark, str(tmp_path), "a int")
+        assert frame.rdd.getNumPartitions() > 4 and frame.count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_fixed_width_files(spark, rows, tmp_path):
+    (tmp_path / "f.txt").write_text("0012abc  \n00x3de\n")
+    schema = "n int COMMENT '1:4', t string COMMENT '5:5'"
+    assert rows(files.read_files(spark, str(tmp_path), "fixed-width", schema=schema)) == [(12, "abc"), (None, "de")]
+    with pytest.raises(ConfigError):
+        files.read_files(spark, str(tmp_path), "fixed_width", schema="n int")
 
 
 def test_substitution():
