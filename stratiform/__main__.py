@@ -4,12 +4,19 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from stratiform import schemas
 from stratiform.plans import control, flow, spec
 
 
+def _print(frame: DataFrame) -> None:
+    """Every row, one after the other as it comes."""
+    print(*frame.columns, sep="\t")
+    for row in frame.toLocalIterator():
+        print(*["" if v is None else v for v in row], sep="\t")
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="stratiform")
     parser.add_argument("--config-dir", required=True, help="folder with the four control CSVs")
@@ -28,7 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     if not args.execute:
         chosen = control.select_sources(registry, args.product_name, args.source_system, args.source_entity)
         numbered = publish.withColumn("ordinal", control.row_order())
-        control.dry_run(chosen, mappings, rules, numbered).show(1000, truncate=False)
+        _print(control.dry_run(chosen, mappings, rules, numbered))
         return 0
     specs = spec.from_control(
         spark, *frames.values(), product_name=args.product_name,
@@ -38,7 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     names = flow.AuditTables.__dataclass_fields__ if args.audit_schema else ()
     tables = flow.AuditTables(**{n: f"{args.audit_schema}.{n}" for n in names})
     report = flow.run_all(spark, specs, tables, fail_fast=args.fail_fast)
-    report.show(1000, truncate=False)
+    _print(report)
     return 0 if report.filter("status <> 'SUCCESS'").isEmpty() else 1
 
 

@@ -69,15 +69,67 @@ def cluster(df: DataFrame, columns: Sequence[str], files: int | None = None, bit
     return _ranged(with_z_value(df, columns, bits), [Z_COLUMN], files)
 
 
+#: Values that are looked at to place the cells of a text column; numbers are summed up natively.
+SAMPLE_VALUES = 20_000
+
+
+def cell_bounds(df: DataFrame, columns: Sequence[str], bits: int) -> list[list]:
+    """For each column the values that cut its rows into up to ``2 ** bits`` cells of even size.
+
+    Outliers and common prefixes take no cells away, as cells follow the rows, not the range.
+    """
+    shares = [i / (1 << bits) for i in range(1, 1 << bits)]
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
+    numbers = [c for c in columns if c not in texts]
+    found = {}
+    if numbers:
+        row = df.agg(*[F.percentile_approx(_as_number(df, c), shares, 10_000).alias(f"b{i}") for i, c in enumerate(numbers)]).first()
+        found = {c: sorted(set(row[f"b{i}"] or [])) for i, c in enumerate(numbers)}
+    if texts:
+        total = df.agg(F.count(F.lit(1))).first()[0]
+        # Twice what is wanted on average; the limit bounds what comes to the driver.
+        some = df.select(*texts).sample(min(1.0, 2 * SAMPLE_VALUES / max(total, 1)), seed=1).limit(4 * SAMPLE_VALUES).collect()
+        for c in texts:
+            values = sorted(r[c] for r in some if r[c] is not None)
+            found[c] = sorted({values[int(share * len(values))] for share in shares}) if values else []
+    return [found[c] for c in columns]
+
+
+def _cell(value: Column, bounds: Sequence) -> Column:
+    """How many bounds lie below the value, by a search tree of comparisons; NULL is in cell 0."""
+
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low).cast("bigint")
+        middle = (low + high) // 2
+        return F.when(value > F.lit(bounds[middle]), between(middle + 1, high)).otherwise(between(low, middle))
+
+    return between(0, len(bounds))
+
+
+def with_cells(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFrame:
+    """Add the Z-value over the columns' cells (``with_z_value`` has cells of even width instead)."""
+    if not columns:
+        raise ValueError("need at least one column")
+    bits = max(1, min(bits, 62 // len(columns)))
+    z = F.lit(0).cast("bigint")
+    for i, (name, bounds) in enumerate(zip(columns, cell_bounds(df, columns, bits))):
+        is_text = isinstance(df.schema[name].dataType, T.StringType)
+        cell = _cell(F.col(name) if is_text else _as_number(df, name), bounds)
+        for bit in range(bits):
+            one = F.shiftright(cell, bit).bitwiseAND(F.lit(1).cast("bigint"))
+            z = z + F.shiftleft(one, bit * len(columns) + i)
+    return df.withColumn(Z_COLUMN, z)
+
+
 def packed(
     df: DataFrame, columns: Sequence[str], partitions: Sequence[str] = (), files: int | None = None
 ) -> DataFrame:
-    """Rows in even output partitions: by table partition first, then along the Z-order curve.
+    """Rows in even output partitions: by table partition first, then along the Z-order curve, and
+    within a cell by the columns themselves.
 
     The Z-value stays as a column when there is one.
     """
     if not columns:
         return _ranged(df, list(partitions), files)
-    bits = min(10, 62 // len(columns))
-    marked = with_z_value(df, columns, bits)
-    return _ranged(marked, [*partitions, Z_COLUMN], files)
+    return _ranged(with_cells(df, columns), [*partitions, Z_COLUMN, *columns], files)

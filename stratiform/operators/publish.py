@@ -209,7 +209,7 @@ def _merge_stored(
     stage = new_folder(spark, "staged")
     if zorder_by:
         merged = cluster.packed(merged, list(zorder_by), parts)
-    staged = _replace_partitions(spark, merged, table, stage, [cluster.Z_COLUMN] if zorder_by else [])
+    staged = _replace_partitions(spark, merged, table, stage, [cluster.Z_COLUMN, *zorder_by] if zorder_by else [])
     left = staged.select(*[F.col(p).alias(f"__{p}") for p in parts]).distinct()
     emptied = touched.frame.join(left, _same(parts), "left_anti")
     for row in emptied.toLocalIterator():
@@ -261,7 +261,7 @@ def optimize(
     parts = _partition_columns(spark, table)
     packed = cluster.packed(target, list(zorder_by), parts, files)
     if parts:
-        order = [cluster.Z_COLUMN] if zorder_by else []
+        order = [cluster.Z_COLUMN, *zorder_by] if zorder_by else []
         stage = new_folder(spark, "staged")
         _replace_partitions(spark, packed, table, stage, order)
         drop_folder(spark, stage)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stratiform.operators import cluster, export, landing, publish
@@ -156,6 +157,21 @@ _Z = " + ".join(
 )
 
 
+@query(
+    "zorder_text",
+    """SELECT count(*) AS row_count, TRUE AS cells_follow_the_text, least(64, count(DISTINCT c_name)) AS cells FROM customer""",
+)
+def zorder_text(spark, sf_dir):
+    """Names with a long common beginning still fall into even cells, in their order."""
+    cells = cluster.with_cells(table(spark, sf_dir, "customer").select("c_name"), ["c_name"])
+    ranges = cells.groupBy("z_value").agg(F.count("*").alias("n"), F.min("c_name").alias("low"), F.max("c_name").alias("high"))
+    before = F.max("high").over(Window.orderBy("z_value").rowsBetween(Window.unboundedPreceding, -1))  # 64 rows
+    apart = ranges.withColumn("apart", F.coalesce(F.col("low") > before, F.lit(True)))
+    return apart.agg(
+        F.sum("n").alias("row_count"), F.bool_and("apart").alias("cells_follow_the_text"), F.count("*").alias("cells")
+    )
+
+
 @query(
     "zorder_cluster",
     f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST({_Z} AS BIGINT) AS z_value FROM

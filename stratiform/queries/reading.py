@@ -70,14 +70,85 @@ def watermark_next(spark, sf_dir):
     return jdbc.next_watermark(increment, "o_orderdate")
 
 
-@query("file_profile")
+def _page_files(spark, sf_dir):
+    """The pages as a file listing: where each would lie, its size, and a moment to each."""
+    page = F.col("page_id")
+    kind = page % 4
+    name = (
+        F.when(kind == 0, F.concat(F.lit("/_delta_log/"), page, F.lit(".json")))
+        .when(kind == 1, F.concat(F.lit("/"), page, F.lit(".snappy.parquet")))
+        .when(kind == 2, F.concat(F.lit("/"), page, F.lit(".parquet")))
+        .otherwise(F.concat(F.lit("/"), page, F.lit(".csv")))
+    )
+    return table(spark, sf_dir, "pages").select(
+        F.concat(F.lit("/lake/t"), page % 7, name).alias("path"),
+        (F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")) + F.make_dt_interval(secs=page)).alias("modificationTime"),
+        F.octet_length("html").cast("bigint").alias("length"),
+    )
+
+
+@query(
+    "file_profile",
+    """SELECT count(*) AS file_count, TIMESTAMP '2024-01-01' + to_seconds(min(page_id)) AS first_modified,
+  TIMESTAMP '2024-01-01' + to_seconds(max(page_id)) AS last_modified,
+  CAST(sum(strlen(html)) AS BIGINT) AS total_bytes FROM pages""",
+)
 def file_profile(spark, sf_dir):
-    return files.file_profile(files.listing(spark, f"{sf_dir}/*.parquet"))
+    return files.file_profile(_page_files(spark, sf_dir))
 
 
-@query("file_layout")
+@query(
+    "file_layout",
+    """SELECT '/lake/t' || (page_id % 7) AS folder, count(*) AS files,
+  count(*) FILTER (page_id % 4 IN (1, 2)) AS parquet_files,
+  count(*) FILTER (page_id % 4 = 1) AS snappy_parquet_files,
+  count(*) FILTER (page_id % 4 = 0) AS log_entries FROM pages GROUP BY page_id % 7""",
+)
 def file_layout(spark, sf_dir):
-    return files.layout(files.listing(spark, f"{sf_dir}/*.parquet"))
+    return files.layout(_page_files(spark, sf_dir))
+
+
+@query(
+    "stream_metadata",
+    """SELECT count(*) AS row_count, 'web.events' AS _source_id, 'parquet' AS _source_format,
+  'parquet' AS _autoloader_format, 'clicks' AS _metadata_source_name, TRUE AS file_known FROM events""",
+)
+def stream_metadata(spark, sf_dir):
+    """Columns that a file stream adds to its rows."""
+    name = f"stream_metadata_{uuid.uuid4().hex}"
+    given = {"metadata_source_name": "clicks"}
+    frame = streams.read_stream(
+        spark, f"{sf_dir}/events.parque[t]", "parquet", "web", "events", given, table(spark, sf_dir, "events").schema
+    )
+    path = new_folder(spark, "stream-metadata")
+    streams.land_stream(frame, name, new_folder(spark, "stream-state"), "web", "events", "load-1", path=path)
+    known = F.col("_source_file").endswith(".parquet") & F.col("_ingestion_ts").isNotNull()
+    return spark.table(name).groupBy("_source_id", "_source_format", "_autoloader_format", "_metadata_source_name").agg(
+        F.count("*").alias("row_count"), F.bool_and(known).alias("file_known")
+    )
+
+
+@query(
+    "stream_evolution",
+    """SELECT event_id, event_type, CASE WHEN event_id % 2 = 1 THEN json_extract_string(props, '$.k') END AS k FROM events""",
+)
+def stream_evolution(spark, sf_dir):
+    """Two starts of one stream; the files of the second have a key that the table then learns."""
+    lines = derive(spark, sf_dir, "json_lines").withColumn("id", F.get_json_object("line", "$.event_id").cast("bigint"))
+    old = F.to_json(F.struct("id", F.get_json_object("line", "$.event_type").alias("event_type")))
+    path, state, known = (new_folder(spark, n) for n in ("evolving", "stream-state", "stream-schema"))
+    name, place = f"stream_evolution_{uuid.uuid4().hex}", new_folder(spark, "stream-evolution")
+    deliveries = (
+        lines.where("id % 2 = 0").select(F.regexp_replace(old, '"id"', '"event_id"').alias("value")),
+        lines.where("id % 2 = 1").select(F.col("line").alias("value")),
+    )
+    for rows in deliveries:
+        rows.write.mode("append").text(path)
+        frame = streams.read_stream(
+            spark, path, "json", "web", "events", {"add_metadata_columns": False}, "event_id bigint, event_type string", known
+        )
+        streams.land_stream(frame, name, state, "web", "events", "load-1", path=place)
+    return spark.table(name).select("event_id", "event_type", "k")
 
 
 @query("attachment_refs", "SELECT DISTINCT url AS ref FROM pages WHERE trim(url) <> ''")
