@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.llm.common import shuffle_partitions, with_own
+from stratiform.session import drop_folder, new_folder
 
 #: What is stripped at both ends of a line, and the letters that are lower-cased.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -47,10 +48,12 @@ class LineRuns:
         self.spark, self.fan_in = spark, fan_in
         self.buckets = buckets or shuffle_partitions(spark)
         self.levels: list[list[str]] = []
+        self.paths: dict[str, str] = {}
 
     def _store(self, frame: DataFrame, *parts: str) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
-        writer = frame.write.format("parquet").bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2")
+        self.paths[name] = new_folder(self.spark, "line-run")
+        writer = frame.write.format("parquet").option("path", self.paths[name]).bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2")
         (writer.partitionBy(*parts) if parts else writer).saveAsTable(name)
         return name
 
@@ -73,10 +76,10 @@ class LineRuns:
             "fresh",
         )
         self._push(name, 0)
-        repeated = self.spark.table(name).where("owner < last")
-        # As expressions the hashes are no bucket columns: lines and this side are both shuffled, and
-        # adaptive execution can then split a line that very many documents hold over several tasks.
-        return repeated.select((F.col("h1") + 0).alias("h1"), (F.col("h2") + 0).alias("h2"), "owner")
+        # Read by its path it is no bucketed table: lines and this side are both shuffled, and adaptive
+        # execution can then split a line that very many documents hold over several tasks.
+        stored = self.spark.read.schema(self.spark.table(name).schema).parquet(self.paths[name])
+        return stored.where("owner < last").select("h1", "h2", "owner")
 
     def _push(self, name: str, level: int) -> None:
         while len(self.levels) <= level:
@@ -92,6 +95,7 @@ class LineRuns:
             # Level 0 also holds what its batch has to drop; that stays until the caller is done.
             for gone in old if level else []:
                 self.spark.sql(f"DROP TABLE {gone}")
+                drop_folder(self.spark, self.paths.pop(gone))
 
 
 def dedup_batch(docs: DataFrame, runs: LineRuns, min_chars: int = 10) -> DataFrame:
