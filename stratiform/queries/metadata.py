@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from stratiform.operators import verify
 from stratiform.plans import control
 from stratiform.queries.inputs import ctes, derive
 from stratiform.queries.registry import query
+from stratiform.session import new_folder
 
 
 def _frames(spark, sf_dir, *names):
@@ -60,6 +63,42 @@ def control_row_counts(spark, sf_dir):
     return verify.table_counts(dict(zip(names, frames)))
 
 
+@query(
+    "control_bootstrap",
+    f"""{ctes('registry', 'mappings', 'rules', 'publish')}
+SELECT 'source_registry' AS table_name, count(*) AS row_count FROM registry
+UNION ALL SELECT 'column_mapping', count(*) FROM mappings
+UNION ALL SELECT 'dq_rules', count(*) FROM rules UNION ALL SELECT 'publish_rules', count(*) FROM publish""",
+)
+def control_bootstrap(spark, sf_dir):
+    """Control files are written, tables made from them, and these are counted."""
+    folder, schema = new_folder(spark, "control-files"), f"control_{uuid.uuid4().hex}"
+    names = ["source_registry", "column_mapping", "dq_rules", "publish_rules"]
+    for name, frame in zip(names, _frames(spark, sf_dir, "registry", "mappings", "rules", "publish")):
+        frame.write.options(header="true", escape='"').csv(f"{folder}/{name}.csv")
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{new_folder(spark, 'control-tables')}'")
+    control.bootstrap(spark, folder, f"spark_catalog.{schema}")
+    return verify.table_counts({name: spark.table(f"spark_catalog.{schema}.{name}") for name in names})
+
+
+@query(
+    "control_missing_headers",
+    f"""{ctes('registry', 'rules')} SELECT 'source_registry' AS table_name, unnest(['is_active', 'load_type']) AS missing,
+  (SELECT count(*) FROM registry) AS row_count
+UNION ALL SELECT 'dq_rules', unnest(['brand', 'product_name', 'rule_name', 'tenant']), (SELECT count(*) FROM rules)""",
+)
+def control_missing_headers(spark, sf_dir):
+    """Headers that control files lack, with the number of rows that this concerns. The derived rules
+    hold no tenant, brand and product; the other headers are taken away here."""
+    registry, rules = _frames(spark, sf_dir, "registry", "rules")
+    report = None
+    for name, frame in (("source_registry", registry.drop("is_active", "load_type")), ("dq_rules", rules.drop("rule_name"))):
+        lost = F.explode(F.array(*[F.lit(h) for h in control.missing_headers(frame, name)])).alias("missing")
+        part = frame.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), lost, "row_count")
+        report = part if report is None else report.unionByName(part)
+    return report
+
+
 def _error_sql(source: str, tests: list[tuple[str, str]]) -> str:
     cases = ", ".join(f"CASE WHEN {bad} THEN '{text}' END" for bad, text in tests)
     return f"""SELECT source_system, source_entity, error FROM (

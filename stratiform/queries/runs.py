@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from stratiform.operators import audit, bronze, conform, landing, rules
@@ -9,6 +11,8 @@ from stratiform.plans import flow, resume
 from stratiform.plans.flow import SourceSpec
 from stratiform.queries.inputs import ctes, derive
 from stratiform.queries.registry import query, table
+from stratiform.session import new_folder
+from stratiform.streaming import files as streams
 
 TS = "2024-02-01 00:00:00"
 RUN = audit.RunKey("run-1", "erp", "orders", TS)
@@ -116,41 +120,68 @@ def reject_envelope(spark, sf_dir):
     return audit.rejects(rules.failed(checked).select(*columns), RUN)
 
 
-def _flow_counts(spark, sf_dir):
-    """Layer counts of the orders flow, one aggregation per layer frame."""
-    annotated = bronze.annotate(table(spark, sf_dir, "orders"), ORDERS.checks)
-    checked = flow.checked_frame(table(spark, sf_dir, "orders"), ORDERS)
+def _flow_counts(spark, sf_dir, appends: int = 1):
+    """Layer counts of the orders flow, each counted in what was really written; silver is appended to
+    ``appends`` times, as a run that is not guarded against repeats would."""
+    raw = table(spark, sf_dir, "orders")
+    place = new_folder(spark, "flow-counts")
+    landing.add_metadata(bronze.annotate(raw, ORDERS.checks), "erp", "orders", "run-1", TS).write.parquet(f"{place}/landed")
+    landed = spark.read.parquet(f"{place}/landed")
+    conformed = conform.apply(bronze.passed(landed), ORDERS.mappings)
+    rules.apply(conformed, ORDERS.rules, ORDERS.primary_key).write.parquet(f"{place}/checked")
+    checked = spark.read.parquet(f"{place}/checked")
+    for _ in range(appends):
+        rules.passed(checked).write.mode("append").parquet(f"{place}/silver")
     n = F.count(F.lit(1))
-    raw = annotated.agg(
-        n.alias("raw_rows"),
-        n.alias("landing_rows"),
-        F.count_if(F.col("bronze_dq_status") == "PASS").alias("bronze_valid_rows"),
-        F.count_if(F.col("bronze_dq_status") == "FAIL").alias("bronze_reject_rows"),
-    )
-    late = checked.agg(
-        n.alias("conformance_rows"),
-        F.count_if(F.col("dq_status") == "PASS").alias("valid_rows"),
-        F.count_if(F.col("dq_status") == "FAIL").alias("reject_rows"),
-    )
-    both = raw.unionByName(late, allowMissingColumns=True)
-    one = both.agg(*[F.max(c).alias(c) for c in both.columns])
-    return one.withColumns({"silver_before": F.lit(0).cast("bigint"), "silver_after": F.col("valid_rows")})
+    parts = [
+        raw.agg(n.alias("raw_rows")),
+        landed.agg(
+            n.alias("landing_rows"),
+            F.count_if(F.col("bronze_dq_status") == "PASS").alias("bronze_valid_rows"),
+            F.count_if(F.col("bronze_dq_status") == "FAIL").alias("bronze_reject_rows"),
+        ),
+        checked.agg(
+            n.alias("conformance_rows"),
+            F.count_if(F.col("dq_status") == "PASS").alias("valid_rows"),
+            F.count_if(F.col("dq_status") == "FAIL").alias("reject_rows"),
+        ),
+        spark.read.parquet(f"{place}/silver").agg(n.alias("silver_after")),
+    ]
+    both = parts[0]
+    for part in parts[1:]:
+        both = both.unionByName(part, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns]).withColumn("silver_before", F.lit(0).cast("bigint"))
+
+
+_APPENDS = {"once": 1, "twice": 2}
 
 
 @query(
     "reconcile_counts",
-    f"""WITH {_FLOW}, r AS (SELECT count(*) AS raw_rows, count(*) FILTER (bad) AS bad_rows FROM raw),
+    f"""WITH {_FLOW}, r AS (SELECT count(*) AS raw_rows, count(*) FILTER (bad) AS bad_rows,
+  count(*) FILTER (NOT bad) AS good_rows FROM raw),
 c AS (SELECT count(*) AS rows, count(*) FILTER (dq_status = 'PASS') AS valid,
-  count(*) FILTER (dq_status = 'FAIL') AS rejected FROM checked)
-SELECT 'landing_equals_ingestion_for_batch' AS check_name, 'PASS' AS status FROM r
-UNION ALL SELECT 'bronze_valid_plus_bronze_reject_equals_ingestion',
-  CASE WHEN raw_rows - bad_rows = rows THEN 'PASS' ELSE 'FAIL' END FROM r, c
-UNION ALL SELECT 'valid_plus_reject_equals_conformance',
-  CASE WHEN valid + rejected = rows THEN 'PASS' ELSE 'FAIL' END FROM c
-UNION ALL SELECT 'append_expected_silver_increase_equals_valid', 'PASS' FROM c""",
+  count(*) FILTER (dq_status = 'FAIL') AS rejected FROM checked),
+runs AS (SELECT * FROM (VALUES ('once', 1), ('twice', 2)) v(appended, times))
+SELECT appended, 'landing_equals_ingestion_for_batch' AS check_name,
+  CASE WHEN good_rows + bad_rows = raw_rows THEN 'PASS' ELSE 'FAIL' END AS status FROM r, runs
+UNION ALL SELECT appended, 'bronze_valid_plus_bronze_reject_equals_ingestion',
+  CASE WHEN rows + bad_rows = raw_rows THEN 'PASS' ELSE 'FAIL' END FROM r, c, runs
+UNION ALL SELECT appended, 'valid_plus_reject_equals_conformance',
+  CASE WHEN valid + rejected = rows THEN 'PASS' ELSE 'FAIL' END FROM c, runs
+UNION ALL SELECT appended, 'append_expected_silver_increase_equals_valid',
+  CASE WHEN times * valid = valid THEN 'PASS' ELSE 'FAIL' END FROM c, runs""",
 )
 def reconcile_counts(spark, sf_dir):
-    return audit.reconcile(_flow_counts(spark, sf_dir))
+    """A run that appends once balances; one that appends its rows twice does not."""
+    report = None
+    for name, times in _APPENDS.items():
+        part = audit.reconcile(_flow_counts(spark, sf_dir, times)).withColumn("appended", F.lit(name))
+        report = part if report is None else report.unionByName(part)
+    return report
+
+
+_ERROR = "executor lost\n" + "x" * 600
 
 
 @query(
@@ -158,12 +189,62 @@ def reconcile_counts(spark, sf_dir):
     f"""WITH {_FLOW} SELECT 'nightly' AS pipeline_name, 'run-1' AS run_id, 'erp' AS source_system,
   'orders' AS source_entity, (SELECT count(*) FROM raw) AS rows_in,
   (SELECT count(*) FROM checked WHERE dq_status = 'PASS') AS rows_out, 'SUCCESS' AS status,
-  CAST(NULL AS VARCHAR) AS error_message, TIMESTAMP '{TS}' AS run_ts""",
+  CAST(NULL AS VARCHAR) AS error_message, TIMESTAMP '{TS}' AS run_ts
+UNION ALL SELECT 'nightly', 'run-1', 'erp', 'orders', 0, 0, 'FAILED', substr('executor lost ' || repeat('x', 600), 1, 500),
+  TIMESTAMP '{TS}'""",
 )
 def audit_run_row(spark, sf_dir):
+    """The row of a run that succeeds, and of one that fails: no rows, and a short error text."""
     counts = _flow_counts(spark, sf_dir)
     metrics = counts.select(F.col("landing_rows").alias("rows_in"), F.col("valid_rows").alias("rows_out"))
-    return audit.run_row(metrics, "nightly", RUN)
+    return audit.run_row(metrics, "nightly", RUN).unionByName(audit.run_row(metrics, "nightly", RUN, "FAILED", _ERROR))
+
+
+@query(
+    "audit_lifecycle",
+    f"""WITH {_FLOW} SELECT 'erp.orders' AS entity_id, 'onboarded' AS event_type, '{{"landing_table": "main.bronze.landing"}}'
+  AS event_details, 'system' AS user, TIMESTAMP '{TS}' AS event_ts
+UNION ALL SELECT 'erp.orders', 'checked', '{{"rows": ' || count(*) || ', "rejected": ' || count(*) FILTER (dq_status = 'FAIL')
+  || '}}', 'system', TIMESTAMP '{TS}' FROM checked""",
+)
+def audit_lifecycle(spark, sf_dir):
+    """Lifecycle rows of an entity, one of them with what its rules found."""
+    found = flow.checked_frame(table(spark, sf_dir, "orders"), ORDERS).agg(
+        F.count("*").alias("rows"), F.count_if(F.col("dq_status") == "FAIL").alias("rejected")
+    ).first()
+    events = [("onboarded", {"landing_table": ORDERS.landing_table}), ("checked", found.asDict())]
+    return audit.lifecycle(spark, ORDERS.name, events, "system", TS)
+
+
+@query(
+    "stream_full_flow",
+    """SELECT product, event_id, 1 AS copies FROM events, (VALUES ('p1'), ('p2')) v(product) WHERE value > 10
+UNION ALL SELECT 'p3', event_id, 2 FROM events WHERE value > 10""",
+)
+def stream_full_flow(spark, sf_dir):
+    """Whole flows per micro-batch. Two products share system and entity, and each takes its two batches;
+    a third is started again with a new checkpoint and takes all files once more."""
+    events = table(spark, sf_dir, "events").select("event_id", "value")
+    tables = flow.AuditTables(pipeline_runs=f"spark_catalog.default.runs_{uuid.uuid4().hex}")
+    report = None
+    for product, checkpoints in (("p1", 1), ("p2", 1), ("p3", 2)):
+        path, tag = new_folder(spark, "stream-flow"), f"spark_catalog.default.{product}_{uuid.uuid4().hex}"
+        spec = SourceSpec(
+            "web", "events", _no_reader, f"{tag}_l", f"{tag}_c", f"{tag}_s", product=product,
+            mappings=[{"transform_expression": c, "conformance_column": c} for c in ("event_id", "value")],
+            rules=[{"rule_name": "large", "rule_expression": "value > 10"}],
+            paths={layer: new_folder(spark, f"stream-{layer}") for layer in ("landing", "conformance", "silver")},
+        )
+        states = [new_folder(spark, "stream-state") for _ in range(checkpoints)]
+        for part in (0, 1):
+            events.where(F.col("event_id") % 2 == part).write.mode("append").parquet(path)
+            for state in states if part else states[:1]:
+                frame = streams.read_stream(spark, path, "parquet", "web", "events", {"add_metadata_columns": False}, events.schema)
+                streams.run_stream(frame, spec, state, tables)
+        silver = spark.table(spec.silver_table).groupBy("event_id").agg(F.count("*").cast("int").alias("copies"))
+        part_report = silver.select(F.lit(product).alias("product"), "event_id", "copies")
+        report = part_report if report is None else report.unionByName(part_report)
+    return report
 
 
 @query(
@@ -182,21 +263,34 @@ def layer_counts(spark, sf_dir):
     return complete.unionAll(audit.layer_counts("lineitem", table(spark, sf_dir, "lineitem"), None, None))
 
 
+def _built(*columns: str) -> str:
+    names = ", ".join(f"'{c}'" for c in columns)
+    return f"""CASE WHEN (SELECT count(*) FROM information_schema.columns WHERE table_name = 'orders'
+  AND column_name IN ({names})) = {len(columns)} THEN 'PASS' ELSE 'FAIL' END"""
+
+
 @query(
     "stage_events",
     f"""WITH r AS (SELECT count(*) AS n FROM orders)
 SELECT 'run-1' AS run_id, 'erp' AS source_system, 'orders' AS source_entity, 'landing_raw' AS event_name,
-  'PASS' AS event_status, TIMESTAMP '{TS}' AS event_ts, n AS raw_row_count FROM r
-UNION ALL SELECT 'run-1', 'erp', 'orders', 'conformance_engine', 'FAIL', TIMESTAMP '{TS}', NULL FROM r""",
+  {_built('o_orderkey', 'o_custkey', 'o_orderdate')} AS event_status, TIMESTAMP '{TS}' AS event_ts, n AS raw_row_count FROM r
+UNION ALL SELECT 'run-1', 'erp', 'orders', 'conformance_engine', {_built('o_orderkey', 'o_totalprice')}, TIMESTAMP '{TS}', NULL
+UNION ALL SELECT 'run-1', 'erp', 'orders', 'landing_raw', {_built('o_orderkey', 'load_id')}, TIMESTAMP '{TS}', NULL
+UNION ALL SELECT 'run-1', 'erp', 'orders', 'conformance_engine', {_built('o_orderkey', 'not_built')}, TIMESTAMP '{TS}', NULL""",
 )
 def stage_events(spark, sf_dir):
+    """Structure of the layers: once as it should be, once without technical columns and a mapped one."""
     raw = table(spark, sf_dir, "orders")
     landed = landing.add_metadata(bronze.annotate(raw, ORDERS.checks), "erp", "orders", "run-1", TS)
-    conformed = conform.apply(landed, ORDERS.mappings)
-    wanted = [*ORDERS.mappings, {"transform_expression": "1", "conformance_column": "not_built"}]
-    found = audit.structure_events(raw.columns, landed.columns, conformed.columns, wanted)
-    found[0]["payload"]["raw_row_count"] = landed.count()
-    rows = audit.events(spark, RUN, found)
+    conformed = conform.apply(landed, [])
+
+    def wanted(*names):
+        return [{"transform_expression": n, "conformance_column": n} for n in names]
+
+    good = audit.structure_events(raw.columns, landed.columns, conformed.columns, wanted("o_orderkey", "o_totalprice"))
+    good[0]["payload"]["raw_row_count"] = landed.count()
+    bad = audit.structure_events(raw.columns, raw.columns, conformed.columns, wanted("o_orderkey", "not_built"))
+    rows = audit.events(spark, RUN, good + bad)
     counted = F.get_json_object("event_payload", "$.raw_row_count").cast("bigint")
     return rows.withColumn("raw_row_count", counted).drop("event_payload")
 
