@@ -111,20 +111,28 @@ def fit(
     Features take part that at least ``least_texts`` distinct texts have and whose texts are toxic at
     least ``lift`` times as often as all are.
     """
-    bags = [[{f for w in set(own) for f in word_features(w)} for _, _, own in sentences(t)] for t in texts]
-    held: dict[str, list[int]] = {}
-    seen: dict[str, int] = {}
+    types: dict[str, int] = {}  # words are held once, and by number in the texts
+    bags = [[np.unique([types.setdefault(w, len(types)) for w in own]) for _, _, own in sentences(t)] for t in texts]
+    names: dict[str, int] = {}
+    of_type = [np.array([names.setdefault(f, len(names)) for f in word_features(w)]) for w in types]
+    held, bad, seen = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64), {}
     for text, own, label in zip(texts, bags, toxic, strict=True):
-        if text not in seen:  # copies of a text are no further evidence
-            seen[text] = label
-            for feature in set().union(*own):
-                counts = held.setdefault(feature, [0, 0])
-                counts[0] += 1
-                counts[1] += label
+        if own and text not in seen:  # copies of a text are no further evidence
+            features = np.unique(np.concatenate([of_type[t] for t in np.unique(np.concatenate(own))]))
+            held[features] += 1
+            bad[features] += label
+        seen[text] = label
     usual = sum(seen.values()) / max(1, len(seen))
-    chosen = sorted(f for f, (n, bad) in held.items() if n >= least_texts and bad > 0 and bad >= lift * usual * n)
+    taken = np.flatnonzero((held >= least_texts) & (bad > 0) & (bad >= lift * usual * held))
+    spelled = list(names)
+    chosen = sorted(spelled[f] for f in taken)
     number = {f: i for i, f in enumerate(chosen)}
-    coded = [[np.array(sorted(number[f] for f in s if f in number), np.int64) for s in own] for own in bags]
+    place = np.full(len(names), -1)
+    for f in taken:
+        place[f] = number[spelled[f]]
+    of_type = [(p := place[f])[p >= 0] for f in of_type]
+    nothing = np.zeros(0, np.int64)
+    coded = [[np.unique(np.concatenate([nothing, *[of_type[t] for t in s]])) for s in own] for own in bags]
     labels, rng = np.array(toxic, float), np.random.default_rng(seed)
     weights, squares = np.zeros(len(number)), np.full(len(number), 1e-3)
     bias_square = 1e-3
