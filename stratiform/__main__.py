@@ -37,13 +37,14 @@ def main(argv: list[str] | None = None) -> int:
         numbered = publish.withColumn("ordinal", control.row_order())
         _print(control.dry_run(chosen, mappings, rules, numbered))
         return 0
+    names = flow.AuditTables.__dataclass_fields__ if args.audit_schema else ()
+    tables = flow.AuditTables(**{n: f"{args.audit_schema}.{n}" for n in names})
     specs = spec.from_control(
         spark, *frames.values(), product_name=args.product_name,
         source_system=args.source_system, source_entity=args.source_entity,
         checkpoint_root=args.checkpoint_root,
+        start=lambda system, entity: flow.last_watermark(spark, tables, system, entity),
     )
-    names = flow.AuditTables.__dataclass_fields__ if args.audit_schema else ()
-    tables = flow.AuditTables(**{n: f"{args.audit_schema}.{n}" for n in names})
     report = flow.run_all(spark, specs, tables, fail_fast=args.fail_fast)
     _print(report)
     return 0 if report.filter("status <> 'SUCCESS'").isEmpty() else 1

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import time
 import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from stratiform import schemas
 from stratiform.errors import ConfigError
-from stratiform.operators import audit, bronze, conform, landing, publish, rules
+from stratiform.operators import alerts, audit, bronze, conform, landing, publish, rules
 from stratiform.session import drop_folder, new_folder
 
 RESULT_SCHEMA = """source string, load_id string, status string, rows_in bigint, valid_rows bigint,
@@ -36,6 +37,8 @@ class AuditTables:
     validation_events: str | None = None
     rejects: str | None = None
     entity_lifecycle_log: str | None = None
+    alerts: str | None = None
+    performance_metrics: str | None = None
 
 
 @dataclass(frozen=True)
@@ -58,6 +61,7 @@ class SourceSpec:
     soft_delete: str | None = None
     tenant: str = ""
     product: str = ""
+    watermark_column: str = ""
     partition_by: Sequence[str] = ()
     zorder_by: Sequence[str] = ()
     paths: Mapping[str, str] = field(default_factory=dict)
@@ -200,6 +204,7 @@ class _Log:
     def __init__(self, spark, spec: SourceSpec, tables: AuditTables, run: audit.RunKey, pipeline, user, resume=False):
         self.spark, self.spec, self.tables, self.run = spark, spec, tables, run
         self.pipeline, self.user, self.resume = pipeline, user, resume
+        self.started = time.monotonic()
         self.events: list[dict[str, Any]] = []
         self._written = 0
 
@@ -223,10 +228,10 @@ class _Log:
         last = passed.agg(F.max_by("event_payload", "event_ts")).first()[0]
         return None if last is None else json.loads(last)
 
-    def store_once(self, frame: DataFrame, table: str, kind: str) -> None:
+    def store_once(self, frame: DataFrame, table: str, kind: str, key: str = "run_id", value: str | None = None) -> None:
         """Append audit rows unless an earlier attempt of this load already did, in one commit."""
         if self.resume and self.spark.catalog.tableExists(table):
-            if not self.spark.table(table).filter(F.col("run_id") == self.run.run_id).isEmpty():
+            if not self.spark.table(table).filter(F.col(key) == (value or self.run.run_id)).isEmpty():
                 return
         audit.store(frame, table, kind)
 
@@ -339,6 +344,11 @@ def _run_stages(spark: SparkSession, spec: SourceSpec, log: _Log, resume: bool,
     if tables.rejects and counts["reject_rows"]:
         rejected = audit.rejects(rules.failed(checked), log.run)
         log.store_once(rejected, tables.rejects, "rejects")
+    _store_alerts(spark, spec, log, stored, counts)
+    if spec.watermark_column:
+        mark = stored.agg(F.max(F.col(spec.watermark_column)).cast("string")).first()[0]
+        if mark is not None:
+            log.add("watermark", column=spec.watermark_column, value=mark)
     log.finish("SUCCESS", landing_rows, counts["valid_rows"], None)
     return RunResult(
         spec.name, load_id, "SUCCESS", landing_rows, counts["valid_rows"], counts["reject_rows"],
@@ -346,6 +356,37 @@ def _run_stages(spark: SparkSession, spec: SourceSpec, log: _Log, resume: bool,
     )
 
 
+def _store_alerts(spark: SparkSession, spec: SourceSpec, log: _Log, stored: DataFrame, counts: Mapping[str, Any]) -> None:
+    """Alerts and the performance row of this load, where tables for them are given."""
+    tables, seconds = log.tables, time.monotonic() - log.started
+    failed = counts["bronze_reject_rows"] + counts["reject_rows"]
+    if tables.alerts:
+        row = (spec.product, spec.source_system, spec.source_entity, log.run.run_id, counts["landing_rows"], failed, seconds)
+        schema = """product_name string, source_system string, source_entity string, load_id string,
+          total_rows bigint, failed_rows bigint, duration_seconds double"""
+        load = spark.createDataFrame([row], schema).withColumn("timestamp", F.current_timestamp())
+        found = alerts.dq_failure_rate(load).unionByName(alerts.slow_loads(load)).coalesce(1)
+        log.store_once(found, tables.alerts, "alerts", "load_id")
+    if tables.performance_metrics:
+        name = f"{spec.name}:{log.run.run_id}"
+        files = stored.select(F.col("_metadata.file_path"), F.col("_metadata.file_size").alias("size")).distinct()
+        done = files.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes_processed")).select(
+            F.lit(name).alias("query_name"), F.lit(seconds).alias("duration_seconds"),
+            F.lit(counts["landing_rows"]).cast("bigint").alias("rows_processed"), "bytes_processed",
+        )
+        log.store_once(alerts.performance(done), tables.performance_metrics, "performance_metrics", "query_name", name)
+
+
+def last_watermark(spark: SparkSession, tables: AuditTables, system: str, entity: str) -> str | None:
+    """Where the latest finished load of a source ended, known from its validation events."""
+    table = tables.validation_events
+    if not table or not spark.catalog.tableExists(table):
+        return None
+    mine = (F.col("source_system") == system) & (F.col("source_entity") == entity) & (F.col("event_name") == "watermark")
+    last = spark.table(table).filter(mine).agg(F.max_by("event_payload", "event_ts")).first()[0]
+    return None if last is None else json.loads(last)["value"]
+
+
 def run_source(
     spark: SparkSession,
     spec: SourceSpec,

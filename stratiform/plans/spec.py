@@ -107,8 +107,11 @@ def build(
     custom: Mapping[str, Callable[[SparkSession], DataFrame]] | None = None,
     prefixes: Sequence[str] = EXTERNAL_PREFIXES,
     checkpoint_root: str | None = None,
+    start: Callable[[str, str], str | None] | None = None,
+    target: str | None = None,
 ) -> SourceSpec:
-    """Spec of one registry row. ``custom`` holds readers of CUSTOM sources by entity; a file source
+    """Spec of one registry row. ``start`` gives where the last load of a source ended, else the row's
+    own start value counts; ``target`` is the silver table that a publisher sets. ``custom`` holds readers of CUSTOM sources by entity; a file source
     in streaming mode keeps its state below ``checkpoint_root``."""
     needed = ("source_system", "source_entity", "source_type", "landing_table",
               "conformance_table", "silver_table", "publish_mode")
@@ -129,7 +132,8 @@ def build(
     elif kind == "FILE":
         reader = _file_reader(row, given)
     elif kind == "JDBC":
-        reader = _jdbc_reader(row, given, flow_options.get("incremental_start_value"), jdbc_profiles)
+        begin = start and start(row["source_system"], row["source_entity"])
+        reader = _jdbc_reader(row, given, begin or flow_options.get("incremental_start_value"), jdbc_profiles)
     elif kind == "API":
         reader = _page_reader(row, given)
     elif kind == "CUSTOM" and row["source_entity"] in (custom or {}):
@@ -150,13 +154,14 @@ def build(
         read=reader,
         landing_table=substitute(row["landing_table"]),
         conformance_table=substitute(row["conformance_table"]),
-        silver_table=substitute(row["silver_table"]),
+        silver_table=target or substitute(row["silver_table"]),
         checks=flow_options.get("bronze_dq") or {},
         mappings=list(mappings),
         rules=list(rules),
         primary_key=str(row.get("primary_key") or ""),
         publish_mode=str(rule.get("publish_mode") or row["publish_mode"]),
         merge_key=str(rule.get("merge_key") or ""),
+        watermark_column=str(row.get("watermark_column") or "").strip() if kind == "JDBC" else "",
         sequence=str(rule.get("sequence_column") or "").strip() or None,
         partition_by=json_list(rule.get("partition_columns_json")),
         zorder_by=json_list(rule.get("optimize_zorder_json")),

@@ -247,9 +247,13 @@ def copy_attachments(
     """Copy referenced files and report (ref, new_path, error) per reference.
 
     ``files`` is a binaryFile scan (path, content). A list of references that is small enough is
-    broadcast, so contents are not shuffled; a longer one meets them by file path. Each task
-    writes what it holds to ``destination``, a folder that all executors mount.
+    broadcast, so contents are not shuffled; a longer one meets them by file path. ``destination`` is a
+    URL of a file system that all executors reach; a plain local path is for local sessions only.
     """
+    session = refs.sparkSession
+    is_local = session.sparkContext.master.split("[")[0] == "local"
+    if not is_local and (destination.startswith(("/", "file:")) or "://" not in destination):
+        raise ConfigError(f"executors do not share {destination!r}: give the URL of a common file system")
     plain = F.regexp_replace(F.col("path"), r"^file:/+", "/")
     wanted = measure(refs.select("ref").distinct(), "attachments")
     side = F.broadcast(wanted.frame) if wanted.fits_broadcast else wanted.frame
@@ -259,22 +263,24 @@ def copy_attachments(
 
     def write(batches: Iterator) -> Iterator:
         import hashlib
-        import os
 
         import pandas as pd
+        from pyarrow import fs
 
+        system, root = fs.FileSystem.from_uri(destination)
+        base = destination[: len(destination) - len(root)] if destination.endswith(root) else ""
+        system.create_dir(root, recursive=True)
         for batch in batches:
             rows = []
             for ref, content in zip(batch["ref"], batch["content"]):
                 tag = hashlib.sha256(ref.encode()).hexdigest()[:8]
-                target = os.path.join(destination, f"{tag}_{os.path.basename(ref)}")
+                target = f"{root.rstrip('/')}/{tag}_{posixpath.basename(ref)}"
                 try:
-                    os.makedirs(destination, exist_ok=True)
                     # A task that runs again replaces its own partial file.
-                    with open(f"{target}.part", "wb") as out:
+                    with system.open_output_stream(f"{target}.part") as out:
                         out.write(content)
-                    os.replace(f"{target}.part", target)
-                    rows.append((ref, target, None))
+                    system.move(f"{target}.part", target)
+                    rows.append((ref, base + target, None))
                 except OSError as exc:
                     if fail_on_error:
                         raise

@@ -350,6 +350,36 @@ def test_whole_flow_per_batch(spark, rows, make, tables):
     assert spark.table(tables.pipeline_runs).count() == 3
 
 
+def test_alerts_metrics_and_watermark_of_a_run(spark, rows, make, tables):
+    spec = make(product="shop", watermark_column="raw_id")
+    assert flow.last_watermark(spark, tables, "crm", "orders") is None
+    run_source(spark, spec, tables, load_id="L1")
+    assert rows(spark.table(tables.alerts), "load_id", "alert_type", "severity", "product_name") == [
+        ("L1", "DQ_FAILURE_RATE", "CRITICAL", "shop")]
+    metric = spark.table(tables.performance_metrics).first()
+    assert (metric.query_name, metric.rows_processed) == ("crm.orders:L1", 5) and metric.bytes_processed > 0
+    assert flow.last_watermark(spark, tables, "crm", "orders") == "4"
+    run_source(spark, spec, tables, load_id="L1", resume=True)
+    assert spark.table(tables.alerts).count() == 1 and spark.table(tables.performance_metrics).count() == 1
+
+
+def test_archive_retention_of_a_run(spark, make, tables, new_name):
+    spec = make(archive_table=new_name("archive"), archive_hours=1)
+    run_source(spark, spec, tables, load_id="old")
+    run_source(spark, flow.with_rules(spec, as_of="2100-01-01 00:00:00"), tables, load_id="new")
+    assert spark.table(spec.archive_table).count() == 0
+
+
+def test_merge_clusters_and_flags_deleted_keys(spark, rows, make):
+    spec = make([("1", "a", "1"), ("2", "b", "2")], publish_mode="merge", merge_key="id", zorder_by=["name"])
+    run_source(spark, spec)
+    gone = flow.with_rules(
+        spec, read=lambda s: s.createDataFrame([("2", "b", "9")], RAW), soft_delete="amount = 9", keep_dq_columns=False
+    )
+    run_source(spark, gone)
+    assert rows(spark.table(spec.silver_table), "id", "is_deleted") == [(1, None), (2, True)]
+
+
 def test_new_checkpoint_takes_all_files_again(spark, make, tables):
     """Another query's finished batches do not count, though they have the same numbers."""
     path = new_folder(spark, "in")
