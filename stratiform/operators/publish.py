@@ -221,33 +221,34 @@ def _merge_stored(
 def _in_partitions(target: DataFrame, values: Sequence[Mapping[str, Any]]) -> Column:
     """Whether a row lies in one of the partitions, as a condition on constants.
 
-    Partitions that share all values but the last are one membership test.
+    Values of a column that go with the same values of the columns after it are one membership test.
     """
-    groups: dict[tuple, list] = {}
-    for row in values:
-        *first, last = row.values()
-        groups.setdefault(tuple(first), []).append(last)
-    if not groups:
+    if not values:
         return F.lit(False)
     names = list(values[0])
 
-    def equals(name: str, value: Any) -> Column:
-        return F.col(name).isNull() if value is None else F.col(name) == F.lit(value).cast(target.schema[name].dataType)
+    def member(name: str, wanted: Sequence[Any]) -> Column:
+        known = [F.lit(v).cast(target.schema[name].dataType) for v in wanted if v is not None]
+        tests = ([F.col(name).isin(known)] if known else []) + ([F.col(name).isNull()] if None in wanted else [])
+        return either(tests)
 
     def either(conditions: list[Column]) -> Column:
         while len(conditions) > 1:  # a balanced tree: a chain of thousands is too deep for the analyser
             conditions = [a | b for a, b in zip(conditions[::2], conditions[1::2])] + conditions[len(conditions) & ~1 :]
         return conditions[0]
 
-    options = []
-    for first, lasts in groups.items():
-        known = [F.lit(v).cast(target.schema[names[-1]].dataType) for v in lasts if v is not None]
-        tests = ([F.col(names[-1]).isin(known)] if known else []) + ([F.col(names[-1]).isNull()] if None in lasts else [])
-        condition = either(tests)
-        for name, value in zip(names, first):
-            condition = equals(name, value) & condition
-        options.append(condition)
-    return either(options)
+    def within(columns: Sequence[str], rows: set[tuple]) -> Column:
+        if len(columns) == 1:
+            return member(columns[0], [row[0] for row in rows])
+        rests: dict[Any, set[tuple]] = {}
+        for first, *rest in rows:
+            rests.setdefault(first, set()).add(tuple(rest))
+        alike: dict[frozenset, list] = {}
+        for first, rest in rests.items():
+            alike.setdefault(frozenset(rest), []).append(first)
+        return either([member(columns[0], firsts) & within(columns[1:], set(rest)) for rest, firsts in alike.items()])
+
+    return within(names, {tuple(row[n] for n in names) for row in values})
 
 
 def optimize(
