@@ -55,7 +55,8 @@ def tokenized(docs: DataFrame, capacity: int, vocabulary: str, end_id: int) -> D
         encoding, task = encoder(vocabulary), TaskContext.get().partitionId()
         rank, whole = np.zeros(capacity, np.int64), 0
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        # Small pieces of a batch at a time: ids take more room than the texts.
+        for batch in (whole_batch.slice(low, 1000) for whole_batch in batches for low in range(0, whole_batch.num_rows, 1000)):
             out: dict[str, list] = {name: [] for name in ("ids", "doc_tokens", "rank", "whole_before")}
             for text in batch.column("text").to_pylist():
                 ids = np.asarray(encoding.encode_to_numpy(text or "", allowed_special="all"), "<u4").tobytes() + end
