@@ -2,6 +2,7 @@
 
 import zlib
 from collections import defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -11,12 +12,16 @@ from stratiform.llm.cutting_stock import column_generation, rounded
 from stratiform.llm.packing import pack
 
 
-def expected_ids(text):
+@lru_cache
+def tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def expected_ids(text):
+    return [*tokenizer().encode(text or "", add_special_tokens=False).ids, 0]
 
 
 def check(pieces, texts, capacity=1024):
