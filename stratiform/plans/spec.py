@@ -185,27 +185,29 @@ def from_control(
     product_name: str | None = None,
     source_system: str | None = None,
     source_entity: str | None = None,
+    publishers: DataFrame | None = None,
     **options: Any,
 ) -> list[SourceSpec]:
-    """Specs of the selected active sources.
+    """Specs of the selected active sources. ``publishers`` may override catalog and schema of their
+    silver tables (see ``control.target_table``).
 
     Plans are built on the driver, so the control rows of the chosen sources come there; they
     describe columns and rules, never data. File order of the rows is kept.
     """
     chosen = control.select_sources(registry, product_name, source_system, source_entity)
+    if publishers is not None:
+        named = ("publisher_name", "silver_object_name", "silver_file_name")
+        lacking = {c: F.lit("") for c in named if c not in chosen.columns}
+        chosen = control.target_table(chosen.withColumns(lacking) if lacking else chosen, publishers)
     sources = [r.asDict() for r in chosen.collect()]
     if not sources:
         known = control.active(registry).select(F.concat_ws(".", *control.ENTITY)).collect()
         logger.warning("no active source matches; available: %s", [r[0] for r in known])
         return []
-    keys = chosen.select(*[F.lower(c).alias(c) for c in control.ENTITY]).distinct()
+    keys = sorted({f"{r['source_system']}.{r['source_entity']}".lower() for r in sources})
 
     def rows_of(frame: DataFrame) -> dict[tuple[str, str], list[dict[str, Any]]]:
-        kept = control.active(frame).join(
-            F.broadcast(keys.toDF("__s", "__e")),
-            (F.lower("source_system") == F.col("__s")) & (F.lower("source_entity") == F.col("__e")),
-            "left_semi",
-        )
+        kept = control.active(frame).where(F.lower(F.concat_ws(".", *control.ENTITY)).isin(keys))
         found: dict[tuple[str, str], list[dict[str, Any]]] = {}
         for row in kept.collect():
             key = (row.source_system.lower(), row.source_entity.lower())
@@ -225,7 +227,7 @@ def from_control(
         specs.append(
             build(
                 row, of_product(mapped.get(key, [])), of_product(ruled.get(key, [])),
-                first[0] if first else None, **options,
+                first[0] if first else None, target=row.get("silver_target"), **options,
             )
         )
     return specs

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from stratiform import schemas
 from stratiform.errors import ConfigError
@@ -193,6 +194,10 @@ def test_from_control_files(spark, rows, tmp_path, new_name):
     assert specs.from_control(spark, *frames, source_entity="none") == []
     [spec] = specs.from_control(spark, *frames, product_name="p")
     assert (spec.publish_mode, spec.merge_key, len(spec.mappings)) == ("merge", "id", 2)
+    owners = spark.createDataFrame([("own", "cat", " ")], "publisher_name string, silver_catalog_name string, silver_db_name string")
+    registry = frames[0].withColumn("publisher_name", F.lit("own"))
+    [moved] = specs.from_control(spark, registry, *frames[1:], product_name="p", publishers=owners)
+    assert moved.silver_table == "cat." + silver.split(".", 1)[1] and len(moved.rules) == 1
     report = run_all(spark, [spec])
     assert rows(report, "status", "rows_in", "valid_rows") == [("SUCCESS", 3, 2)]
     assert rows(spark.table(silver), "id", "name") == [(1, "A"), (2, "B")]
