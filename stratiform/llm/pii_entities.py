@@ -3,14 +3,18 @@
 A surrogate keeps what the format says: separators, the case and script of letters, the country code of
 a phone number, the first digit and check digit of a card number, the gender of a name. What is left is
 permuted by a keyed Feistel network over exactly the strings of that format, so two originals of one
-format never get one surrogate, and the same original gets the same one everywhere.
+format never get one surrogate, and the same original gets the same one everywhere. Where originals fill
+a format, later attempts make longer surrogates, so that there is always room.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import unicodedata
 from dataclasses import dataclass
+from functools import cache
 
 EMAIL = re.compile(r"(?<![\w.+%-])[\w.+%-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-])")
 IP = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|\d?\d)(?!\.?\w)")
@@ -48,11 +52,16 @@ _CAPITAL = r"[^\W\d_a-zß-öø-ÿа-яё]\w*(?:[-'’][^\W\d_]\w*)*"
 TITLED = re.compile(rf"(?<!\w)({'|'.join(sorted(_TITLE, key=len, reverse=True))})\.? ({_CAPITAL})(?: ({_CAPITAL}))?")
 NAMED = re.compile(rf"(?<!\w)({'|'.join(sorted(_GIVEN, key=len, reverse=True))}) ({_CAPITAL})")
 
-#: Letters that stand for each other, so that words stay pronounceable. Other letters stay.
+#: Letters that stand for each other, so that words stay pronounceable. Other letters stand for the letters
+#: of their half block of Unicode; those that change when written in capitals and back stay.
 CLASSES = (
     "0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "аеиоу", "бвгджзклмнпрстфх", "αεηιο", "βγδζθκλμνπρτφχ",
+    "àáâãäåæèéêëìíîïòóôõöøùúûüýÿ", "çðñþ", "āăąēĕėęěīĭįōŏőœũūŭůűų", "ćĉċčďđĝğġģĥħĵķĺļľłńņňŋŕŗřśŝşšţťŧŵźżž",
+    "ыэюяё", "йцчшщ", "άέήίόύώ", "".join(map(chr, range(0x4E00, 0xA000))), "".join(map(chr, range(0xAC00, 0xD7A4))),
 )
 _CLASS = {char: members for members in CLASSES for char in members}
+#: What longer surrogates begin with, by script, before it is permuted.
+_SYLLABLE = {"LATIN": "ba", "CYRILLIC": "ба", "GREEK": "βα"}
 
 KINDS = ("email", "ip", "iban", "card", "phone", "number", "name")
 
@@ -66,6 +75,23 @@ class Entity:
     gender: str = ""
 
 
+@cache
+def _members(char: str) -> str:
+    """The characters that ``char`` stands among; none if it stays."""
+    if char in _CLASS or not char.isalpha():
+        return _CLASS.get(char, "")
+    low = ord(char) & ~127
+    block = [c for c in map(chr, range(low, low + 128)) if c not in _CLASS and unicodedata.category(c) in ("Ll", "Lo")]
+    block = [c for c in block if c not in "ªºσ" and c.lower() == c and c.upper().lower() == c]
+    return "".join(block) if char in block and len(block) > 1 else ""
+
+
+def _longer(word: str, syllables: int) -> str:
+    """``word`` behind so many syllables of its script."""
+    letter = next((c for c in word if c.isalpha() and _members(c)), "b")
+    return _SYLLABLE.get(unicodedata.name(letter, "").split(" ")[0], _members(letter)[0]) * syllables + word
+
+
 def digits(text: str) -> str:
     return "".join(c for c in text if c.isdigit())
 
@@ -160,29 +186,43 @@ class Surrogates:
 
     def spelled(self, text: str, tweak: str, fixed: int = 0) -> str:
         """Another string of the same format; the first ``fixed`` characters stay."""
-        places = [(i, _CLASS[c]) for i, c in enumerate(text) if i >= fixed and c in _CLASS]
+        places = [(i, own) for i, c in enumerate(text) if i >= fixed and (own := _members(c))]
         value, size = 0, 1
         for i, members in places:
             value, size = value * len(members) + members.index(text[i]), size * len(members)
-        pattern = "".join(_CLASS[c][0] if i >= fixed and c in _CLASS else c for i, c in enumerate(text))
+        pattern = "".join(own[0] if i >= fixed and (own := _members(c)) else c for i, c in enumerate(text))
         value, out = self.permuted(value, size, f"{tweak}|{pattern}"), list(text)
         for i, members in reversed(places):
             value, at = divmod(value, len(members))
             out[i] = members[at]
         return "".join(out)
 
+    def _numbered(self, format: str, value: int) -> str:
+        """The string of that number among those of one format."""
+        out = []
+        for members in map(_members, reversed(format)):
+            value, at = divmod(value, len(members))
+            out.append(members[at])
+        return "".join(reversed(out))
+
     def of(self, kind: str, text: str, gender: str = "", attempt: int = 0) -> str:
-        """The surrogate of a canonical form."""
-        tweak = f"{kind}|{attempt}"
+        """The surrogate of a canonical form.
+
+        From the third attempt on names and e-mail addresses get one syllable more each time. Phone and
+        nine-digit numbers and IBANs get a digit more after as many attempts as they have characters. There
+        are far more card numbers and addresses than a corpus holds.
+        """
+        tweak, more = f"{kind}|{attempt}", max(0, attempt - 1)
         if kind == "email":
             local, _, domain = text.partition("@")
             body, _, top = domain.rpartition(".")
+            local = _longer(local, more)
             return f"{self.spelled(local, f'{tweak}|{domain}')}@{self.spelled(body, f'{tweak}|domain')}.{top}"
         if kind == "ip":
             value = int.from_bytes(bytes(map(int, text.split("."))), "big")
             return ".".join(map(str, self.permuted(value, 2**32, tweak).to_bytes(4, "big")))
         if kind == "iban":
-            body = self.spelled(text[4:].lower(), f"{tweak}|{text[:2]}").upper()
+            body = self.spelled(text[4:].lower() + "0" * (attempt - len(text)), f"{tweak}|{text[:2]}").upper()
             number = int("".join(str(int(c, 36)) for c in f"{body}{text[:2]}00"))
             return f"{text[:2]}{98 - number % 97:02d}{body}"
         if kind == "card":
@@ -195,12 +235,19 @@ class Surrogates:
         if kind == "name":
             proper = text[:1].upper() + text[1:]
             if group := _GIVEN.get(proper):
-                names = GIVEN[group]
-                return names[self.permuted(names.index(proper), len(names), f"{tweak}|{group}")].lower()
+                # More syllables go before another listed name, whose end shows the gender.
+                names, before = GIVEN[group], _longer(text, more)[: -len(text)]
+                size = math.prod(len(_members(c)) for c in before)
+                value, at = divmod(self.permuted(names.index(proper), size * len(names), f"{tweak}|{group}"), len(names))
+                return self._numbered(before, value) + names[at].lower()
+            if not any(map(_members, text)):
+                # Nothing can be permuted: a word made from the hash; those that meet try again.
+                made = _longer("", 3 + more)
+                return self._numbered(made, self._round(f"{tweak}|{text}", 0, 0))
             # A last vowel stays: it often shows gender or case.
             stem, end = (text[:-1], text[-1]) if len(text) > 2 and text[-1] in "aeiouаеиоуαεηιο" else (text, "")
-            return self.spelled(stem, f"{tweak}|{end}") + end
-        return self.spelled(text, tweak)
+            return self.spelled(_longer(stem, more), f"{tweak}|{end}") + end
+        return self.spelled(text + "0" * (attempt - len(text)), tweak)
 
     def written(self, entity: Entity, text: str, attempt: int = 0) -> str:
         """The surrogate in the format of this mention."""
@@ -214,4 +261,4 @@ class Surrogates:
             return "".join(cased) if len(own) == len(text) else own
         keep = len(phone_parts(text)[0]) if entity.kind == "phone" else 0
         letters = iter(own)
-        return text[:keep] + "".join(next(letters) if c.isalnum() else c for c in text[keep:])
+        return "".join([text[:keep], *[next(letters) if c.isalnum() else c for c in text[keep:]], *letters])

@@ -57,7 +57,8 @@ def surrogate_table(mentions: DataFrame, key: bytes) -> DataFrame:
     """kind, canonical, attempt, surrogate of every entity; no two share a surrogate, none is an original.
 
     Of originals that share a surrogate the smallest keeps it; all others, and those whose surrogate is
-    an original of the corpus, try again until there are none.
+    an original of the corpus, try again until there are none. Every attempt has a larger space to draw
+    from (``Surrogates.of``), so a few rounds do, however many originals a format has.
     """
     now = staged(_with_surrogates(mentions.select("kind", "canonical").distinct().withColumn("attempt", F.lit(0)), key), "surrogates")
     originals = now.select("kind", F.col("canonical").alias("surrogate"))
@@ -70,9 +71,10 @@ def surrogate_table(mentions: DataFrame, key: bytes) -> DataFrame:
             return now
         again = now.join(bad, ["kind", "canonical"]).select("kind", "canonical", (F.col("attempt") + 1).alias("attempt"))
         rest = now.join(bad, ["kind", "canonical"], "left_anti")
-        now = staged(rest.unionByName(_with_surrogates(again, key).select(*rest.columns)), "surrogates")
+        tried, now = now, staged(rest.unionByName(_with_surrogates(again, key).select(*rest.columns)), "surrogates")
         originals = now.select("kind", F.col("canonical").alias("surrogate"))
         discard(bad)
+        discard(tried)
 
 
 def replace_personal_data(docs: DataFrame, key: bytes = b"stratiform") -> DataFrame:

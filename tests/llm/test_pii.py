@@ -130,3 +130,30 @@ def test_odd_rows(spark):
     assert by_id[4] == by_id[None] != "a@b.co" and by_id[5].startswith("x x ") and not by_id[5].endswith("575569573")
     assert replace_personal_data(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     assert Entity(0, 1, "ip", canonical("ip", "010.1.1.1")).canonical == "10.1.1.1"
+
+
+def test_formats_that_originals_fill(spark):
+    """All names of a group, all one-letter names, letters outside the classes, short phone numbers."""
+    names = [n for group in GIVEN.values() for n in group]
+    texts = [f"{n} Stone" for n in names] + [f"Mr. {c} left" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+    texts += ["Mr 李明 left", "Herr Ö left", "Herr Σ left", "Herr Ъ left", "Mr 김 left"]
+    texts += [f"_@{c}.com" for c in "0123456789"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    new = {}
+    for r in replace_personal_data(frame).collect():
+        for e, f in zip(find_entities(texts[r["doc_id"]]), r["replaced"], strict=True):
+            new.setdefault((e.kind, e.canonical), set()).add(canonical(e.kind, f["surrogate"]))
+    assert {n.lower() for n in names} <= {text for _, text in new} and all(len(own) == 1 for own in new.values())
+    made = {(kind, *own) for (kind, _), own in new.items()}
+    assert len(made) == len(new) and not made & set(new)
+    assert not any(set(text) & set(*own) for (_, text), own in new.items() if text in ("李明", "ö", "ъ", "김"))
+
+
+def test_later_attempts_have_room():
+    for attempt in range(2, 6):
+        for names in GIVEN.values():
+            own = [S.of("name", n.lower(), attempt=attempt) for n in names]
+            assert len(set(own)) == len(names) and all(any(o.endswith(n.lower()) for n in names) for o in own)
+    short = Entity(0, 8, "phone", "2345")
+    own = S.written(short, "+1 23 45", attempt=6)
+    assert re.fullmatch(r"\+1 \d\d \d{4}", own) and canonical("phone", own) == S.of("phone", "2345", attempt=6)
