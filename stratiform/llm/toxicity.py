@@ -3,7 +3,8 @@
 A sentence is toxic with probability ``sigmoid(bias + weights of its distinct words and of their
 beginnings)``, as offences share stems in languages that inflect or compound; a document is toxic unless none of its sentences is (noisy-or), with a small leak for labels that no sentence
 explains. Weights are learned from document labels alone; the sentence probabilities then say where
-the offence lies.
+the offence lies. A text of very many sentences is as toxic as its worst passage, so that length alone
+makes nothing toxic and whatever would be found in a short text is found in a long one.
 """
 
 from __future__ import annotations
@@ -22,6 +23,10 @@ from stratiform.llm.common import held_out, smallest_draws, with_own
 TOKENS = re.compile(r"[^\W\d_]+|[.!?\n]+")
 _ENDS = frozenset(".!?\n")
 
+#: Sentences of a passage at most; fewer if sentences without a word that counts would together reach a share of CALM.
+PASSAGE = 400
+CALM = 0.2
+
 _FOUND = "array<struct<start:bigint,end:bigint,score:double>>"
 
 
@@ -78,12 +83,13 @@ class SentenceModel:
         return [s for s in scored if s[2] >= least]
 
     def scores(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """For every text its probability and that of its worst sentence (0 without a sentence)."""
+        """For every text the probability of its worst passage and that of its worst sentence (0 without a sentence)."""
         plain = float(_sigmoid(np.array(self.bias)))  # a sentence without a word that counts
         calm = float(np.log1p(-plain))
+        size = max(1, min(PASSAGE, int(CALM / plain)))
         chances, worst = np.empty(len(texts)), np.zeros(len(texts))
         for row, text in enumerate(texts):
-            log_none, own, some = np.log1p(-self.leak), [], False
+            log_none, own, some = [], [], False
             for token in [*TOKENS.findall(text.lower()), "."] if text else []:
                 if token[0] not in _ENDS:
                     some = True
@@ -92,13 +98,15 @@ class SentenceModel:
                 elif some:
                     if own:
                         chance = self.sentence_score(own)
-                        log_none += np.log1p(-min(chance, 1 - 1e-15))
+                        log_none.append(float(np.log1p(-min(chance, 1 - 1e-15))))
                     else:
                         chance = plain
-                        log_none += calm
+                        log_none.append(calm)
                     worst[row] = max(worst[row], chance)
                     own, some = [], False
-            chances[row] = -np.expm1(log_none)
+            sums = np.cumsum([0.0, *log_none])
+            passage = min(size, len(log_none))
+            chances[row] = -np.expm1(np.log1p(-self.leak) + (sums[passage:] - sums[: len(sums) - passage]).min())
         return np.clip(chances, 0.0, 1.0), worst
 
 
@@ -164,15 +172,19 @@ def fit(
 def train(docs: DataFrame, labels: DataFrame, per_label: int = 1500, max_chars: int = 20_000) -> SentenceModel:
     """Fit on at most ``per_label`` labelled texts of each label, picked by hash of their ``doc_id``.
 
-    Rows that are held out, texts that are null or longer than ``max_chars``, and labels that are null
-    are not learned from. A document with several labels counts as toxic if any of them says so.
+    Rows that are held out, null texts and null labels are not learned from. Of a clean text longer than
+    ``max_chars`` a part of that length is, at a place picked by hash, as each part of it is clean; a longer
+    toxic one is left out, as the offence may lie elsewhere. A document with several labels counts as toxic
+    if any of them says so.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     picked = smallest_draws(known.withColumn("draw", F.xxhash64("doc_id")), "toxic", per_label).select("doc_id", "toxic")
-    usable = docs.where(F.col("text").isNotNull() & (F.length("text") <= max_chars)).select("doc_id", "text")
+    usable = docs.where(F.col("text").isNotNull()).select("doc_id", "text")
     # At most 2 * per_label rows of two numbers are sent out.
-    rows = usable.join(F.broadcast(picked), "doc_id").distinct().limit(4 * per_label).collect()
+    rows = usable.join(F.broadcast(picked), "doc_id").where((F.length("text") <= max_chars) | (F.col("toxic") == 0))
+    part = F.substring("text", (F.pmod(F.xxhash64("doc_id"), F.greatest(F.length("text") - max_chars, F.lit(0)) + 1) + 1).cast("int"), F.lit(max_chars))
+    rows = rows.select("doc_id", part.alias("text"), "toxic").distinct().limit(4 * per_label).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     return fit([r["text"] for r in rows], [r["toxic"] for r in rows])
 
@@ -180,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = 1500, max_chars:
 def score_toxicity(docs: DataFrame, model: SentenceModel, least: float = 0.5) -> DataFrame:
     """Add ``score``, ``predicted``, ``worst_sentence`` and ``offending`` to every row.
 
-    ``score`` is the probability that the document is toxic, ``predicted`` whether it reaches 0.5,
+    ``score`` is the probability that the document's worst passage is toxic, ``predicted`` whether it reaches 0.5,
     ``worst_sentence`` the highest probability of a sentence, ``offending`` the sentences that reach
     ``least`` as (start, end, score) in code points, in order. Null texts and texts without words have
     no sentence and get the leak as score. Extra columns stay; ones named like an own column give way.

@@ -83,3 +83,20 @@ def test_labels_that_disagree_or_lack(spark):
     assert train(docs, labels).weights == {}
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert train(docs, none).weights == {}
+
+
+def test_length_makes_nothing_toxic():
+    for bias in (-4.0, -7.0, -9.0, -10.0):
+        own = SentenceModel({"bad": 20.0, "rude": -bias - 0.3}, bias, 0.02)
+        clean, mild = "all is fine. " * 50_000, "rude. rude. "
+        scores, _ = own.scores([clean, mild, clean + mild + clean, clean + "bad. " + clean])
+        assert scores[0] < 0.25 and list(scores[1:] >= 0.5) == [True, True, True]
+
+
+def test_long_clean_texts_are_learned_from(spark):
+    ids = [i for i in range(1, 200) if zlib.crc32(str(i).encode()) % 5]
+    bad, clean, short = ids[:20], ids[20:60], ids[60:100]
+    rows = [(i, f"gloom is here {i}.") for i in bad] + [(i, f"gloom is here {i}. " * 2000) for i in clean] + [(i, f"sun {i}.") for i in short]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i in bad)) for i, _ in rows], "doc_id long, toxic int")
+    assert "gloom" not in train(docs, labels).weights
