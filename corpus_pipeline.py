@@ -12,17 +12,17 @@ from stratiform.llm.ngram_join import jaccard_join
 from stratiform.llm.packing import pack
 from stratiform.session import new_folder
 
-#: Texts of which no label covers at least this share of the words are rejected.
-MIN_LANGUAGE_SHARE = 0.5
+#: Texts whose words' likeliest labels have a lower mean probability are rejected, in whatever languages they are.
+MIN_CERTAINTY = 0.5
 
 #: Neither language models nor packing can be written in SQL.
 ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the random field knows; null, letterless and undecided texts go."""
-    judged = identify(docs)
-    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SHARE)).select(*docs.columns)
+    """Documents in one or several languages that the random field knows; null, letterless and undecided texts go."""
+    judged = identify(docs, certainty=True)
+    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("certainty") >= MIN_CERTAINTY)).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

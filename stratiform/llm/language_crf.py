@@ -153,7 +153,11 @@ class LanguageCrf:
         return result / result.sum(1, keepdims=True)
 
     def label_texts(self, texts: list[str | None], words_at_once: int = 150_000) -> tuple[list[str], list[float]]:
-        names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        return self.judged_texts(texts, words_at_once)[:2]
+
+    def judged_texts(self, texts: list[str | None], words_at_once: int = 150_000) -> tuple[list[str], list[float], list[float]]:
+        """Label and score of every text, and the mean over its words of their likeliest label's probability."""
+        names, scores, sure = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
         tokens: list[str] = []
         rows: list[int] = []
         lengths: list[int] = []
@@ -161,9 +165,11 @@ class LanguageCrf:
         def flush() -> None:
             if rows:
                 chances = self.posteriors(self.emissions(tokens), np.array(lengths))
-                share = np.add.reduceat(chances, np.cumsum([0, *lengths[:-1]]), axis=0) / np.array(lengths)[:, None]
-                for row, own in zip(rows, share, strict=True):
-                    names[row], scores[row] = self.labels[int(own.argmax())], float(min(1.0, own.max()))
+                starts = np.cumsum([0, *lengths[:-1]])
+                share = np.add.reduceat(chances, starts, axis=0) / np.array(lengths)[:, None]
+                best = np.add.reduceat(chances.max(1), starts) / np.array(lengths)
+                for row, own, mean in zip(rows, share, best, strict=True):
+                    names[row], scores[row], sure[row] = self.labels[int(own.argmax())], float(min(1.0, own.max())), float(min(1.0, mean))
             tokens.clear(), rows.clear(), lengths.clear()
 
         for row, text in enumerate(texts):
@@ -175,7 +181,7 @@ class LanguageCrf:
                 if len(tokens) >= words_at_once:
                     flush()
         flush()
-        return names, scores
+        return names, scores, sure
 
     def label_words(self, text: str) -> list[tuple[str, str, float]]:
         """Every word with its likeliest label and that label's probability."""
@@ -282,23 +288,27 @@ def train(docs: DataFrame, per_label: int = 150, max_chars: int = 20_000, max_la
     return fit([r["text"] for r in rows], [r["label"] for r in rows])
 
 
-def identify(docs: DataFrame, model: LanguageCrf | None = None) -> DataFrame:
+def identify(docs: DataFrame, model: LanguageCrf | None = None, certainty: bool = False) -> DataFrame:
     """Add ``lang_pred`` and ``score`` (mean probability of that label over all words) to every row.
 
     Without a ``model`` one is trained on the rows' own ``lang``. Texts that are null or hold no letter
     are ``und`` with score 0, and so is everything when no labelled row can be learned from. Ties go to
     the alphabetically first label. Extra columns stay; ones named like an own column give way. Repeated
-    rows get equal results; an empty table gives an empty result.
+    rows get equal results; an empty table gives an empty result. With ``certainty`` a column of that name
+    is added too: the mean over all words of the probability of the word's own likeliest label, which is
+    high for texts in several languages as well.
     """
     model = model or train(docs)
-    own = with_own(docs, lang_pred=F.lit(""), score=F.lit(0.0))
+    added = {"lang_pred": F.lit(""), "score": F.lit(0.0)} | ({"certainty": F.lit(0.0)} if certainty else {})
+    own, width = with_own(docs, **added), len(added)
 
     def apply(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            names, scores = model.label_texts(batch.column("text").to_pylist())
-            kept = [batch.column(i) for i in range(batch.num_columns - 2)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(names, pa.string()), pa.array(scores, pa.float64())], batch.schema.names)
+            names, *numbers = model.judged_texts(batch.column("text").to_pylist())
+            kept = [batch.column(i) for i in range(batch.num_columns - width)]
+            judged = [pa.array(names, pa.string()), *[pa.array(n, pa.float64()) for n in numbers]][:width]
+            yield pa.RecordBatch.from_arrays([*kept, *judged], batch.schema.names)
 
     return own.mapInArrow(apply, own.schema)

@@ -90,3 +90,16 @@ def test_run_gives_the_same(spark):
     result = corpus_pipeline.run(spark, FOLDER)
     assert {"doc_id", "start", "length", "sequence_id", "offset", "doc_tokens", "ids"} <= set(result.columns)
     assert result.where("doc_id IS NULL").isEmpty() and not result.isEmpty()
+
+
+def test_language_stage_keeps_clean_texts_in_several_languages(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    by_lang = {}
+    for r in docs.where("lang IS NOT NULL AND length(text) > 400").orderBy("doc_id").collect():
+        by_lang.setdefault(r["lang"], " ".join(r["text"].split()[:60]))
+    parts = [by_lang[name] for name in sorted(by_lang)]
+    assert len(parts) >= 3
+    mixed = [" ".join(parts[(i + k) % len(parts)] for k in range(n)) for n in (2, 3) for i in range(len(parts))]
+    rows = [(10**6 + i, text, None, "src0", len(text)) for i, text in enumerate(mixed)]
+    kept = corpus_pipeline.language_id(spark, docs.unionByName(spark.createDataFrame(rows, docs.schema)), FOLDER)
+    assert kept.where(f"doc_id >= {10**6}").count() == len(mixed)
