@@ -8,8 +8,10 @@ minima over signatures of small blocks, computed once for all partitions. An ite
 agree in any minhash are candidates; the exact containment of the item's shingles in the whole
 document decides.
 
-At containment ``c`` an item of partition ``m`` has similarity of at least ``c / 6`` with one of the
-windows, so ``hashes`` functions miss it with probability below ``(1 - c / 6) ** hashes``.
+At containment ``c`` an item of a partition, which fills more than half of its size, has similarity of at
+least ``c / (5 - c)`` with one of the windows, so ``hashes`` functions miss it with probability of at most
+``(1 - c / (5 - c)) ** hashes``. In the smallest partition this holds for items of at least ``BASE / 2``
+shingles; smaller ones are looked up by their shingles instead, and none is missed.
 """
 
 from __future__ import annotations
@@ -30,17 +32,17 @@ _FOUND = "array<struct<item_id:bigint,containment:double,shared:bigint,item_shin
 
 @dataclass
 class Partition:
-    """Items of one size: sorted minhash values, and for each the items that have it."""
+    """Items of one size: sorted values (minhashes, or shingles of tiny items), and for each the items that have it."""
 
-    width: int  # blocks of BASE shingles in half a window
+    width: int  # blocks of BASE shingles in half a window; 0 for tiny items
     values: np.ndarray
     starts: np.ndarray
     items: np.ndarray
     marks: np.ndarray  # by the upper bits of a value: whether any item can have it
 
     @classmethod
-    def of(cls, width: int, numbers: list[int], signatures: np.ndarray) -> Partition:
-        flat, owner = signatures.ravel(), np.repeat(numbers, signatures.shape[1])
+    def of(cls, width: int, numbers: list[int], values: list[np.ndarray]) -> Partition:
+        flat, owner = np.concatenate(values), np.repeat(numbers, [len(own) for own in values])
         order = np.argsort(flat, kind="stable")
         values, starts = np.unique(flat[order], return_index=True)
         bits = min(26, max(10, int(len(values)).bit_length() + 6))
@@ -72,9 +74,12 @@ class ItemIndex:
         self.items = [(i, own) for i, own in self.items if len(own)]
         by_width: dict[int, list[int]] = {}
         for number, (_, own) in enumerate(self.items):
-            by_width.setdefault(1 << max(0, -(-len(own) // BASE) - 1).bit_length(), []).append(number)
+            width = 1 << max(0, -(-len(own) // BASE) - 1).bit_length() if 2 * len(own) >= BASE else 0
+            by_width.setdefault(width, []).append(number)
+        tiny = by_width.pop(0, [])
+        self.tiny = Partition.of(0, tiny, [self.items[n][1] for n in tiny]) if tiny else None
         self.partitions = [
-            Partition.of(width, numbers, np.stack([(self.items[n][1][:, None] * self.seeds).min(0) for n in numbers]))
+            Partition.of(width, numbers, [(self.items[n][1][:, None] * self.seeds).min(0) for n in numbers])
             for width, numbers in sorted(by_width.items())
         ]
 
@@ -90,8 +95,27 @@ class ItemIndex:
         """For each text, given as its shingles in order, the items it contains."""
         found: list[list[tuple]] = [[] for _ in texts]
         rows = [i for i, own in enumerate(texts) if len(own)]
-        if not rows or not self.partitions:
+        if not rows:
             return found
+        candidates = set()
+        if self.tiny:
+            at, item = self.tiny.matches(np.concatenate([texts[i] for i in rows])[:, None])
+            owner = np.repeat(np.arange(len(rows)), [len(texts[i]) for i in rows])
+            candidates.update(zip(owner[at].tolist(), item.tolist(), strict=True))
+        if self.partitions:
+            candidates.update(self._by_windows(texts, rows))
+        sets: dict[int, np.ndarray] = {}
+        for row, item in sorted(candidates):
+            if row not in sets:
+                sets = {row: np.unique(texts[rows[row]])}
+            item_id, own = self.items[item]
+            shared = int(np.isin(own, sets[row], assume_unique=True).sum())
+            if shared >= self.threshold * len(own) - 1e-9:
+                found[rows[row]].append((item_id, shared / len(own), shared, len(own)))
+        return [sorted(set(own), key=lambda f: (f[0] is None, f)) for own in found]
+
+    def _by_windows(self, texts: list[np.ndarray], rows: list[int]) -> set[tuple[int, int]]:
+        """Places in ``rows`` with an item that agrees with a window of that text in a minhash."""
         counts = np.array([-(-len(texts[i]) // BASE) for i in rows])
         filled = [np.concatenate([texts[i], np.repeat(texts[i][-1:], -len(texts[i]) % BASE)]) for i in rows]
         blocks = self._blocks(np.concatenate(filled))
@@ -107,15 +131,7 @@ class ItemIndex:
             window[together] = np.minimum(half[together], half[together + 1])
             row, item = part.matches(window)
             candidates.update(zip(owner[row].tolist(), item.tolist(), strict=True))
-        sets: dict[int, np.ndarray] = {}
-        for row, item in sorted(candidates):
-            if row not in sets:
-                sets = {row: np.unique(texts[rows[row]])}
-            item_id, own = self.items[item]
-            shared = int(np.isin(own, sets[row], assume_unique=True).sum())
-            if shared >= self.threshold * len(own) - 1e-9:
-                found[rows[row]].append((item_id, shared / len(own), shared, len(own)))
-        return [sorted(set(own), key=lambda f: (f[0] is None, f)) for own in found]
+        return candidates
 
 
 def contained_items(

@@ -2,7 +2,8 @@
 
 import random
 
-from stratiform.llm.containment import contained_items
+from stratiform.llm.common import WordHashes, shingles, words
+from stratiform.llm.containment import ItemIndex, contained_items
 
 
 def shingle_set(text, size=5):
@@ -85,3 +86,13 @@ def test_extra_columns(spark):
         "doc_id": 1, "text": "a b c d e f", "shared": "x",
         "items": [{"item_id": 7, "containment": 1.0, "shared": 2, "item_shingles": 2}],
     }
+
+
+def test_tiny_items_are_never_missed():
+    """Items of one to three shingles in documents of many; by windows some in a thousand were missed."""
+    items = [(i, " ".join(f"q{i}w{k}" for k in range(5 + i % 3))) for i in range(6000)]
+    index = ItemIndex(items, 5, 64, 0.8)
+    hashed = WordHashes()
+    texts = [shingles(hashed(words(" ".join([*[f"d{i}a{k}" for k in range(60)], text, *[f"d{i}b{k}" for k in range(60)]]))), 5) for i, text in items]
+    found = [own for low in range(0, len(texts), 500) for own in index.search(texts[low : low + 500])]
+    assert [[f[0] for f in own] for own in found] == [[i] for i, _ in items]
