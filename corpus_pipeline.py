@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratiform.llm.common import staged
 from stratiform.llm.containment import contained_items
 from stratiform.llm.language_crf import UNKNOWN, identify
 from stratiform.llm.line_dedup import line_dedup
@@ -31,10 +32,22 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of smallest ``doc_id``, of each group that n-gram similarity connects."""
-    classes = jaccard_join(docs)
-    gone = classes.where(F.col("doc_id") != F.col("class_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row, the first by ``doc_id`` and text hash, of each group that n-gram similarity connects.
+
+    Rows are numbered in that order, null ids last, and compared under their numbers, so that repeated rows,
+    several texts of one ``doc_id`` and rows without one are each judged by their own text. Of repeated rows
+    without words, which are like nothing, one stays too.
+    """
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
+    rows = staged(docs.orderBy(*order).withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    classes = jaccard_join(rows.select(F.col("__row").alias("doc_id"), "text"))
+    alike = classes.where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("__row"))
+    named = rows.select("__row", "doc_id", F.xxhash64("text").alias("text_hash"))
+    repeated = named.groupBy("doc_id", "text_hash").agg(F.min("__row").alias("first"), F.count("*").alias("n")).where("n > 1")
+    same_id = F.col("r.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("r.text_hash") == F.col("f.text_hash"))
+    again = named.alias("r").join(repeated.alias("f"), same_id & (F.col("r.__row") > F.col("f.first"))).select("__row")
+    gone = alike.unionByName(again).distinct()
+    return rows.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

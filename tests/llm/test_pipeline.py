@@ -103,3 +103,11 @@ def test_language_stage_keeps_clean_texts_in_several_languages(spark):
     rows = [(10**6 + i, text, None, "src0", len(text)) for i, text in enumerate(mixed)]
     kept = corpus_pipeline.language_id(spark, docs.unionByName(spark.createDataFrame(rows, docs.schema)), FOLDER)
     assert kept.where(f"doc_id >= {10**6}").count() == len(mixed)
+
+
+def test_near_duplicates_of_repeated_and_null_ids(spark):
+    text, other, third = (" ".join(f"{c}{i}" for i in range(30)) for c in "abc")
+    rows = [(1, text), (1, text), (3, text), (3, other), (4, other + " more"), (None, third), (None, third), (None, text), (7, ""), (7, ""), (8, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, frame, FOLDER).collect()]
+    assert sorted(kept, key=repr) == sorted([(1, text), (3, other), (None, third), (7, ""), (8, "")], key=repr)
