@@ -15,6 +15,7 @@ from stratiform.llm.ngram_join import jaccard_join
 from stratiform.llm.packing import pack
 from stratiform.llm.pii_surrogates import replace_personal_data
 from stratiform.llm.secrets import BASE_RULES, find_secrets, joined_spans
+from stratiform.llm.spelling import spelling_variants
 from stratiform.llm.token_counts import token_counts
 
 QUERIES: dict = {}
@@ -171,3 +172,47 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.select(
         "doc_id", "text", F.size("replaced").cast("long").alias("n_replaced"), joined_spans(F.col("replaced")).alias("spans")
     )
+
+
+# crc32 by half bytes: a table of 16 remainders, folded over the digits of the text's hexadecimal form.
+OP11_SQL = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[a-z\x{00C0}-\x{00FF}]+')) AS run
+  FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY doc_id, run),
+nibbles AS (
+  SELECT *, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS h,
+         list_transform(range(0, 16), lambda i: list_reduce([i, 0, 0, 0, 0],
+           lambda c, x: xor(c >> 1, 3988292384 * (c & 1)))) AS t
+  FROM counted),
+checked AS (
+  SELECT doc_id, run, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(0, length(h)),
+      lambda i: instr('123456789ABCDEF', substr(h, (i + 1 + 1 - 2 * (i % 2))::BIGINT, 1))::BIGINT)),
+    lambda c, x: xor(c >> 4, t[(xor(c, x) & 15) + 1]))) AS crc
+  FROM nibbles),
+spelled AS (
+  SELECT CASE WHEN crc % 31 = 0 THEN run[:(crc % length(run))::BIGINT] || run[(crc % length(run) + 2)::BIGINT:] ELSE run END AS word, n FROM checked),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM spelled WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cuts AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS pos FROM words),
+without AS (SELECT word, n, pos, word[:pos - 1] || word[pos + 1:] AS rest FROM cuts),
+pairs AS (
+  SELECT a.word AS a, a.n AS a_n, b.word AS b, b.n AS b_n FROM without a JOIN without b ON a.rest = b.rest AND a.pos = b.pos AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM words a JOIN without b ON a.word = b.rest
+  UNION SELECT b.word, b.n, a.word, a.n FROM words a JOIN without b ON a.word = b.rest),
+best AS (SELECT a AS word, count(*) AS n_near, arg_min(b, (-b_n, b)) AS form, max(b_n) AS form_n FROM pairs GROUP BY a),
+judged AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * n THEN form END AS form,
+         CASE WHEN form_n >= 10 * n THEN form_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chains AS (
+  SELECT word, word AS root, form AS ahead FROM judged
+  UNION ALL SELECT c.word, c.ahead, j.form FROM chains c JOIN judged j ON j.word = c.ahead)
+SELECT j.word, j.form, c.root, j.n, j.n_near, j.form_n FROM judged j JOIN chains c ON c.word = j.word AND c.ahead IS NULL
+"""
+
+
+@_query("op11_spelling", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"))
