@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stratiform.llm import toxicity
 from stratiform.llm.common import held_out
 from stratiform.llm.containment import contained_items
+from stratiform.llm.fast_sketch import near_duplicates
 from stratiform.llm.hnsw import search_embeddings
 from stratiform.llm.language_crf import identify
 from stratiform.llm.line_dedup import line_dedup
@@ -216,3 +217,30 @@ SELECT j.word, j.form, c.root, j.n, j.n_near, j.form_n FROM judged j JOIN chains
 @_query("op11_spelling", OP11_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingled AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 2, 2)), lambda i: array_to_string(w[i:i + 3], ' '))) AS s
+  FROM worded WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id),
+both_have AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingled a JOIN shingled b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT a, b FROM both_have h JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * h.n >= 80 * (x.n + y.n - h.n)),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+components AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM components LEFT JOIN sizes USING (doc_id)
+"""
+
+
+@_query("op12_fast_sketch", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
