@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.llm import toxicity
+from stratiform.llm.collocations import collocations
 from stratiform.llm.common import held_out
 from stratiform.llm.containment import contained_items
 from stratiform.llm.fast_sketch import near_duplicates
@@ -244,3 +245,36 @@ FROM components LEFT JOIN sizes USING (doc_id)
 @_query("op12_fast_sketch", OP12_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+ones AS (SELECT lang, w[i] AS x, count(*) AS n FROM placed GROUP BY ALL),
+twos AS (SELECT lang, w[i] AS x, w[i + 1] AS y, count(*) AS n FROM placed WHERE i < len(w) GROUP BY ALL HAVING count(*) >= 10),
+threes AS (SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z, count(*) AS n FROM placed WHERE i + 1 < len(w) GROUP BY ALL HAVING count(*) >= 10),
+sizes AS (SELECT lang, sum(n)::BIGINT AS n FROM ones GROUP BY lang),
+cuts AS (
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z AS phrase, t.n AS a, 1 AS k, o.n AS l, p.n AS r
+  FROM threes t JOIN ones o ON o.lang = t.lang AND o.x = t.x JOIN twos p ON p.lang = t.lang AND p.x = t.y AND p.y = t.z
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.n, 2, p.n, o.n
+  FROM threes t JOIN ones o ON o.lang = t.lang AND o.x = t.z JOIN twos p ON p.lang = t.lang AND p.x = t.x AND p.y = t.y
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y, t.n, 1, o.n, p.n
+  FROM twos t JOIN ones o ON o.lang = t.lang AND o.x = t.x JOIN ones p ON p.lang = t.lang AND p.x = t.y
+  WHERE NOT EXISTS (FROM threes h WHERE h.lang = t.lang AND 100 * h.n >= 50 * t.n AND h.x = t.x AND h.y = t.y)
+    AND NOT EXISTS (FROM threes h WHERE h.lang = t.lang AND 100 * h.n >= 50 * t.n AND h.y = t.x AND h.z = t.y)),
+scored AS (SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM cuts),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, s.n, score FROM ranked JOIN sizes s USING (lang) WHERE rank <= 2000
+"""
+
+
+@_query("op13_collocations", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
