@@ -107,10 +107,10 @@ def flow_counts(docs: DataFrame, least: int) -> DataFrame:
     node, so that its flow is summed where they are; edges of nodes made of two hot words are spread.
     """
     partitions = shuffle_partitions(docs.sparkSession)
-    hot = hot_words(docs, partitions)
+    hot = hot_words(docs, partitions) or [""]
     first, second = F.substring_index("node", " ", 1), F.substring_index("node", " ", -1)
     pair = F.instr("node", " ") > 0
-    spread = pair & first.isin(hot) & second.isin(hot) if hot else F.lit(False)
+    spread = pair & first.isin(hot) & second.isin(hot)
     salt = F.when(spread, F.expr(f"int(pmod(xxhash64(next), {_SPREAD})) + 1")).otherwise(0)
     dealt = edge_counts(docs).withColumn("salt", salt).repartition(partitions, "lang", "node", "salt")
     edges = dealt.groupBy("lang", "node", "salt", "next").agg(F.sum("n").alias("n"))
