@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from stratiform import schemas
 from stratiform.plans import control, flow, spec
 
+#: Columns of a registry row that name a source, in the order of ``flow.last_watermark``.
+SOURCE_NAME = ("source_system", "source_entity", "tenant", "product_name")
+
 
 def _print(frame: DataFrame) -> None:
     """Every row, one after the other as it comes."""
@@ -25,6 +28,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--source-entity")
     parser.add_argument("--audit-schema", help="catalog.schema that receives the audit tables")
     parser.add_argument("--checkpoint-root", help="folder for the state of streaming sources")
+    parser.add_argument("--publishers", help="CSV of publisher_name, silver_catalog_name, silver_db_name")
     parser.add_argument("--execute", action="store_true", help="without it only the plan is shown")
     parser.add_argument("--fail-fast", action="store_true")
     args = parser.parse_args(argv)
@@ -43,7 +47,8 @@ def main(argv: list[str] | None = None) -> int:
         spark, *frames.values(), product_name=args.product_name,
         source_system=args.source_system, source_entity=args.source_entity,
         checkpoint_root=args.checkpoint_root,
-        start=lambda system, entity: flow.last_watermark(spark, tables, system, entity),
+        start=lambda row: flow.last_watermark(spark, tables, *[row.get(k) or "" for k in SOURCE_NAME]),
+        publishers=spark.read.csv(args.publishers, header=True) if args.publishers else None,
     )
     report = flow.run_all(spark, specs, tables, fail_fast=args.fail_fast)
     _print(report)

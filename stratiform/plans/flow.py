@@ -348,7 +348,7 @@ def _run_stages(spark: SparkSession, spec: SourceSpec, log: _Log, resume: bool,
     if spec.watermark_column:
         mark = stored.agg(F.max(F.col(spec.watermark_column)).cast("string")).first()[0]
         if mark is not None:
-            log.add("watermark", column=spec.watermark_column, value=mark)
+            log.add("watermark", column=spec.watermark_column, value=mark, tenant=spec.tenant, product=spec.product)
     log.finish("SUCCESS", landing_rows, counts["valid_rows"], None)
     return RunResult(
         spec.name, load_id, "SUCCESS", landing_rows, counts["valid_rows"], counts["reject_rows"],
@@ -377,12 +377,19 @@ def _store_alerts(spark: SparkSession, spec: SourceSpec, log: _Log, stored: Data
         log.store_once(alerts.performance(done), tables.performance_metrics, "performance_metrics", "query_name", name)
 
 
-def last_watermark(spark: SparkSession, tables: AuditTables, system: str, entity: str) -> str | None:
-    """Where the latest finished load of a source ended, known from its validation events."""
+def last_watermark(
+    spark: SparkSession, tables: AuditTables, system: str, entity: str, tenant: str = "", product: str = ""
+) -> str | None:
+    """Where the latest finished load of a source ended, known from its validation events.
+
+    A source is named by tenant, product, system and entity: no product starts at the mark of another.
+    """
     table = tables.validation_events
     if not table or not spark.catalog.tableExists(table):
         return None
     mine = (F.col("source_system") == system) & (F.col("source_entity") == entity) & (F.col("event_name") == "watermark")
+    for name, value in (("tenant", tenant), ("product", product)):
+        mine = mine & (F.coalesce(F.get_json_object("event_payload", f"$.{name}"), F.lit("")) == (value or ""))
     last = spark.table(table).filter(mine).agg(F.max_by("event_payload", "event_ts")).first()[0]
     return None if last is None else json.loads(last)["value"]
 

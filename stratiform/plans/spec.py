@@ -107,10 +107,10 @@ def build(
     custom: Mapping[str, Callable[[SparkSession], DataFrame]] | None = None,
     prefixes: Sequence[str] = EXTERNAL_PREFIXES,
     checkpoint_root: str | None = None,
-    start: Callable[[str, str], str | None] | None = None,
+    start: Callable[[Mapping[str, Any]], str | None] | None = None,
     target: str | None = None,
 ) -> SourceSpec:
-    """Spec of one registry row. ``start`` gives where the last load of a source ended, else the row's
+    """Spec of one registry row. ``start`` gives where the last load of a registry row ended, else the row's
     own start value counts; ``target`` is the silver table that a publisher sets. ``custom`` holds readers of CUSTOM sources by entity; a file source
     in streaming mode keeps its state below ``checkpoint_root``."""
     needed = ("source_system", "source_entity", "source_type", "landing_table",
@@ -132,7 +132,7 @@ def build(
     elif kind == "FILE":
         reader = _file_reader(row, given)
     elif kind == "JDBC":
-        begin = start and start(row["source_system"], row["source_entity"])
+        begin = start and start(row)
         reader = _jdbc_reader(row, given, begin or flow_options.get("incremental_start_value"), jdbc_profiles)
     elif kind == "API":
         reader = _page_reader(row, given)

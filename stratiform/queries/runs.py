@@ -11,6 +11,7 @@ from stratiform.plans import flow, resume
 from stratiform.plans.flow import SourceSpec
 from stratiform.queries.inputs import ctes, derive
 from stratiform.queries.registry import query, table
+from stratiform.sources import jdbc
 from stratiform.session import new_folder
 from stratiform.streaming import files as streams
 
@@ -343,3 +344,29 @@ def resume_point(spark, sf_dir):
 def kept_runs(spark, sf_dir):
     points = resume.resume_point(derive(spark, sf_dir, "stages"))
     return resume.newest_runs(points, within=["last_completed_stage"])
+
+
+@query(
+    "watermark_products",
+    """SELECT product, CAST(o_orderdate AS DATE) AS order_day, count(*) AS loaded FROM orders,
+  (VALUES ('p1', DATE '1996-01-01'), ('p2', DATE '1999-01-01')) AS p(product, first_end) GROUP BY ALL""",
+)
+def watermark_products(spark, sf_dir):
+    """Two products load one source from their own marks on, each in two starts. Each ends with every row once."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    tables = flow.AuditTables(validation_events=f"spark_catalog.default.marks_{uuid.uuid4().hex}")
+    report = None
+    for product, first_end in (("p1", "1996-01-01 00:00:00"), ("p2", "1999-01-01 00:00:00")):
+        tag = f"spark_catalog.default.{product}_{uuid.uuid4().hex}"
+        spec = SourceSpec(
+            "erp", "orders", _no_reader, f"{tag}_l", f"{tag}_c", f"{tag}_s", product=product, watermark_column="o_orderdate",
+            paths={layer: new_folder(spark, f"marks-{layer}") for layer in ("landing", "conformance", "silver")},
+        )
+        for number, there in enumerate((orders.where(F.col("o_orderdate") < F.lit(first_end).cast("timestamp_ntz")), orders)):
+            mark = flow.last_watermark(spark, tables, "erp", "orders", product=product)
+            new = there if mark is None else jdbc.beyond(there, "o_orderdate", mark)
+            flow.run_source(spark, flow.with_rules(spec, read=lambda _, rows=new: rows), tables, load_id=f"{product}-{number}")
+        loaded = spark.table(spec.silver_table).groupBy(F.to_date("o_orderdate").alias("order_day")).agg(F.count("*").alias("loaded"))
+        part = loaded.select(F.lit(product).alias("product"), "order_day", "loaded")
+        report = part if report is None else report.unionByName(part)
+    return report

@@ -363,7 +363,9 @@ def test_alerts_metrics_and_watermark_of_a_run(spark, rows, make, tables):
         ("L1", "DQ_FAILURE_RATE", "CRITICAL", "shop")]
     metric = spark.table(tables.performance_metrics).first()
     assert (metric.query_name, metric.rows_processed) == ("crm.orders:L1", 5) and metric.bytes_processed > 0
-    assert flow.last_watermark(spark, tables, "crm", "orders") == "4"
+    assert flow.last_watermark(spark, tables, "crm", "orders", product="shop") == "4"
+    assert flow.last_watermark(spark, tables, "crm", "orders") is None
+    assert flow.last_watermark(spark, tables, "crm", "orders", "north", "shop") is None
     run_source(spark, spec, tables, load_id="L1", resume=True)
     assert spark.table(tables.alerts).count() == 1 and spark.table(tables.performance_metrics).count() == 1
 
@@ -483,3 +485,15 @@ def test_landing_table_name_is_checked(spark, make):
     with pytest.raises(ConfigError):
         run_source(spark, make(landing_table="t"))
     assert landing.checked_table("a.b.c") == "a.b.c"
+
+
+def test_marks_of_two_products(spark, make, tables, new_name):
+    seen = []
+    for product in ("shop", "mall"):
+        for data in (DATA[:3], DATA):
+            mark = flow.last_watermark(spark, tables, "crm", "orders", product=product)
+            new = [r for r in data if mark is None or r[0] > mark]
+            spec = make(new, product=product, watermark_column="raw_id", publish_mode="append")
+            run_source(spark, spec, tables, load_id=f"{product}-{len(data)}")
+            seen.append((product, mark, len(new)))
+    assert seen == [("shop", None, 3), ("shop", "3", 2), ("mall", None, 3), ("mall", "3", 2)]
