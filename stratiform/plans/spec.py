@@ -56,9 +56,9 @@ def json_list(cell: Any) -> list[str]:
 def _file_reader(row: Mapping[str, Any], given: dict[str, Any]) -> Callable[[SparkSession], DataFrame]:
     kind = str(row.get("source_format") or "").strip().lower()
     path = substitute(str(row.get("source_path") or ""))
-    if kind == "json_jsonl_mixed" and given.get("schema_ddl"):
-        ddl = given["schema_ddl"]
-        return lambda spark: files.read_mixed_json(spark, path, ddl)
+    if _is_mixed(row, given):
+        record = files.without_corrupt(given["schema_ddl"])
+        return lambda spark: files.read_mixed_json(spark, path, record, files.CORRUPT)
     ddl = given.pop("schema_ddl", None)
     wanted = {k: v for k, v in given.items() if not k.startswith("cloudFiles.")}
     load_type = str(row.get("load_type") or "incremental").strip().lower()
@@ -68,15 +68,30 @@ def _file_reader(row: Mapping[str, Any], given: dict[str, Any]) -> Callable[[Spa
 def _stream_reader(
     row: Mapping[str, Any], given: Mapping[str, Any], schema_location: str | None
 ) -> Callable[[SparkSession], DataFrame]:
-    from stratiform.streaming.files import read_stream
+    from stratiform.streaming.files import read_stream, stream_of_files
 
     path = substitute(str(row.get("source_path") or ""))
     kind = str(row.get("source_format") or "")
+    if _is_mixed(row, given):
+        return lambda spark: stream_of_files(spark, path, given)
     return lambda spark: read_stream(
         spark, path, kind, row["source_system"], row["source_entity"], given, schema_location=schema_location
     )
 
 
+def _is_mixed(row: Mapping[str, Any], given: Mapping[str, Any]) -> bool:
+    return str(row.get("source_format") or "").strip().lower() == "json_jsonl_mixed" and bool(given.get("schema_ddl"))
+
+
+def _mixed_batches(row: Mapping[str, Any], given: Mapping[str, Any]) -> Callable[[DataFrame], DataFrame]:
+    """Records of the files of a micro-batch, read split by split like those of a batch load."""
+    from stratiform.streaming.files import mixed_batch
+
+    return lambda found: mixed_batch(
+        found, substitute(str(row.get("source_path") or "")), row["source_system"], row["source_entity"], given
+    )
+
+
 def _no_batch_reader(_: SparkSession) -> DataFrame:
     raise ConfigError("a streaming source is read by its stream")
 
@@ -121,7 +136,7 @@ def build(
     flow_options, given = opt.by_consumer(json_object(row.get("source_options_json")))
     kind = str(row["source_type"]).strip().upper()
     mode = str(given.get("file_ingest_mode") or "batch").strip().lower()
-    stream = checkpoint = None
+    stream = checkpoint = expand = None
     if kind == "FILE" and mode == STREAM_MODE:
         reader = _no_batch_reader
         if checkpoint_root:
@@ -129,6 +144,8 @@ def build(
             checkpoint = "/".join([checkpoint_root.rstrip("/"), *[n for n in names if n]])
         # Beside the checkpoint, as folders inside it belong to the query.
         stream = _stream_reader(row, given, checkpoint and f"{checkpoint}-schema")
+        if _is_mixed(row, given):
+            expand = _mixed_batches(row, given)
     elif kind == "FILE":
         reader = _file_reader(row, given)
     elif kind == "JDBC":
@@ -167,6 +184,7 @@ def build(
         zorder_by=json_list(rule.get("optimize_zorder_json")),
         paths=paths,
         stream=stream,
+        before_landing=expand,
         stream_options=given if stream else {},
         checkpoint=checkpoint,
         archive_table=flow_options.get("archive_table"),

@@ -162,6 +162,16 @@ SELECT c_nationkey, CASE WHEN c_acctbal < 3000
   ELSE '{{"id":' || CAST(c_custkey AS STRING) || ',"name":"' || c_name || '"}}' || chr(10) || chr(10)
       || '{{"id":-2,"name":"' || c_mktsegment || '"}}' || chr(10) END AS body, c_custkey, c_name,
   c_mktsegment, c_acctbal
+FROM {customer}""",
+    "json_shapes": """
+SELECT c_custkey, CASE pmod(c_custkey, 7)
+  WHEN 0 THEN '[{{"id":' || CAST(c_custkey AS STRING) || ',"name":"' || c_name || '"}},' || chr(10) || '{{"id":-1}}]'
+  WHEN 1 THEN '{{"id":' || CAST(c_custkey AS STRING) || ',' || chr(10) || ' "name":"' || c_name || '"' || chr(10) || '}}'
+  WHEN 2 THEN '{{"id":' || CAST(c_custkey AS STRING) || '}}{{"id":-2,"name":"' || c_name || '"}}'
+  WHEN 3 THEN CAST(c_custkey AS STRING)
+  WHEN 4 THEN '{{"id":' || CAST(c_custkey AS STRING) || ',"name":"' || c_name
+  WHEN 5 THEN '{{"id":' || CAST(c_custkey AS STRING) || ',"x":{{"y":[{{}},"}}]{{"]}},"name":"' || c_mktsegment || '"}}'
+  ELSE '[{{"id":' || CAST(c_custkey AS STRING) || '}},{{"id":-3}},{{"id":-4,"name":"a"}}]' END AS body
 FROM {customer}""",
     "json_lines": """
 SELECT '{{"event_id":' || CAST(event_id AS STRING) || ',"event_type":"' || event_type || '",'

@@ -230,6 +230,46 @@ def mixed_json(spark, sf_dir):
     return files.mixed_records(bodies, "body", "id bigint, name string")
 
 
+_SHAPES_SQL = """
+WITH c AS (SELECT *, c_custkey % 7 AS shape FROM customer)
+SELECT c_custkey AS id, CASE WHEN shape IN (0, 1) THEN c_name WHEN shape = 5 THEN c_mktsegment END AS name, NULL AS bad
+FROM c WHERE shape NOT IN (3, 4)
+UNION ALL SELECT -1, NULL, NULL FROM c WHERE shape = 0
+UNION ALL SELECT -2, c_name, NULL FROM c WHERE shape = 2
+UNION ALL SELECT -3, NULL, NULL FROM c WHERE shape = 6
+UNION ALL SELECT -4, 'a', NULL FROM c WHERE shape = 6
+UNION ALL SELECT NULL, NULL, CAST(c_custkey AS VARCHAR) FROM c WHERE shape = 3
+UNION ALL SELECT NULL, NULL, '{"id":' || c_custkey || ',"name":"' || c_name FROM c WHERE shape = 4
+"""
+
+
+def _shape_files(spark, sf_dir):
+    """Files that mix arrays, objects over lines, several on a line, bare numbers and lines that end too early."""
+    path = new_folder(spark, "json-shapes")
+    derive(spark, sf_dir, "json_shapes").orderBy("c_custkey").select("body").write.text(path)
+    return path
+
+
+@query("mixed_json_files", _SHAPES_SQL)
+def mixed_json_files(spark, sf_dir):
+    return files.read_mixed_json(spark, _shape_files(spark, sf_dir), "id bigint, name string", bad="bad")
+
+
+@query("stream_mixed_json", _SHAPES_SQL)
+def stream_mixed_json(spark, sf_dir):
+    """The same files as a stream of file names, whose batches are read split by split."""
+    path, out, state = _shape_files(spark, sf_dir), new_folder(spark, "mixed-out"), new_folder(spark, "stream-state")
+    wanted = {"schema_ddl": "id bigint, name string", "cloudFiles.maxFilesPerTrigger": 3, "add_metadata_columns": False}
+    stream = streams.stream_of_files(spark, path, wanted)
+
+    def batch(found, number):
+        records = streams.mixed_batch(found, path, "crm", "customers", wanted)
+        records.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    stream.writeStream.foreachBatch(batch).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).select("id", "name", F.col(files.CORRUPT).alias("bad"))
+
+
 @query(
     "stream_landing",
     """SELECT *, 'web' AS source_system, 'events' AS source_entity, 'load-1' AS load_id FROM events""",

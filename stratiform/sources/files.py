@@ -6,6 +6,7 @@ import posixpath
 from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from stratiform.errors import ConfigError
 from stratiform.operators.keyed import measure
 from stratiform.sources import options as opt
+from stratiform.sources.json_values import MAX_VALUE, chunks_of, json_chunks
 
 LOAD_TYPES = ("full", "incremental")
 
@@ -64,91 +66,69 @@ def newer_files(frame: DataFrame, since: str) -> DataFrame:
 
 
 def read_mixed_json(
-    spark: SparkSession, path: str, schema: T.StructType | str, bad: str | None = None
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, bad: str | None = None,
+    max_value: int = MAX_VALUE, file: str | None = None,
 ) -> DataFrame:
-    """Records of files that are each a JSON array, JSON objects over several lines, or JSON lines.
+    """Records of files that hold JSON arrays, objects over any number of lines, or JSON lines, in any mixture.
 
-    Only the first bytes of each file are looked at to tell JSON lines, which are then read split by
-    split with each line parsed alone; the other files are read whole, and so is a file whose first line is longer than ``HEAD_BYTES``. ``bad`` names a column for the
-    text of what cannot be parsed.
+    Files of any size are read split by split (see ``json_chunks``); only a single value has to fit a task. A
+    value that is no object, and text that cannot be parsed, gives a record of NULLs; ``bad`` names a column
+    for its text, ``file`` one for the file it is in. A broken value that holds intact objects on lines of
+    their own gives these.
     """
-    heads = spark.read.format("binaryFile").load(path).select("path", F.substring("content", 1, HEAD_BYTES).alias("head"))
-    text = F.regexp_replace(F.col("head").cast("string"), _BLANK_OR_MARK, "")
-    kinds = heads.select("path", _by_line(_lines(text)).alias("by_line"))
-    by_line = [r.path for r in kinds.where("by_line").select("path").toLocalIterator()]
-    whole = [r.path for r in kinds.where("NOT by_line").select("path").toLocalIterator()]
-    record = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    parts = []
-    if by_line:
-        parts.append(json_lines(spark.read.text(by_line), "value", record, bad))
-    if whole:
-        parts.append(mixed_records(spark.read.text(whole, wholetext=True), "value", record, bad))
-    if not parts:
-        parts.append(json_lines(spark.read.text(path), "value", record, bad))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
-
+    named = [F.col("file").alias(file)] if file else []
+    chunks = json_chunks(spark, path, max_value).select(*named, F.struct("text", "is_value").alias("__chunk"))
+    return _chunk_records(chunks, F.array("__chunk"), "__chunk", schema, bad)
 
-#: Bytes of a file that are enough to see its first line end, or to see that it is very long.
-HEAD_BYTES = 65_536
-
-_BLANK_OR_MARK = r"^(\uFEFF|\s)+|\s+$"
 
+def mixed_records(
+    bodies: DataFrame, body: str, schema: T.StructType | str, bad: str | None = None
+) -> DataFrame:
+    """Records of whole JSON texts, in all shapes that ``read_mixed_json`` reads, with the other columns."""
 
-def _lines(text: Column) -> Column:
-    return F.filter(F.split(text, r"\r?\n"), lambda line: F.length(F.trim(line)) > 0)
+    @F.pandas_udf("array<struct<text string, is_value boolean>>")
+    def chunked(texts: pd.Series) -> pd.Series:
+        return texts.map(
+            lambda text: [(part.decode("utf-8", "replace"), kind == "value") for kind, part in chunks_of((text or "").encode())]
+        )
 
+    return _chunk_records(bodies, chunked(F.col(body)), body, schema, bad)
 
-def _is_value(line: Column) -> Column:
-    return F.coalesce(line.rlike(r"^\s*(\{.*\}|\[.*\])\s*$") & F.try_parse_json(line).isNotNull(), F.lit(False))
 
+def _chunk_records(frame: DataFrame, chunks: Column, source: str, schema: T.StructType | str, bad: str | None) -> DataFrame:
+    """Records of chunks (text, is_value): values as they are, other texts by those of their lines that are objects."""
+    record = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
-def _by_line(lines: Column) -> Column:
-    """Whether a text holds a value on each line, told by its first two lines.
+    def is_object(text: Column) -> Column:
+        return text.startswith("{") & F.try_parse_json(text).isNotNull()
 
-    A line that ends with an opening bracket begins a value over several lines. A line that is no
-    value is malformed if it does not begin like one, or if the next line is a value.
-    """
-    first, second = F.coalesce(F.get(lines, 0), F.lit("")), F.get(lines, 1)
-    return ~first.rlike(r"[\[{]\s*$") & (_is_value(first) | _is_value(second) | ~first.rlike(r"^\s*[\[{]"))
+    def parts(chunk: Column) -> Column:
+        text = F.btrim(chunk["text"], F.lit(BLANKS))
+        trimmed = F.transform(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(BLANKS + ",")))
+        lines = F.filter(trimmed, lambda line: F.length(line) > 0)
+        whole = chunk["is_value"] & is_object(text)
+        return F.when(~whole & F.exists(lines, is_object), lines).otherwise(F.array(text))
 
+    others = [c for c in frame.columns if c != source]
+    values = frame.select(*others, F.explode(F.flatten(F.transform(chunks, parts))).alias("__value"))
+    broken = ~is_object(F.col("__value"))
+    kept = [F.when(F.col("__broken"), F.col("__value")).alias(bad)] if bad else []
+    parsed = F.when(broken, F.from_json(F.lit("{}"), record)).otherwise(F.from_json("__value", record))
+    found = values.select(*others, "__value", broken.alias("__broken"), parsed.alias("__r"))
+    return found.select(*others, "__r.*", *kept)
 
-def json_lines(lines: DataFrame, line: str, schema: T.StructType | str, bad: str | None = None) -> DataFrame:
-    """Records of text lines; a line is an object or an array of objects, and costs only itself if malformed."""
-    record = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    text = F.regexp_replace(F.col(line), _BLANK_OR_MARK, "")
-    return _records(lines.filter(F.length(text) > 0), line, F.array(text), record, bad)
 
+#: Column in which control-driven runs keep the text that cannot be parsed.
+CORRUPT = "_corrupt_record"
 
-def mixed_records(bodies: DataFrame, body: str, schema: T.StructType | str, bad: str | None = None) -> DataFrame:
-    """Records of whole JSON texts in any shape, with the other columns.
 
-    A text is one value (an array or an object), one value on each line, or several objects one after
-    the other over any number of lines. What is malformed gives one record of NULLs for its line or
-    object, with its text in the column ``bad`` if that is named.
-    """
+def without_corrupt(schema: T.StructType | str) -> T.StructType:
     record = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    text = F.regexp_replace(F.col(body), _BLANK_OR_MARK, "")
-    lines = _lines(text)
-    # Within a value a bracket that closes is never followed by one that opens, without a comma.
-    values = F.split(text, r"(?<=[\]}])\s*\r?\n\s*(?=[\[{])")
-    parts = F.when(_by_line(lines), lines).otherwise(F.filter(values, lambda v: F.length(v) > 0))
-    return _records(bodies, body, parts, record, bad)
+    return T.StructType([f for f in record.fields if f.name != CORRUPT])
 
 
-def _records(frame: DataFrame, source: str, parts: Column, record: T.StructType, bad: str | None) -> DataFrame:
-    """All records of the JSON values in ``parts``, beside the other columns of ``frame``."""
-    others = [c for c in frame.columns if c != source]
-    values = frame.select(*others, F.explode(parts).alias("__value"))
-    text = F.col("__value")
-    broken = F.try_parse_json(text).isNull()
-    listed = F.when(F.ltrim(text).startswith("["), F.from_json(text, T.ArrayType(record))).otherwise(F.array(F.from_json(text, record)))
-    empty = F.array(F.from_json(F.lit("{}"), record))
-    found = values.select(*others, "__value", broken.alias("__broken"), F.explode(F.when(broken, empty).otherwise(listed)).alias("__r"))
-    kept = [F.when(F.col("__broken"), F.col("__value")).alias(bad)] if bad else []
-    return found.select(*others, "__r.*", *kept)
+#: What surrounds values, a mark at the start of a file included.
+BLANKS = " \t\r\n\ufeff"
 
 
 def fixed_width(lines: DataFrame, columns: Sequence[tuple[str, int, int, str]]) -> DataFrame:

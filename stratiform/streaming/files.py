@@ -10,7 +10,7 @@ from datetime import datetime, timedelta, timezone
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -19,7 +19,7 @@ from stratiform.errors import ConfigError
 from stratiform.operators.landing import add_metadata, widen
 from stratiform.plans.flow import AuditTables, RunResult, SourceSpec, run_source
 from stratiform.sources import options as opt
-from stratiform.sources.files import fixed_width_fields, glob_into_path, mixed_records
+from stratiform.sources.files import CORRUPT, fixed_width_fields, glob_into_path, mixed_records, read_mixed_json, without_corrupt
 from stratiform.sources.rescue import parse_lines, widened_schema
 
 OUTPUT_MODES = ("append", "complete", "update")
@@ -133,18 +133,7 @@ def read_stream(
         reader = reader.schema(wanted)
     frame = reader.load(where)
     if parsed.metadata:
-        source_id = f"{system}.{entity}"
-        frame = frame.withColumns(
-            {
-                "_ingestion_ts": F.current_timestamp(),
-                "_source_file": F.col("_metadata.file_path"),
-                "_source_path": F.lit(path),
-                "_source_id": F.lit(source_id),
-                "_source_format": F.lit(kind),
-                "_autoloader_format": F.lit(target),
-                "_metadata_source_name": F.lit(parsed.metadata_name or source_id),
-            }
-        )
+        frame = frame.withColumns(source_columns(parsed, F.col("_metadata.file_path"), path, system, entity, kind))
     if by_line:
         late = "failOnNewColumns" if parsed.evolution == "addNewColumns" else parsed.evolution
         frame = parse_lines(frame, "value", wanted, late)
@@ -155,6 +144,42 @@ def read_stream(
     return frame
 
 
+def source_columns(parsed: StreamOptions, file: Column, path: str, system: str, entity: str, kind: str) -> dict[str, Column]:
+    source_id = f"{system}.{entity}"
+    return {
+        "_ingestion_ts": F.current_timestamp(),
+        "_source_file": file,
+        "_source_path": F.lit(path),
+        "_source_id": F.lit(source_id),
+        "_source_format": F.lit(kind),
+        "_autoloader_format": F.lit(opt.STREAM_FORMATS[kind]),
+        "_metadata_source_name": F.lit(parsed.metadata_name or source_id),
+    }
+
+
+def stream_of_files(spark: SparkSession, path: str, options: Mapping[str, Any] | None = None) -> DataFrame:
+    """New files as rows (path, modificationTime, length); contents are not read. See ``mixed_batch``."""
+    given = {k: v for k, v in stream_options(options).reader.items() if k in (*_FILE_CHOICE, *_BATCH_SIZE)}
+    where = glob_into_path(path, given)
+    entry = "path string, modificationTime timestamp, length bigint, content binary"
+    return spark.readStream.format("binaryFile").schema(entry).options(**given).load(where).select("path", "modificationTime", "length")
+
+
+def mixed_batch(found: DataFrame, path: str, system: str, entity: str, options: Mapping[str, Any]) -> DataFrame:
+    """Records of the mixed JSON files that a micro-batch of ``stream_of_files`` names.
+
+    The files are read split by split, so none has to fit a task. Their names come to the driver, where
+    the file source has listed them before.
+    """
+    parsed = stream_options(options)
+    names = [r.path for r in found.select("path").collect()]
+    record = without_corrupt(parsed.schema_ddl)
+    read = read_mixed_json(found.sparkSession, names, record, CORRUPT, file="_source_file")
+    if not parsed.metadata:
+        return read.drop("_source_file")
+    return read.withColumns(source_columns(parsed, F.col("_source_file"), path, system, entity, "json_jsonl_mixed"))
+
+
 def evolved_schema(
     spark: SparkSession, path: str, reader: Mapping[str, str], schema: T.StructType | str, location: str | None
 ) -> T.StructType:
@@ -185,6 +210,7 @@ def evolved_schema(
 
 #: Reader options that choose files; the others concern their contents.
 _FILE_CHOICE = ("recursiveFileLookup", "pathGlobFilter", "modifiedAfter", "modifiedBefore")
+_BATCH_SIZE = ("maxFilesPerTrigger", "maxBytesPerTrigger")
 
 
 def _trigger(writer, parsed: StreamOptions):

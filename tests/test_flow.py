@@ -497,3 +497,24 @@ def test_marks_of_two_products(spark, make, tables, new_name):
             run_source(spark, spec, tables, load_id=f"{product}-{len(data)}")
             seen.append((product, mark, len(new)))
     assert seen == [("shop", None, 3), ("shop", "3", 2), ("mall", None, 3), ("mall", "3", 2)]
+
+
+def test_mixed_json_keeps_its_bad_text_in_control_runs(spark, rows, tables, new_name, tmp_path):
+    from stratiform.plans import spec as specs
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('[{"id":1},\n{"id":2}]\n')
+    (tmp_path / "in" / "b.json").write_text('{"id":3}\nno json\n{"id":\n4}')
+    row = {
+        "source_system": "crm", "source_entity": "notes", "source_type": "FILE", "source_format": "json_jsonl_mixed",
+        "source_path": str(tmp_path / "in"), "load_type": "full", "publish_mode": "append",
+        **{k: new_name(k) for k in ("landing_table", "conformance_table", "silver_table")},
+    }
+    expected = sorted([(1, None), (2, None), (3, None), (4, None), (None, "no json")], key=repr)
+    for mode in ("batch", "autoloader"):
+        options = f'{{"schema_ddl": "id int", "file_ingest_mode": "{mode}"}}'
+        names = {k: new_name(k) for k in ("landing_table", "conformance_table", "silver_table")}
+        spec = specs.build(row | names | {"source_options_json": options}, checkpoint_root=str(tmp_path / f"state-{mode}"))
+        report = run_all(spark, [spec], tables, fail_fast=True)
+        assert [r.status for r in report.collect()] == ["SUCCESS"]
+        assert rows(spark.table(spec.silver_table), "id", "_corrupt_record") == expected

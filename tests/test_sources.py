@@ -245,26 +245,70 @@ SHAPES = {
     "a": 'not json\n{"a":1}\n{"a":2}\n', "b": '[{"a":3}]\n[{"a":4},{"a":5}]\n', "c": '{\n "a": 6\n}\n{\n "a": 7\n}\n',
     "d": '\ufeff[\n{"a":8},\n{"a":9}\n]', "e": '\ufeff{"a":10}\n\n{"a":11}\r\n{"a":', "f": "", "g": '{"a":12}',
     "h": '[{"a":13},{"a":14}]', "i": '{"a": 15,\n "b": {"c":\n 1}}\n{"a": 16,\n"b":2}', "j": '{"a":\n17}',
+    "k": '{"a":18}{"a":19}\n', "l": '1\n"x"\nnull\n{"a":20}\n', "m": '{"a":7\n{"a":8\n{"a":21}', "n": '[{"a":22},{"a":23},{"a"',
+    "o": '{"a":24,"s":"}{\\"}[\\\\"}\n{"a":25,"s":"open\n{"a":26}\n', "p": '{"a":9,\n{"a":27}\n{"a":28}\n', "q": "[]", "r": '[1, {"a":29}, "t"]',
+    "s": '{"a":30} rest\n{"a":"é}"}', "t": '{"a":\n{"a":31}\n{"a":32}\n',
 }
+BAD = [
+    "not json", '{"a":', "1", '"x"', "null", '{"a":7', '{"a":8', '{"a"', '{"a":25,"s":"open', '{"a":9,', "1", '"t"', "rest", '{"a":',
+]
+
+
+def _expected():
+    return sorted([*[(n, None) for n in range(1, 33) if n != 25], (None, None), *[(None, t) for t in BAD]], key=repr)
 
 
 def test_mixed_json_loses_nothing(spark, rows, tmp_path):
     for name, text in SHAPES.items():
         (tmp_path / f"{name}.json").write_text(text)
-    expected = sorted([*[(n, None) for n in range(1, 18)], (None, "not json"), (None, '{"a":')], key=repr)
-    assert rows(files.read_mixed_json(spark, str(tmp_path), "a int", bad="bad")) == expected
+    assert rows(files.read_mixed_json(spark, str(tmp_path), "a int", bad="bad")) == _expected()
     bodies = spark.createDataFrame([(v,) for v in SHAPES.values()], "body string")
-    assert rows(files.mixed_records(bodies, "body", "a int", bad="bad")) == expected
+    assert rows(files.mixed_records(bodies, "body", "a int", bad="bad")) == _expected()
 
 
-def test_json_lines_are_read_in_splits(spark, tmp_path):
-    (tmp_path / "long.json").write_text("".join(f'{{"a": {n}, "pad": "{"x" * 90}"}}\n' for n in range(20_000)))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+@pytest.mark.parametrize("size", ["7b", "16b", "61b"])
+def test_mixed_json_in_tiny_splits(spark, rows, tmp_path, size):
+    for name, text in SHAPES.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
-        frame = files.read_mixed_json(spark, str(tmp_path), "a int")
-        assert frame.rdd.getNumPartitions() > 4 and frame.count() == 20_000
+        assert rows(files.read_mixed_json(spark, str(tmp_path), "a int", bad="bad")) == _expected()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_json_is_read_in_splits(spark, tmp_path):
+    """An array on one line, objects over lines, and lines, each of several splits; no split reads much more than its bytes."""
+    pad = "x" * 90
+    (tmp_path / "array.json").write_text("[" + ",".join(f'{{"a": {n}, "b": {{"c": "{pad}}}"}}}}' for n in range(20_000)) + "]")
+    (tmp_path / "lines.json").write_text("".join(f'{{"a": {n}, "pad": "{pad}"}}\n' for n in range(20_000)))
+    (tmp_path / "long.json").write_text("".join(f'{{\n "a": {n},\n "b": [{{"c": "{pad}"}},\n {{"c": "{pad}"}}]\n}}\n' for n in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300k")
+    try:
+        frame = files.read_mixed_json(spark, str(tmp_path), "a int", bad="bad")
+        assert frame.rdd.getNumPartitions() > 20
+        assert frame.where("bad IS NOT NULL").count() == 0
+        assert {r["count"] for r in frame.groupBy("a").count().collect()} == {3} and frame.count() == 60_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_values_beyond_the_bound_go_line_by_line(spark, rows, tmp_path):
+    (tmp_path / "x.json").write_text('{"a": 1}\n{"a": 2,\n"b": [\n' + "1,\n" * 300 + '{"a": 3}\n')
+    frame = files.read_mixed_json(spark, str(tmp_path), "a int", bad="bad", max_value=200)
+    assert rows(frame.where("a IS NOT NULL"), "a") == [(1,), (3,)]
+    assert frame.where("bad = '1'").count() == 300
+
+
+def test_no_json_file_has_to_fit_a_row(spark, tmp_path):
+    (tmp_path / "x.json").write_text("".join(f'{{"a": {n}}}\n' for n in range(2000)))
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "100")
+    try:
+        assert files.read_mixed_json(spark, str(tmp_path), "a int").count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
 
 
 def test_fixed_width_files(spark, rows, tmp_path):
