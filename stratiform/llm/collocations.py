@@ -14,28 +14,32 @@ and are no phrases of their own, so that only nodes at junctions are looked at f
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratiform.llm.common import discard, shuffle_partitions, staged
 from stratiform.llm.line_dedup import LOWER, UPPER
 
-#: What ends a piece, what a word is made of, the letters that are lower-cased, the missing language.
-PIECE_END = re.compile(r"[.,;:!?\x0A-\x0D]")
-WORD = re.compile(r"[^\x20\x09]+")
+#: What ends a piece, what parts its words, the missing language.
+PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
+BLANKS = b" \t"
 NO_LANG = "und"
-_TO_LOWER = str.maketrans(UPPER, LOWER)
 
+#: One pass over the bytes of a text lower-cases A-Z and makes every piece end a line end.
+_TABLE = bytes.maketrans(UPPER.encode() + PIECE_ENDS, LOWER.encode() + b"\n" * len(PIECE_ENDS))
 _SPREAD = 32
+#: Part of the documents in which hot words are looked for.
+_LOOKED_AT = 0.05
 
 
-def pieces(text: str) -> Iterator[list[str]]:
-    for piece in PIECE_END.split(text.translate(_TO_LOWER)):
-        words = WORD.findall(piece)
+def pieces(text: str) -> Iterator[list[bytes]]:
+    """Words of every piece; what else ``split`` takes for a blank ends a piece before."""
+    for piece in text.encode().translate(_TABLE).split(b"\n"):
+        words = piece.split()
         if words:
             yield words
 
@@ -43,8 +47,7 @@ def pieces(text: str) -> Iterator[list[str]]:
 def hot_words(docs: DataFrame, partitions: int) -> list[str]:
     """Words with more than about a quarter of an even partition of all occurrences: at most eight per partition.
 
-    They decide how rows are spread and nothing else. Each batch reports the words that are that frequent
-    in it, so a word that is so overall is reported where it is.
+    They decide how rows are spread and no count, so a part of the documents is enough to find them.
     """
 
     def count(batches: Iterator) -> Iterator:
@@ -56,45 +59,78 @@ def hot_words(docs: DataFrame, partitions: int) -> list[str]:
                 for words in pieces(text or ""):
                     seen.update(words)
             total = sum(seen.values())
-            often = [(w, n) for w, n in seen.items() if n * 4 * partitions >= total]
+            often = [(w.decode(), n) for w, n in seen.items() if n * 4 * partitions >= total]
             words, counts = [w for w, _ in often], [n for _, n in often]
             yield pa.RecordBatch.from_arrays([pa.array([*words, None], pa.string()), pa.array([*counts, total], pa.int64())], ["word", "n"])
 
-    reported = staged(docs.select("text").mapInArrow(count, "word string, n long"), "frequent-words")
+    some = docs.select("text").sample(_LOOKED_AT, seed=13)
+    reported = staged(some.mapInArrow(count, "word string, n long"), "frequent-words")
     found = reported.groupBy("word").agg(F.sum("n").alias("n"))
     total = found.where("word IS NULL").first()
     hot = found.where(F.col("word").isNotNull() & (F.col("n") * (8 * partitions) > (total["n"] if total else 0)))
     return sorted(row["word"] for row in hot.collect())
 
 
-def edge_counts(docs: DataFrame, keys: int = 200_000) -> DataFrame:
-    """Edges and piece ends with their weights, pre-aggregated for every ``keys`` distinct ones of a task.
+class _Numbers(dict):
+    """Words numbered from 1 as they come."""
 
-    Columns lang, node (two words, or the last word of a piece), next (null at the end of a piece), n.
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self) + 1
+        return number
+
+
+def edge_counts(docs: DataFrame, tokens: int = 2_000_000, types: int = 1_000_000) -> DataFrame:
+    """Edges and piece ends with their weights, pre-aggregated for every ``tokens`` words of a task.
+
+    Columns lang, node (two words, or the last word of a piece; null: all words), next (null at the end of
+    a piece), n. Words are numbered within a task, and triples of numbers counted by sorting, which also puts
+    the edges of a node next to each other.
     """
 
     def count(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         def flush():
-            rows = [(lang, a if b is None else f"{a} {b}", c, n) for lang, own in seen.items() for (a, b, c), n in own.items()]
-            columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-            kinds = [pa.string(), pa.string(), pa.string(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["lang", "node", "next", "n"])
-
-        seen: dict[str, Counter] = {}
+            known = pa.array([b"", *numbers], pa.binary()).cast(pa.string())
+            base = len(numbers) + 1
+            for lang, own in seen.items():
+                own = np.array([*own, 0, 0], np.int64)
+                at = np.flatnonzero(own)
+                if not len(at):
+                    continue
+                a, b = own[at], own[at + 1]
+                c = np.where(b > 0, own[np.minimum(at + 2, len(own) - 1)], 0)
+                # Pairs are numbered first, so that a triple fits 64 bits however many words there are.
+                pairs, pair = np.unique(a * base + b, return_inverse=True)
+                keys, counts = np.unique(pair * base + c, return_counts=True)
+                a, b, c = pairs[keys // base] // base, pairs[keys // base] % base, keys % base
+                first, second = known.take(pa.array(a)), known.take(pa.array(b))
+                node = pc.if_else(pa.array(b > 0), pc.binary_join_element_wise(first, second, " "), first)
+                following = known.take(pa.array(c, mask=c == 0))
+                size = len(keys) + 1
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([lang] * size, pa.string()), pa.concat_arrays([node, pa.nulls(1, pa.string())]),
+                        pa.concat_arrays([following, pa.nulls(1, pa.string())]), pa.array(np.append(counts, len(at)), pa.int64()),
+                    ],
+                    ["lang", "node", "next", "n"],
+                )
+
+        seen: dict[str, list[int]] = {}
+        numbers, size = _Numbers(), 0
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                own = seen.setdefault(lang, Counter())
+                own = seen.setdefault(lang, [])
                 for words in pieces(text or ""):
-                    own.update(zip(words, words[1:], words[2:], strict=False))
-                    if len(words) > 1:
-                        own[words[-2], words[-1], None] += 1
-                    own[words[-1], None, None] += 1
-                if sum(map(len, seen.values())) > keys:
-                    yield flush()
-                    seen = {}
-        yield flush()
+                    own.extend(map(numbers.__getitem__, words))
+                    own.append(0)
+                    size += len(words)
+                    if size >= tokens or len(numbers) >= types:
+                        yield from flush()
+                        seen, numbers, size = {lang: []}, _Numbers(), 0
+                        own = seen[lang]
+        yield from flush()
 
     read = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), "text")
     return read.mapInArrow(count, "lang string, node string, next string, n long")
@@ -111,7 +147,7 @@ def flow_counts(docs: DataFrame, least: int) -> DataFrame:
     first, second = F.substring_index("node", " ", 1), F.substring_index("node", " ", -1)
     pair = F.instr("node", " ") > 0
     spread = pair & first.isin(hot) & second.isin(hot)
-    salt = F.when(spread, F.expr(f"int(pmod(xxhash64(next), {_SPREAD})) + 1")).otherwise(0)
+    salt = F.when(F.coalesce(spread, F.lit(False)), F.expr(f"int(pmod(xxhash64(next), {_SPREAD})) + 1")).otherwise(0)
     dealt = edge_counts(docs).withColumn("salt", salt).repartition(partitions, "lang", "node", "salt")
     edges = dealt.groupBy("lang", "node", "salt", "next").agg(F.sum("n").alias("n"))
     flow = F.struct(F.lit(None).cast("string").alias("next"), "n")
@@ -125,8 +161,8 @@ def flow_counts(docs: DataFrame, least: int) -> DataFrame:
     whole = (F.col("n") >= least) | (F.col("salt") > 0)
     passed = (
         F.when(F.col("next").isNotNull(), F.array(row(F.col("node"), F.col("next"))))
-        .when(pair & whole, F.array(row(F.col("node"), nothing), row(first, nothing), row(nothing, nothing)))
-        .otherwise(F.array(row(first, nothing), row(nothing, nothing)))
+        .when(pair & whole, F.array(row(F.col("node"), nothing), row(first, nothing)))
+        .otherwise(F.array(row(first, nothing)))
     )
     counted = nodes.select("lang", F.explode(passed).alias("e"), "n").groupBy("lang", "e.node", "e.next").agg(F.sum("n").alias("n"))
     return counted.where((F.col("n") >= least) | F.col("node").isNull())

@@ -88,8 +88,9 @@ def test_shorter_counts_follow_from_flow(spark, monkeypatch):
 def test_flushed_counts(spark, monkeypatch):
     rows = texts(6)
     whole = module.edge_counts
-    monkeypatch.setattr(module, "edge_counts", lambda docs: whole(docs, keys=5))
-    assert got(spark.createDataFrame(rows, "lang string, text string")) == brute(rows)
+    for bounds in ({"tokens": 5}, {"types": 4}):
+        monkeypatch.setattr(module, "edge_counts", lambda docs, bounds=bounds: whole(docs, **bounds))
+        assert got(spark.createDataFrame(rows, "lang string, text string")) == brute(rows)
 
 
 def test_unary_paths_are_compacted(spark):
@@ -100,7 +101,8 @@ def test_unary_paths_are_compacted(spark):
     assert found == {"alpha beta gamma": (12, 12, 15), "beta gamma delta epsilon zeta": (12, 15, 12), "zeta eta theta iota": (11, 11, 11)}
 
 
-def test_hot_words_are_few_and_found(spark):
+def test_hot_words_are_few_and_found(spark, monkeypatch):
+    monkeypatch.setattr(module, "_LOOKED_AT", 0.9)
     rows = [("en", "the " * 40 + " ".join(f"r{i}x{j}" for j in range(60))) for i in range(50)]
     assert module.hot_words(spark.createDataFrame(rows, "lang string, text string").repartition(4), 8) == ["the"]
 
@@ -114,7 +116,7 @@ def test_scores_beyond_64_bits(spark):
 def test_odd_rows(spark):
     rows = [
         (None, None), ("en", None), (None, ""), ("en", " \t.,;\n"), ("und", "one two three " * 12), (None, "one two three " * 12),
-        ("en", "word " * 30_000), ("en", "a b c"), ("de", " x y z  " * 11), ("de", "x y z!" * 11), ("", "x y. " * 10),
+        ("en", "word " * 30_000), ("en", "a b c"), ("de", " x y z  " * 11), ("de", "x y z!" * 11), ("", "x y. " * 10), ("en", "caf\u00c9 caf\u00e9\u00a0x caf\u2003y\u0085z\x1c " * 12),
     ]
     frame = spark.createDataFrame([(*r, "q", 1) for r in rows], "lang string, text string, node string, n int")
     assert got(frame) == brute(rows)
