@@ -29,6 +29,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--audit-schema", help="catalog.schema that receives the audit tables")
     parser.add_argument("--checkpoint-root", help="folder for the state of streaming sources")
     parser.add_argument("--publishers", help="CSV of publisher_name, silver_catalog_name, silver_db_name")
+    parser.add_argument("--no-optimize", action="store_true", help="leave small files as they are after a publish")
     parser.add_argument("--execute", action="store_true", help="without it only the plan is shown")
     parser.add_argument("--fail-fast", action="store_true")
     args = parser.parse_args(argv)
@@ -46,7 +47,7 @@ def main(argv: list[str] | None = None) -> int:
     specs = spec.from_control(
         spark, *frames.values(), product_name=args.product_name,
         source_system=args.source_system, source_entity=args.source_entity,
-        checkpoint_root=args.checkpoint_root,
+        checkpoint_root=args.checkpoint_root, optimize=not args.no_optimize,
         start=lambda row: flow.last_watermark(spark, tables, *[row.get(k) or "" for k in SOURCE_NAME]),
         publishers=spark.read.csv(args.publishers, header=True) if args.publishers else None,
     )

@@ -13,44 +13,13 @@ _TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def _as_number(df: DataFrame, name: str) -> Column:
-    """Order-preserving number of a column; text is ordered by its first four characters."""
+    """Order-preserving number of a column that is no text."""
     kind = df.schema[name].dataType
     if isinstance(kind, _TIMES):
         return F.unix_timestamp(F.col(name)).cast("double")
-    if isinstance(kind, T.StringType):
-        value = F.lit(0.0)
-        for i in range(4):
-            code = F.ascii(F.substring(F.col(name), i + 1, 1)).cast("double")
-            value = value * 256.0 + F.least(code, F.lit(255.0))
-        return value
     return F.col(name).cast("double")
 
 
-def with_z_value(df: DataFrame, columns: Sequence[str], bits: int = 10) -> DataFrame:
-    """Add the Z-value: bits of the scaled columns, interleaved. NULL sorts lowest.
-
-    The value ranges come from one aggregation whose single row is joined back as constants.
-    """
-    if not columns or bits * len(columns) > 62:
-        raise ValueError("need at least one column and at most 62 bits in total")
-    bounds = df.agg(
-        *[F.min(_as_number(df, c)).alias(f"lo{i}") for i, c in enumerate(columns)],
-        *[F.max(_as_number(df, c)).alias(f"hi{i}") for i, c in enumerate(columns)],
-    ).first()
-    top = (1 << bits) - 1
-    z = F.lit(0).cast("bigint")
-    for i, name in enumerate(columns):
-        low, high = bounds[f"lo{i}"], bounds[f"hi{i}"]
-        if low is None or high == low:
-            continue
-        share = (_as_number(df, name) - F.lit(low)) / F.lit(high - low)
-        bucket = F.coalesce(F.floor(share * float(top)), F.lit(0)).cast("bigint")
-        for bit in range(bits):
-            one = F.shiftright(bucket, bit).bitwiseAND(F.lit(1).cast("bigint"))
-            z = z + F.shiftleft(one, bit * len(columns) + i)
-    return df.withColumn(Z_COLUMN, z)
-
-
 def _spread() -> Column:
     """Number that splits rows sharing a range key; the same for a row each time a task runs."""
     return F.xxhash64(F.spark_partition_id())
@@ -64,11 +33,6 @@ def _ranged(df: DataFrame, keys: Sequence[str], files: int | None) -> DataFrame:
     return (ranged.sortWithinPartitions(*keys) if keys else ranged).drop("__spread")
 
 
-def cluster(df: DataFrame, columns: Sequence[str], files: int | None = None, bits: int = 10) -> DataFrame:
-    """Range-partition and sort by Z-value, so files cover small boxes of the columns."""
-    return _ranged(with_z_value(df, columns, bits), [Z_COLUMN], files)
-
-
 #: Values that are looked at to place the cells of a text column; numbers are summed up natively.
 SAMPLE_VALUES = 20_000
 
@@ -107,13 +71,17 @@ def _cell(value: Column, bounds: Sequence) -> Column:
     return between(0, len(bounds))
 
 
-def with_cells(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFrame:
-    """Add the Z-value over the columns' cells (``with_z_value`` has cells of even width instead)."""
+def bits_for(columns: Sequence[str], bits: int = 6) -> int:
     if not columns:
         raise ValueError("need at least one column")
-    bits = max(1, min(bits, 62 // len(columns)))
+    return max(1, min(bits, 62 // len(columns)))
+
+
+def with_cells(df: DataFrame, columns: Sequence[str], cells: Sequence[Sequence] | None = None, bits: int = 6) -> DataFrame:
+    """Add the Z-value over the columns' cells: ``cells`` has the bounds that earlier rows got, else they follow the rows."""
+    bits = bits_for(columns, bits)
     z = F.lit(0).cast("bigint")
-    for i, (name, bounds) in enumerate(zip(columns, cell_bounds(df, columns, bits))):
+    for i, (name, bounds) in enumerate(zip(columns, cells or cell_bounds(df, columns, bits))):
         is_text = isinstance(df.schema[name].dataType, T.StringType)
         cell = _cell(F.col(name) if is_text else _as_number(df, name), bounds)
         for bit in range(bits):
@@ -123,7 +91,8 @@ def with_cells(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFram
 
 
 def packed(
-    df: DataFrame, columns: Sequence[str], partitions: Sequence[str] = (), files: int | None = None
+    df: DataFrame, columns: Sequence[str], partitions: Sequence[str] = (), files: int | None = None,
+    cells: Sequence[Sequence] | None = None,
 ) -> DataFrame:
     """Rows in even output partitions: by table partition first, then along the Z-order curve, and
     within a cell by the columns themselves.
@@ -132,4 +101,4 @@ def packed(
     """
     if not columns:
         return _ranged(df, list(partitions), files)
-    return _ranged(with_cells(df, columns), [*partitions, Z_COLUMN, *columns], files)
+    return _ranged(with_cells(df, columns, cells), [*partitions, Z_COLUMN, *columns], files)

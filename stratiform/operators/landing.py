@@ -9,6 +9,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratiform.errors import ConfigError
 from stratiform.functions.columns import as_type_of
@@ -75,7 +76,7 @@ def widen(spark: SparkSession, table: str, df: DataFrame) -> None:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
 
 
-def _aligned(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
+def aligned(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
     """``df`` in the table's column order, after the table learned its new columns."""
     widen(spark, table, df)
     have = {c.lower(): c for c in df.columns}
@@ -113,7 +114,7 @@ def write_table(
     spark = df.sparkSession
     checked_table(table)
     if mode == "append" and spark.catalog.tableExists(table):
-        ready = _aligned(df, spark, table) if merge_schema else df.select(*spark.table(table).columns)
+        ready = aligned(df, spark, table) if merge_schema else df.select(*spark.table(table).columns)
         ready.write.insertInto(table)
         return
     writer = df.write.mode(mode).format("parquet")
@@ -124,6 +125,16 @@ def write_table(
     writer.saveAsTable(table)
 
 
+def create_table(
+    spark: SparkSession, table: str, schema: T.StructType, path: str | None = None, partition_by: Sequence[str] = ()
+) -> None:
+    """A table without rows or files."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    where = f" LOCATION {partition_literal(path)}" if path else ""
+    spark.sql(f"CREATE TABLE {checked_table(table)} ({columns}) USING parquet{parts}{where}")
+
+
 def replace_load(df: DataFrame, table: str, load_id: str, path: str | None = None) -> None:
     """Make ``df`` the rows of one load, the partition ``load_id`` of the table.
 
@@ -141,7 +152,7 @@ def replace_load(df: DataFrame, table: str, load_id: str, path: str | None = Non
     if "load_id" not in [c.name for c in spark.catalog.listColumns(table) if c.isPartition]:
         write_table(df, table)
         return
-    ready = _aligned(rows.withColumn("load_id", F.lit(load_id)), spark, table)
+    ready = aligned(rows.withColumn("load_id", F.lit(load_id)), spark, table)
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
     spark.conf.set(key, "dynamic")

@@ -7,13 +7,13 @@ import uuid
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratiform.errors import DuplicateKeyError
 from stratiform.functions.columns import any_null
-from stratiform.operators import cluster, landing
+from stratiform.operators import cluster, landing, table_files
 from stratiform.operators.keyed import (
     COPIES,
     Measured,
@@ -27,6 +27,8 @@ from stratiform.session import drop_folder, new_folder
 
 _SNAPSHOT = re.compile(r"_snapshot_[0-9a-f]{32}$")
 _RANGED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.DateType)
+#: Column that names a group by all its keys, as JSON.
+_GROUP = "group_key"
 _PREVIOUS = "stratiform.previous_snapshot"
 
 
@@ -36,19 +38,35 @@ def append(
     partition_by: Sequence[str] = (),
     path: str | None = None,
     zorder_by: Sequence[str] = (),
+    load: str | None = None,
+    again: bool = False,
 ) -> int:
-    """Append rows, grouped by table partition and optionally clustered within; how many were written."""
+    """Append rows, grouped by table partition and optionally clustered within; how many were written.
+
+    The files are put in place by a step that can be repeated. ``load`` names it: with ``again`` a load that
+    is there already, in whole or in part, ends up there once.
+    """
     spark = df.sparkSession
     landing.checked_table(table)
-    known = spark.catalog.tableExists(table)
-    parts = _partition_columns(spark, table) if known else list(partition_by)
+    if not spark.catalog.tableExists(table):
+        landing.create_table(spark, table, df.schema, path, partition_by)
+    parts = table_files.partition_columns(spark, table)
     if zorder_by:
-        rows = cluster.packed(df, list(zorder_by), parts).drop(cluster.Z_COLUMN)
+        cells = _cells(spark, table, df, zorder_by)
+        rows = cluster.packed(df, list(zorder_by), parts, cells=cells).drop(cluster.Z_COLUMN)
     else:
         rows = landing.rebalanced(df, parts)
-    seen = Observation(f"append-{uuid.uuid4().hex}")
-    landing.write_table(rows.observe(seen, F.count(F.lit(1)).alias("n")), table, "append", path=path, partition_by=parts)
-    return int(seen.get["n"])
+    token = table_files.token_of(load) if load else None
+    return table_files.commit_rows(spark, table, rows, token, again=again)
+
+
+def _cells(spark: SparkSession, table: str, df: DataFrame, columns: Sequence[str]) -> list[list]:
+    """Cell bounds of a table: those stored by its first clustered write, else those of ``df``, which are then stored."""
+    known = table_files.stored_cells(spark, table, columns)
+    if known is None:
+        known = cluster.cell_bounds(df, list(columns), cluster.bits_for(columns))
+        table_files.store_cells(spark, table, columns, known)
+    return known
 
 
 def latest(df: DataFrame, keys: Sequence[str], sequence: str, ties: Sequence[str] = ()) -> DataFrame:
@@ -118,22 +136,13 @@ def upsert(
     return landing.evolve(kept, src)
 
 
-def _partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-
-
-def _location(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").collect()
-    return rows[0]["data_type"].rstrip("/")
-
-
 def _switch_snapshot(spark: SparkSession, rows: DataFrame, table: str) -> None:
     """Write ``rows`` beside the table's files and point the table there.
 
     Readers see the old or the new snapshot, never a mix. The one before the last switch is kept
     for readers that are still at work; older ones are removed.
     """
-    current = _location(spark, table)
+    current = table_files.location(spark, table)
     base = _SNAPSHOT.sub("", current)
     properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     fresh = f"{base}_snapshot_{uuid.uuid4().hex}"
@@ -161,8 +170,10 @@ def merge(
 
     ``zorder_by`` clusters what is rewritten. ``soft_delete`` marks source rows that delete their key:
     the row stays, flagged in ``deleted_flag``. A partitioned table has only those partitions rewritten that hold a matching key or receive
-    rows. Otherwise the new snapshot is written beside the old one and the table then points to
-    it, so readers see either all of the change or none.
+    rows. Of another table only the files that hold a matching key are read and replaced, as one repeatable
+    step; readers that list the table meanwhile may see rows of both. If these files are most of the
+    table, the new snapshot is written beside the old one and the table then points to it, so readers
+    see either all of the change or none.
     """
     spark = df.sparkSession
     landing.checked_table(table)
@@ -189,14 +200,24 @@ def _merge_stored(
     if not spark.catalog.tableExists(table):
         append(src, table, partition_by, path, zorder_by)
         return
+    table_files.finish_commits(spark, table)
     landing.widen(spark, table, src)
     target = spark.table(table)
-    parts = _partition_columns(spark, table)
+    parts = table_files.partition_columns(spark, table)
+    # Bounds come from what is stored already: the merged rows are evaluated once, by their write.
+    cells = _cells(spark, table, src, zorder_by) if zorder_by else None
     if not parts:
-        merged = landing.evolve(drop_matching(target, side, keys), src)
+        sizes = dict(table_files.data_files(spark, table))
+        hit_files = _files_with(spark, table, side, keys, list(sizes))
+        most = sum(sizes[f] for f in hit_files) > _SNAPSHOT_SHARE * sum(sizes.values())
+        held = target if most else table_files.read_files_of(spark, table, hit_files)
+        merged = landing.evolve(drop_matching(held, side, keys), src).select(*target.columns)
         if zorder_by:
-            merged = cluster.packed(merged, list(zorder_by))
-        _switch_snapshot(spark, merged.select(*target.columns), table)
+            merged = cluster.packed(merged, list(zorder_by), cells=cells).drop(cluster.Z_COLUMN)
+        if most:
+            _switch_snapshot(spark, merged, table)
+        else:
+            table_files.commit_rows(spark, table, merged, drop=hit_files)
         return
 
     old = keep_matching(_within(target, side, keys), side, keys)
@@ -208,7 +229,7 @@ def _merge_stored(
     merged = landing.evolve(drop_matching(scope, side, keys), src).select(*target.columns)
     stage = new_folder(spark, "staged")
     if zorder_by:
-        merged = cluster.packed(merged, list(zorder_by), parts)
+        merged = cluster.packed(merged, list(zorder_by), parts, cells=cells)
     staged = _replace_partitions(spark, merged, table, stage, [cluster.Z_COLUMN, *zorder_by] if zorder_by else [])
     left = staged.select(*[F.col(p).alias(f"__{p}") for p in parts]).distinct()
     emptied = touched.frame.join(left, _same(parts), "left_anti")
@@ -218,6 +239,79 @@ def _merge_stored(
     drop_folder(spark, stage)
 
 
+#: Segments of the source's keys that are compared with the key ranges of files.
+_SEGMENTS = 64
+#: If more than this part of a table's bytes is to be replaced, it gets a new snapshot.
+_SNAPSHOT_SHARE = 0.5
+
+
+def _files_with(spark: SparkSession, table: str, side: Measured, keys: Sequence[str], paths: Sequence[str]) -> list[str]:
+    """Files of an unpartitioned table that hold a key of the source.
+
+    Their stored key ranges leave out most files of a table in some order of a key; of the others the key
+    columns alone are read.
+    """
+    ranged = [k for k in keys if side.seen.get(f"low_{k}") is not None]
+    candidates = list(paths)
+    if ranged:
+        first = ranged[0]
+        ends = side.frame.repartitionByRange(_SEGMENTS, first).groupBy(F.spark_partition_id()).agg(F.min(first).alias("low"), F.max(first).alias("high"))
+        segments = [(r.low, r.high) for r in ends.collect() if r.low is not None]
+        meets = F.lit(False)
+        for low, high in segments:
+            meets = meets | ((F.col(f"high_{first}") >= F.lit(low)) & (F.col(f"low_{first}") <= F.lit(high)))
+        candidates = [r.path for r in table_files.key_ranges(spark, table, ranged).where(meets).select("path").collect()]
+    if not candidates:
+        return []
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("__file")
+    rows = table_files.read_files_of(spark, table, candidates).select(*keys, name)
+    hit = {r[0] for r in keep_matching(_within(rows, side, keys), side, keys).select("__file").distinct().collect()}
+    return [p for p in candidates if p.rsplit("/", 1)[-1] in hit]
+
+
+def compact(
+    spark: SparkSession, table: str, zorder_by: Sequence[str] = (), target: int = 128 << 20, least: int = 4
+) -> int:
+    """Pack the small files of each folder of a table into files of about ``target`` bytes; how many went.
+
+    Only small files are read and replaced, the others keep their names. With ``zorder_by`` the packed
+    rows are clustered in the cells that the table has stored, in which later loads fall as well.
+    """
+    landing.checked_table(table)
+    for column in zorder_by:
+        landing.checked_column(column)
+    table_files.finish_commits(spark, table)
+    parts = table_files.partition_columns(spark, table)
+    waiting, gone = table_files.bins(table_files.data_files(spark, table), target, least), 0
+    while waiting:
+        chosen, names = [], []
+        while waiting and len(names) < table_files.BATCH_FILES:
+            chosen.append(waiting.pop())
+            names += chosen[-1]
+        rows = table_files.read_files_of(spark, table, names)
+        cells = _cells(spark, table, rows, zorder_by) if zorder_by else None
+        packed = cluster.packed(rows, list(zorder_by), parts, len(chosen), cells).drop(cluster.Z_COLUMN)
+        table_files.commit_rows(spark, table, packed, drop=names)
+        gone += len(names)
+    return gone
+
+
+def replace(df: DataFrame, table: str, path: str | None = None) -> None:
+    """Make ``df`` all rows of an unpartitioned table, by a new snapshot."""
+    spark = df.sparkSession
+    landing.checked_table(table)
+    if not spark.catalog.tableExists(table):
+        append(df, table, path=path)
+        return
+    _switch_snapshot(spark, landing.aligned(df, spark, table), table)
+
+
+def replace_groups(df: DataFrame, table: str, keys: Sequence[str], path: str | None = None) -> None:
+    """Upsert groups by their keys, in which NULL is a value like others: a group replaces itself."""
+    marked = df.withColumn(_GROUP, F.to_json(F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]), {"ignoreNullFields": "false"}))
+    merge(marked, table, [_GROUP], path=path)
+
+
 def _in_partitions(target: DataFrame, values: Sequence[Mapping[str, Any]]) -> Column:
     """Whether a row lies in one of the partitions, as a condition on constants.
 
@@ -258,9 +352,11 @@ def optimize(
     landing.checked_table(table)
     for column in zorder_by:
         landing.checked_column(column)
+    table_files.finish_commits(spark, table)
     target = spark.table(table)
-    parts = _partition_columns(spark, table)
-    packed = cluster.packed(target, list(zorder_by), parts, files)
+    parts = table_files.partition_columns(spark, table)
+    cells = cluster.cell_bounds(target, list(zorder_by), cluster.bits_for(zorder_by)) if zorder_by else None
+    packed = cluster.packed(target, list(zorder_by), parts, files, cells)
     if parts:
         order = [cluster.Z_COLUMN, *zorder_by] if zorder_by else []
         stage = new_folder(spark, "staged")
@@ -268,6 +364,8 @@ def optimize(
         drop_folder(spark, stage)
     else:
         _switch_snapshot(spark, packed.select(*target.columns), table)
+    if zorder_by:
+        table_files.store_cells(spark, table, zorder_by, cells)
 
 
 def _replace_partitions(
@@ -282,7 +380,7 @@ def _replace_partitions(
     and the caller's stays as it is.
     """
     columns = spark.table(table).columns
-    parts = _partition_columns(spark, table)
+    parts = table_files.partition_columns(spark, table)
     rows.write.parquet(path)
     own = spark.newSession()
     own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")

@@ -165,8 +165,8 @@ def _stage(conformed: DataFrame, spec: SourceSpec, path: str) -> tuple[DataFrame
     return spark.read.schema(checked.schema).parquet(path), dict(seen.get)
 
 
-def _publish(valid: DataFrame, spec: SourceSpec) -> tuple[str, int | None]:
-    """Publish and say how; for an append also how many rows were written."""
+def _publish(valid: DataFrame, spec: SourceSpec, load_id: str, resume: bool) -> tuple[str, int | None]:
+    """Publish and say how; for an append also how many rows were written, by this attempt or an earlier one."""
     mode = (spec.publish_mode or "append").lower()
     rows = valid if spec.keep_dq_columns else valid.drop(*schemas.RULE_COLUMNS)
     path = spec.paths.get("silver")
@@ -179,15 +179,9 @@ def _publish(valid: DataFrame, spec: SourceSpec) -> tuple[str, int | None]:
         return mode, None
     if mode != "append":
         raise ConfigError(f"unsupported publish mode: {mode}")
-    return mode, publish.append(rows, spec.silver_table, spec.partition_by, path, spec.zorder_by)
-
-
-def _appended_since(spark: SparkSession, table: str, started: str) -> int:
-    """Rows of the table in files that were written after ``started``; other files are not opened."""
-    if not spark.catalog.tableExists(table):
-        return 0
-    modified = F.col("_metadata.file_modification_time")
-    return spark.table(table).filter(modified >= F.lit(started).cast("timestamp")).count()
+    return mode, publish.append(
+        rows, spec.silver_table, spec.partition_by, path, spec.zorder_by, load=f"{spec.name}:{load_id}", again=resume
+    )
 
 
 def _now() -> str:
@@ -304,18 +298,12 @@ def _run_stages(spark: SparkSession, spec: SourceSpec, log: _Log, resume: bool,
         landing.replace_load(
             checked.drop(*schemas.RULE_COLUMNS), spec.conformance_table, load_id, spec.paths.get("conformance")
         )
-        begun = log.payload("silver_publish_begun") if resume and mode == "append" else None
-        if begun and seen["valid_rows"] and _appended_since(spark, spec.silver_table, begun["at"]) == seen["valid_rows"]:
-            written = seen["valid_rows"]  # appended, but the attempt ended before it could say so
-        else:
-            log.add("silver_publish_begun", at=_now())
-            log.flush()
-            mode, written = _publish(rules.passed(checked), spec)
-        if spec.optimize:
-            publish.optimize(spark, spec.silver_table, spec.zorder_by)
-        # Written at once: a resumed load must not append its rows a second time.
+        mode, written = _publish(rules.passed(checked), spec, load_id, resume)
         log.add("silver_publish", publish_mode=mode, target=spec.silver_table, rows=written)
         log.flush()
+        if spec.optimize:
+            packed = publish.compact(spark, spec.silver_table, spec.zorder_by)
+            log.add("silver_optimize", files=packed)
         if spec.archive_table and spec.archive_hours:
             gone = landing.purge_loads(spark, spec.archive_table, spec.archive_hours, spec.as_of or _now())
             log.add("archive_retention", purged_loads=gone)
@@ -408,9 +396,8 @@ def run_source(
 
     With ``resume`` a load that already landed is not read again, and whatever an earlier attempt has
     stored of it is there once at the end, wherever that attempt failed: landing, archive and conformance
-    are partitions of the load, audit rows are looked up by run, and the validation events say whether
-    silver was appended to. Between the start of an append and a resume nobody else may append to that
-    silver table.
+    are partitions of the load, audit rows are looked up by run, and files are appended to silver by a
+    step that is named by the load and can be repeated, even if it moved only some of them.
     """
     load_id = load_id or uuid.uuid4().hex
     run = audit.RunKey(load_id, spec.source_system, spec.source_entity)

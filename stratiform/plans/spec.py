@@ -124,6 +124,7 @@ def build(
     checkpoint_root: str | None = None,
     start: Callable[[Mapping[str, Any]], str | None] | None = None,
     target: str | None = None,
+    optimize: bool = True,
 ) -> SourceSpec:
     """Spec of one registry row. ``start`` gives where the last load of a registry row ended, else the row's
     own start value counts; ``target`` is the silver table that a publisher sets. ``custom`` holds readers of CUSTOM sources by entity; a file source
@@ -182,6 +183,7 @@ def build(
         sequence=str(rule.get("sequence_column") or "").strip() or None,
         partition_by=json_list(rule.get("partition_columns_json")),
         zorder_by=json_list(rule.get("optimize_zorder_json")),
+        optimize=optimize,
         paths=paths,
         stream=stream,
         before_landing=expand,

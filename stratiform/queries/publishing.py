@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stratiform.operators import cluster, export, landing, publish
+from stratiform.operators import cluster, export, landing, publish, table_files
 from stratiform.queries.registry import query, table
 from stratiform.session import new_folder
 
@@ -144,19 +144,6 @@ def schema_evolution_append(spark, sf_dir):
     return spark.table(name)
 
 
-def _scaled(column: str, bits: int) -> str:
-    top = (1 << bits) - 1
-    return f"CAST(floor(({column} - lo_{column}) * 1.0 / (hi_{column} - lo_{column}) * {top}) AS BIGINT)"
-
-
-_BITS = 10
-_Z = " + ".join(
-    f"((({_scaled(c, _BITS)} >> {b}) & 1) << {b * 2 + i})"
-    for i, c in enumerate(["l_partkey", "l_suppkey"])
-    for b in range(_BITS)
-)
-
-
 @query(
     "zorder_text",
     """SELECT count(*) AS row_count, TRUE AS cells_follow_the_text, least(64, count(DISTINCT c_name)) AS cells FROM customer""",
@@ -174,21 +161,50 @@ def zorder_text(spark, sf_dir):
 
 @query(
     "zorder_cluster",
-    f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST({_Z} AS BIGINT) AS z_value FROM
-  (SELECT l_orderkey, l_linenumber, CAST(l_partkey AS DOUBLE) AS l_partkey,
-    CAST(l_suppkey AS DOUBLE) AS l_suppkey FROM lineitem),
-  (SELECT CAST(min(l_partkey) AS DOUBLE) AS lo_l_partkey, CAST(max(l_partkey) AS DOUBLE) AS hi_l_partkey,
-    CAST(min(l_suppkey) AS DOUBLE) AS lo_l_suppkey, CAST(max(l_suppkey) AS DOUBLE) AS hi_l_suppkey
-   FROM lineitem)""",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, TRUE AS partkey_in_cell, TRUE AS suppkey_in_cell FROM lineitem""",
 )
 def zorder_cluster(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
-        F.col("l_partkey").cast("double").alias("l_partkey"),
-        F.col("l_suppkey").cast("double").alias("l_suppkey"),
-    )
-    return cluster.cluster(lines, ["l_partkey", "l_suppkey"], bits=_BITS)
+    """Clustered rows, each with whether the values of its cell lie apart from those of the cells before, by column."""
+    columns = ["l_partkey", "l_suppkey"]
+    packed = cluster.packed(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *columns), columns)
+    bits = cluster.bits_for(columns)
+    for at, column in enumerate(columns):
+        cell = F.lit(0)
+        for bit in range(bits):
+            cell = cell + F.shiftleft(F.shiftright("z_value", bit * len(columns) + at).bitwiseAND(F.lit(1)), bit)
+        packed = packed.withColumn("cell", cell)
+        ranges = packed.groupBy("cell").agg(F.min(column).alias("low"), F.max(column).alias("high"))
+        before = F.max("high").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))  # 64 rows
+        apart = ranges.select("cell", F.coalesce(F.col("low") > before, F.lit(True)).alias(column.replace("l_", "") + "_in_cell"))
+        packed = packed.join(F.broadcast(apart), "cell").drop("cell")
+    return packed.drop("z_value")
+
+
+@query(
+    "compact_appends",
+    """SELECT 'rows' AS what, CAST(count(*) AS BIGINT) AS n FROM orders UNION ALL SELECT 'distinct keys', count(DISTINCT o_orderkey) FROM orders
+UNION ALL SELECT 'files beyond the bound', 0 UNION ALL SELECT 'large files renamed', 0 UNION ALL SELECT 'cells changed', 0""",
+)
+def compact_appends(spark, sf_dir):
+    """A large load and ten small ones, clustered, with a packing of small files after each."""
+    orders = table(spark, sf_dir, "orders")
+    name, path = f"spark_catalog.default.packed_{uuid.uuid4().hex}", new_folder(spark, "packed")
+    tenth = F.pmod(F.xxhash64("o_orderkey"), F.lit(100))
+    publish.append(orders.where(tenth >= 10).coalesce(2), name, path=path, zorder_by=["o_custkey"])
+    cells = table_files.stored_cells(spark, name, ["o_custkey"])
+    large = {f for f, _ in table_files.data_files(spark, name)}
+    target = 2 * min(size for _, size in table_files.data_files(spark, name))
+    for number in range(10):
+        publish.append(orders.where(tenth == number).coalesce(1), name, zorder_by=["o_custkey"])
+        publish.compact(spark, name, ["o_custkey"], target=target)
+    files = {f for f, _ in table_files.data_files(spark, name)}
+    stored = spark.table(name)
+    counts = [
+        ("rows", stored.count()), ("distinct keys", stored.select("o_orderkey").distinct().count()),
+        ("files beyond the bound", max(0, len(files) - len(large) - 5)), ("large files renamed", len(large - files)),
+        ("cells changed", int(table_files.stored_cells(spark, name, ["o_custkey"]) != cells)),
+    ]
+    return spark.createDataFrame(counts, "what string, n bigint")
 
 
 @query(

@@ -270,6 +270,33 @@ def stream_mixed_json(spark, sf_dir):
     return spark.read.parquet(out).select("id", "name", F.col(files.CORRUPT).alias("bad"))
 
 
+@query(
+    "stream_output_modes",
+    """SELECT m AS mode, event_type, user_band, count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id
+FROM (SELECT *, CASE WHEN user_id % 10 > 0 THEN user_id % 10 END AS user_band FROM events), (VALUES ('complete'), ('update')) v(m)
+GROUP BY ALL""",
+)
+def stream_output_modes(spark, sf_dir):
+    """A grouped stream in three micro-batches, landed whole each time and by its changed groups."""
+    events = table(spark, sf_dir, "events")
+    report = None
+    for mode in ("complete", "update"):
+        path, state, out = new_folder(spark, "modes-in"), new_folder(spark, "stream-state"), new_folder(spark, f"modes-{mode}")
+        name = f"spark_catalog.default.{mode}_{uuid.uuid4().hex}"
+        for part in range(3):
+            events.where(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(path)
+            frame = streams.read_stream(spark, path, "parquet", "web", "events", {"add_metadata_columns": False}, events.schema)
+            band = F.when(F.col("user_id") % 10 > 0, F.col("user_id") % 10).alias("user_band")
+            groups = frame.groupBy("event_type", band).agg(
+                F.count("*").alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id")
+            )
+            keys = ["event_type", "user_band"]
+            streams.land_stream(groups, name, state, "web", "events", "load-1", {"outputMode": mode}, path=out, keys=keys)
+        part = spark.table(name).select(F.lit(mode).alias("mode"), *keys, "n", "first_id", "last_id")
+        report = part if report is None else report.unionByName(part)
+    return report
+
+
 @query(
     "stream_landing",
     """SELECT *, 'web' AS source_system, 'events' AS source_entity, 'load-1' AS load_id FROM events""",

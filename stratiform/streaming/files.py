@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from datetime import datetime, timedelta, timezone
 from typing import Any
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stratiform.errors import ConfigError
+from stratiform.operators import publish
 from stratiform.operators.landing import add_metadata, widen
 from stratiform.plans.flow import AuditTables, RunResult, SourceSpec, run_source
 from stratiform.sources import options as opt
@@ -227,11 +228,19 @@ def land_stream(
     load_id: str,
     options: Mapping[str, Any] | None = None,
     path: str | None = None,
+    keys: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Append the stream to the landing table; the checkpoint tracks files exactly once."""
+    """Write the stream to the landing table; the checkpoint tracks files exactly once.
+
+    *append* adds the rows. The other modes are for streams that aggregate, by the columns ``keys``: after each
+    micro-batch the table holds, with *complete*, the result as a new snapshot, and with *update* the
+    changed groups upserted into those before. A batch that is repeated ends the same way.
+    """
     if not str(table or "").strip():
         raise ConfigError("landing_table is required")
     parsed = stream_options(options)
+    if parsed.output_mode != "append":
+        return _land_result(frame, table, checkpoint, (system, entity, load_id), parsed, path, keys)
     landed = add_metadata(frame, system, entity, load_id)
     spark = frame.sparkSession
     if spark.catalog.tableExists(table):
@@ -249,6 +258,27 @@ def land_stream(
     return query
 
 
+def _land_result(
+    frame: DataFrame, table: str, checkpoint: str, names: tuple[str, str, str], parsed: StreamOptions, path: str | None, keys: Sequence[str]
+) -> StreamingQuery:
+    if parsed.output_mode == "update" and not keys:
+        raise ConfigError("output mode update needs the grouping keys")
+
+    def batch(rows: DataFrame, _: int) -> None:
+        landed = add_metadata(rows, *names)
+        if parsed.output_mode == "complete":
+            publish.replace(landed, table, path)
+        else:
+            publish.replace_groups(landed, table, keys, path)
+
+    writer = frame.writeStream.outputMode(parsed.output_mode).foreachBatch(batch).option("checkpointLocation", checkpoint)
+    if parsed.query_name:
+        writer = writer.queryName(parsed.query_name)
+    query = _trigger(writer, parsed).start()
+    query.awaitTermination()
+    return query
+
+
 def query_identity(spark: SparkSession, checkpoint: str) -> str:
     """The id that a query keeps as long as its checkpoint exists, shortened to twelve digits."""
     row = spark.read.text(f"{checkpoint.rstrip('/')}/metadata", wholetext=True).first()

@@ -518,3 +518,11 @@ def test_mixed_json_keeps_its_bad_text_in_control_runs(spark, rows, tables, new_
         report = run_all(spark, [spec], tables, fail_fast=True)
         assert [r.status for r in report.collect()] == ["SUCCESS"]
         assert rows(spark.table(spec.silver_table), "id", "_corrupt_record") == expected
+
+
+def test_update_and_complete_need_what_they_need(spark, new_name):
+    path = new_folder(spark, "in")
+    _write(spark, path, DATA[:2])
+    frame = streams.read_stream(spark, path, "json", "crm", "orders", {"add_metadata_columns": False}, RAW)
+    with pytest.raises(ConfigError):
+        streams.land_stream(frame.groupBy("raw_id").count(), new_name("t"), new_folder(spark, "s"), "crm", "o", "L", {"outputMode": "update"})

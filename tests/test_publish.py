@@ -1,7 +1,7 @@
 import pytest
 
 from stratiform.errors import ConfigError, DuplicateKeyError
-from stratiform.operators import cluster, export, landing, publish
+from stratiform.operators import cluster, export, landing, publish, table_files
 from stratiform.session import new_folder
 
 ORDER = "order_id string, customer_id string, amount double, status string"
@@ -155,18 +155,18 @@ def test_cluster_keeps_rows_and_sorts(spark):
     df = spark.range(1000).selectExpr(
         "id % 37 as a", "cast(id as string) as b", "if(id % 3 = 0, null, id) as c",
         "timestamp_seconds(id) as t")
-    out = cluster.cluster(df, ["a", "b", "c", "t"], files=4)
+    out = cluster.packed(df, ["a", "b", "c", "t"], files=4)
     assert out.drop("z_value").exceptAll(df).isEmpty() and out.count() == 1000
     assert out.rdd.getNumPartitions() == 4
     with pytest.raises(ValueError):
-        cluster.with_z_value(df, [])
+        cluster.with_cells(df, [])
 
 
 def test_cluster_splits_a_shared_value(spark):
     df = spark.range(4000, numPartitions=8).selectExpr("if(id % 3 > 0, 1, id) as a", "1 as b")
     from pyspark.sql import functions as F
 
-    out = cluster.cluster(df, ["a"], files=8, bits=4)
+    out = cluster.packed(df, ["a"], files=8)
     biggest = out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert biggest < 1500
 
@@ -174,9 +174,9 @@ def test_cluster_splits_a_shared_value(spark):
 def test_snapshots_do_not_pile_up(spark, new_name):
     table = new_name("snapshots")
     for i in range(5):
-        publish.merge(_orders(spark, (f"O{i}", "c", 1.0, "new")), table, ["order_id"])
-    where = publish._location(spark, table)
-    assert where.count("_snapshot_") == 1 and spark.table(table).count() == 5
+        publish.merge(_orders(spark, ("O1", "c", float(i), "new")), table, ["order_id"])
+    where = table_files.location(spark, table)
+    assert where.count("_snapshot_") == 1 and spark.table(table).count() == 1
     import glob
 
     base = publish._SNAPSHOT.sub("", where).removeprefix("file:")
@@ -234,3 +234,92 @@ def test_export_checks(spark):
             export.export(df, "/tmp/x", **wrong)
     with pytest.raises(ConfigError):
         export.export(df, "/mnt/x")
+
+
+def _files(spark, table):
+    return {path.rsplit("/", 1)[-1]: size for path, size in table_files.data_files(spark, table)}
+
+
+def test_merge_reads_and_replaces_only_files_with_its_keys(spark, rows, new_name, monkeypatch):
+    table = new_name("ranged")
+    base = spark.range(0, 40_000).selectExpr("id", "id * 7 as v", "cast(sha2(cast(id as string), 256) as string) as pad")
+    publish.append(base.repartitionByRange(40, "id").sortWithinPartitions("id"), table)
+    before = _files(spark, table)
+    assert len(before) == 40
+    read = []
+    real = table_files.read_files_of
+    monkeypatch.setattr(table_files, "read_files_of", lambda s, t, paths: read.append(list(paths)) or real(s, t, paths))
+    publish.merge(spark.range(20_000, 20_400).selectExpr("id", "-1 as v", "'new' as pad"), table, ["id"])
+    after = _files(spark, table)
+    gone = set(before) - set(after)
+    # The first call looks at the keys of all files once, to store their ranges.
+    assert len(read[0]) == 40 and max(len(r) for r in read[1:]) <= 2
+    assert 1 <= len(gone) <= 2 and sum(before[f] for f in gone) < 0.06 * sum(before.values())
+    assert spark.table(table).count() == 40_000 and spark.table(table).where("v = -1").count() == 400
+    read.clear()
+    publish.merge(spark.range(39_990, 40_010).selectExpr("id", "-2 as v", "'end' as pad"), table, ["id"])
+    assert max(len(r) for r in read) <= 4  # the files of the merge before, whose ranges are not stored yet
+    assert spark.table(table).count() == 40_010 and spark.table(table).where("v = -2").count() == 20
+    publish.merge(spark.createDataFrame([(None, 1, "x"), (5, 2, "y")], "id long, v long, pad string"), table, ["id"])
+    assert rows(spark.table(table).where("id = 5 or id is null")) == [(5, 2, "y"), (None, 1, "x")]
+
+
+@pytest.mark.parametrize("partition_by", [(), ("p",)])
+@pytest.mark.parametrize("moves", [0, 1, 2])
+def test_append_that_fails_while_files_are_moved_is_there_once(spark, rows, new_name, monkeypatch, partition_by, moves):
+    table = new_name("moved")
+    data = spark.range(100).selectExpr("id", "cast(if(id % 3 = 0, null, concat('a/', id % 3)) as string) as p").repartition(3)
+    publish.append(data.where("id < 10"), table, partition_by)
+    real, seen = table_files._Folder.move, []
+
+    def lost(self, old, new):
+        if "_staged_" in old:
+            if len(seen) == moves:
+                raise RuntimeError("driver lost")
+            seen.append(old)
+        real(self, old, new)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(table_files._Folder, "move", lost)
+        with pytest.raises(RuntimeError):
+            publish.append(data, table, partition_by, load="L", again=True)
+    for _ in range(2):
+        assert publish.append(data, table, partition_by, load="L", again=True) == 100
+    spark.catalog.refreshTable(table)
+    assert rows(spark.table(table).select("id", "p")) == rows(data.unionAll(data.where("id < 10")))
+    assert not [n for n in table_files._Folder(spark, table_files.location(spark, table)).names("_staged_")]
+
+
+def test_append_that_fails_before_its_plan_changes_nothing(spark, new_name, monkeypatch):
+    table = new_name("unplanned")
+    publish.append(spark.range(5), table)
+    with monkeypatch.context() as patch:
+        patch.setattr(table_files._Folder, "write", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            publish.append(spark.range(7), table, load="L", again=True)
+    assert spark.table(table).count() == 5
+    assert publish.append(spark.range(7), table, load="L", again=True) == 7
+    assert spark.table(table).count() == 12
+
+
+def test_compaction_packs_small_files_of_each_partition(spark, rows, new_name):
+    table = new_name("small")
+    for i in range(5):
+        publish.append(spark.range(i * 10, i * 10 + 10).selectExpr("id", "cast(id % 2 as string) as p").coalesce(1), table, ["p"])
+    before, held = rows(spark.table(table)), _files(spark, table)
+    assert len(held) == 10
+    assert publish.compact(spark, table, least=6) == 0
+    assert publish.compact(spark, table, ["id"]) == 10
+    assert rows(spark.table(table)) == before and 2 <= len(_files(spark, table)) <= 4
+    assert publish.compact(spark, table, target=1) == 0
+
+
+def test_merge_evaluates_the_merged_rows_once(spark, new_name, monkeypatch):
+    table = new_name("once")
+    base = spark.range(1000).selectExpr("id", "id % 50 as c")
+    publish.append(base, table, zorder_by=["c"])
+    calls = []
+    real = cluster.cell_bounds
+    monkeypatch.setattr(cluster, "cell_bounds", lambda *a: calls.append(a) or real(*a))
+    publish.merge(base.where("id < 800").selectExpr("id", "c + 1 as c"), table, ["id"], zorder_by=["c"])
+    assert not calls and spark.table(table).count() == 1000
