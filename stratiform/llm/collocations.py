@@ -79,11 +79,12 @@ class _Numbers(dict):
         return number
 
 
-def edge_counts(docs: DataFrame, tokens: int = 2_000_000, types: int = 1_000_000) -> DataFrame:
+def edge_counts(docs: DataFrame, tokens: int = 1_000_000, types: int = 1_000_000) -> DataFrame:
     """Edges and piece ends with their weights, pre-aggregated for every ``tokens`` words of a task.
 
-    Columns lang, node (two words, or the last word of a piece; null: all words), next (null at the end of
-    a piece), n. Words are numbered within a task, and triples of numbers counted by sorting, which also puts
+    Columns gram and n. A gram is the node (two words, or the last word of a piece; empty: all words), the
+    next word (empty at the end of a piece) and the language, on a line each: one short text makes the
+    smallest rows to send. Words are numbered within a task, and triples of numbers counted by sorting, which also puts
     the edges of a node next to each other.
     """
 
@@ -107,14 +108,10 @@ def edge_counts(docs: DataFrame, tokens: int = 2_000_000, types: int = 1_000_000
                 a, b, c = pairs[keys // base] // base, pairs[keys // base] % base, keys % base
                 first, second = known.take(pa.array(a)), known.take(pa.array(b))
                 node = pc.if_else(pa.array(b > 0), pc.binary_join_element_wise(first, second, " "), first)
-                following = known.take(pa.array(c, mask=c == 0))
-                size = len(keys) + 1
+                gram = pc.binary_join_element_wise(node, known.take(pa.array(c)), pa.scalar(lang), "\n")
+                total = pa.array([f"\n\n{lang}"], pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * size, pa.string()), pa.concat_arrays([node, pa.nulls(1, pa.string())]),
-                        pa.concat_arrays([following, pa.nulls(1, pa.string())]), pa.array(np.append(counts, len(at)), pa.int64()),
-                    ],
-                    ["lang", "node", "next", "n"],
+                    [pa.concat_arrays([gram, total]), pa.array(np.append(counts, len(at)), pa.int64())], ["gram", "n"]
                 )
 
         seen: dict[str, list[int]] = {}
@@ -133,7 +130,7 @@ def edge_counts(docs: DataFrame, tokens: int = 2_000_000, types: int = 1_000_000
         yield from flush()
 
     read = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), "text")
-    return read.mapInArrow(count, "lang string, node string, next string, n long")
+    return read.mapInArrow(count, "gram string, n long")
 
 
 def flow_counts(docs: DataFrame, least: int) -> DataFrame:
@@ -144,14 +141,21 @@ def flow_counts(docs: DataFrame, least: int) -> DataFrame:
     """
     partitions = shuffle_partitions(docs.sparkSession)
     hot = hot_words(docs, partitions) or [""]
-    first, second = F.substring_index("node", " ", 1), F.substring_index("node", " ", -1)
-    pair = F.instr("node", " ") > 0
-    spread = pair & first.isin(hot) & second.isin(hot)
-    salt = F.when(F.coalesce(spread, F.lit(False)), F.expr(f"int(pmod(xxhash64(next), {_SPREAD})) + 1")).otherwise(0)
-    dealt = edge_counts(docs).withColumn("salt", salt).repartition(partitions, "lang", "node", "salt")
-    edges = dealt.groupBy("lang", "node", "salt", "next").agg(F.sum("n").alias("n"))
+    node = F.substring_index("gram", "\n", 1)
+    first, second = F.substring_index(node, " ", 1), F.substring_index(node, " ", -1)
+    spread = (F.instr(node, " ") > 0) & first.isin(hot) & second.isin(hot)
+    salt = F.when(spread, F.expr(f"int(pmod(xxhash64(gram), {_SPREAD})) + 1")).otherwise(0)
+    dealt = edge_counts(docs).repartition(partitions, node, salt).select("gram", "n", node.alias("node"), salt.alias("salt"))
+    known = F.substring_index("gram", "\n", 2)
+    grams = dealt.groupBy("node", "salt", "gram").agg(F.sum("n").alias("n"))
+    edges = grams.select(
+        F.substring(F.col("gram"), F.length(known) + 2, F.length("gram")).alias("lang"), "node", "salt",
+        F.nullif(F.substring_index(known, "\n", -1), F.lit("")).alias("next"), "n",
+    )
     flow = F.struct(F.lit(None).cast("string").alias("next"), "n")
     given = F.when(F.col("next").isNotNull() & (F.col("n") >= least), F.array(F.struct("next", "n"), flow)).otherwise(F.array(flow))
+    first = F.substring_index("node", " ", 1)
+    pair = F.instr("node", " ") > 0
     nodes = edges.select("lang", "node", "salt", F.explode(given).alias("e")).groupBy("lang", "node", "salt", "e.next").agg(F.sum("e.n").alias("n"))
 
     def row(node: Column, following: Column) -> Column:
@@ -162,7 +166,7 @@ def flow_counts(docs: DataFrame, least: int) -> DataFrame:
     passed = (
         F.when(F.col("next").isNotNull(), F.array(row(F.col("node"), F.col("next"))))
         .when(pair & whole, F.array(row(F.col("node"), nothing), row(first, nothing)))
-        .otherwise(F.array(row(first, nothing)))
+        .otherwise(F.array(row(F.nullif(first, F.lit("")), nothing)))
     )
     counted = nodes.select("lang", F.explode(passed).alias("e"), "n").groupBy("lang", "e.node", "e.next").agg(F.sum("n").alias("n"))
     return counted.where((F.col("n") >= least) | F.col("node").isNull())
