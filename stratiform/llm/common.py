@@ -39,30 +39,32 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
 
-def smallest_draws(frame: DataFrame, label: str, per_label: int, max_labels: int = 200) -> DataFrame:
-    """The ``per_label`` rows of smallest ``draw`` (a 64-bit hash) of each label.
+def smallest_draws(frame: DataFrame, label: str, per_label: int, max_labels: int = 1000, total: int | None = None) -> DataFrame:
+    """The rows of smallest ``draw`` (a 64-bit hash) of each label: ``per_label``, or fewer so that ``total`` is kept.
 
     Labels are counted first, so that only about four times as many rows as are wanted pass a bound on
     ``draw`` and reach the tasks that rank them, however many rows or input partitions there are. If
-    too few pass, all rows are ranked.
+    too few pass, all rows are ranked. Of more than ``max_labels`` labels the most frequent are taken (ties:
+    the smaller); rows without a label are no sample.
     """
-    counts = frame.groupBy(label).count().limit(max_labels + 1).collect()
-    if len(counts) > max_labels:
-        raise ValueError(f"more than {max_labels} values of {label}")
-    near = F.lit(False)
-    for value, count in counts:
-        share = min(1.0, (4 * per_label + 100) / count)
-        near = near | ((F.col(label) == F.lit(value)) & (F.col("draw") <= min(int(share * 2**64), 2**64 - 1) - 2**63))
+    counts = frame.where(F.col(label).isNotNull()).groupBy(label).count().orderBy(F.desc("count"), label).limit(max_labels)
+    counts = staged(counts, "label-counts")
+    labels = counts.count()
+    wanted = per_label if total is None else max(1, min(per_label, total // max(1, labels)))
+    share = F.least(F.lit(1.0), F.lit(4.0 * wanted + 100) / F.col("count"))
+    # At most ``max_labels`` short rows are broadcast.
+    bounds = counts.select(F.col(label).alias("__label"), (share * F.lit(2.0**64) - F.lit(2.0**63)).alias("__most"))
+    known = frame.join(F.broadcast(bounds), F.col(label) == F.col("__label")).drop("__label")
     order = Window.partitionBy(label).orderBy("draw", *[c for c in frame.columns if c not in (label, "draw")])
 
     def ranked(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("__nth", F.row_number().over(order)).where(F.col("__nth") <= per_label).drop("__nth")
+        nth = rows.drop("__most").withColumn("__nth", F.row_number().over(order))
+        return nth.where(F.col("__nth") <= wanted).drop("__nth")
 
-    some = staged(ranked(frame.where(near)), "draws")
-    found = dict(some.groupBy(label).count().collect())
-    if all(found.get(value, 0) >= min(count, per_label) for value, count in counts if value is not None):
-        return some
-    return ranked(frame)
+    some = staged(ranked(known.where(F.col("draw").cast("double") <= F.col("__most"))), "draws")
+    found = some.groupBy(label).agg(F.count("*").alias("found"))
+    short = counts.join(found, label, "left").where(F.coalesce("found", F.lit(0)) < F.least("count", F.lit(wanted)))
+    return some if short.isEmpty() else ranked(known)
 
 
 def with_own(frame: DataFrame, **own: Column) -> DataFrame:

@@ -278,12 +278,16 @@ def _step(model, squares, word, gold, real, numbers, bounds, rate, decay) -> Non
         value -= (rate * slope / np.sqrt(square)).astype(value.dtype)
 
 
-def train(docs: DataFrame, per_label: int = 150, max_chars: int = 20_000, max_labels: int = 200) -> LanguageCrf:
-    """Fit on ``per_label`` texts of each label, picked by hash among rows that are not held out."""
+def train(docs: DataFrame, per_label: int = 150, max_chars: int = 20_000, max_labels: int = 1000, total: int = 30_000) -> LanguageCrf:
+    """Fit on ``per_label`` texts of each label, picked by hash among rows that are not held out.
+
+    With many labels each has fewer, so that there are ``total`` texts at most. Of more than ``max_labels`` the
+    rarest stay unlearned.
+    """
     usable = docs.where(
         ~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= max_chars)
     ).select("text", F.col("lang").alias("label"), F.xxhash64("doc_id", "text").alias("draw"))
-    rows = smallest_draws(usable, "label", per_label, max_labels).select("label", "text").collect()
+    rows = smallest_draws(usable, "label", per_label, max_labels, total).select("label", "text").collect()
     rows.sort()
     return fit([r["text"] for r in rows], [r["label"] for r in rows])
 

@@ -77,3 +77,25 @@ def test_nothing_to_learn_from(spark):
 def test_predictions_do_not_see_the_label():
     model = fit(["aa ab aa", "zz zy zz"], ["q", "r"])
     assert model.label_texts(["ab aa", "zy"])[0] == ["q", "r"]
+
+
+def test_a_thousand_labels_are_drawn_and_more_are_no_refusal(spark):
+    from pyspark.sql import functions as F
+
+    from stratiform.llm.common import smallest_draws
+
+    rows = spark.range(0, 30_000).select(
+        F.concat(F.lit("l"), F.pmod("id", F.lit(1200)).cast("string")).alias("label"), F.xxhash64("id").alias("draw"), F.col("id").cast("string").alias("text")
+    )
+    rows = rows.withColumn("label", F.when(F.col("text") != "7", F.col("label")))
+    drawn = smallest_draws(rows, "label", 150, 1000, 3000).groupBy("label").count().collect()
+    assert len(drawn) == 1000 and {r["count"] for r in drawn} == {3}
+    assert smallest_draws(rows, "label", 150).groupBy("label").count().agg(F.min("count")).first()[0] == 25
+
+
+def test_more_labels_than_were_once_allowed(spark):
+    from stratiform.llm.language_crf import identify
+
+    rows = [(i, f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}uv{'xyz'[i // 100 % 3]} " * 5, f"l{i % 250}") for i in range(500)]
+    found = identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert found.where("lang_pred <> 'und'").count() == 500
