@@ -53,13 +53,14 @@ BASE_RULES = (
     Rule("hex", r"[0-9a-f]{16,}", 0, 16),
 )
 
-#: Public formats of further credentials.
+#: Public formats of further credentials. What begins with a run of letters begins where the run does, so that
+#: a long run is looked through once.
 MORE_RULES = (
     Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("signed_token", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    Rule("url_login", r"[a-z][a-z0-9+.-]*://[^\s:@/]+:[^\s:@/]+@"),
+    Rule("signed_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
+    Rule("url_login", r"(?<![a-z0-9+.-])[a-z][a-z0-9+.-]*://[^\s:@/]+:[^\s:@/]+@"),
     Rule("cloud_key", r"AIza[0-9A-Za-z_-]{35}"),
 )
 

@@ -91,3 +91,27 @@ def test_rules_of_ones_own(spark):
     frame = spark.createDataFrame([(1, "order 12-34 and 56-78")], "doc_id long, text string")
     rows = find_secrets(frame, (Rule("pair", r"\d\d-\d\d"),)).collect()
     assert [tuple(s) for s in rows[0]["secrets"]] == [("pair", 6, 11), ("pair", 16, 21)]
+
+
+def test_long_runs_of_every_class_are_scanned_in_linear_time():
+    import time
+
+    from stratiform.llm.secrets import BASE_RULES, MORE_RULES, scan_texts
+
+    size = 5_000_000
+    runs = [
+        "x://" + "a" * size, "eyJ" * (size // 3), "eyJ" + "a" * size + ".eyJ", "g" * size + "://u", "password" * (size // 8), "0" * size,
+        "AKIA" * (size // 4), "token" + " " * size, "-----BEGIN " + "A " * (size // 2), "ghp_" * (size // 4), "://" * (size // 3) + "h://u:p@",
+    ]
+    for text in runs:
+        began = time.perf_counter()
+        scan_texts([text], BASE_RULES + MORE_RULES)
+        assert time.perf_counter() - began < 20, text[:30]
+
+
+def test_logins_begin_where_their_scheme_does():
+    from stratiform.llm.secrets import BASE_RULES, MORE_RULES, scan_texts
+
+    text = "see svn+ssh://me:pw@host, http://a:b@c"
+    spans = [(kind, text[start:end]) for kind, start, end in scan_texts([text], BASE_RULES + MORE_RULES)[0] if kind == "url_login"]
+    assert spans == [("url_login", "svn+ssh://me:pw@"), ("url_login", "http://a:b@")]
