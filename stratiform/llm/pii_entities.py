@@ -155,11 +155,21 @@ def _names(text: str) -> list[Entity]:
             gender = _GIVEN[m[1]][1]
             found += [Entity(*m.span(g), "name", canonical("name", m[g]), gender) for g in (1, 2)]
     known = {text[e.start : e.end]: e.gender for e in found}
-    for word, gender in sorted(known.items()):
-        found += [Entity(*m.span(), "name", canonical("name", word), gender) for m in re.finditer(rf"(?<!\w){re.escape(word)}(?!\w)", text)]
+    # One look at each word of the text finds the names that begin with it, however many are known.
+    begins: dict[str, list[str]] = {}
+    for word in sorted(known):
+        begins.setdefault(_RUN.match(word).group(), []).append(word)
+    for run in _RUN.finditer(text) if begins else ():
+        for word in begins.get(run.group(), ()):
+            end = run.start() + len(word)
+            if text.startswith(word, run.start()) and not _RUN.match(text, end):
+                found.append(Entity(run.start(), end, "name", canonical("name", word), known[word]))
     return found
 
 
+_RUN = re.compile(r"\w+")
+
+
 class Surrogates:
     """Keyed surrogates. ``attempt`` is 0 but for originals whose surrogate met another's."""
 

@@ -157,3 +157,26 @@ def test_later_attempts_have_room():
     short = Entity(0, 8, "phone", "2345")
     own = S.written(short, "+1 23 45", attempt=6)
     assert re.fullmatch(r"\+1 \d\d \d{4}", own) and canonical("phone", own) == S.of("phone", "2345", attempt=6)
+
+
+def test_many_names_are_found_in_one_pass():
+    import time
+
+    from stratiform.llm.pii_entities import find_entities
+
+    def spelled(number):
+        return "".join("abcdefghij"[int(d)] for d in str(number))
+
+    names = [f"B{spelled(n)}" for n in range(20_000)]
+    text = " ".join(f"Mr {name} came." for name in names) + " " + " ".join(names)
+    began = time.perf_counter()
+    found = find_entities(text)
+    assert time.perf_counter() - began < 10
+    assert len(found) == 40_000 and {text[e.start : e.end] for e in found} == set(names)
+
+
+def test_a_name_is_no_part_of_a_longer_word():
+    from stratiform.llm.pii_entities import find_entities
+
+    text = "Mr Stone met Stones, Stone's dog and stone; Mrs Ann-Lee Day and Ann-Lees, Ann-Lee."
+    assert [text[e.start : e.end] for e in find_entities(text)].count("Stone") == 2
