@@ -84,10 +84,10 @@ def latest(df: DataFrame, keys: Sequence[str], sequence: str, ties: Sequence[str
     return keyed.unionAll(df.filter(any_null(keys)))
 
 
-def source_keys(src: DataFrame, keys: Sequence[str]) -> Measured:
-    """Distinct non-NULL keys of an upsert source; repeated keys are refused.
+def key_side(src: DataFrame, keys: Sequence[str]) -> Measured:
+    """Distinct non-NULL keys with their number of rows.
 
-    Lowest and highest values of plain keys are noted, to prune scans of the target.
+    Lowest and highest values of plain keys are noted, to prune scans of what they are compared with.
     """
     counted = key_counts(src.filter(~any_null(keys)), keys)
     ranges = [
@@ -96,7 +96,12 @@ def source_keys(src: DataFrame, keys: Sequence[str]) -> Measured:
         if isinstance(src.schema[key].dataType, _RANGED)
         for name, bound in (("low", F.min), ("high", F.max))
     ]
-    side = measure(counted, "upsert-keys", F.max(COPIES).alias("most_copies"), *ranges)
+    return measure(counted, "upsert-keys", F.max(COPIES).alias("most_copies"), *ranges)
+
+
+def source_keys(src: DataFrame, keys: Sequence[str]) -> Measured:
+    """Keys of an upsert source, as ``key_side`` has them; repeated keys are refused."""
+    side = key_side(src, keys)
     if (side.seen.get("most_copies") or 0) > 1:
         raise DuplicateKeyError(f"upsert source repeats keys {list(keys)}: deduplicate it first")
     return side
@@ -208,7 +213,7 @@ def _merge_stored(
     cells = _cells(spark, table, src, zorder_by) if zorder_by else None
     if not parts:
         sizes = dict(table_files.data_files(spark, table))
-        hit_files = _files_with(spark, table, side, keys, list(sizes))
+        hit_files = files_with(spark, table, side, keys, list(sizes))
         most = sum(sizes[f] for f in hit_files) > _SNAPSHOT_SHARE * sum(sizes.values())
         held = target if most else table_files.read_files_of(spark, table, hit_files)
         merged = landing.evolve(drop_matching(held, side, keys), src).select(*target.columns)
@@ -245,7 +250,7 @@ _SEGMENTS = 64
 _SNAPSHOT_SHARE = 0.5
 
 
-def _files_with(spark: SparkSession, table: str, side: Measured, keys: Sequence[str], paths: Sequence[str]) -> list[str]:
+def files_with(spark: SparkSession, table: str, side: Measured, keys: Sequence[str], paths: Sequence[str]) -> list[str]:
     """Files of an unpartitioned table that hold a key of the source.
 
     Their stored key ranges leave out most files of a table in some order of a key; of the others the key

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from stratiform import schemas
 from stratiform.errors import ConfigError
-from stratiform.operators import alerts, audit, bronze, conform, landing, publish, rules
+from stratiform.operators import alerts, audit, bronze, conform, content, key_history, landing, publish, rules
 from stratiform.session import drop_folder, new_folder
 
 RESULT_SCHEMA = """source string, load_id string, status string, rows_in bigint, valid_rows bigint,
@@ -75,6 +75,8 @@ class SourceSpec:
     stream_options: Mapping[str, Any] = field(default_factory=dict)
     checkpoint: str | None = None
     as_of: str | None = None
+    key_history: str | None = None
+    verify_content: bool = False
     before_landing: Callable[[DataFrame], DataFrame] | None = None
     after_conformance: Callable[[DataFrame], DataFrame] | None = None
 
@@ -151,10 +153,12 @@ def _check_results(
     return report
 
 
-def _stage(conformed: DataFrame, spec: SourceSpec, path: str) -> tuple[DataFrame, dict]:
+def _stage(conformed: DataFrame, spec: SourceSpec, path: str, load_id: str) -> tuple[DataFrame, dict]:
     """Apply the rules and store the outcome, from which all later stages read."""
     spark = conformed.sparkSession
     checked = rules.apply(conformed, spec.rules, spec.primary_key)
+    if spec.key_history:
+        checked = key_history.fail_seen(checked, rules.key_columns(spec.primary_key), spec.key_history, load_id)
     observed, seen = _observed(
         checked,
         F.count(F.lit(1)).alias("conformance_rows"),
@@ -282,7 +286,7 @@ def _run_stages(spark: SparkSession, spec: SourceSpec, log: _Log, resume: bool,
     conformed = conform.apply(bronze.passed(stored), spec.mappings, typed=spec.typed)
     if spec.after_conformance:
         conformed = spec.after_conformance(conformed)
-    checked, seen = _stage(conformed, spec, scratch)
+    checked, seen = _stage(conformed, spec, scratch, load_id)
     log.events += audit.structure_events(raw_columns, stored.columns, checked.columns, spec.mappings)
     log.add("dq_engine", **{k: seen[k] for k in (rules.PK_NOT_NULL, rules.PK_UNIQUE)})
 
@@ -301,6 +305,12 @@ def _run_stages(spark: SparkSession, spec: SourceSpec, log: _Log, resume: bool,
         mode, written = _publish(rules.passed(checked), spec, load_id, resume)
         log.add("silver_publish", publish_mode=mode, target=spec.silver_table, rows=written)
         log.flush()
+        if spec.key_history:
+            key_history.record(rules.passed(checked), rules.key_columns(spec.primary_key), spec.key_history, load_id)
+        if spec.verify_content and spec.archive_table:
+            kept = spark.table(spec.archive_table).filter(F.col("load_id") == load_id)
+            same = content.same_content(stored, kept, stored.columns)
+            log.add("content_verification", "PASS" if same else "FAIL", landing=spec.landing_table, archive=spec.archive_table)
         if spec.optimize:
             packed = publish.compact(spark, spec.silver_table, spec.zorder_by)
             log.add("silver_optimize", files=packed)

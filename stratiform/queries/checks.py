@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.operators import audit, bronze, rules
-from stratiform.operators.keyed import distinct_report
+from stratiform.operators import audit, bronze, content, key_history, rules
+from stratiform.operators.keyed import distinct_report, measure
 from stratiform.queries.registry import query, table
 
 AS_OF = "2024-02-01 00:00:00"
@@ -415,3 +418,39 @@ def pk_unique(spark, sf_dir):
 def pk_failure_counts(spark, sf_dir):
     out = rules.apply(_lines_with_null_key(spark, sf_dir), [], "l_orderkey,l_linenumber")
     return rules.key_failures(out)
+
+
+@query(
+    "reconcile_content",
+    """WITH ends AS (SELECT min(o_orderkey) AS lost, max(o_orderkey) AS twice FROM orders),
+copied AS (SELECT o.* FROM orders o, ends WHERE o_orderkey <> lost UNION ALL SELECT o.* FROM orders o, ends WHERE o_orderkey = twice),
+held AS (SELECT *, 1 AS l, 0 AS r FROM orders UNION ALL SELECT *, 0, 1 FROM copied)
+SELECT * EXCLUDE (l, r), sum(l)::BIGINT AS left_rows, sum(r)::BIGINT AS right_rows, TRUE AS counts_agree, FALSE AS fingerprints_agree
+FROM held GROUP BY ALL HAVING sum(l) <> sum(r)""",
+)
+def reconcile_content(spark, sf_dir):
+    """A copy with one row lost and another doubled: counts agree, fingerprints do not, and the rows are named."""
+    orders = table(spark, sf_dir, "orders")
+    lost, twice = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    copied = orders.where(F.col("o_orderkey") != lost).unionByName(orders.where(F.col("o_orderkey") == twice)).repartition(5)
+    left, right = content.fingerprint(orders).first(), content.fingerprint(copied).first()
+    agree = {"counts_agree": F.lit(left["rows"] == right["rows"]), "fingerprints_agree": F.lit(left == right)}
+    return content.differing_rows(orders, copied).withColumns(agree)
+
+
+@query(
+    "pk_unique_across_loads",
+    """WITH l AS (SELECT o_custkey, o_orderkey, year(o_orderdate) AS load FROM orders)
+SELECT load, o_orderkey, o_custkey, EXISTS (FROM l e WHERE e.o_custkey = l.o_custkey AND e.load < l.load) AS seen_before FROM l""",
+)
+def pk_unique_across_loads(spark, sf_dir):
+    """A load for each year of orders; the keys are customers. The history is packed on the way, the third load comes twice."""
+    orders = table(spark, sf_dir, "orders").select(F.year("o_orderdate").cast("bigint").alias("load"), "o_orderkey", "o_custkey")
+    history = f"spark_catalog.default.keys_{uuid.uuid4().hex}"
+    years = [r[0] for r in orders.select("load").distinct().orderBy("load").collect()]
+    parts = {}
+    for year in [*years[:3], *years[2:]]:
+        flagged = measure(key_history.flag_seen(orders.where(F.col("load") == year), ["o_custkey"], history, str(year)), "flagged").frame
+        key_history.record(flagged.where(~F.col("seen_before")), ["o_custkey"], history, str(year))
+        parts[year] = flagged
+    return functools.reduce(DataFrame.unionByName, parts.values())
