@@ -12,6 +12,7 @@ from stratiform.queries.registry import query, table
 from stratiform.session import new_folder
 from stratiform.sources import files, jdbc, payload, rescue
 from stratiform.streaming import files as streams
+from stratiform.streaming import windows
 
 FORMATS = ["json", "csv", "parquet", "orc"]
 
@@ -314,3 +315,29 @@ def stream_landing(spark, sf_dir):
         streams.land_stream(frame, name, checkpoint, "web", "events", "load-1", path=path)
     landed = spark.table(name)
     return landed.select(*events.columns, "source_system", "source_entity", "load_id")
+
+
+_LATE = "event_id % 10 = 3 AND ts < TIMESTAMP '2024-01-10 00:00:00'"
+
+
+@query(
+    "stream_windowed_checks",
+    f"""WITH e AS (SELECT *, coalesce({_LATE}, FALSE) AS delivered_late FROM events),
+first_part AS (SELECT max(ts) AS seen FROM e WHERE NOT delivered_late)
+SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, CASE WHEN value >= 50 OR value IS NULL THEN 'PASS' ELSE 'FAIL' END AS status,
+  delivered_late AND time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' <= seen - INTERVAL '2 hours' AS is_late, count(*) AS n
+FROM e, first_part GROUP BY ALL""",
+)
+def stream_windowed_checks(spark, sf_dir):
+    """Range checks by the hour. A tenth of the old events is delivered in a second start, after their windows closed."""
+    events = table(spark, sf_dir, "events")
+    path, state, out = new_folder(spark, "windows-in"), new_folder(spark, "stream-state"), new_folder(spark, "windows-out")
+    name = f"spark_catalog.default.windows_{uuid.uuid4().hex}"
+    late = F.coalesce(F.expr(_LATE.replace("TIMESTAMP ", "timestamp_ntz")), F.lit(False))
+    for part in (~late, late):
+        events.where(part).coalesce(2).write.mode("append").parquet(path)
+        frame = streams.read_stream(spark, path, "parquet", "web", "events", {"add_metadata_columns": False}, events.schema)
+        checks = {"range_constraints": {"value": {"min": 50}}}
+        windows.stream_window_counts(frame, name, state, checks, "ts", "1 hour", "2 hours", path=out)
+    found = windows.window_counts(spark, name)
+    return found.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "status", "is_late", "n")

@@ -214,7 +214,14 @@ _FILE_CHOICE = ("recursiveFileLookup", "pathGlobFilter", "modifiedAfter", "modif
 _BATCH_SIZE = ("maxFilesPerTrigger", "maxBytesPerTrigger")
 
 
-def _trigger(writer, parsed: StreamOptions):
+def refreshed(spark: SparkSession, *tables: str) -> None:
+    """Micro-batches write in a session of their own; the caller's must list the files of these tables anew."""
+    for table in tables:
+        if table and spark.catalog.tableExists(table):
+            spark.catalog.refreshTable(table)
+
+
+def triggered(writer, parsed: StreamOptions):
     # ``once`` is the older name of a single run over what is there.
     return writer.trigger(availableNow=True) if parsed.once or parsed.available_now else writer
 
@@ -253,7 +260,7 @@ def land_stream(
         writer = writer.option("path", path)
     if parsed.query_name:
         writer = writer.queryName(parsed.query_name)
-    query = _trigger(writer, parsed).toTable(table)
+    query = triggered(writer, parsed).toTable(table)
     query.awaitTermination()
     return query
 
@@ -274,8 +281,9 @@ def _land_result(
     writer = frame.writeStream.outputMode(parsed.output_mode).foreachBatch(batch).option("checkpointLocation", checkpoint)
     if parsed.query_name:
         writer = writer.queryName(parsed.query_name)
-    query = _trigger(writer, parsed).start()
+    query = triggered(writer, parsed).start()
     query.awaitTermination()
+    refreshed(frame.sparkSession, table)
     return query
 
 
@@ -319,6 +327,8 @@ def run_stream(
     writer = frame.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     if parsed.query_name:
         writer = writer.queryName(parsed.query_name)
-    query = _trigger(writer, parsed).start()
+    query = triggered(writer, parsed).start()
     query.awaitTermination()
+    written = [getattr(tables, name) for name in tables.__dataclass_fields__]
+    refreshed(frame.sparkSession, spec.landing_table, spec.conformance_table, spec.silver_table, spec.archive_table or "", *[t for t in written if t])
     return query
