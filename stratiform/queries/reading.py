@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from stratiform.operators.export import export
+from stratiform.operators.keyed import measure
 from stratiform.queries.inputs import ctes, derive
 from stratiform.queries.registry import query, table
 from stratiform.session import new_folder
@@ -341,3 +342,64 @@ def stream_windowed_checks(spark, sf_dir):
         windows.stream_window_counts(frame, name, state, checks, "ts", "1 hour", "2 hours", path=out)
     found = windows.window_counts(spark, name)
     return found.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "status", "is_late", "n")
+
+
+_QUOTED = "concat('a;', o_orderpriority, chr(39), chr(10), o_orderstatus)"
+
+
+def _delimited(spark, sf_dir):
+    """Orders as files with their own separator and quotes, values over two lines, and a file that no pattern matches."""
+    path = new_folder(spark, "delimited")
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_totalprice", f"{_QUOTED} AS note")
+    writer = orders.write.options(header="true", sep=";", quote="'", escape="#", encoding="UTF-8")
+    writer.mode("append").csv(path)
+    orders.limit(1).write.mode("append").json(path)
+    return path, {"header": True, "sep": ";", "quote": "'", "escape": "#", "encoding": "UTF-8", "multiLine": True, "pathGlobFilter": "*.csv"}
+
+
+_DELIMITED_SQL = "SELECT o_orderkey, o_totalprice, 'a;' || o_orderpriority || chr(39) || chr(10) || o_orderstatus AS note FROM orders"
+_DELIMITED_DDL = "o_orderkey bigint, o_totalprice double, note string"
+
+
+@query("reader_options", _DELIMITED_SQL)
+def reader_options(spark, sf_dir):
+    path, options = _delimited(spark, sf_dir)
+    return files.read_files(spark, path, "csv", options, load_type="full", schema=_DELIMITED_DDL)
+
+
+@query("stream_reader_options", _DELIMITED_SQL)
+def stream_reader_options(spark, sf_dir):
+    """The same files as a stream, a file for each batch; a hint gives a column its type."""
+    path, options = _delimited(spark, sf_dir)
+    given = options | {
+        "schema_ddl": "o_orderkey bigint, o_totalprice string, note string", "cloudFiles.schemaHints": "o_totalprice double",
+        "cloudFiles.maxFilesPerTrigger": 1, "add_metadata_columns": False,
+    }
+    name = f"stream_options_{uuid.uuid4().hex}"
+    frame = streams.read_stream(spark, path, "csv", "erp", "orders", given)
+    out, state = new_folder(spark, "stream-options"), new_folder(spark, "stream-state")
+    streams.land_stream(frame, name, state, "erp", "orders", "load-1", {k: v for k, v in given.items() if k.startswith("cloud")}, path=out)
+    return spark.table(name).select("o_orderkey", "o_totalprice", "note")
+
+
+@query(
+    "attachment_copy",
+    "SELECT 'page ' || page_id AS content, TRUE AS copied FROM pages UNION ALL SELECT NULL, FALSE FROM pages WHERE page_id % 10 = 0",
+)
+def attachment_copy(spark, sf_dir):
+    """A file for each page, copied by reference; every tenth page names a second file, which is not there."""
+    pages, path = table(spark, sf_dir, "pages").select("page_id"), new_folder(spark, "attachments")
+    pages.select(F.concat(F.lit("page "), "page_id").alias("value"), F.pmod("page_id", F.lit(500)).alias("part"), "page_id").repartition(
+        4, "part"
+    ).select("value", "page_id").write.partitionBy("page_id").text(path)
+    held = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    plain = F.regexp_replace("path", "^file:/+", "/")
+    missing = pages.where("page_id % 10 = 0").select(F.concat(F.lit("/no/such/file/"), "page_id").alias("ref"))
+    refs = held.select(plain.alias("ref")).unionByName(missing)
+    out = new_folder(spark, "attachments-copied")
+    report = measure(files.copy_attachments(refs, held.select("path", "content"), out if "://" in out else f"file://{out}"), "copied").frame
+    copies = spark.read.format("binaryFile").load(out).select(
+        F.element_at(F.split("path", "/"), -1).alias("name"), F.rtrim(F.col("content").cast("string"), F.lit("\n")).alias("content")
+    )
+    named = report.withColumn("name", F.element_at(F.split("new_path", "/"), -1))
+    return named.join(copies, "name", "left").select("content", F.col("new_path").isNotNull().alias("copied"))

@@ -370,3 +370,46 @@ def watermark_products(spark, sf_dir):
         part = loaded.select(F.lit(product).alias("product"), "order_day", "loaded")
         report = part if report is None else report.unionByName(part)
     return report
+
+
+def _written_flow(spark, sf_dir, *sinks: str):
+    """The orders flow through stored layers, as a run writes them."""
+    tag = f"spark_catalog.default.written_{uuid.uuid4().hex}"
+    layers = {layer: f"{tag}_{layer}" for layer in ("landing", "conformance", "silver")}
+    spec = flow.with_rules(
+        ORDERS, read=lambda s: table(s, sf_dir, "orders"), product="shop",
+        paths={layer: new_folder(spark, f"written-{layer}") for layer in layers}, **{f"{k}_table": v for k, v in layers.items()},
+    )
+    tables = flow.AuditTables(**{name: f"{tag}_{name}" for name in sinks})
+    flow.run_source(spark, spec, tables, load_id="run-1")
+    return spec, tables
+
+
+@query(
+    "conformance_write",
+    f"""WITH {_FLOW} SELECT order_id, customer_id, status, amount, order_day, priority, 'run-1' AS load_id FROM conformed""",
+)
+def conformance_write(spark, sf_dir):
+    """What a run stored as its conformance layer: every mapped row, passed or not by the rules after it."""
+    spec, _ = _written_flow(spark, sf_dir)
+    return spark.table(spec.conformance_table).select("order_id", "customer_id", "status", "amount", "order_day", "priority", "load_id")
+
+
+@query(
+    "alert_sink",
+    f"""WITH {_FLOW}, n AS (SELECT (SELECT count(*) FROM raw) AS total,
+  (SELECT count(*) FROM raw WHERE bad) + (SELECT count(*) FROM checked WHERE dq_status = 'FAIL') AS failed)
+SELECT 'DQ_FAILURE_RATE' AS alert_type, 'shop' AS product_name, 'run-1' AS load_id,
+  CASE WHEN 100.0 * failed / total > 50 THEN 'CRITICAL' ELSE 'WARNING' END AS severity, failed || ' of ' || total || ' rows failed DQ checks' AS message
+FROM n WHERE 100.0 * failed / total > 10
+UNION ALL SELECT 'METRIC', 'shop', 'run-1', 'INFO', CAST(total AS VARCHAR) FROM n""",
+)
+def alert_sink(spark, sf_dir):
+    """Rows that a run stored in its alert table, and the row count of its performance row."""
+    _, tables = _written_flow(spark, sf_dir, "alerts", "performance_metrics")
+    found = spark.table(tables.alerts).where("alert_type = 'DQ_FAILURE_RATE'").select("alert_type", "product_name", "load_id", "severity", "message")
+    metric = spark.table(tables.performance_metrics).select(
+        F.lit("METRIC").alias("alert_type"), F.lit("shop").alias("product_name"), F.substring_index("query_name", ":", -1).alias("load_id"),
+        F.lit("INFO").alias("severity"), F.col("rows_processed").cast("string").alias("message"),
+    )
+    return found.unionByName(metric)
