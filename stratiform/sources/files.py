@@ -221,14 +221,23 @@ def attachment_refs(df: DataFrame, field: str) -> DataFrame:
     return df.select(ref).filter((F.col("ref").isNotNull()) & (F.trim("ref") != "")).distinct()
 
 
+#: Bytes of files for one task that copies, most such tasks, and bytes that a task holds at a time.
+COPY_BYTES = 1 << 30
+MOST_COPY_TASKS = 10_000
+COPY_CHUNK = 8 << 20
+
+
 def copy_attachments(
     refs: DataFrame, files: DataFrame, destination: str, fail_on_error: bool = False
 ) -> DataFrame:
     """Copy referenced files and report (ref, new_path, error) per reference.
 
-    ``files`` is a binaryFile scan (path, content). A list of references that is small enough is
-    broadcast, so contents are not shuffled; a longer one meets them by file path. ``destination`` is a
-    URL of a file system that all executors reach; a plain local path is for local sessions only.
+    ``files`` is a listing (path, length), as ``listing`` makes it: tasks then read each file from its store in
+    chunks, so that no file has to fit a row, and get about ``COPY_BYTES`` of files each. With a binaryFile
+    scan (path, content) contents pass through rows instead, which any store that Spark reads allows, up
+    to 2 GB a file. A list of references that is small enough is broadcast; a longer one meets the files
+    by path. ``destination`` is a URL of a file system that all executors reach; a plain local path is for
+    local sessions only.
     """
     session = refs.sparkSession
     is_local = session.sparkContext.master.split("[")[0] == "local"
@@ -237,16 +246,35 @@ def copy_attachments(
     plain = F.regexp_replace(F.col("path"), r"^file:/+", "/")
     wanted = measure(refs.select("ref").distinct(), "attachments")
     side = F.broadcast(wanted.frame) if wanted.fits_broadcast else wanted.frame
-    found = files.select(plain.alias("__path"), "content").join(side, F.col("ref") == F.col("__path"))
+    streamed = "content" not in files.columns
+    source = F.col("path").alias("content") if streamed else F.col("content")
+    found = files.select(plain.alias("__path"), source).join(side, F.col("ref") == F.col("__path"))
+    if streamed and "length" in files.columns:
+        total = files.select(plain.alias("__path"), "length").join(side, F.col("ref") == F.col("__path")).agg(F.sum("length")).first()[0]
+        found = found.repartition(max(1, min(MOST_COPY_TASKS, -(-(total or 0) // COPY_BYTES))), "__path")
     here = files.select(plain.alias("__path")).join(side, F.col("ref") == F.col("__path"), "left_semi")
     lost = wanted.frame.join(here, F.col("ref") == F.col("__path"), "left_anti")
 
     def write(batches: Iterator) -> Iterator:
         import hashlib
+        import re
 
         import pandas as pd
         from pyarrow import fs
 
+        def chunks(content):
+            """The bytes themselves, or those of the file that is named, some at a time."""
+            if not streamed:
+                yield content
+                return
+            if content.startswith(("/", "file:")):
+                store, inner = fs.LocalFileSystem(), re.sub("^file:/+", "/", content)
+            else:
+                store, inner = fs.FileSystem.from_uri(content)
+            with store.open_input_stream(inner) as source:
+                while block := source.read(COPY_CHUNK):
+                    yield block
+
         system, root = fs.FileSystem.from_uri(destination)
         base = destination[: len(destination) - len(root)] if destination.endswith(root) else ""
         system.create_dir(root, recursive=True)
@@ -258,7 +286,8 @@ def copy_attachments(
                 try:
                     # A task that runs again replaces its own partial file.
                     with system.open_output_stream(f"{target}.part") as out:
-                        out.write(content)
+                        for block in chunks(content):
+                            out.write(block)
                     system.move(f"{target}.part", target)
                     rows.append((ref, base + target, None))
                 except OSError as exc:

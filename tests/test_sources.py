@@ -107,6 +107,28 @@ def test_attachments(spark, rows, tmp_path):
         files.attachment_refs(df, "nope")
 
 
+def test_large_attachments_are_copied_in_chunks(spark, tmp_path, monkeypatch):
+    source, target = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    sizes = {"a b%20.bin": 5_000_000, "c.bin": 1, "d.bin": 700_001}
+    for name, size in sizes.items():
+        (source / name).write_bytes(os.urandom(size))
+    monkeypatch.setattr(files, "COPY_BYTES", 1_000_000)
+    monkeypatch.setattr(files, "COPY_CHUNK", 4096)
+    refs = spark.createDataFrame([(str(source / n),) for n in (*sizes, "none.bin")], "ref string")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+    try:
+        frame = files.copy_attachments(refs, files.listing(spark, str(source)), str(target))
+        assert "content" not in files.listing(spark, str(source)).columns
+        done = {os.path.basename(r.ref): r for r in frame.collect()}
+        assert not [r.error for n, r in done.items() if r.error and n != "none.bin"]
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    for name in sizes:
+        assert open(done[name].new_path, "rb").read() == (source / name).read_bytes()
+    assert "not found" in done["none.bin"].error and len(os.listdir(target)) == 3
+
+
 PROFILE = {"url": "jdbc:x:y", "driver": "org.x.Driver", "fetchsize": 100}
 
 
