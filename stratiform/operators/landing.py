@@ -147,12 +147,12 @@ def replace_load(df: DataFrame, table: str, load_id: str, path: str | None = Non
     if not spark.catalog.tableExists(table):
         # The table first, without rows: a failed first load then leaves nothing that blocks the next.
         # (By its schema: ``df`` may carry metrics, which belong to the write of its rows.)
-        empty = spark.createDataFrame([], rows.schema).withColumn("load_id", F.lit(load_id))
-        write_table(empty, table, path=path, partition_by=("load_id",))
+        create_table(spark, table, T.StructType([*rows.schema.fields, T.StructField("load_id", T.StringType())]), path, ("load_id",))
     if "load_id" not in [c.name for c in spark.catalog.listColumns(table) if c.isPartition]:
         write_table(df, table)
         return
     ready = aligned(rows.withColumn("load_id", F.lit(load_id)), spark, table)
+    # A catalog table takes the overwrite mode from the session only, and an observed frame is written by its own session.
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
     spark.conf.set(key, "dynamic")

@@ -60,6 +60,14 @@ def append(
     return table_files.commit_rows(spark, table, rows, token, again=again)
 
 
+def appended(spark: SparkSession, table: str, load: str) -> int | None:
+    """Rows that an earlier attempt of a load has appended, if it came to its plan; what it left undone is done."""
+    if not spark.catalog.tableExists(landing.checked_table(table)):
+        return None
+    table_files.finish_commits(spark, table)
+    return table_files.finished(spark, table, table_files.token_of(load))
+
+
 def _cells(spark: SparkSession, table: str, df: DataFrame, columns: Sequence[str]) -> list[list]:
     """Cell bounds of a table: those stored by its first clustered write, else those of ``df``, which are then stored."""
     known = table_files.stored_cells(spark, table, columns)

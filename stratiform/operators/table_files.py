@@ -119,6 +119,12 @@ def finish_commits(spark: SparkSession, table: str) -> None:
         spark.catalog.refreshTable(table)
 
 
+def finished(spark: SparkSession, table: str, token: str) -> int | None:
+    """Rows that a step of this token added before, if it was carried out."""
+    folder = _Folder(spark, location(spark, table))
+    return json.loads(folder.read(f"_done_{token}"))["rows"] if folder.names(f"_done_{token}") else None
+
+
 def commit_rows(
     spark: SparkSession, table: str, rows: DataFrame, token: str | None = None, drop: Sequence[str] = (), again: bool = False
 ) -> int:
@@ -132,8 +138,8 @@ def commit_rows(
     root = location(spark, table)
     folder = _Folder(spark, root)
     finish_commits(spark, table)
-    if again and folder.names(f"_done_{token}"):
-        return json.loads(folder.read(f"_done_{token}"))["rows"]
+    if again and (rows_before := finished(spark, table, token)) is not None:
+        return rows_before
     folder.drop_older("_done_", KEPT_DAYS)
     parts = partition_columns(spark, table)
     staged = f"{root}/_staged_{token}"

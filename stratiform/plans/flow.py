@@ -172,6 +172,7 @@ def _stage(conformed: DataFrame, spec: SourceSpec, path: str, load_id: str) -> t
 def _publish(valid: DataFrame, spec: SourceSpec, load_id: str, resume: bool) -> tuple[str, int | None]:
     """Publish and say how; for an append also how many rows were written, by this attempt or an earlier one."""
     mode = (spec.publish_mode or "append").lower()
+    spark = valid.sparkSession
     rows = valid if spec.keep_dq_columns else valid.drop(*schemas.RULE_COLUMNS)
     path = spec.paths.get("silver")
     if mode == "merge":
@@ -183,9 +184,11 @@ def _publish(valid: DataFrame, spec: SourceSpec, load_id: str, resume: bool) ->
         return mode, None
     if mode != "append":
         raise ConfigError(f"unsupported publish mode: {mode}")
-    return mode, publish.append(
-        rows, spec.silver_table, spec.partition_by, path, spec.zorder_by, load=f"{spec.name}:{load_id}", again=resume
-    )
+    load = f"{spec.name}:{load_id}"
+    written = publish.appended(spark, spec.silver_table, load) if resume else None
+    if written is None:
+        written = publish.append(rows, spec.silver_table, spec.partition_by, path, spec.zorder_by, load=load, again=resume)
+    return mode, written
 
 
 def _now() -> str:
