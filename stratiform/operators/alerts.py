@@ -16,6 +16,12 @@ MIN_SECONDS = 0.001
 BYTES_PER_MB = 1024.0 * 1024.0
 
 
+# Titles and messages of alerts, by which readers of the alert table know them.
+RATE_TITLE, RATE_MESSAGE = "High DQ failure rate: %.1f%%", "%d of %d rows failed DQ checks"
+RETRY_TITLE, RETRY_MESSAGE = "Retries exhausted for %s", "Failed after %d retries. Last error: %s"
+SLOW_TITLE, SLOW_MESSAGE = "Slow load: %.1fs (baseline: %.1fs)", "Load took %.1fx longer than expected"
+
+
 def _alert(df: DataFrame, kind: str, severity: Column, title: Column, message: Column, metadata: Column) -> DataFrame:
     """Alert rows; ``df`` carries product_name, source keys, load_id and timestamp."""
     alert_id = F.concat_ws("_", "source_system", "source_entity", "load_id", F.lit(kind))
@@ -43,8 +49,8 @@ def dq_failure_rate(loads: DataFrame, warn_percent: float = DQ_WARN_PERCENT) ->
         bad,
         "DQ_FAILURE_RATE",
         F.when(F.col("failure_rate") > DQ_CRITICAL_PERCENT, "CRITICAL").otherwise("WARNING"),
-        F.format_string("High DQ failure rate: %.1f%%", "failure_rate"),
-        F.format_string("%d of %d rows failed DQ checks", "failed_rows", "total_rows"),
+        F.format_string(RATE_TITLE, "failure_rate"),
+        F.format_string(RATE_MESSAGE, "failed_rows", "total_rows"),
         F.struct("total_rows", "failed_rows", "failure_rate", F.lit(warn_percent).alias("threshold")),
     )
 
@@ -55,9 +61,9 @@ def retry_exhaustion(loads: DataFrame) -> DataFrame:
         loads.filter(F.col("retry_count") >= F.col("max_retries")),
         "RETRY_EXHAUSTION",
         F.lit("CRITICAL"),
-        F.format_string("Retries exhausted for %s", "source_entity"),
+        F.format_string(RETRY_TITLE, "source_entity"),
         F.format_string(
-            "Failed after %d retries. Last error: %s",
+            RETRY_MESSAGE,
             F.col("max_retries"),
             F.substring("error", 1, ERROR_PREFIX),
         ),
@@ -73,8 +79,8 @@ def slow_loads(loads: DataFrame, baseline_seconds: float = BASELINE_SECONDS) ->
         loads.filter(F.col("duration_seconds") > baseline_seconds * SLOW_FACTOR),
         "PERFORMANCE_DEGRADATION",
         F.lit("WARNING"),
-        F.format_string("Slow load: %.1fs (baseline: %.1fs)", F.col("duration_seconds"), base),
-        F.format_string("Load took %.1fx longer than expected", times),
+        F.format_string(SLOW_TITLE, F.col("duration_seconds"), base),
+        F.format_string(SLOW_MESSAGE, times),
         F.struct("duration_seconds", base.alias("baseline_seconds"), times.alias("multiplier")),
     )
 
