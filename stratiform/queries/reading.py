@@ -389,10 +389,10 @@ def stream_reader_options(spark, sf_dir):
 def attachment_copy(spark, sf_dir):
     """A file for each page, copied by reference; every tenth page names a second file, which is not there."""
     pages, path = table(spark, sf_dir, "pages").select("page_id"), new_folder(spark, "attachments")
-    pages.select(F.concat(F.lit("page "), "page_id").alias("value"), F.pmod("page_id", F.lit(500)).alias("part"), "page_id").repartition(
-        4, "part"
-    ).select("value", "page_id").write.partitionBy("page_id").text(path)
-    held = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    tasks = max(4, spark.sparkContext.defaultParallelism)
+    texts = pages.select(F.concat(F.lit("page "), "page_id").alias("value")).repartition(tasks, "value")
+    texts.write.option("maxRecordsPerFile", 1).text(path)
+    held = spark.read.format("binaryFile").load(path)
     plain = F.regexp_replace("path", "^file:/+", "/")
     missing = pages.where("page_id % 10 = 0").select(F.concat(F.lit("/no/such/file/"), "page_id").alias("ref"))
     refs = held.select(plain.alias("ref")).unionByName(missing)

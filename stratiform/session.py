@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import posixpath
+import re
 import tempfile
 import uuid
 
@@ -45,6 +47,15 @@ def shared_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def is_shared(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` lies below the folder that the driver and all executors share."""
+
+    def plain(name: str) -> str:
+        return posixpath.normpath(re.sub("^file:/+", "/", name))
+
+    return plain(path).startswith(f"{plain(shared_root(spark))}/")
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
     return f"{shared_root(spark)}/stratiform/{label}-{uuid.uuid4().hex}"

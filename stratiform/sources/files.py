@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from stratiform.errors import ConfigError
 from stratiform.operators.keyed import measure
+from stratiform.session import is_shared
 from stratiform.sources import options as opt
 from stratiform.sources.json_values import MAX_VALUE, chunks_of, json_chunks
 
@@ -236,12 +237,13 @@ def copy_attachments(
     chunks, so that no file has to fit a row, and get about ``COPY_BYTES`` of files each. With a binaryFile
     scan (path, content) contents pass through rows instead, which any store that Spark reads allows, up
     to 2 GB a file. A list of references that is small enough is broadcast; a longer one meets the files
-    by path. ``destination`` is a URL of a file system that all executors reach; a plain local path is for
-    local sessions only.
+    by path. ``destination`` is a URL of a file system that all executors reach, or lies below the folder of
+    ``spark.checkpoint.dir``, which they share; any other local path is for local sessions only.
     """
     session = refs.sparkSession
     is_local = session.sparkContext.master.split("[")[0] == "local"
-    if not is_local and (destination.startswith(("/", "file:")) or "://" not in destination):
+    on_disk = destination.startswith(("/", "file:")) or "://" not in destination
+    if not is_local and on_disk and not is_shared(session, destination):
         raise ConfigError(f"executors do not share {destination!r}: give the URL of a common file system")
     plain = F.regexp_replace(F.col("path"), r"^file:/+", "/")
     wanted = measure(refs.select("ref").distinct(), "attachments")
@@ -281,7 +283,7 @@ def copy_attachments(
         for batch in batches:
             rows = []
             for ref, content in zip(batch["ref"], batch["content"]):
-                tag = hashlib.sha256(ref.encode()).hexdigest()[:8]
+                tag = hashlib.sha256(ref.encode()).hexdigest()[:32]
                 target = f"{root.rstrip('/')}/{tag}_{posixpath.basename(ref)}"
                 try:
                     # A task that runs again replaces its own partial file.

@@ -1,3 +1,5 @@
+import hashlib
+import itertools
 import json
 import os
 import time
@@ -129,6 +131,36 @@ def test_large_attachments_are_copied_in_chunks(spark, tmp_path, monkeypatch):
     assert "not found" in done["none.bin"].error and len(os.listdir(target)) == 3
 
 
+def test_attachments_of_a_cluster_go_to_the_shared_folder(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.txt").write_bytes(b"A")
+    refs = spark.createDataFrame([(str(tmp_path / "a.txt"),)], "ref string")
+    scan = spark.read.format("binaryFile").load(str(tmp_path / "a.txt"))
+    target = f"file://{new_folder(spark, 'copied').removeprefix('file:')}"
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    done = files.copy_attachments(refs, scan, target).first()
+    assert spark.read.format("binaryFile").load(done.new_path).first().content == b"A"
+    for elsewhere in (str(tmp_path / "out"), f"file://{tmp_path}/out", f"{target}/../../../out"):
+        with pytest.raises(ConfigError, match="do not share"):
+            files.copy_attachments(refs, scan, elsewhere)
+
+
+def test_attachments_of_one_name_do_not_meet(spark, tmp_path):
+    seen = {}
+    for n in itertools.count():  # two paths whose hashes begin alike
+        path = f"{tmp_path}/{n}/a.txt"
+        other = seen.setdefault(hashlib.sha256(path.encode()).hexdigest()[:8], path)
+        if other != path:
+            break
+    for name in (path, other):
+        os.makedirs(os.path.dirname(name))
+        with open(name, "w") as out:
+            out.write(name)
+    refs = spark.createDataFrame([(path,), (other,)], "ref string")
+    scan = spark.read.format("binaryFile").load([path, other])
+    done = files.copy_attachments(refs, scan, str(tmp_path / "out")).collect()
+    assert [open(r.new_path).read() for r in done] == [r.ref for r in done] and len(done) == 2
+
+
 PROFILE = {"url": "jdbc:x:y", "driver": "org.x.Driver", "fetchsize": 100}
 
 
