@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from stratiform import schemas
 from stratiform.errors import ConfigError
+from stratiform.functions.columns import any_null
 
 # Accepted values of registry cells.
 SOURCE_TYPES = ["FILE", "JDBC", "API", "CUSTOM"]
@@ -262,16 +263,21 @@ def mapping_errors(mappings: DataFrame, scope: Sequence[str] = ENTITY) -> DataFr
 
 
 def reference_errors(registry: DataFrame, **tables: DataFrame) -> DataFrame:
-    """Entities that a control table names but the registry does not hold."""
-    known = registry.select(*ENTITY).distinct()
-    report = None
-    for name, rows in tables.items():
-        counted = rows.groupBy(*ENTITY).agg(F.count(F.lit(1)).alias("row_count"))
-        lost = counted.join(known, ENTITY, "left_anti").select(
-            F.lit(name).alias("table_name"), *ENTITY, "row_count"
-        )
-        report = lost if report is None else report.unionAll(lost)
-    return report
+    """Entities that a control table names but the registry does not hold.
+
+    All tables and the registry meet in one grouping, so that counts of entities are shuffled, not rows.
+    An entity with a NULL part is never held.
+    """
+    every = registry.select(*ENTITY, F.lit(-1).alias("__table"))
+    for at, rows in enumerate(tables.values()):
+        every = every.unionAll(rows.select(*ENTITY, F.lit(at).alias("__table")))
+    counts = [F.count_if(F.col("__table") == at).alias(f"__n{at}") for at in range(len(tables))]
+    grouped = every.groupBy(*ENTITY).agg(F.bool_or(F.col("__table") == -1).alias("__known"), *counts)
+    found = F.array(
+        *[F.struct(F.lit(name).alias("table_name"), F.col(f"__n{at}").alias("row_count")) for at, name in enumerate(tables)]
+    )
+    lost = grouped.filter(~F.col("__known") | any_null(ENTITY)).select(*ENTITY, F.explode(found).alias("__found"))
+    return lost.select("__found.table_name", *ENTITY, "__found.row_count").filter("row_count > 0")
 
 
 def _list_cell(column: str) -> Column:

@@ -49,6 +49,16 @@ def test_csv_control_tables(spark, rows, folder):
         control.load(spark, "nope", folder)
 
 
+def test_references_are_counted_before_they_are_shuffled(spark, rows):
+    registry = spark.createDataFrame([("crm", "acc"), ("crm", "acc"), (None, "x")], "source_system string, source_entity string")
+    named = spark.createDataFrame([("crm", "acc"), ("crm", "gone"), ("crm", "gone"), (None, "x")], registry.schema)
+    lost = control.reference_errors(registry, dq_rules=named, publish_rules=named.limit(2))
+    assert rows(lost) == sorted(
+        [("dq_rules", "crm", "gone", 2), ("dq_rules", None, "x", 1), ("publish_rules", "crm", "gone", 1)], key=repr)
+    plan = control.reference_errors(registry, dq_rules=named)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1 and "partial_count" in plan
+
+
 def test_bootstrap(spark, folder, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS ctl")
     control.bootstrap(spark, folder, "spark_catalog.ctl", str(tmp_path / "backup"))
