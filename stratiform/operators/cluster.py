@@ -77,17 +77,40 @@ def bits_for(columns: Sequence[str], bits: int = 6) -> int:
     return max(1, min(bits, 62 // len(columns)))
 
 
-def with_cells(df: DataFrame, columns: Sequence[str], cells: Sequence[Sequence] | None = None, bits: int = 6) -> DataFrame:
-    """Add the Z-value over the columns' cells: ``cells`` has the bounds that earlier rows got, else they follow the rows."""
-    bits = bits_for(columns, bits)
+def _step(value: Column, low: float | None, high: float | None, bits: int) -> Column:
+    """Number of the step of even width between the lowest and the highest value; NULL is in step 0."""
+    if low is None or low == high:
+        return F.lit(0).cast("bigint")
+    share = (value - F.lit(low)) / F.lit(high - low)
+    return F.coalesce(F.floor(share * F.lit(float((1 << bits) - 1))), F.lit(0)).cast("bigint")
+
+
+def _interleaved(cells: Sequence[Column], bits: int) -> Column:
     z = F.lit(0).cast("bigint")
-    for i, (name, bounds) in enumerate(zip(columns, cells or cell_bounds(df, columns, bits))):
-        is_text = isinstance(df.schema[name].dataType, T.StringType)
-        cell = _cell(F.col(name) if is_text else _as_number(df, name), bounds)
+    for i, cell in enumerate(cells):
         for bit in range(bits):
             one = F.shiftright(cell, bit).bitwiseAND(F.lit(1).cast("bigint"))
-            z = z + F.shiftleft(one, bit * len(columns) + i)
-    return df.withColumn(Z_COLUMN, z)
+            z = z + F.shiftleft(one, bit * len(cells) + i)
+    return z
+
+
+def with_cells(df: DataFrame, columns: Sequence[str], cells: Sequence[Sequence] | None = None, bits: int = 6) -> DataFrame:
+    """Add the Z-value over the columns' cells: ``cells`` has the bounds that earlier rows got, else they follow the rows."""
+    bits = bits_for(columns, bits)
+    found = [
+        _cell(F.col(name) if isinstance(df.schema[name].dataType, T.StringType) else _as_number(df, name), bounds)
+        for name, bounds in zip(columns, cells or cell_bounds(df, columns, bits))
+    ]
+    return df.withColumn(Z_COLUMN, _interleaved(found, bits))
+
+
+def with_steps(df: DataFrame, columns: Sequence[str], bits: int = 10) -> DataFrame:
+    """Add the Z-value over steps of even width of number and time columns, which follow from their ranges alone."""
+    bits = bits_for(columns, bits)
+    numbers = [_as_number(df, name) for name in columns]
+    ends = df.agg(*[f(n).alias(f"{label}{i}") for i, n in enumerate(numbers) for label, f in (("low", F.min), ("high", F.max))]).first()
+    steps = [_step(n, ends[f"low{i}"], ends[f"high{i}"], bits) for i, n in enumerate(numbers)]
+    return df.withColumn(Z_COLUMN, _interleaved(steps, bits))
 
 
 def packed(

@@ -159,14 +159,35 @@ def zorder_text(spark, sf_dir):
     )
 
 
+def _scaled(column: str, bits: int) -> str:
+    top = (1 << bits) - 1
+    return f"CAST(floor(({column} - lo_{column}) * 1.0 / (hi_{column} - lo_{column}) * {top}) AS BIGINT)"
+
+
+_BITS = 10
+_Z = " + ".join(
+    f"((({_scaled(c, _BITS)} >> {b}) & 1) << {b * 2 + i})"
+    for i, c in enumerate(["l_partkey", "l_suppkey"])
+    for b in range(_BITS)
+)
+
+
 @query(
     "zorder_cluster",
-    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, TRUE AS partkey_in_cell, TRUE AS suppkey_in_cell FROM lineitem""",
+    f"""SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, l_linenumber, CAST(l_partkey AS BIGINT) AS l_partkey,
+  CAST(l_suppkey AS BIGINT) AS l_suppkey, CAST({_Z} AS BIGINT) AS z_value, TRUE AS partkey_in_cell, TRUE AS suppkey_in_cell FROM
+  (SELECT l_orderkey, l_linenumber, CAST(l_partkey AS DOUBLE) AS l_partkey,
+    CAST(l_suppkey AS DOUBLE) AS l_suppkey FROM lineitem),
+  (SELECT CAST(min(l_partkey) AS DOUBLE) AS lo_l_partkey, CAST(max(l_partkey) AS DOUBLE) AS hi_l_partkey,
+    CAST(min(l_suppkey) AS DOUBLE) AS lo_l_suppkey, CAST(max(l_suppkey) AS DOUBLE) AS hi_l_suppkey
+   FROM lineitem)""",
 )
 def zorder_cluster(spark, sf_dir):
-    """Clustered rows, each with whether the values of its cell lie apart from those of the cells before, by column."""
+    """Clustered rows with their Z-value over steps of even width, and by column whether the values of the row's cell
+    of even size lie apart from those of the cells before."""
     columns = ["l_partkey", "l_suppkey"]
-    packed = cluster.packed(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *columns), columns)
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *columns)
+    packed = cluster.packed(cluster.with_steps(lines, columns, _BITS).withColumnRenamed("z_value", "steps"), columns)
     bits = cluster.bits_for(columns)
     for at, column in enumerate(columns):
         cell = F.lit(0)
@@ -177,7 +198,7 @@ def zorder_cluster(spark, sf_dir):
         before = F.max("high").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))  # 64 rows
         apart = ranges.select("cell", F.coalesce(F.col("low") > before, F.lit(True)).alias(column.replace("l_", "") + "_in_cell"))
         packed = packed.join(F.broadcast(apart), "cell").drop("cell")
-    return packed.drop("z_value")
+    return packed.drop("z_value").withColumnRenamed("steps", "z_value")
 
 
 @query(

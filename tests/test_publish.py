@@ -162,6 +162,22 @@ def test_cluster_keeps_rows_and_sorts(spark):
         cluster.with_cells(df, [])
 
 
+def test_steps_of_even_width(spark, rows):
+    df = spark.createDataFrame([(0, 0), (5, 3), (10, 3), (None, 1), (9, None)], "a bigint, b bigint")
+    assert rows(cluster.with_steps(df, ["a", "b"], bits=2)) == sorted(
+        [(0, 0, 0), (5, 3, 11), (10, 3, 15), (None, 1, 2), (9, None, 4)], key=repr)
+    assert {r.z_value for r in cluster.with_steps(df.withColumn("a", df.a * 0), ["a"]).collect()} == {0}
+
+
+def test_clustered_rows_have_their_z_value(spark):
+    import __spark_entry__ as contract
+
+    out = contract.queries()["zorder_cluster"](spark, "/root/testdata/sf0.001")
+    assert out.select("z_value").distinct().count() > 1000
+    assert "z_value" in contract.oracle_sql()["zorder_cluster"]
+
+
+
 def test_cluster_splits_a_shared_value(spark):
     df = spark.range(4000, numPartitions=8).selectExpr("if(id % 3 > 0, 1, id) as a", "1 as b")
     from pyspark.sql import functions as F
