@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stratiform.operators import audit, bronze, content, key_history, rules
 from stratiform.operators.keyed import distinct_report, measure
 from stratiform.queries.registry import query, table
+from stratiform.session import new_folder
 
 AS_OF = "2024-02-01 00:00:00"
 FLAGS = ["bronze_dq_status", "bronze_dq_failed_check"]
@@ -446,9 +447,12 @@ SELECT load, o_orderkey, o_custkey, EXISTS (FROM l e WHERE e.o_custkey = l.o_cus
 def pk_unique_across_loads(spark, sf_dir):
     """A load for each year of orders; the keys are customers. The history is packed on the way, the third load comes twice."""
     orders = table(spark, sf_dir, "orders").select(F.year("o_orderdate").cast("bigint").alias("load"), "o_orderkey", "o_custkey")
+    delivered = new_folder(spark, "key-loads")  # a folder for each load, so that a load reads no other's rows
+    orders.write.partitionBy("load").parquet(delivered)
+    orders = spark.read.schema("o_orderkey bigint, o_custkey bigint, load bigint").parquet(delivered).select(*orders.columns)
     history = f"spark_catalog.default.keys_{uuid.uuid4().hex}"
-    years = [r[0] for r in orders.select("load").distinct().orderBy("load").collect()]
-    parts = {}
+    years = [r[0] for r in orders.select("load").where("load IS NOT NULL").distinct().orderBy("load").collect()]
+    parts = {None: orders.where("load IS NULL").withColumn("seen_before", F.lit(False))}
     for year in [*years[:3], *years[2:]]:
         flagged = measure(key_history.flag_seen(orders.where(F.col("load") == year), ["o_custkey"], history, str(year)), "flagged").frame
         key_history.record(flagged.where(~F.col("seen_before")), ["o_custkey"], history, str(year))

@@ -169,3 +169,23 @@ def test_typed_mapping_uses_default(spark, rows):
     rule = {"transform_expression": "v", "conformance_column": "n", "target_type_name": "int",
             "default_value": "0"}
     assert rows(conform.apply(df, [rule], typed=True)) == [(0,), (0,), (12,)]
+
+
+def test_a_load_reads_its_own_rows_only(spark, tmp_path, monkeypatch):
+    from stratiform.operators import key_history
+    from stratiform.queries import queries
+
+    orders = spark.range(40).selectExpr(
+        "id as o_orderkey", "id % 7 as o_custkey", "if(id = 5, null, make_timestamp_ntz(1995 + id % 4, 1, 1, 0, 0, 0)) as o_orderdate")
+    orders.coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    real, read = key_history.flag_seen, {}
+
+    def noted(df, keys, history, load_id):
+        read[load_id] = {r[0] for r in df.selectExpr("input_file_name()").distinct().collect()}
+        return real(df, keys, history, load_id)
+
+    monkeypatch.setattr(key_history, "flag_seen", noted)
+    out = queries()["pk_unique_across_loads"](spark, str(tmp_path))
+    found = {r.o_orderkey: r.seen_before for r in out.collect()}
+    assert len(found) == out.count() == 40 and found[5] is False and found[4] is False and found[11] is True
+    assert len(read) == 4 and len(set.union(*read.values())) == sum(len(files) for files in read.values())
