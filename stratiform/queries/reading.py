@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from stratiform.operators.export import export
@@ -11,7 +13,7 @@ from stratiform.operators.keyed import measure
 from stratiform.queries.inputs import ctes, derive
 from stratiform.queries.registry import query, table
 from stratiform.session import new_folder
-from stratiform.sources import files, jdbc, payload, rescue
+from stratiform.sources import files, jdbc, payload, rescue, stores
 from stratiform.streaming import files as streams
 from stratiform.streaming import windows
 
@@ -382,6 +384,33 @@ def stream_reader_options(spark, sf_dir):
     return spark.table(name).select("o_orderkey", "o_totalprice", "note")
 
 
+#: Files in a folder, and for a task that writes them.
+_FOLDER_FILES, _TASK_FILES = 1_000, 20_000
+
+
+def _file_each(texts, path):
+    """A text file for each value. A task that runs again writes the same files, as it has its values in order."""
+    spark = texts.sparkSession
+    system, inner = stores.opened(path)
+    system.create_dir(inner)
+
+    def write(batches):
+        system, root = stores.opened(path)
+        task, n = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                folder = f"{root}/{task}-{n // _FOLDER_FILES}"
+                if n % _FOLDER_FILES == 0:
+                    system.create_dir(folder)
+                with system.open_output_stream(f"{folder}/{n % _FOLDER_FILES}.txt") as out:
+                    out.write(f"{value or ''}\n".encode())
+                n += 1
+        yield pa.RecordBatch.from_pydict({"files": [n]})
+
+    tasks = max(4, spark.sparkContext.defaultParallelism, -(-texts.count() // _TASK_FILES))
+    texts.repartition(tasks).sortWithinPartitions("value").mapInArrow(write, "files bigint").agg(F.sum("files")).collect()
+
+
 @query(
     "attachment_copy",
     "SELECT 'page ' || page_id AS content, TRUE AS copied FROM pages UNION ALL SELECT NULL, FALSE FROM pages WHERE page_id % 10 = 0",
@@ -389,17 +418,12 @@ def stream_reader_options(spark, sf_dir):
 def attachment_copy(spark, sf_dir):
     """A file for each page, copied by reference; every tenth page names a second file, which is not there."""
     pages, path = table(spark, sf_dir, "pages").select("page_id"), new_folder(spark, "attachments")
-    tasks = max(4, spark.sparkContext.defaultParallelism)
-    texts = pages.select(F.concat(F.lit("page "), "page_id").alias("value")).repartition(tasks, "value")
-    texts.write.option("maxRecordsPerFile", 1).text(path)
-    held = spark.read.format("binaryFile").load(path)
+    _file_each(pages.select(F.concat(F.lit("page "), "page_id").alias("value")), path)
+    held = stores.listing(spark, path)
     plain = F.regexp_replace("path", "^file:/+", "/")
     missing = pages.where("page_id % 10 = 0").select(F.concat(F.lit("/no/such/file/"), "page_id").alias("ref"))
     refs = held.select(plain.alias("ref")).unionByName(missing)
     out = new_folder(spark, "attachments-copied")
-    report = measure(files.copy_attachments(refs, held.select("path", "content"), out if "://" in out else f"file://{out}"), "copied").frame
-    copies = spark.read.format("binaryFile").load(out).select(
-        F.element_at(F.split("path", "/"), -1).alias("name"), F.rtrim(F.col("content").cast("string"), F.lit("\n")).alias("content")
-    )
-    named = report.withColumn("name", F.element_at(F.split("new_path", "/"), -1))
-    return named.join(copies, "name", "left").select("content", F.col("new_path").isNotNull().alias("copied"))
+    report = measure(files.copy_attachments(refs, held, out if "://" in out else f"file://{out.removeprefix('file:')}"), "copied").frame
+    copies = stores.with_contents(report, "new_path")
+    return copies.select(F.rtrim(F.col("content").cast("string"), F.lit("\n")).alias("content"), F.col("new_path").isNotNull().alias("copied"))

@@ -222,8 +222,9 @@ def attachment_refs(df: DataFrame, field: str) -> DataFrame:
     return df.select(ref).filter((F.col("ref").isNotNull()) & (F.trim("ref") != "")).distinct()
 
 
-#: Bytes of files for one task that copies, most such tasks, and bytes that a task holds at a time.
+#: Bytes of files and number of files for one task that copies, most such tasks, and bytes that a task holds at a time.
 COPY_BYTES = 1 << 30
+COPY_FILES = 5_000
 MOST_COPY_TASKS = 10_000
 COPY_CHUNK = 8 << 20
 
@@ -233,12 +234,13 @@ def copy_attachments(
 ) -> DataFrame:
     """Copy referenced files and report (ref, new_path, error) per reference.
 
-    ``files`` is a listing (path, length), as ``listing`` makes it: tasks then read each file from its store in
-    chunks, so that no file has to fit a row, and get about ``COPY_BYTES`` of files each. With a binaryFile
-    scan (path, content) contents pass through rows instead, which any store that Spark reads allows, up
-    to 2 GB a file. A list of references that is small enough is broadcast; a longer one meets the files
-    by path. ``destination`` is a URL of a file system that all executors reach, or lies below the folder of
-    ``spark.checkpoint.dir``, which they share; any other local path is for local sessions only.
+    ``files`` is a listing (path, length), as ``listing`` makes it, or ``stores.listing`` where the driver cannot
+    hold all files: tasks then read each file from its store in chunks, so that no file has to fit a row, and get
+    about ``COPY_BYTES`` of files each, ``COPY_FILES`` at most on average. With a binaryFile scan (path, content)
+    contents pass through rows instead, which any store that Spark reads allows, up to 2 GB a file. A list of
+    references that is small enough is broadcast; a longer one meets the files by path. ``destination`` is a URL
+    of a file system that all executors reach, or lies below the folder of ``spark.checkpoint.dir``, which they
+    share; any other local path is for local sessions only.
     """
     session = refs.sparkSession
     is_local = session.sparkContext.master.split("[")[0] == "local"
@@ -249,13 +251,18 @@ def copy_attachments(
     wanted = measure(refs.select("ref").distinct(), "attachments")
     side = F.broadcast(wanted.frame) if wanted.fits_broadcast else wanted.frame
     streamed = "content" not in files.columns
-    source = F.col("path").alias("content") if streamed else F.col("content")
-    found = files.select(plain.alias("__path"), source).join(side, F.col("ref") == F.col("__path"))
-    if streamed and "length" in files.columns:
-        total = files.select(plain.alias("__path"), "length").join(side, F.col("ref") == F.col("__path")).agg(F.sum("length")).first()[0]
-        found = found.repartition(max(1, min(MOST_COPY_TASKS, -(-(total or 0) // COPY_BYTES))), "__path")
-    here = files.select(plain.alias("__path")).join(side, F.col("ref") == F.col("__path"), "left_semi")
-    lost = wanted.frame.join(here, F.col("ref") == F.col("__path"), "left_anti")
+    if streamed:
+        length = F.col("length") if "length" in files.columns else F.lit(0)
+        listed = files.select(plain.alias("__path"), F.col("path").alias("content"), length.alias("length"))
+        total = F.coalesce(F.sum("length"), F.lit(0)).alias("total")
+        met = measure(listed.join(side, F.col("ref") == F.col("__path")).select("ref", "content", "length"), "attachments-found", total)
+        tasks = max(-(-int(met.seen["total"]) // COPY_BYTES), -(-met.rows // COPY_FILES))
+        found = met.frame.repartition(max(1, min(MOST_COPY_TASKS, tasks)), "ref")
+        lost = wanted.frame.join(met.frame.select("ref"), "ref", "left_anti")
+    else:
+        found = files.select(plain.alias("__path"), "content").join(side, F.col("ref") == F.col("__path"))
+        here = files.select(plain.alias("__path")).join(side, F.col("ref") == F.col("__path"), "left_semi")
+        lost = wanted.frame.join(here, F.col("ref") == F.col("__path"), "left_anti")
 
     def write(batches: Iterator) -> Iterator:
         import hashlib

@@ -5,11 +5,13 @@ import os
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from stratiform.errors import ConfigError
 from stratiform.plans import spec as specs
+from stratiform.queries import queries
 from stratiform.session import new_folder
-from stratiform.sources import files, jdbc, options, payload, rescue
+from stratiform.sources import files, jdbc, options, payload, rescue, stores
 
 
 def test_formats():
@@ -161,6 +163,55 @@ def test_attachments_of_one_name_do_not_meet(spark, tmp_path):
     assert [open(r.new_path).read() for r in done] == [r.ref for r in done] and len(done) == 2
 
 
+def test_many_small_attachments_are_dealt_to_tasks(spark, tmp_path, monkeypatch):
+    source, target = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    for n in range(60):
+        (source / f"{n}.txt").write_text(str(n))
+    monkeypatch.setattr(files, "COPY_FILES", 5)
+    held = stores.listing(spark, str(source))
+    refs = held.selectExpr("regexp_replace(path, '^file:/+', '/') AS ref")
+    done = files.copy_attachments(refs, held, str(target)).withColumn("task", F.spark_partition_id()).collect()
+    assert len({r.task for r in done}) > 6
+    assert sorted(open(r.new_path).read() for r in done) == sorted(str(n) for n in range(60))
+
+
+def test_tasks_list_folders_as_spark_does(spark, rows, tmp_path, monkeypatch):
+    names = [
+        "a.txt", "b c%20+.txt", "empty", ".hidden", "_hidden", "_k=1", "_metadata", "x._COPYING_", "d/é.txt", "d/e/f.txt", "d/e/g.txt", "d/e/h.txt",
+        "k=1/a", "_k=2/b", ".h/a", "_h/a", "_metadata.d/a", "y._COPYING_/a", "none/empty",
+    ]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("" if name.endswith("empty") else name)
+    (tmp_path / "gone").symlink_to(tmp_path / "nothing")
+    monkeypatch.setattr(stores, "BATCH_ROWS", 2)
+    held = stores.listing(spark, str(tmp_path))
+    usual = files.listing(spark, str(tmp_path))
+    assert held.dtypes == usual.dtypes and rows(held) == rows(usual)
+    assert held.count() > 6 and not any(p.startswith(f"file://{tmp_path}") for p in held.inputFiles())
+
+
+def test_contents_are_read_by_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stores, "BATCH_BYTES", 3)
+    for n in range(5):
+        (tmp_path / f"{n} %").write_bytes(bytes([n]) * n)
+    named = [(n, f"{how}{tmp_path}/{n} %") for n in range(5) for how in ("", "file:", "file://")]
+    frame = spark.createDataFrame([*named, (8, None), (9, f"{tmp_path}/none")], "n int, path string").coalesce(1)
+    found = stores.with_contents(frame, "path")
+    assert found.columns == ["n", "path", "content"]
+    expected = sorted([(n, bytes([n]) * n) for n, _ in named] + [(8, None), (9, None)], key=repr)
+    assert sorted(((r.n, r.content if r.content is None else bytes(r.content)) for r in found.collect()), key=repr) == expected
+
+
+def test_copied_pages_have_no_entry_in_the_driver(spark, rows, tmp_path):
+    ids = [*range(40), 3, 20]  # repeated pages have files of their own
+    spark.createDataFrame([(n,) for n in ids], "page_id bigint").write.parquet(str(tmp_path / "pages.parquet"))
+    done = queries()["attachment_copy"](spark, str(tmp_path))
+    assert rows(done) == sorted([(f"page {n}", True) for n in ids] + [(None, False)] * 4, key=repr)
+    assert not any(p.endswith(".txt") for p in done.inputFiles())
+
+
 PROFILE = {"url": "jdbc:x:y", "driver": "org.x.Driver", "fetchsize": 100}
 
 
